@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from utterlake.llm.byte_bpe import op10_byte_bpe
+from utterlake.llm.html_text import op8_html_text
+from utterlake.llm.media_store import op3_media_columns
+from utterlake.llm.near_dup import op1_near_dup
 from utterlake.llm.packing import op5_best_fit_packing
 from utterlake.llm.quality_crf import op6_quality_crf
 from utterlake.llm.quality_rules import op9_quality_rules
 from utterlake.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op1_near_dup": op1_near_dup,
     "op2_toxicity": op2_toxicity,
+    "op3_media_columns": op3_media_columns,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_crf": op6_quality_crf,
+    "op8_html_text": op8_html_text,
     "op9_quality_rules": op9_quality_rules,
     "op10_byte_bpe": op10_byte_bpe,
 }
