@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from utterlake.llm.byte_bpe import op10_byte_bpe
 from utterlake.llm.html_text import op8_html_text
+from utterlake.llm import license_scan
 from utterlake.llm.media_store import op3_media_columns
 from utterlake.llm.near_dup import op1_near_dup
 from utterlake.llm.packing import op5_best_fit_packing
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_near_dup": op1_near_dup,
     "op2_toxicity": op2_toxicity,
     "op3_media_columns": op3_media_columns,
+    "op4_license_scan": license_scan.op4_license_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_crf": op6_quality_crf,
     "op8_html_text": op8_html_text,
@@ -22,4 +24,4 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_license_scan": license_scan.ORACLE_SQL}
