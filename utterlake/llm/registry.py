@@ -8,6 +8,7 @@ from utterlake.llm import license_scan
 from utterlake.llm.media_store import op3_media_columns
 from utterlake.llm.near_dup import op1_near_dup
 from utterlake.llm.packing import op5_best_fit_packing
+from utterlake.llm.pii import op7_pii
 from utterlake.llm.quality_crf import op6_quality_crf
 from utterlake.llm.quality_rules import op9_quality_rules
 from utterlake.llm.toxicity import op2_toxicity
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_license_scan": license_scan.op4_license_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_crf": op6_quality_crf,
+    "op7_pii": op7_pii,
     "op8_html_text": op8_html_text,
     "op9_quality_rules": op9_quality_rules,
     "op10_byte_bpe": op10_byte_bpe,
