@@ -197,7 +197,8 @@ class NearDuplicates:
         )
         self.members = stored(bands.join(shared, ["band", "key"]), "members")
         named = self.members.select("node").distinct().join(self.nodes.select("node", "rep"), "node")
-        own = self.docs.join(named.withColumnRenamed("rep", "doc_id"), "doc_id").filter(node_column(F.col("text")) == F.col("node"))
+        # a hash join: the texts are streamed past the small side and need no sort
+        own = self.docs.join(named.withColumnRenamed("rep", "doc_id").hint("shuffle_hash"), "doc_id").filter(node_column(F.col("text")) == F.col("node"))
         lost = self.docs.filter("doc_id is null").withColumn("node", node_column(F.col("text")))
         lost = lost.join(named.filter("rep is null").select("node"), "node", "left_semi")
         self.texts = stored(
