@@ -9,8 +9,8 @@
    Jaccard estimate, corrected for chance equality of registers, is far below the threshold are dropped; the others
    are verified on their full sets. Links give components (alternating stars of minima, written each round).
 4. A second star uses the node with the most links as each bucket's pivot. What then still lies in a bucket beside
-   another component is paired with all members of the other components there, estimated and verified, so that no
-   link between bucket mates is lost.
+   another component is compared with all members of the bucket, in blocks and on full sets, so that no link between
+   bucket mates is lost; these pairs are never rows.
 
 Defined cases: a text without words (null, empty) has n_shingles 0, links with nothing and is a component of its
 own; repeated rows each give a row; a null doc_id takes part by its text, never names a component where another
@@ -277,10 +277,65 @@ class NearDuplicates:
         )
         links = links.unionByName(self.verified(self.estimated(second)))
         mixed = self.with_component(components(links))
-        x = mixed.filter("component != main").select("band", "key", F.col("node").alias("x"), F.col("component").alias("cx"))
-        y = mixed.select("band", "key", F.col("node").alias("y"), F.col("component").alias("cy"))
-        third = x.join(y, ["band", "key"]).filter("cx != cy").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-        return links.unionByName(self.verified(self.estimated(third)))
+        return links.unionByName(self.blocked(mixed))
+
+    def blocked(self, mixed: DataFrame, block: int = 128) -> DataFrame:
+        """Links between members of mixed buckets, at least all those between different components.
+
+        Members outside their bucket's main component are put into blocks of about `block`; every member of a bucket meets
+        the blocks that the bucket has, by chunks of about `block`. A task holds one block's shingle sets and streams a
+        chunk's texts past them; only links leave it, and of those only a spanning forest.
+        """
+        stray = mixed.filter("component != main").groupBy("node").agg(F.min("main").alias("main"))
+        many = stray.groupBy("main").agg(F.ceil(F.count("*") / block).alias("n"))
+        stray = stray.join(many, "main").withColumn("block", F.xxhash64("main", F.pmod(F.xxhash64("node"), F.col("n"))))
+        stray = stored(stray.select("node", "block"), "stray")
+        at = stored(mixed.select("band", "key", "node").join(stray, "node").select("band", "key", "block").distinct(), "block-buckets")
+        meets = stored(mixed.select("band", "key", "node").join(at, ["band", "key"]).select("node", "block").distinct(), "meets")
+        chunks = stored(meets.groupBy("block").agg(F.ceil(F.count("*") / block).alias("chunks")), "chunks")
+        rows = meets.join(chunks, "block").select("node", "block", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), F.lit(1).alias("side"))
+        own = stray.join(chunks, "block").select("node", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("side"))
+        dealt = own.unionByName(rows).join(self.texts, "node").repartition("block", "chunk").sortWithinPartitions("block", "chunk", "side")
+
+        def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known = WordHashes()
+            last, nodes, sets, index = None, [], [], None
+            root: dict[bytes, bytes] = {}  # a forest over one block and chunk: links that close a cycle are not needed
+
+            def top(node: bytes) -> bytes:
+                while root.get(node, node) != node:
+                    root[node] = node = root.get(root[node], root[node])
+                return node
+
+            for batch in batches:
+                out = []
+                for key, side, node, text in zip(zip(batch["block"], batch["chunk"], strict=True), batch["side"], batch["node"], batch["text"], strict=True):
+                    if key != last:
+                        last, nodes, sets, index = key, [], [], None
+                        root.clear()
+                    s = shingle_set(words_of(text), known)
+                    if side == 0:
+                        nodes.append(bytes(node))
+                        sets.append(s)
+                        continue
+                    if index is None:  # the block is complete: its shingles in order, and whose they are
+                        whose = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+                        flat = np.concatenate(sets)
+                        order = np.argsort(flat, kind="stable")
+                        index, sizes = (flat[order], whose[order]), np.array([len(x) for x in sets])
+                    lo, hi = np.searchsorted(index[0], s, "left"), np.searchsorted(index[0], s, "right")
+                    some = hi > lo
+                    lo, n = lo[some], (hi - lo)[some]
+                    at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    both = np.bincount(index[1][at], minlength=len(sets))
+                    for i in np.flatnonzero(100 * both >= PERCENT * (sizes + len(s) - both)):
+                        a, b = top(nodes[i]), top(bytes(node))
+                        if a != b:
+                            root[a] = b
+                            out.append((nodes[i], bytes(node)))
+                yield pd.DataFrame(out, columns=["a", "b"])
+
+        return stored(dealt.mapInPandas(compare, "a binary, b binary"), "block-links")
 
     def result(self) -> DataFrame:
         found = components(self.links())
