@@ -187,7 +187,7 @@ def words_hit_by_ranges(spark, d):
     return w.select("recording_id", "seq", "word_idx", "hit")
 
 
-@query(f"""q AS (SELECT x.recording_id, x.seq, coalesce(sum({MS.format(OVER)}), 0) / 1000 / greatest(0.01, x."end" - x."start") AS covered
+@query(f"""q AS (SELECT x.recording_id, x.seq, coalesce(sum(CASE WHEN t.recording_id IS NOT NULL THEN {MS.format(OVER)} END), 0) / 1000 / greatest(0.01, x."end" - x."start") AS covered
        FROM segments x LEFT JOIN recovered t ON t.recording_id = x.recording_id AND {OVER} > 0 GROUP BY x.recording_id, x.seq, x."start", x."end")
        SELECT recording_id, seq, CAST(round(covered * 1000) AS BIGINT) AS per_mille FROM q""")
 def overlap_fraction(spark, d):

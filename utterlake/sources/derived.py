@@ -128,14 +128,14 @@ segments AS (SELECT recording_id, seq, text, dur_cs, end_cs, end_cs - dur_cs AS
              CAST((11 * recording_id + 29 * seq) % 100 AS DOUBLE) / 100 AS no_speech_prob,
              CASE WHEN (5 * recording_id + 3 * seq) % 13 <> 0 THEN 'SPEAKER_0' || CAST((recording_id + seq // 2) % 3 AS VARCHAR) END AS speaker
              FROM seg2),
-words AS (SELECT recording_id, seq, i AS word_idx, word, CAST(at AS DOUBLE) / 100 AS "start",
-          CAST(at + greatest(1, (3 * dur_cs) // (4 * nw)) AS DOUBLE) / 100 AS "end",
+words AS (SELECT recording_id, seq, i AS word_idx, word, CAST(t_at AS DOUBLE) / 100 AS "start",
+          CAST(t_at + greatest(1, (3 * dur_cs) // (4 * nw)) AS DOUBLE) / 100 AS "end",
           CASE WHEN (recording_id + seq + i) % 17 <> 0 THEN CAST((3 * recording_id + 5 * seq + 7 * i) % 100 AS DOUBLE) / 100 END AS score
-          FROM (SELECT *, start_cs + (dur_cs * i) // nw AS at FROM
+          FROM (SELECT *, start_cs + (dur_cs * i) // nw AS t_at FROM
                 (SELECT recording_id, seq, dur_cs, start_cs, len(p) AS nw, unnest(p) AS word, generate_subscripts(p, 1) - 1 AS i
                  FROM (SELECT *, string_split(text, ' ') AS p FROM segments)) WHERE i < 60)),
-turns AS (SELECT recording_id, CAST(at AS DOUBLE) / 100 AS "start", CAST(at + 800 AS DOUBLE) / 100 AS "end", speaker FROM
-          (SELECT recording_id, 700 * k + 50 * (recording_id % 3) AS at, 'SPEAKER_0' || CAST((k * k + recording_id) % 3 AS VARCHAR) AS speaker FROM
+turns AS (SELECT recording_id, CAST(t_at AS DOUBLE) / 100 AS "start", CAST(t_at + 800 AS DOUBLE) / 100 AS "end", speaker FROM
+          (SELECT recording_id, 700 * k + 50 * (recording_id % 3) AS t_at, 'SPEAKER_0' || CAST((k * k + recording_id) % 3 AS VARCHAR) AS speaker FROM
            (SELECT recording_id, unnest(range(0, max(end_cs) // 700 + 1)) AS k FROM segments GROUP BY recording_id))),
 recovered AS (SELECT recording_id, seq, CAST(start_cs + 30 AS DOUBLE) / 100 AS "start", CAST(end_cs + 40 AS DOUBLE) / 100 AS "end", text || ' (2)' AS text,
               CAST(-((13 * recording_id + 7 * seq) % 130) AS DOUBLE) / 100 AS avg_logprob, seq // 5 AS zone_id
