@@ -8,9 +8,8 @@
 3. In each bucket of equal band keys every node is paired with one pivot (a star, not all pairs). Pairs whose
    Jaccard estimate, corrected for chance equality of registers, is far below the threshold are dropped; the others
    are verified on their full sets. Links give components (alternating stars of minima, written each round).
-4. A second star uses the node with the most links as each bucket's pivot. What then still lies in a bucket beside
-   another component is compared with all members of the bucket, in blocks and on full sets, so that no link between
-   bucket mates is lost; these pairs are never rows.
+4. What then still lies in a bucket beside another component is compared with all members of the bucket, in blocks
+   and on full sets, so that no link between bucket mates is lost; these pairs are never rows.
 
 Defined cases: a text without words (null, empty) has n_shingles 0, links with nothing and is a component of its
 own; repeated rows each give a row; a null doc_id takes part by its text, never names a component where another
@@ -160,26 +159,25 @@ def sketches(docs: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the least node that links (a, b) reach, for every node with a link.
 
-    Alternating large and small stars of minima; each step is written, so that joins see two stored tables.
+    Alternating large and small stars of minima, until each node points to one root and no root points on; each step is
+    written, so that joins see two stored tables.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "edges")
-    before = None
+    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v"), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
-        large = stored(
-            both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct(), "large"
-        )
+        large = stored(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct(), "large")
         least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if now == before:
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+            edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+        )
+        seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        if seen.filter("out > 1 or (out > 0 and into > 0)").isEmpty():
             break
-        before = now
-    own = edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return stored(own.unionByName(roots).groupBy("node").agg(F.min("component").alias("component")), "components")
+    return stored(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots), "components")
 
 
 class NearDuplicates:
@@ -264,19 +262,6 @@ class NearDuplicates:
         )
         links = self.verified(self.estimated(first))
         mixed = self.with_component(components(links))
-        degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy("a").agg(F.count("*").alias("degree"))
-        degree = degree.withColumnRenamed("a", "node")
-        hubs = stored(
-            mixed.join(degree, "node", "left").groupBy("band", "key")
-            .agg(F.max_by(F.struct("node", "component"), F.struct(F.coalesce("degree", F.lit(0)), "node")).alias("hub")),
-            "hubs",
-        )
-        second = (
-            mixed.join(hubs, ["band", "key"]).filter(F.col("component") != F.col("hub.component"))
-            .select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
-        )
-        links = links.unionByName(self.verified(self.estimated(second)))
-        mixed = self.with_component(components(links))
         return links.unionByName(self.blocked(mixed))
 
     def blocked(self, mixed: DataFrame, block: int = 128) -> DataFrame:
