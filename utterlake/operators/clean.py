@@ -114,8 +114,14 @@ def all_zones(flagged: DataFrame, gaps: DataFrame, edges: DataFrame) -> DataFram
     return loop.unionByName(gap).unionByName(edge)
 
 
-def detect_problem_zones(segments: DataFrame, low_conf: float = 0.45, recordings=None, speech=None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(clean, zones, removed), by the order of tests: hallucination, too short, repeat, low confidence."""
+def detect_problem_zones(
+    segments: DataFrame, low_conf: float = 0.45, recordings=None, speech=None, cache: bool = True
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(clean, zones, removed), by the order of tests: hallucination, too short, repeat, low confidence.
+
+    All three come from one table of verdicts, and zones reads it three times: it is cached (in memory, else on disk), so that
+    the folds run once. Without cache it is computed anew.
+    """
     f = flag(segments)
     rest = suppress_repeats(f.filter("hallucination is null and not short"))
     gone = f.filter("hallucination is not null or short").withColumn("is_repeat", F.lit(None).cast("boolean"))
@@ -125,6 +131,8 @@ def detect_problem_zones(segments: DataFrame, low_conf: float = 0.45, recordings
     every = every.withColumn("removed", why)
     zone = F.when(F.col("removed") == "hallucination", "hallucination").when(F.col("removed").isNull(), low)
     every = every.withColumn("zone_reason", zone)
+    if cache:
+        every = every.persist()
     clean = every.filter("removed is null").select(*segments.columns)
     removed = every.filter("removed is not null").select(
         "recording_id", "seq", F.col("removed").alias("reason"), "text", F.format_string("%.1fs", "start").alias("time"), F.col("hallucination").alias("detail")
