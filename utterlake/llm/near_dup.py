@@ -255,7 +255,7 @@ class NearDuplicates:
         return stored(own.join(main, ["band", "key"]), "mixed")
 
     def links(self) -> DataFrame:
-        """All verified links (a, b) that join components; their transitive closure is that of all links."""
+        """Verified links (a, b), some of them replaced by paths of links; their transitive closure is that of all links."""
         first = (
             self.members.filter("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("n"))
             .groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("b")).withColumnRenamed("node", "a")
@@ -269,7 +269,7 @@ class NearDuplicates:
 
         Members outside their bucket's main component are put into blocks of about `block`; every member of a bucket meets
         the blocks that the bucket has, by chunks of about `block`. A task holds one block's shingle sets and streams a
-        chunk's texts past them; only links leave it, and of those only a spanning forest.
+        chunk's texts past them; of its links only a star to each linked set's least node leaves it.
         """
         stray = mixed.filter("component != main").groupBy("node").agg(F.min("main").alias("main"))
         many = stray.groupBy("main").agg(F.ceil(F.count("*") / block).alias("n"))
@@ -285,24 +285,31 @@ class NearDuplicates:
         def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known = WordHashes()
             last, nodes, sets, index = None, [], [], None
-            root: dict[bytes, bytes] = {}  # a forest over one block and chunk: links that close a cycle are not needed
+            root: dict[bytes, bytes] = {}  # towards the least node that a block and chunk link a node with
 
             def top(node: bytes) -> bytes:
                 while root.get(node, node) != node:
                     root[node] = node = root.get(root[node], root[node])
                 return node
 
+            def flush() -> list[tuple[bytes, bytes]]:
+                stars = [(node, top(node)) for node in root]
+                root.clear()
+                return stars
+
             for batch in batches:
                 out = []
                 for key, side, node, text in zip(zip(batch["block"], batch["chunk"], strict=True), batch["side"], batch["node"], batch["text"], strict=True):
                     if key != last:
                         last, nodes, sets, index = key, [], [], None
-                        root.clear()
+                        out += flush()
                     s = shingle_set(words_of(text), known)
                     if side == 0:
                         nodes.append(bytes(node))
                         sets.append(s)
                         continue
+                    if not sets:
+                        continue
                     if index is None:  # the block is complete: its shingles in order, and whose they are
                         whose = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
                         flat = np.concatenate(sets)
@@ -316,9 +323,9 @@ class NearDuplicates:
                     for i in np.flatnonzero(100 * both >= PERCENT * (sizes + len(s) - both)):
                         a, b = top(nodes[i]), top(bytes(node))
                         if a != b:
-                            root[a] = b
-                            out.append((nodes[i], bytes(node)))
+                            root[max(a, b)] = min(a, b)
                 yield pd.DataFrame(out, columns=["a", "b"])
+            yield pd.DataFrame(flush(), columns=["a", "b"])
 
         return stored(dealt.mapInPandas(compare, "a binary, b binary"), "block-links")
 
