@@ -4,7 +4,7 @@ STAGES lists (name, function); a function takes (spark, docs, sf_dir) and return
 read again as the next one's docs. All but the last return the columns of documents (others that docs has are kept).
 
 Defined cases: a null text counts as empty, and the quality rules reject it; of rows that repeat a kept doc_id one
-stays; rows without a doc_id stay where their text is in no group with a numbered document; an empty table stays empty.
+stays; rows without a doc_id stay where no kept document has their words; an empty table stays empty.
 """
 
 from __future__ import annotations

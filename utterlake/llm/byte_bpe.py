@@ -91,7 +91,7 @@ class ByteBpe:
         self.whole = {t: i for i, t in enumerate(self.tokens)}
         self.units = UnitIds(self._encode_unit)
 
-    def _encode_unit(self, unit: str) -> bytes:
+    def _encode_unit(self, unit: str) -> list[int]:
         ids: list[int] = []
         for p in self.pre_tokens(unit):
             data = p.encode()
@@ -99,7 +99,7 @@ class ByteBpe:
                 ids.append(self.whole[data])
             else:
                 ids += self.model.encode(data.decode("latin-1").translate(self.to_char))
-        return np.array(ids, "<u4").tobytes()
+        return ids
 
     def encode(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.units.ids(text or ""), "<u4")

@@ -46,7 +46,7 @@ def token_pieces(docs: DataFrame, ranks_path: str | None = None, size: int = 102
 
         tokens = read_ranks(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
         bpe = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
-        units = UnitIds(lambda u: np.array(bpe.encode_ordinary(u), "<u4").tobytes())
+        units = UnitIds(bpe.encode_ordinary)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows = []
