@@ -243,12 +243,12 @@ class NearDuplicates:
         return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(verify, "a binary, b binary"), "links")
 
     def with_component(self, found: DataFrame) -> DataFrame:
-        """Members of buckets in which more than one component is left: + component, main (the bucket's largest)."""
+        """Members of buckets in which more than one component is left: + component, main and size (the bucket's largest one, its rows)."""
         own = self.members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         own = stored(own.select("band", "key", "node", "component"), "own")
         main = stored(
             own.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
-            .groupBy("band", "key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"))
+            .groupBy("band", "key").agg(F.count("*").alias("parts"), F.sum("n").alias("size"), F.max_by("component", F.struct("n", "component")).alias("main"))
             .filter("parts > 1").drop("parts"),
             "main",
         )
@@ -264,19 +264,26 @@ class NearDuplicates:
         mixed = self.with_component(components(links))
         return links.unionByName(self.blocked(mixed))
 
-    def blocked(self, mixed: DataFrame, block: int = 128) -> DataFrame:
+    def blocked(self, mixed: DataFrame, block: int = 1024, block_shingles: int = 1_000_000) -> DataFrame:
         """Links between members of mixed buckets, at least all those between different components.
 
-        Members outside their bucket's main component are put into blocks of about `block`; every member of a bucket meets
-        the blocks that the bucket has, by chunks of about `block`. A task holds one block's shingle sets and streams a
-        chunk's texts past them; of its links only a star to each linked set's least node leaves it.
+        A bucket's hub is the member with the most bucket mates, so that the buckets of one family of texts have few hubs.
+        Members outside their bucket's main component are put into blocks by their largest such bucket's hub: about `block`
+        nodes, or `block_shingles` shingles where texts are long. Every member of a bucket meets the blocks of the bucket's
+        strays, by chunks of about `block`. A task holds one block's shingle sets and streams a chunk's texts past them; of
+        its links only a star to each linked set's least node leaves it.
         """
-        stray = mixed.filter("component != main").groupBy("node").agg(F.min("main").alias("main"))
-        many = stray.groupBy("main").agg(F.ceil(F.count("*") / block).alias("n"))
-        stray = stray.join(many, "main").withColumn("block", F.xxhash64("main", F.pmod(F.xxhash64("node"), F.col("n"))))
-        stray = stored(stray.select("node", "block"), "stray")
-        at = stored(mixed.select("band", "key", "node").join(stray, "node").select("band", "key", "block").distinct(), "block-buckets")
-        meets = stored(mixed.select("band", "key", "node").join(at, ["band", "key"]).select("node", "block").distinct(), "meets")
+        weight = mixed.groupBy("node").agg(F.sum("size").alias("weight"))
+        hubs = mixed.join(weight, "node").groupBy("band", "key").agg(F.max(F.struct("weight", "node")).alias("hub"))
+        stray = mixed.filter("component != main").join(hubs, ["band", "key"]).groupBy("node").agg(F.max(F.struct("size", "hub"))["hub"]["node"].alias("hub"))
+        stray = stored(stray.join(self.nodes.select("node", "n_shingles"), "node"), "stray")
+        blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n_shingles") / block_shingles))
+        stray = stray.join(stray.groupBy("hub").agg(blocks.alias("n")), "hub")
+        stray = stored(stray.select("node", "hub", F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("n"))).alias("block")), "blocks")
+        at = stored(mixed.filter("component != main").select("band", "key", "node").join(stray, "node").select("band", "key", "hub").distinct(), "block-buckets")
+        near = stored(mixed.select("band", "key", "node").join(at, ["band", "key"]).select("node", "hub").distinct(), "near")
+        meets = stored(near.join(stray.select("hub", "block").distinct(), "hub").select("node", "block").distinct(), "meets")
+        stray = stray.select("node", "block")
         chunks = stored(meets.groupBy("block").agg(F.ceil(F.count("*") / block).alias("chunks")), "chunks")
         rows = meets.join(chunks, "block").select("node", "block", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), F.lit(1).alias("side"))
         own = stray.join(chunks, "block").select("node", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("side"))
