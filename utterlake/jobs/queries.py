@@ -77,24 +77,29 @@ def ms(c) -> F.Column:
     return F.round((F.col(c) if isinstance(c, str) else c) * 1000).cast("long")
 
 
-def _clean(spark, d) -> DataFrame:
-    return clean.detect_problem_zones(D.segments(spark, d))[0]
+def _as_sql(spark, d) -> DataFrame:
+    """Segments with the words that D.SQL has: it stops at a line's word 60. The queries named in WHOLE take all words."""
+    return D.segments(spark, d, most=60)
 
 
-def _zones(spark, d) -> DataFrame:
-    return clean.detect_problem_zones(D.segments(spark, d))[1]
+def _clean(spark, d, segments=D.segments) -> DataFrame:
+    return clean.detect_problem_zones(segments(spark, d))[0]
+
+
+def _zones(spark, d, segments) -> DataFrame:
+    return clean.detect_problem_zones(segments(spark, d))[1]
 
 
 @query("""q AS (SELECT recording_id, seq, hallucination, short, low FROM flagged JOIN low USING (recording_id, seq)) SELECT * FROM q""")
-def segment_flags(spark, d):
-    s = clean.flag(D.segments(spark, d))
+def segment_flags(spark, d, segments=_as_sql):
+    s = clean.flag(segments(spark, d))
     return s.select("recording_id", "seq", "hallucination", "short", T.low_confidence_flag(F.col("avg_logprob"), F.col("words")).alias("low"))
 
 
 @query("""q AS (SELECT recording_id, seq, word_idx, coalesce(regexp_replace(lower(trim(word)), '[.,!?]+$', '') IN (""" + ", ".join(f"'{w}'" for w in T.RESPONSES) + """), false)
        OR coalesce(lag(word) OVER (PARTITION BY recording_id, seq ORDER BY word_idx) LIKE '%?', false) AS answers FROM words) SELECT * FROM q""")
-def response_words(spark, d):
-    w = intervals.explode_words(D.segments(spark, d))
+def response_words(spark, d, segments=_as_sql):
+    w = intervals.explode_words(segments(spark, d))
     before = F.lag("word").over(F_window("recording_id", "seq", order="word_idx"))
     return w.withColumn("before", before).select("recording_id", "seq", "word_idx", T.is_response_word(F.col("word"), F.col("before")).alias("answers"))
 
@@ -119,8 +124,8 @@ def removal_counts(spark, d):
 
 
 @query(f"""q AS (SELECT recording_id, ord_seq, {MS.format('"start"')} AS start_ms, {MS.format('"end"')} AS end_ms, reason FROM gaps) SELECT * FROM q""")
-def segment_gaps(spark, d):
-    return clean.segment_gaps(_clean(spark, d)).select("recording_id", "ord_seq", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "reason")
+def segment_gaps(spark, d, segments=_as_sql):
+    return clean.segment_gaps(_clean(spark, d, segments)).select("recording_id", "ord_seq", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "reason")
 
 
 @query(f"""q AS (SELECT recording_id, {MS.format('"end"')} AS end_ms, reason FROM edges) SELECT * FROM q""")
@@ -129,32 +134,32 @@ def edge_gaps(spark, d):
 
 
 @query(f"""q AS (SELECT recording_id, zone_id, {MS.format('"start"')} AS start_ms, {MS.format('"end"')} AS end_ms, reason FROM zones) SELECT * FROM q""")
-def problem_zones(spark, d):
-    return _zones(spark, d).select("recording_id", "zone_id", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "reason")
+def problem_zones(spark, d, segments=_as_sql):
+    return _zones(spark, d, segments).select("recording_id", "zone_id", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "reason")
 
 
 @query(f"""w AS (SELECT recording_id, zone_id, greatest(0.0, "start" - 4.0) AS a, least(duration, "end" + 4.0) AS b FROM zones JOIN recordings USING (recording_id)),
 q AS (SELECT recording_id, zone_id, {MS.format("a")} AS start_ms, {MS.format("b")} AS end_ms FROM w WHERE b - a >= 0.3) SELECT * FROM q""")
-def pass2_windows(spark, d):
-    w = clean.plan_pass2_windows(_zones(spark, d), D.recordings(spark, d))
+def pass2_windows(spark, d, segments=_as_sql):
+    w = clean.plan_pass2_windows(_zones(spark, d, segments), D.recordings(spark, d))
     return w.select("recording_id", "zone_id", ms("w_start").alias("start_ms"), ms("w_end").alias("end_ms"))
 
 
 @query("""q AS (SELECT recording_id, zone_id, 'UNKNOWN' AS speaker, true AS is_placeholder, round("start", 3) AS "start", round("end", 3) AS "end" FROM zones) SELECT * FROM q""")
-def placeholder_segments(spark, d):
-    return clean.placeholder_segments(_zones(spark, d)).select("recording_id", "zone_id", "speaker", "is_placeholder", "start", "end")
+def placeholder_segments(spark, d, segments=_as_sql):
+    return clean.placeholder_segments(_zones(spark, d, segments)).select("recording_id", "zone_id", "speaker", "is_placeholder", "start", "end")
 
 
 @query("""q AS (SELECT z.recording_id, z.zone_id, count(r.zone_id) AS n, CASE WHEN count(r.zone_id) > 0 THEN 'recovered' ELSE 'unrecognized_silence' END AS status
        FROM zones z LEFT JOIN recovered r USING (recording_id, zone_id) GROUP BY ALL) SELECT * FROM q""")
-def pass2_log(spark, d):
-    return clean.pass2_log(_zones(spark, d), D.recovered(spark, d)).select("recording_id", "zone_id", "n", "status")
+def pass2_log(spark, d, segments=_as_sql):
+    return clean.pass2_log(_zones(spark, d, segments), D.recovered(spark, d)).select("recording_id", "zone_id", "n", "status")
 
 
 @query("""l AS (SELECT z.recording_id, z.zone_id, count(r.zone_id) AS n FROM zones z LEFT JOIN recovered r USING (recording_id, zone_id) GROUP BY ALL),
 q AS (SELECT recording_id, count(*) FILTER (n > 0) AS recovered, count(*) FILTER (n = 0) AS not_recovered, CAST(sum(n) AS BIGINT) AS n FROM l GROUP BY ALL) SELECT * FROM q""")
-def pass2_counts(spark, d):
-    return clean.pass2_counts(clean.pass2_log(_zones(spark, d), D.recovered(spark, d)))
+def pass2_counts(spark, d, segments=_as_sql):
+    return clean.pass2_counts(clean.pass2_log(_zones(spark, d, segments), D.recovered(spark, d)))
 
 
 OVER = "least(x.\"end\", t.\"end\") - greatest(x.\"start\", t.\"start\")"
@@ -172,8 +177,8 @@ def assign_segment_speakers(spark, d):
 
 
 @query(WORD_TOP + """, q AS (SELECT w.recording_id, w.seq, w.word_idx, w.word, t.speaker FROM words w LEFT JOIN wordtop t USING (recording_id, seq, word_idx)) SELECT * FROM q""")
-def assign_word_speakers(spark, d):
-    s = speakers.assign_speakers(D.segments(spark, d), D.turns(spark, d))
+def assign_word_speakers(spark, d, segments=_as_sql):
+    s = speakers.assign_speakers(segments(spark, d), D.turns(spark, d))
     return intervals.explode_words(s).select("recording_id", "seq", "word_idx", "word", "speaker")
 
 
@@ -182,8 +187,8 @@ HITS = """hits AS (SELECT w.recording_id, w.seq, w.word_idx, w.word, w."start",
 
 
 @query(HITS + """, q AS (SELECT recording_id, seq, word_idx, hit FROM hits) SELECT * FROM q""")
-def words_hit_by_ranges(spark, d):
-    w = intervals.words_hit_by_ranges(intervals.explode_words(D.segments(spark, d)), D.recovered(spark, d))
+def words_hit_by_ranges(spark, d, segments=_as_sql):
+    w = intervals.words_hit_by_ranges(intervals.explode_words(segments(spark, d)), D.recovered(spark, d))
     return w.select("recording_id", "seq", "word_idx", "hit")
 
 
@@ -202,8 +207,8 @@ merged AS (SELECT c.recording_id, c."start", c."end", c.text, 0 AS source, c.seq
        UNION ALL SELECT recording_id, "start", "end", text, 0, seq, run FROM runs WHERE trim(translate(text, '.,', '')) <> ''
        UNION ALL SELECT recording_id, "start", "end", text, 1, seq, 0 FROM recovered),
 q AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY "start", source, seq, run) - 1 AS seq, "start", "end", text FROM merged) SELECT * FROM q""")
-def merge_pass2(spark, d):
-    return clean.merge_pass2(_clean(spark, d), D.recovered(spark, d)).select("recording_id", "seq", "start", "end", "text")
+def merge_pass2(spark, d, segments=_as_sql):
+    return clean.merge_pass2(_clean(spark, d, segments), D.recovered(spark, d)).select("recording_id", "seq", "start", "end", "text")
 
 
 STATS = """stats AS (SELECT recording_id, coalesce(speaker, 'UNKNOWN') AS speaker, count(*) AS n_segments, sum(dur_cs) AS cs,
@@ -403,3 +408,13 @@ def near_duplicate_texts(spark, d):
     s = D.segments(spark, d, words=False)
     other = F.concat("text", F.when(F.col("seq") % 2 == 0, " ok").otherwise(" and much more of it"))
     return s.select("recording_id", "seq", T.near_duplicate(F.col("text"), other).alias("same"))
+
+
+#: Queries that read words: NAME_whole is the same over every word of every line, and its SQL the same without the cut.
+WHOLE = (
+    "segment_flags", "response_words", "segment_gaps", "problem_zones", "pass2_windows", "placeholder_segments", "pass2_log", "pass2_counts",
+    "assign_word_speakers", "words_hit_by_ranges", "merge_pass2",
+)
+for _name in WHOLE:
+    QUERIES[f"{_name}_whole"] = lambda spark, d, f=QUERIES[_name]: f(spark, d, D.segments)
+    ORACLES[f"{_name}_whole"] = ORACLES[_name].replace(" WHERE i < 60", "")

@@ -37,8 +37,11 @@ def segment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.withColumn("start_cs", F.col("end_cs") - F.col("dur_cs"))
 
 
-def segments(spark: SparkSession, sf_dir: str, words: bool = True) -> DataFrame:
-    """recording_id, seq, start, end, text, avg_logprob, no_speech_prob, speaker, is_placeholder, words."""
+def segments(spark: SparkSession, sf_dir: str, words: bool = True, most: int | None = None) -> DataFrame:
+    """recording_id, seq, start, end, text, avg_logprob, no_speech_prob, speaker, is_placeholder, words.
+
+    words holds every word of the text, or the first `most` (60 gives the words of SQL).
+    """
     r = segment_rows(spark, sf_dir)
     i, s = F.col("recording_id"), F.col("seq")
     pieces = F.split("text", " ", -1)
@@ -55,7 +58,7 @@ def segments(spark: SparkSession, sf_dir: str, words: bool = True) -> DataFrame:
         cs(-((31 * i + 17 * s) % 140)).alias("avg_logprob"), cs((11 * i + 29 * s) % 100).alias("no_speech_prob"),
         F.when((5 * i + 3 * s) % 13 != 0, F.concat(F.lit("SPEAKER_0"), ((i + F.floor(s / 2)) % 3).cast("string"))).alias("speaker"),
         F.lit(False).alias("is_placeholder"),
-        *([F.transform(F.slice(pieces, 1, 60), word).alias("words")] if words else []),
+        *([F.transform(pieces if most is None else F.slice(pieces, 1, most), word).alias("words")] if words else []),
     )
 
 
