@@ -143,6 +143,19 @@ def test_license_of_any_length(spark, words):
     assert sorted(r.doc_id for r in got) == list(range(40))
 
 
+@pytest.mark.parametrize(("words", "changed"), [(3, 0), (5, 0), (9, 0), (12, 1), (40, 2)])
+def test_license_inside_long_texts(words, changed):
+    """None is missed, with some words changed (at the end, so that three quarters of the shingles stay) or spread over windows."""
+    rng, known = np.random.default_rng(words), license_scan.WordHashes()
+    notice = [f"t{i}".encode() for i in range(words)]
+    index = license_scan.Index({"t": b" ".join(notice).decode()})
+    said = notice[: words - changed] + [b"other"] * changed
+    for i in range(1500):
+        pad = [f"w{x}".encode() for x in rng.integers(10**6, size=200)]
+        at = int(rng.integers(60, 140))
+        assert [m[0] for m in index.scan([*pad[:at], *said, *pad[at:]], known)] == ["t"], i
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
     import public_tokenizers

@@ -1,9 +1,10 @@
 """License scans: MinHash bands over overlapping text windows retrieve templates, shingle containment verifies.
 
 Templates are short notices (LICENSES, or any table of texts). A text's words are cut into windows that overlap by
-half. A template that lies whole in a window of W words makes up at least (L - 4) / (W - 4) of its shingles, and
-windows of a size class are at most about 4 times as long as the class's templates; with one minimum to a band
-and 48 bands the probability to miss it is (1 - 0.2)**48, 2 in 100,000, at most. A retrieved template is then
+half, of a size class at most about 4 times as long as the class's templates; the bands' minima are looked up. Bands
+can miss: a short notice has few of its window's shingles, and one may be spread over windows. So that none is missed,
+a text also retrieves the templates of which it holds a guard shingle: a template of n shingles has n minus the number
+needed, plus one, of them, and no text with enough shingles is without all of these. A retrieved template is then
 searched for exactly: it is reported if the text holds at least 75 % of its distinct 5-word shingles.
 
 Templates of fewer than five words are one shingle: their whole sequence.
@@ -65,7 +66,8 @@ def block_minima(hashes: np.ndarray, step: int) -> np.ndarray:
 
 
 class Index:
-    """Templates' shingle sets, and for each size class and width of shingles the band values to templates.
+    """Templates' shingle sets, for each size class and width of shingles the band values to templates, and for each
+    width the guard shingles to templates.
 
     Each band multiplies with a seed of its own, so that one table serves all bands of a class.
     """
@@ -73,6 +75,7 @@ class Index:
     def __init__(self, templates: dict[str, str]):
         known = WordHashes()
         self.classes: dict[tuple[int, int], dict[int, list[int]]] = {}
+        self.guards: dict[int, dict[int, list[int]]] = {}
         self.templates: list[tuple[str, np.ndarray, int]] = []
         for name, text in sorted(templates.items()):
             words = words_of(text)
@@ -84,13 +87,20 @@ class Index:
             values = self.classes.setdefault((size, width), {})
             for v in (s[:, None] * _SEEDS).min(0).tolist():
                 values.setdefault(v, []).append(len(self.templates))
+            needed = -(-PERCENT * len(s) // 100)
+            for v in s[: len(s) - needed + 1].tolist():
+                self.guards.setdefault(width, {}).setdefault(v, []).append(len(self.templates))
             self.templates.append((name, s, width))
         self.values = {k: np.array(sorted(values), np.uint64) for k, values in self.classes.items()}
+        self.guard_values = {k: np.array(sorted(values), np.uint64) for k, values in self.guards.items()}
 
     def scan(self, words: list[bytes], known: WordHashes) -> list[tuple[str, int, int, int]]:
         """(name, shingles found, shingles of the template, first word of the first one found) of each match."""
         shingles = {width: ordered_shingles(words, known, width) for _, width in self.classes}
         found: set[int] = set()
+        for width, guards in self.guards.items():
+            for v in set(shingles[width][np.isin(shingles[width], self.guard_values[width])].tolist()):
+                found.update(guards[v])
         for (size, width), values in self.classes.items():
             if not len(shingles[width]):
                 continue
