@@ -90,3 +90,20 @@ def test_pass2_merge_keeps_other_recordings(spark):
 def test_detect_on_empty_table(spark):
     parts = clean.detect_problem_zones(segments(spark, []))
     assert [p.count() for p in parts] == [0, 0, 0]
+
+
+def test_pass2_log_and_counts(spark):
+    zones = spark.createDataFrame([(1, i, 10.0 * i, 10.0 * i + 1) for i in range(4)] + [(2, 0, 0.0, 0.1)], "recording_id long, zone_id long, start double, end double")
+    recordings = spark.createDataFrame([(1, 60.0), (2, 0.2)], "recording_id long, duration double")
+    error = "out of memory " + "x" * 60
+    rows = [(1, 0, "hello there", None), (1, 1, "good words", None), (1, 1, None, error), (1, 2, "...", None)]
+    candidates = spark.createDataFrame([(r, z, 0.0, 1.0, t, -0.1, 0.1, e) for r, z, t, e in rows], "recording_id long, zone_id long, rel_start double, rel_end double, text string, avg_logprob double, no_speech_prob double, error string")
+    windows = clean.plan_pass2_windows(zones, recordings)
+    good = clean.recover(candidates, windows)
+    log = clean.pass2_log(zones, good, candidates, windows)
+    got = {(r.recording_id, r.zone_id): (r.status, r.n) for r in log.collect()}
+    silence = ("unrecognized_silence", 0)
+    assert got == {(1, 0): ("recovered", 1), (1, 1): ("error: " + error[:50], 0), (1, 2): silence, (1, 3): silence}
+    merged = spark.createDataFrame([(1, True), (1, None), (1, False), (3, True)], "recording_id long, is_placeholder boolean")
+    counts = clean.pass2_counts(log, merged, merged.union(merged))
+    assert sorted(map(tuple, counts.collect())) == [(1, 1, 3, 1, 1, 3, 6), (3, 0, 0, 0, 1, 1, 2)]

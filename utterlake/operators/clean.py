@@ -164,7 +164,12 @@ def placeholder_segments(zones: DataFrame) -> DataFrame:
 
 
 def recover(candidates: DataFrame, windows: DataFrame) -> DataFrame:
-    """Good second-pass candidates at their place in the recording (rel_start and rel_end count from the window)."""
+    """Good second-pass candidates at their place in the recording (rel_start and rel_end count from the window).
+
+    A zone with an error (candidates may have the column) has none.
+    """
+    if "error" in candidates.columns:
+        candidates = candidates.join(_failed(candidates), ["recording_id", "zone_id"], "left_anti")
     good = candidates.filter(T.hallucination_reason(F.col("text"), F.col("avg_logprob"), F.col("no_speech_prob")).isNull())
     good = good.join(windows.select("recording_id", "zone_id", "w_start"), ["recording_id", "zone_id"])
     return good.select(
@@ -173,18 +178,43 @@ def recover(candidates: DataFrame, windows: DataFrame) -> DataFrame:
     )
 
 
-def pass2_log(zones: DataFrame, good: DataFrame) -> DataFrame:
-    """Per zone: label, status, number of good candidates (good: recording_id, zone_id of each)."""
-    n = good.groupBy("recording_id", "zone_id").agg(F.count("*").alias("n"))
-    z = zones.join(n, ["recording_id", "zone_id"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+def _failed(candidates: DataFrame) -> DataFrame:
+    """recording_id, zone_id, error of the zones whose second pass failed."""
+    return candidates.filter("error is not null").groupBy("recording_id", "zone_id").agg(F.min("error").alias("error"))
+
+
+def pass2_log(zones: DataFrame, good: DataFrame, candidates: DataFrame | None = None, windows: DataFrame | None = None) -> DataFrame:
+    """Per zone: label, status, number of good candidates (good: recording_id, zone_id of each).
+
+    candidates: a table with an error column, whose zones get the status `error: ` and 50 characters. windows: those of
+    plan_pass2_windows; zones without one weren't tried and have no row.
+    """
+    keys = ["recording_id", "zone_id"]
+    if windows is not None:
+        zones = zones.join(windows.select(*keys), keys, "left_semi")
+    n = good.groupBy(*keys).agg(F.count("*").alias("n"))
+    z = zones.join(n, keys, "left").withColumn("n", F.coalesce("n", F.lit(0)))
     status = F.when(F.col("n") > 0, "recovered").otherwise("unrecognized_silence")
+    if candidates is not None:
+        z = z.join(_failed(candidates), keys, "left").withColumn("n", F.when(F.col("error").isNull(), F.col("n")).otherwise(0))
+        status = F.when(F.col("error").isNotNull(), F.concat(F.lit("error: "), F.substring("error", 1, 50))).otherwise(status)
     return z.select("recording_id", "zone_id", F.format_string("%.1f-%.1f", "start", "end").alias("zone"), status.alias("status"), "n")
 
 
-def pass2_counts(log: DataFrame) -> DataFrame:
-    return log.groupBy("recording_id").agg(
+def pass2_counts(log: DataFrame, merged: DataFrame | None = None, raw: DataFrame | None = None) -> DataFrame:
+    """Per recording: zones recovered and not, good candidates; with the merged result also its n_placeholders and n_segments,
+    with the raw segments n_raw. A recording that only some of the tables have counts 0 in the others."""
+    out = log.groupBy("recording_id").agg(
         F.count_if(F.col("status") == "recovered").alias("recovered"), F.count_if(F.col("status") != "recovered").alias("not_recovered"), F.sum("n").alias("n")
     )
+    more = []
+    if merged is not None:
+        more.append(merged.groupBy("recording_id").agg(F.count_if("is_placeholder").alias("n_placeholders"), F.count("*").alias("n_segments")))
+    if raw is not None:
+        more.append(raw.groupBy("recording_id").agg(F.count("*").alias("n_raw")))
+    for counts in more:
+        out = out.join(counts, "recording_id", "full")
+    return out.fillna(0, [c for c in out.columns if c != "recording_id"])
 
 
 def split_runs(words: DataFrame) -> DataFrame:
