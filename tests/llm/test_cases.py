@@ -229,6 +229,34 @@ def test_html(spark):
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<html><head><title>t</title><meta charset=x><script>a</script><body><p>one two</p></body></html>", ["one two"]),
+        ("<html><head><title>t</title><p>one two</p></html>", ["one two"]),
+        ("<head><title>t</title></head><p>one</p>", ["one"]),
+        ("<div><svg><path d='x'></div><p>one</p>", ["one"]),
+        ("<div><script>x = 1</div><p>one</p>", ["one"]),
+        ("<div><svg><g>a</g><svg>b</svg>c</svg>one</div>", ["one"]),
+        ("<template><div>a<template>b</template>c</div></template><p>one</p>", ["one"]),
+        ("<div><svg><div>a</div><script>'</div>'</script>b</svg>one</div>", ["one"]),
+        ("<div><button>a<button>b</button>one</div>", ["one"]),
+        ("<div><svg/>one</div>", ["one"]),
+        ("<p>one</p><svg>never closed", ["one"]),
+        ("<div><script>a</div>" * 9000 + "one", ["one"]),
+    ],
+)
+def test_unclosed_and_nested_dropped_tags(page, want):
+    assert [b.text for b in html_text.blocks(page)] == want
+
+
+def test_linked_references_of_an_article_stay():
+    tree = html_text.grow_tree(*html_text.labelled_blocks())
+    item, text = "<li><a>" + "some words " * 4 + "</a></li>", "<p>" + "words of the text " * 10 + "</p>"
+    assert html_text.main_text(f"<article>{text}<ul>{item * 3}</ul></article>", tree).count("\n") == 3
+    assert "some" not in html_text.main_text(f"<article>{text}</article><nav><ul>{item * 3}</ul></nav>", tree)
+
+
 def brute_rules(text):
     import re
 

@@ -27,13 +27,16 @@ from utterlake.llm.common import small_batches, table
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-#: Tags whose content is never text.
-DROPPED = frozenset("script style noscript template head title svg math iframe object select textarea button option canvas audio video".split())
+#: Tags whose content is never text. A head holds these and empty tags only; what else stands in it, unclosed, is the page's.
+DROPPED = frozenset("script style noscript template title svg math iframe object select textarea button option canvas audio video".split())
+#: Of these, tags whose content isn't read as tags, and tags that hold others of their kind.
+RAW = frozenset("script style title iframe textarea".split())
+NESTED = frozenset("template svg math object canvas audio video".split())
 VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
 #: Tags that end a block.
 BLOCK = frozenset(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
+    "head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 #: Kinds of surroundings that a block's features name, by tag or by words in class, id or role.
 KINDS = {
@@ -56,13 +59,46 @@ class Block:
 
 
 def _kinds(tag: str, attributes: str, before: tuple[bool, ...]) -> tuple[bool, ...]:
-    if tag in ("body", "html"):
+    if tag in ("body", "html", "head"):
         return before
     named = " ".join(next(filter(None, m), "") for m in ATTRIBUTE.findall(attributes)) if attributes else ""
     own = tuple(tag in tags or bool(named and words.search(named)) for tags, words in KINDS.values())
     return tuple(a or b for a, b in zip(before, own, strict=True))
 
 
+def _after(html: str, tag: str, at: int, around: set[str], endless: set[str]) -> int:
+    """Where a dropped tag's content ends that begins at `at`: after its end tag, else before that of a tag around it.
+
+    endless collects the raw tags that no end tag follows any more.
+    """
+    if tag in RAW and tag not in endless:
+        if end := re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at):
+            return end.end()
+        endless.add(tag)
+    opened: dict[str, int] = {}
+    while m := TOKEN.search(html, at):
+        at = m.end()
+        if m[2] is None:
+            continue
+        name = m[2].lower()
+        if m[1]:
+            if opened.get(name):
+                opened[name] -= 1
+            elif name == tag:
+                return at
+            elif name in around:
+                return m.start()
+        elif name not in VOID and not m[3].rstrip().endswith("/"):
+            if name in RAW and name not in endless:
+                if end := re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at):
+                    at = end.end()
+                else:
+                    endless.add(name)
+            elif name != tag or tag in NESTED:
+                opened[name] = opened.get(name, 0) + 1
+    return len(html)
+
+
 def blocks(html: str | None) -> list[Block]:
     """The page's non-empty text blocks, in order."""
     html = html or ""
@@ -70,6 +106,7 @@ def blocks(html: str | None) -> list[Block]:
     stack: list[tuple[str, tuple[bool, ...]]] = [("", (False,) * len(KINDS))]
     parts: list[str] = []
     linked: list[str] = []
+    endless: set[str] = set()
     in_link, at = 0, 0
 
     def close() -> None:
@@ -99,9 +136,8 @@ def blocks(html: str | None) -> list[Block]:
                 in_link = max(0, in_link - sum(t == "a" for t, _ in stack[depth:]))
                 del stack[depth:]
         elif tag in DROPPED:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
             if not m[3].rstrip().endswith("/"):
-                at = end.end() if end else len(html)
+                at = _after(html, tag, at, {t for t, _ in stack}, endless)
         else:
             if tag in BLOCK:
                 close()
@@ -150,7 +186,7 @@ def labelled_pages() -> list[str]:
                 pages.append(f"{junk}<article>{more}{junk}{text}</article>{junk}")
         if n > 4:
             pages.append(f"<article><p>{_words(n, True, n // 4)}</p><p>{_words(n, True)}</p></article>")
-        pages.append(f"<article><p>{_words(30, True)}</p><ul>" + f"<li>{_words(n, False, n)}</li>" * 3 + "</ul></article>")
+        pages.append(f"<article><p>{_words(30, True)}</p><ul>" + f"<li>{_words(n, True, n)}</li>" * 3 + "</ul></article>")
         pages.append("<ul>" + f"<li>{_words(n, False, n)}</li>" * 4 + f"</ul><p>{_words(40, True)}</p><p>{_words(30, True)}</p>")
         pages.append(f"<p>{_words(40, True)}</p><p>{_words(n, True)}</p><p>{_words(30, True)}</p>")
         pages.append(f"<p>{_words(n, True)}</p>" * 3)
