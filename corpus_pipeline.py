@@ -3,8 +3,8 @@
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is written and
 read again as the next one's docs. All but the last return the columns of documents (others that docs has are kept).
 
-Defined cases: a null text counts as empty, and the quality rules reject it; of rows that repeat a kept doc_id one
-stays; rows without a doc_id stay where no kept document has their words; an empty table stays empty.
+Defined cases: a null text counts as empty, and the quality rules reject it; of rows that repeat a kept doc_id and its
+words one stays, different texts of one doc_id are different documents; rows without a doc_id stay where no kept document has their words; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -32,15 +32,15 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (operator 1): the one with the least doc_id."""
-    found = near_dup.near_duplicates(docs)
-    kept = stored(found.filter("kept").select("doc_id").distinct(), "kept")
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    grouped = found.filter("doc_id is null").groupBy().agg(F.count("*").alias("n")).first()["n"]
-    if not grouped:
-        return one
+    key = {"doc_id": "__id", "node": "__node"}
+    kept = stored(near_dup.NearDuplicates(docs).representatives().withColumnsRenamed(key), "kept")
     node = near_dup.node_column(F.col("text"))
-    named = stored(one.select(node.alias("__node")).distinct(), "nodes")
-    rest = docs.filter("doc_id is null").withColumn("__node", node).join(named, "__node", "left_anti").drop("__node")
+    named = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__node": F.coalesce(node, near_dup.node_column(F.lit("")))})
+    one = named.join(kept, ["__id", "__node"], "left_semi").dropDuplicates(["__id", "__node"]).drop("__id", "__node")
+    if docs.filter("doc_id is null").isEmpty():
+        return one
+    texts = stored(one.select(node.alias("__node")).distinct(), "nodes")
+    rest = docs.filter("doc_id is null").withColumn("__node", node).join(texts, "__node", "left_anti").drop("__node")
     return one.unionByName(rest)
 
 

@@ -336,6 +336,14 @@ def test_near_dup_stage_keeps_one(spark, sf):
     assert sorted(str(r.doc_id) for r in got) == ["1", "8", "9", "None"]
 
 
+def test_near_dup_stage_keeps_different_texts_of_one_id(spark, sf):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    rows = [(5, a), (5, b), (5, b + " more"), (3, c), (5, c), (5, ""), (5, None), (5, a.upper())]
+    got = corpus_pipeline.near_dup_stage(spark, docs(spark, rows), sf).collect()
+    said = sorted((r.doc_id, (r.text or "").lower().removesuffix(" more")) for r in got)
+    assert said == [(3, c), (5, ""), (5, a), (5, b)]
+
+
 def test_pii_stage_redacts(spark, sf):
     df = spark.createDataFrame([(1, "mail a@b.org, é 1.2.3.4", "en", "s", 99), (2, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted(corpus_pipeline.pii_stage(spark, df, sf).collect(), key=lambda r: r.doc_id)

@@ -336,10 +336,20 @@ class NearDuplicates:
 
         return stored(dealt.mapInPandas(compare, "a binary, b binary"), "block-links")
 
-    def result(self) -> DataFrame:
+    def named(self) -> DataFrame:
+        """node, rep, component of each node, stored."""
         found = components(self.links())
         named = self.nodes.select("node", "rep").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        named = stored(named, "named")
+        return stored(named, "named")
+
+    def representatives(self) -> DataFrame:
+        """doc_id, node of one text of each component that has ids, with its least id, and of each id's text without words."""
+        first = self.named().filter("rep is not null").groupBy("component").agg(F.min(F.struct("rep", "node")).alias("m"))
+        empty = self.sketched.filter("n_shingles = 0 and doc_id is not null").select("doc_id").distinct()
+        return first.select(F.col("m.rep").alias("doc_id"), "m.node").unionByName(empty.withColumn("node", node_column(F.lit(""))))
+
+    def result(self) -> DataFrame:
+        named = self.named()
         least = stored(named.groupBy("component").agg(F.min("rep").alias("component_id")), "least")
         by_node = stored(named.join(least, "component").select("node", "component_id"), "by_node")
         own = self.sketched.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
