@@ -187,6 +187,23 @@ def test_bounds_and_best_fit():
     assert packing.lower_bound(np.array([51] * 7), 100) == 7 and packing.lower_bound(np.array([34, 34, 34]), 100) == 2
 
 
+def test_bounds_steer_the_exchange(spark):
+    """Certified partitions give up their emptiest bin only, others their bins with gaps; no piece is lost."""
+    for lengths, certified in (([60] * 400, True), ([int(x) for x in np.random.default_rng(4).integers(20, 45, 600)], False)):
+        rows = [(i, 0, 0, n, i) for i, n in enumerate(lengths)]
+        pieces = spark.createDataFrame(rows, packing.PIECE).localCheckpoint()
+        got = packing.pack(pieces, 100, part_items=50).collect()
+        fill = {}
+        for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+            assert r.offset == fill.get(r.sequence_id, 0)
+            fill[r.sequence_id] = r.offset + r.length
+        assert sorted((r.doc_id, r.length) for r in got) == sorted((i, n) for i, n in enumerate(lengths)) and max(fill.values()) <= 100
+        bins, bound = packing.packed_bins(spark.createDataFrame(got, packing.PACKED.removesuffix(", open boolean")), 100)
+        assert len(fill) == bins >= bound >= sum(lengths) / 100
+        if certified:
+            assert bins == bound == 400 and sum(r.sequence_id < 1 << 56 for r in got) >= 400 - 8
+
+
 def test_quality_crf(spark):
     model = quality_crf.fit(labelled(spark), labels(spark))
     got = quality_crf.quality(docs(spark), model)

@@ -4,9 +4,10 @@
    remainder, all others are full. Full pieces are sequences of their own.
 2. The rest is dealt over partitions of about `part_items` pieces by a hash, and each partition is packed by
    best-fit decreasing. A lower bound from dual-feasible functions on its sizes certifies the number of its bins.
-3. A partition whose bins are all but full is done. One with gaps keeps its full bins and gives up the pieces of
-   the others, which meet the pieces that other partitions gave up in fewer, newly dealt partitions and are packed
-   again; the last round is the one in which everything left fits one partition, or `rounds` is reached.
+3. A partition with as many bins as its bound is done but for its last open bin. Any other keeps its full bins and
+   gives up the pieces of those with gaps. What partitions give up meets in fewer, newly dealt partitions and is
+   packed again, until all that is left fits one partition or a round has no fewer bins than the one before, whose
+   bins then stay. packed_bins() gives the number of all bins and the bound on all sizes.
 
 Each round is written to the shared folder, so that lost executors repeat one round at most; a task holds one
 partition's sizes and ids, never texts.
@@ -86,14 +87,14 @@ def best_fit_decreasing(sizes: np.ndarray, size: int) -> tuple[np.ndarray, np.nd
     return bins, offsets
 
 
-def lower_bound(sizes: np.ndarray, size: int) -> int:
-    """Bins that any packing needs, by two families of dual-feasible functions.
+def lower_bound(sizes: np.ndarray, size: int, counts: np.ndarray | None = None) -> int:
+    """Bins that any packing of `sizes` (each as often as its count) needs, by two families of dual-feasible functions.
 
     f maps sizes so that no full bin's items exceed 1 together; then no packing has fewer bins than the sum of f.
     """
     if not len(sizes):
         return 0
-    x, n = np.unique(sizes, return_counts=True)
+    x, n = np.unique(sizes, return_counts=True) if counts is None else (sizes, counts)
     best = math.ceil((x * n).sum() / size)
     for k in range(1, 21):  # u_k: round (k+1)x/C down unless it is whole
         up = (k + 1) * x
@@ -112,47 +113,65 @@ def _pack(size: int, gap: int, first_id: int):
         bins, offsets = best_fit_decreasing(sizes, size)
         fill = np.bincount(bins, sizes)
         part = int(group["part"].iloc[0])
+        bound = lower_bound(sizes, size)
+        gaps = size - fill >= gap
+        if len(fill) == bound:  # certified: only the emptiest bin may still go
+            gaps &= np.arange(len(fill)) == fill.argmin()
         return group.drop(columns="part").assign(
             sequence_id=first_id + (part << 24) + bins,
             offset=offsets,
             bins=len(fill),
-            bound=lower_bound(sizes, size),
-            open=(size - fill[bins]) >= gap,
+            bound=bound,
+            open=gaps[bins],
         )
 
     return pack
 
 
-def pack(pieces: DataFrame, size: int = 1024, part_items: int = 2000, gap: int = 3, rounds: int = 5) -> DataFrame:
+def pack(pieces: DataFrame, size: int = 1024, part_items: int = 2000, gap: int = 3) -> DataFrame:
     """PIECE's columns with sequence_id and offset, and the last partition's number of bins and its bound.
 
-    pieces must be stored (it is read once per round). gap: a bin with this much room or more is given up while
-    rounds are left. Full pieces have bins and bound 1.
+    pieces must be stored (it is read once per round). gap: the room from which a bin of a partition that isn't
+    certified is given up. Full pieces have bins and bound 1.
     """
     full = pieces.filter(F.col("length") == size).select(
         "*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
         F.lit(1).alias("bins"), F.lit(1).alias("bound"),
     )
     left, done = pieces.filter(F.col("length") < size), [full]
-    for k in range(rounds):
+    given, before = None, None  # the bins given up last, and their number
+    for k in range(127):  # ids have room for as many
         n = left.count()
         if not n:
             break
         parts = -(-n // part_items)
-        last = parts == 1 or k == rounds - 1
         dealt = left.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(k)), F.lit(parts)))
         out = stored(dealt.groupBy("part").applyInPandas(_pack(size, gap, k << 56), PACKED), "packed")
-        keep = out if last else out.filter(~F.col("open"))
-        done.append(keep.drop("open"))
-        if last:
+        first = F.col("offset") == 0
+        bins, opened = out.agg(F.count_if(first), F.count_if(first & F.col("open"))).first()
+        if given is not None and bins >= before:
             break
-        left = out.filter("open").select("doc_id", "piece", "start", "length", "ids_crc32")
+        if parts == 1:
+            given = out.drop("open")
+            break
+        done.append(out.filter(~F.col("open")).drop("open"))
+        given, before = out.filter("open").drop("open"), opened
+        left = given.select("doc_id", "piece", "start", "length", "ids_crc32")
+    if given is not None:
+        done.append(given)
     result = done[0]
     for d in done[1:]:
         result = result.unionByName(d)
     return result
 
 
+def packed_bins(packed: DataFrame, size: int = 1024) -> tuple[int, int]:
+    """The number of sequences and a lower bound on it from all sizes."""
+    rows = packed.groupBy("length").agg(F.count("*").alias("n"), F.count_if(F.col("offset") == 0).alias("bins")).collect()
+    rows.sort(key=lambda r: r["length"])
+    return sum(r.bins for r in rows), lower_bound(np.array([r["length"] for r in rows]), size, np.array([r.n for r in rows]))
+
+
 def best_fit_packing(docs: DataFrame, ranks_path: str | None = None, size: int = 1024) -> DataFrame:
     return pack(stored(token_pieces(docs, ranks_path, size), "pieces"), size)
 
