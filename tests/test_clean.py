@@ -3,7 +3,8 @@
 import pytest
 
 from utterlake.functions import text as T
-from utterlake.operators import clean, intervals
+from utterlake.jobs import queries
+from utterlake.operators import audio, clean, intervals
 from utterlake.sources.derived import WORD
 
 SEGMENT = f"recording_id long, seq long, start double, end double, text string, avg_logprob double, no_speech_prob double, speaker string, is_placeholder boolean, words array<{WORD}>"
@@ -107,3 +108,17 @@ def test_pass2_log_and_counts(spark):
     merged = spark.createDataFrame([(1, True), (1, None), (1, False), (3, True)], "recording_id long, is_placeholder boolean")
     counts = clean.pass2_counts(log, merged, merged.union(merged))
     assert sorted(map(tuple, counts.collect())) == [(1, 1, 3, 1, 1, 3, 6), (3, 0, 0, 0, 1, 1, 2)]
+
+
+def test_gaps_with_and_without_speech(spark):
+    c = segments(spark, [(10, 12, "a"), (20, 22, "b"), (40, 42, "c")])
+    recordings = spark.createDataFrame([(1, 60.0)], "recording_id long, duration double")
+    ranges = clean.gap_ranges(c, recordings)
+    found = [(0.0, 10.0), (12.0, 20.0), (22.0, 40.0), (42.0, 60.0)]
+    assert sorted((r.start, r.end) for r in ranges.collect()) == found
+    x = [0.5 if 14 <= t / 16 < 18 or t / 16 >= 50 else 0.0 for t in range(960)]
+    chunks = spark.createDataFrame([(1, k, 64 * k, x[64 * k : 64 * k + 64]) for k in range(15)], "recording_id long, chunk_idx long, sample_offset long, samples array<double>")
+    speech = audio.speech_in_range(ranges, chunks, sr=16)
+    assert [(r.start, r.end) for r in clean.segment_gaps(c, speech).collect()] == found[1:2]
+    assert [(r.start, r.end, r.reason) for r in clean.edge_gaps(c, recordings, speech).collect()] == [(*found[3], "missing_end")]
+    assert {"heard_zones", "heard_zones_whole"} <= set(queries.ORACLES)

@@ -303,6 +303,30 @@ def speech_in_range(spark, d):
     return audio.speech_in_range(_ranges(spark, d), D.audio_chunks(spark, d), sr=16)
 
 
+HEARD = """late AS (SELECT recording_id, z AS "start", duration AS "end", 'missing_end' AS reason
+       FROM (SELECT recording_id, arg_max("end", seq) AS z FROM clean GROUP BY recording_id) JOIN recordings USING (recording_id) WHERE duration - z > 3.0 AND duration - z < 120.0),
+asked AS (SELECT recording_id, "start", "end" FROM gaps WHERE reason = 'large_gap_with_speech' UNION SELECT recording_id, "start", "end" FROM edges
+          UNION SELECT recording_id, "start", "end" FROM late),
+loud AS (SELECT r.recording_id, r."start", r."end" FROM asked r JOIN audio a ON a.recording_id = r.recording_id AND a.pos >= floor(r."start" * 16) AND a.pos < floor(r."end" * 16)
+         GROUP BY ALL HAVING count(*) >= 4 AND sqrt(avg(x * x)) >= 0.003 AND avg(CASE WHEN abs(x) > 0.01 THEN 1.0 ELSE 0.0 END) > 0.05),
+heard AS (SELECT * FROM every WHERE k = 0 OR reason = 'chunk_boundary'
+          UNION ALL SELECT e.* FROM every e SEMI JOIN loud USING (recording_id, "start", "end") WHERE e.k > 0 AND e.reason <> 'chunk_boundary'
+          UNION ALL SELECT recording_id, 3, 0, "start", "end", reason FROM late SEMI JOIN loud USING (recording_id, "start", "end")),
+reached2 AS (SELECT *, max("end") OVER (PARTITION BY recording_id ORDER BY "start", k, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM heard),
+islands2 AS (SELECT *, sum(CASE WHEN "start" <= reach + 1.0 THEN 0 ELSE 1 END) OVER (PARTITION BY recording_id ORDER BY "start", k, seq) - 1 AS zone_id FROM reached2)"""
+
+
+@query(HEARD + f""", q AS (SELECT recording_id, CAST(zone_id AS BIGINT) AS zone_id, {MS.format('min("start")')} AS start_ms, {MS.format('max("end")')} AS end_ms,
+       string_agg(reason, '+' ORDER BY "start", k, seq) AS reason FROM islands2 GROUP BY recording_id, zone_id) SELECT * FROM q""")
+def heard_zones(spark, d, segments=_as_sql):
+    """problem_zones with the recordings' audio: long gaps and edges count where there is speech."""
+    s, recordings = segments(spark, d), D.recordings(spark, d)
+    ranges = clean.gap_ranges(clean.detect_problem_zones(s)[0], recordings)
+    speech = audio.speech_in_range(ranges, D.audio_chunks(spark, d), sr=16)
+    zones = clean.detect_problem_zones(s, recordings=recordings, speech=speech)[1]
+    return zones.select("recording_id", "zone_id", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "reason")
+
+
 @query("""q AS (SELECT recording_id, round(sqrt(avg(x * x)), 9) AS rms, max(abs(x)) AS peak, count(*) / 16 AS duration FROM audio GROUP BY recording_id) SELECT * FROM q""")
 def signal_stats(spark, d):
     return audio.signal_stats(D.audio_chunks(spark, d), 16).withColumn("rms", F.round("rms", 9))
@@ -412,7 +436,7 @@ def near_duplicate_texts(spark, d):
 
 #: Queries that read words: NAME_whole is the same over every word of every line, and its SQL the same without the cut.
 WHOLE = (
-    "segment_flags", "response_words", "segment_gaps", "problem_zones", "pass2_windows", "placeholder_segments", "pass2_log", "pass2_counts",
+    "segment_flags", "response_words", "segment_gaps", "problem_zones", "heard_zones", "pass2_windows", "placeholder_segments", "pass2_log", "pass2_counts",
     "assign_word_speakers", "words_hit_by_ranges", "merge_pass2",
 )
 for _name in WHOLE:

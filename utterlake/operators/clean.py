@@ -92,15 +92,29 @@ def segment_gaps(clean: DataFrame, speech: DataFrame | None = None) -> DataFrame
     return g.select("recording_id", F.col("seq").alias("ord_seq"), (F.col("a") - pad).alias("start"), (F.col("b") + pad).alias("end"), "reason")
 
 
-def edge_gaps(clean: DataFrame, recordings: DataFrame | None = None, speech: DataFrame | None = None) -> DataFrame:
-    """Zones at a recording's start, and (with recordings and speech) at its end."""
+def gap_ranges(clean: DataFrame, recordings: DataFrame) -> DataFrame:
+    """recording_id, start, end of the gaps for which segment_gaps() and edge_gaps() want to know whether they have speech."""
+    long = segment_gaps(clean).filter("reason = 'large_gap_with_speech'")
+    cols = ["recording_id", "start", "end"]
+    return long.select(*cols).unionByName(_edges(clean, recordings).select(*cols)).distinct()
+
+
+def _edges(clean: DataFrame, recordings: DataFrame | None) -> DataFrame:
+    """Zones at a recording's start, and (with recordings) at its end."""
     e = clean.groupBy("recording_id").agg(F.min_by("start", "seq").alias("first"), F.max_by("end", "seq").alias("last"))
     zero = F.lit(0.0)
     out = e.filter("first > 3.0 and first < 120.0").select("recording_id", zero.alias("start"), F.col("first").alias("end"), F.lit("missing_start").alias("reason"))
-    if speech is not None:
+    if recordings is not None:
         r = e.join(recordings.select("recording_id", "duration"), "recording_id")
         late = r.filter("duration - last > 3.0 and duration - last < 120.0")
         out = out.unionByName(late.select("recording_id", F.col("last").alias("start"), F.col("duration").alias("end"), F.lit("missing_end").alias("reason")))
+    return out
+
+
+def edge_gaps(clean: DataFrame, recordings: DataFrame | None = None, speech: DataFrame | None = None) -> DataFrame:
+    """Zones at a recording's start, and (with recordings and speech) at its end."""
+    out = _edges(clean, recordings if speech is not None else None)
+    if speech is not None:
         out = out.join(speech.filter("has_speech").select("recording_id", "start", "end").distinct(), ["recording_id", "start", "end"], "left_semi")
     return out
 
