@@ -42,17 +42,57 @@ def test_listing(spark, tmp_path):
     assert (got.path, got.name, got["size"]) == (f"{tmp_path}/d/a.mp4", "a.mp4", 3)
 
 
+def ingest(spark, tmp_path, checkpoint="ckpt"):
+    job = lambda s: s.filter("text <> 'noise'").select("recording_id", "seq", "text")
+    incremental_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ledger", f"{tmp_path}/{checkpoint}", job).awaitTermination()
+    return sorted(r.text for r in spark.read.parquet(f"{tmp_path}/out").collect())
+
+
 def test_ingest_takes_each_file_once(spark, tmp_path):
-    def run():
-        q = incremental_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ledger", f"{tmp_path}/ckpt", lambda s: s.select("recording_id", "seq", "text"))
-        q.awaitTermination()
-        return sorted(r.text for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    stage_file(tmp_path / "in" / "a.json", ["x"])
+    assert ingest(spark, tmp_path) == ["x"]
+    assert ingest(spark, tmp_path) == ["x"]
+    stage_file(tmp_path / "in" / "b.json", ["y"])
+    assert ingest(spark, tmp_path) == ["x", "y"]
+
 
+def test_replayed_batch_writes_the_same_rows(spark, tmp_path):
     stage_file(tmp_path / "in" / "a.json", ["x"])
-    assert run() == ["x"]
-    assert run() == ["x"]
+    assert ingest(spark, tmp_path) == ["x"]
+    for f in (tmp_path / "ckpt" / "commits").iterdir():  # as if the run had been lost after the ledger, before the commit
+        if f.name.strip(".").split(".")[0] == "0":
+            f.unlink()
+    assert ingest(spark, tmp_path) == ["x"]
+    assert ingest(spark, tmp_path) == ["x"]
+    assert files.read_ledger(spark, f"{tmp_path}/ledger").count() == 1
+
+
+def test_new_checkpoint_keeps_what_is_done(spark, tmp_path):
+    stage_file(tmp_path / "in" / "a.json", ["x"])
+    assert ingest(spark, tmp_path) == ["x"]
     stage_file(tmp_path / "in" / "b.json", ["y"])
-    assert run() == ["x", "y"]
+    assert ingest(spark, tmp_path, "other") == ["x", "y"]
+
+
+def test_files_without_rows_enter_the_ledger(spark, tmp_path):
+    stage_file(tmp_path / "in" / "a.json", ["x"])
+    stage_file(tmp_path / "in" / "empty.json", [])
+    stage_file(tmp_path / "in" / "noise.json", ["noise"])
+    (tmp_path / "in" / "bad.json").write_text("{not json")
+    assert ingest(spark, tmp_path) == ["x"]
+    names = sorted(r.key.rsplit("/", 1)[1] for r in files.read_ledger(spark, f"{tmp_path}/ledger").collect())
+    assert names == ["a.json", "empty.json", "noise.json"]
+
+
+def test_transcripts_and_audio(spark, tmp_path):
+    lines = spark.createDataFrame([(1, 1, "A:"), (1, 0, "rec1.mp4"), (1, 2, "00:00:01 - x"), (2, 0, "rec2.mp4")], "recording_id long, line_no long, line string")
+    files.write_transcript(lines, f"{tmp_path}/t", 4)
+    got = {r.recording_id: r.text for r in spark.read.parquet(f"{tmp_path}/t").collect()}
+    assert got == {1: "rec1.mp4\nA:\n00:00:01 - x", 2: "rec2.mp4"}
+    chunks = [(1, 0, 0, [0.5] * 16000), (1, 1, 16000, [0.5] * 8000), (2, 0, 0, [0.1])]
+    spark.createDataFrame(chunks, "recording_id long, chunk_idx long, sample_offset long, samples array<float>").write.parquet(f"{tmp_path}/a")
+    long = {r.recording_id: r.duration for r in files.audio_durations(files.read_audio_chunks(spark, f"{tmp_path}/a")).collect()}
+    assert long == {1: 1.5, 2: 1 / 16000}
 
 
 def test_unique_names(spark):

@@ -50,20 +50,25 @@ def list_media_files(spark: SparkSession, root: str) -> DataFrame:
     return found.select(path.alias("path"), F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"))
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The distinct keys of finished files; a missing ledger is empty."""
+def read_ledger(spark: SparkSession, path: str, but: str | None = None) -> DataFrame:
+    """The distinct keys of finished files, without those that only the batch `but` has entered; a missing ledger is empty."""
     try:
-        return spark.read.schema("key string").parquet(path).distinct()
-    except AnalysisException:
-        return spark.range(0).select(F.lit("").alias("key"))
-
-
-def append_ledger(done: DataFrame, path: str) -> None:
-    """Add the paths of finished files, and the archives they came from (column from_zip, if there)."""
+        entries = spark.read.schema("key string, batch string").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "key string")
+    if but is not None:
+        entries = entries.filter(~F.col("batch").eqNullSafe(F.lit(but)))
+    return entries.select("key").distinct()
+
+
+def append_ledger(done: DataFrame, path: str, batch: str | None = None) -> None:
+    """Add the paths of finished files, and the archives they came from (column from_zip, if there), as entered by `batch`."""
     keys = done.select(F.col("path").alias("key"))
     if "from_zip" in done.columns:
         keys = keys.unionByName(done.filter("from_zip is not null").select(F.col("from_zip").alias("key")).distinct())
-    keys.write.mode("append").parquet(path)
+    keys.withColumn("batch", F.lit(batch).cast("string")).write.mode("append").parquet(path)
 
 
 def write_transcript(lines: DataFrame, path: str, buckets: int = 256) -> None:

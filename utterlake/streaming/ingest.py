@@ -15,10 +15,12 @@ from utterlake.sources.files import ARRAYS, DEFAULTS, append_ledger, read_ledger
 def incremental_ingest(
     spark: SparkSession, in_dir: str, out_dir: str, ledger: str, checkpoint: str, job: Callable[[DataFrame], DataFrame], stage: int = 2
 ) -> StreamingQuery:
-    """Take new stage files from in_dir, run `job` on their segments, append to out_dir, and enter them in the ledger.
+    """Take new stage files from in_dir, run `job` on their segments, write to out_dir, and enter the files in the ledger.
 
-    The stream's checkpoint finds each file once. A batch that is replayed overwrites its own folder (out_dir/batch=n),
-    and files that an earlier run has finished are dropped by the ledger.
+    The stream's checkpoint finds each file once; files that another run has finished are dropped by the ledger. A batch
+    writes out_dir/query=ID/batch=N, where ID is the checkpoint's own, and enters its files under that name afterwards. When a
+    batch is replayed (a crash before its commit), its own entries don't count, so that it writes the same rows to the same
+    folder again. All readable files of a batch are entered, also those of which the job leaves no row; corrupt ones aren't.
     """
     raw = (
         spark.readStream.schema(stage_schema(stage)).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(in_dir)
@@ -27,12 +29,11 @@ def incremental_ingest(
 
     def batch(df: DataFrame, number: int) -> None:
         own = df.sparkSession
-        done = read_ledger(own, ledger)
-        earlier = pending_files(df.filter("_corrupt is null"), done)
-        out = f"{out_dir}/batch={number}"
-        rows = earlier.select(F.col("path").alias("recording_id"), F.posexplode(ARRAYS[stage]).alias("seq", "s"))
+        name = f"query={own.sparkContext.getLocalProperty('sql.streaming.queryId')}/batch={number}"
+        fresh = pending_files(df.filter("_corrupt is null"), read_ledger(own, ledger, but=name))
+        rows = fresh.select(F.col("path").alias("recording_id"), F.posexplode(ARRAYS[stage]).alias("seq", "s"))
         rows = rows.select("recording_id", F.col("seq").cast("long").alias("seq"), "s.*").fillna(DEFAULTS)
-        job(rows).write.mode("overwrite").parquet(out)
-        append_ledger(own.read.parquet(out).select(F.col("recording_id").alias("path")).distinct(), ledger)
+        job(rows).write.mode("overwrite").parquet(f"{out_dir}/{name}")
+        append_ledger(fresh.select("path").distinct(), ledger, name)
 
     return raw.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
