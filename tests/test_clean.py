@@ -3,7 +3,6 @@
 import pytest
 
 from utterlake.functions import text as T
-from utterlake.jobs import queries
 from utterlake.operators import audio, clean, intervals
 from utterlake.sources.derived import WORD
 
@@ -121,4 +120,27 @@ def test_gaps_with_and_without_speech(spark):
     speech = audio.speech_in_range(ranges, chunks, sr=16)
     assert [(r.start, r.end) for r in clean.segment_gaps(c, speech).collect()] == found[1:2]
     assert [(r.start, r.end, r.reason) for r in clean.edge_gaps(c, recordings, speech).collect()] == [(*found[3], "missing_end")]
-    assert {"heard_zones", "heard_zones_whole"} <= set(queries.ORACLES)
+
+
+def test_chunks_of_any_size(spark):
+    """A second of sound in a minute of silence, in chunks of 16,000 samples and in uneven ones."""
+    ranges = spark.createDataFrame([(1, 0.0, 5.0), (1, 9.5, 20.0), (1, 30.0, 60.0), (2, 0.0, 5.0)], "recording_id long, start double, end double")
+    x = [0.4 if 10 <= t / 1000 < 11 else 0.0 for t in range(60000)]
+    for sizes in ([16000] * 4, [1, 15000, 7000, 38000]):
+        at = [sum(sizes[:i]) for i in range(len(sizes))]
+        rows = [(1, i, a, x[a : a + n]) for i, (a, n) in enumerate(zip(at, sizes, strict=True))]
+        chunks = spark.createDataFrame(rows, "recording_id long, chunk_idx long, sample_offset long, samples array<double>")
+        for grid in (None, 7000):
+            got = audio.speech_in_range(ranges, chunks, sr=1000, grid=grid).collect()
+            assert sorted((r.recording_id, r.start, r.has_speech) for r in got) == [(1, 0.0, False), (1, 9.5, True), (1, 30.0, False), (2, 0.0, False)]
+
+
+def test_guarded_alternation_finds_what_the_patterns_find(spark):
+    texts = ["Спасибо за внимание!", "и СПАСИБО ЗА ПРОСМОТР", "dimatorzok", "они решают", "[Смех]", "смех", "♪ la", "a ♪", "- - -", "урок идёт", "Онлайн урок с репетитором", "x" * 50]
+    plain = "(?iuUd)" + "|".join(f"(?:{p})" for p in T.HALLUCINATIONS)
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert all(r.a == r.b for r in df.selectExpr("t").select(df.t.rlike(plain).alias("a"), df.t.rlike(T.any_of(T.HALLUCINATIONS)).alias("b")).collect())
+    odd = ("x?abc", "a|zz", "[^a]q", "(b|c)d", r"\d+e")
+    plain = "(?iuUd)" + "|".join(f"(?:{p})" for p in odd)
+    df = spark.createDataFrame([(t,) for t in ("bc abc", "zz", "1e", "BD", "q", "aq", "")], "t string")
+    assert all(r.a == r.b for r in df.select(df.t.rlike(plain).alias("a"), df.t.rlike(T.any_of(odd)).alias("b")).collect())

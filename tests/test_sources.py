@@ -113,9 +113,8 @@ def test_every_word_of_a_line(spark, tmp_path):
     text = " ".join(f"w{i}" for i in range(150))
     spark.createDataFrame([(8, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert derived.segments(spark, str(tmp_path)).selectExpr("size(words) n").first().n == 150
-    for name in ("response_words_whole", "assign_word_speakers_whole", "words_hit_by_ranges_whole", "smooth_word_speakers"):
+    for name in ("response_words", "assign_word_speakers", "words_hit_by_ranges", "smooth_word_speakers"):
         assert queries.QUERIES[name](spark, str(tmp_path)).count() == 150
     for name in ("split_by_speaker", "speaker_pipeline"):
         said = [r.text for r in queries.QUERIES[name](spark, str(tmp_path)).orderBy("seq").collect()]
         assert " ".join(said).split() == text.split()
-    assert all(f"{n}_whole" in queries.ORACLES and "i < 60" not in queries.ORACLES[f"{n}_whole"] for n in queries.WHOLE)

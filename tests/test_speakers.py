@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from utterlake.functions import text as T
 from utterlake.operators import report, speakers
 from utterlake.sources.derived import WORD
 
@@ -63,6 +64,10 @@ def test_short_segment(spark):
     assert [x.speaker for x in got] == ["A", "A", "A"]
 
 
+def answers(text):
+    return text.lower().rstrip(".,!?") in T.RESPONSES
+
+
 def whole(rows, min_dur=0.7, max_gap=0.45):
     """All passes over a whole recording."""
     who = [r[3] for r in rows]
@@ -70,7 +75,7 @@ def whole(rows, min_dur=0.7, max_gap=0.45):
         changed = False
         for i, (a, b, text, *_rest) in enumerate(rows):
             n = len(text.split())
-            if b - a >= min_dur and n > 2 or n <= 2 and speakers.answers(text.split()[0] if n else ""):
+            if b - a >= min_dur and n > 2 or n <= 2 and answers(text.split()[0] if n else ""):
                 continue
             if 0 < i < len(rows) - 1 and who[i - 1] and who[i - 1] == who[i + 1] != who[i]:
                 if a - rows[i - 1][1] <= max_gap or rows[i + 1][0] - b <= max_gap:
@@ -120,3 +125,12 @@ def test_overlap_ties_take_the_smaller_name(spark):
     turns = spark.createDataFrame([(1, 0.0, 1.0, "B"), (1, 1.0, 2.0, "A")], "recording_id long, start double, end double, speaker string")
     got = speakers.assign_speakers(frame(spark, [(0.0, 2.0, "w", None, False, w)]), turns).first()
     assert got.speaker == "A" and got.words[0].speaker == "A"
+
+
+def test_placeholders_keep_their_place(spark):
+    w = words(("вот", "A", 0), ("оно", "A", 0.1))
+    rows = [(0.0, 1.2, "вот оно что тут", None, False, w), (1.2, 3.0, "[неразборчиво — 1.8с]", "UNKNOWN", True, []), (3.0, 3.2, "дом", None, False, [("дом", 3.0, 3.2, 0.9, None)])]
+    turns = spark.createDataFrame([(1, 0.0, 2.0, "A"), (1, 2.5, 4.0, "B")], "recording_id long, start double, end double, speaker string")
+    got = speakers.speaker_pipeline(frame(spark, rows), turns).orderBy("seq").collect()
+    assert [(r.seq, r.speaker, bool(r.is_placeholder)) for r in got] == [(0, "A", False), (1, "UNKNOWN", True), (2, "B", False)]
+    assert speakers.speaker_count(spark.createDataFrame(got, SEGMENT)).first().n_speakers == 2

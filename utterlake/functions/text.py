@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,15 +51,37 @@ RESPONSES = (
 )
 
 
+#: Unicode White_Space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE))
+
+
+def _beginning(pattern: str) -> str | None:
+    """The characters one of which a match begins with, as far as the pattern shows them plainly."""
+    if pattern[0] == "[" and "]" in pattern and "\\" not in pattern.split("]")[0] and "^" not in pattern.split("]")[0]:
+        return pattern[1 : pattern.index("]")] if pattern.split("]")[1][:1] not in ("?", "*", "{") else None
+    return pattern[0] if pattern[0].isalpha() and pattern[1:2] not in ("?", "*", "{", "|") else None
+
+
+def any_of(patterns) -> str:
+    """One alternation of the patterns. Those that can begin with few characters only are tried just there."""
+    begins = {p: None if "|" in re.sub(r"\([^()]*\)", "", p) else _beginning(p) for p in patterns}
+    plain = [p for p in patterns if begins[p]]
+    parts = [f"(?:{p})" for p in patterns if not begins[p]]
+    if plain:
+        letters = "".join(sorted(set("".join(begins[p] for p in plain))))
+        parts.append(f"(?=[{letters}])(?:" + "|".join(f"(?:{p})" for p in plain) + ")")
+    return "(?iuUd)" + "|".join(parts)
 
 
 def is_hallucination(text: Column, patterns=HALLUCINATIONS) -> Column:
     """Blank, or one of the patterns is found (Unicode, case-insensitive)."""
     t = strip(F.coalesce(text, F.lit("")))
-    return (t == "") | t.rlike("(?iuUd)" + "|".join(f"(?:{p})" for p in patterns))
+    return (t == "") | t.rlike(any_of(patterns))
 
 
 def hallucination_reason(text: Column, avg_logprob: Column, no_speech_prob: Column) -> Column:
@@ -85,7 +109,7 @@ def low_confidence_flag(avg_logprob: Column, words: Column, threshold: float = 0
 
 def is_response_word(word: Column, before: Column | None = None) -> Column:
     """One of the answers (without ending .,!?), or the word before ends a question."""
-    clean = F.regexp_replace(F.lower(strip(F.coalesce(word, F.lit("")))), r"[.,!?]+$", "")
+    clean = F.rtrim(F.lower(strip(F.coalesce(word, F.lit("")))), F.lit(".,!?"))
     own = clean.isin(*RESPONSES)
     return own if before is None else own | F.coalesce(F.endswith(strip(before), F.lit("?")), F.lit(False))
 

@@ -9,12 +9,14 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from utterlake.operators.clean import detect_problem_zones
+from utterlake.operators.clean import detect_problem_zones, verdicts
 from utterlake.sources.files import read_stage_json, write_stage
 
 
 def run(spark: SparkSession, source: str, out: str, version: str = "11") -> None:
-    clean, zones, removed = detect_problem_zones(read_stage_json(spark, source, 2).drop("version"))
+    segments = read_stage_json(spark, source, 2).drop("version")
+    verdicts(segments).write.mode("overwrite").parquet(f"{out}/verdicts")  # all three results read it
+    clean, zones, removed = detect_problem_zones(segments, told=spark.read.parquet(f"{out}/verdicts"))
     write_stage(clean, f"{out}/segments", 3, version)
     zones.write.mode("overwrite").parquet(f"{out}/zones")
     removed.write.mode("overwrite").parquet(f"{out}/removed")

@@ -69,6 +69,8 @@ islands AS (SELECT *, sum(CASE WHEN "start" <= reach + 1.0 THEN 0 ELSE 1 END) OV
 zones AS (SELECT recording_id, CAST(zone_id AS BIGINT) AS zone_id, min("start") AS "start", max("end") AS "end", string_agg(reason, '+' ORDER BY "start", k, seq) AS reason
           FROM islands GROUP BY ALL)
 """
+#: One decimal place of the shortest decimal form, halves away from zero.
+ONE_PLACE = "CAST(CAST(CAST(CAST({} AS VARCHAR) AS DECIMAL(30, 17)) AS DECIMAL(30, 1)) AS VARCHAR)"
 #: Milliseconds as whole numbers: differences of times have no exact decimal form.
 MS = "CAST(round(({}) * 1000) AS BIGINT)"
 
@@ -77,29 +79,24 @@ def ms(c) -> F.Column:
     return F.round((F.col(c) if isinstance(c, str) else c) * 1000).cast("long")
 
 
-def _as_sql(spark, d) -> DataFrame:
-    """Segments with the words that D.SQL has: it stops at a line's word 60. The queries named in WHOLE take all words."""
-    return D.segments(spark, d, most=60)
+def _clean(spark, d) -> DataFrame:
+    return clean.detect_problem_zones(D.segments(spark, d))[0]
 
 
-def _clean(spark, d, segments=D.segments) -> DataFrame:
-    return clean.detect_problem_zones(segments(spark, d))[0]
-
-
-def _zones(spark, d, segments) -> DataFrame:
-    return clean.detect_problem_zones(segments(spark, d))[1]
+def _zones(spark, d) -> DataFrame:
+    return clean.detect_problem_zones(D.segments(spark, d))[1]
 
 
 @query("""q AS (SELECT recording_id, seq, hallucination, short, low FROM flagged JOIN low USING (recording_id, seq)) SELECT * FROM q""")
-def segment_flags(spark, d, segments=_as_sql):
-    s = clean.flag(segments(spark, d))
+def segment_flags(spark, d):
+    s = clean.flag(D.segments(spark, d))
     return s.select("recording_id", "seq", "hallucination", "short", T.low_confidence_flag(F.col("avg_logprob"), F.col("words")).alias("low"))
 
 
 @query("""q AS (SELECT recording_id, seq, word_idx, coalesce(regexp_replace(lower(trim(word)), '[.,!?]+$', '') IN (""" + ", ".join(f"'{w}'" for w in T.RESPONSES) + """), false)
        OR coalesce(lag(word) OVER (PARTITION BY recording_id, seq ORDER BY word_idx) LIKE '%?', false) AS answers FROM words) SELECT * FROM q""")
-def response_words(spark, d, segments=_as_sql):
-    w = intervals.explode_words(segments(spark, d))
+def response_words(spark, d):
+    w = intervals.explode_words(D.segments(spark, d))
     before = F.lag("word").over(F_window("recording_id", "seq", order="word_idx"))
     return w.withColumn("before", before).select("recording_id", "seq", "word_idx", T.is_response_word(F.col("word"), F.col("before")).alias("answers"))
 
@@ -116,16 +113,17 @@ def suppress_repeats(spark, d):
     return clean.suppress_repeats(s).select("recording_id", "seq", "is_repeat")
 
 
-@query("""q AS (SELECT recording_id, reason, count(*) AS n FROM (SELECT recording_id, CASE WHEN hallucination IS NOT NULL THEN 'hallucination'
-       WHEN short THEN 'too_short' WHEN is_repeat THEN 'duplicate' END AS reason FROM flagged LEFT JOIN folded USING (recording_id, seq)) WHERE reason IS NOT NULL GROUP BY ALL)
-       SELECT * FROM q""")
+@query("""r AS (SELECT recording_id, reason, count(*) AS n FROM (SELECT recording_id, CASE WHEN hallucination IS NOT NULL THEN 'hallucination'
+       WHEN short THEN 'too_short' WHEN is_repeat THEN 'duplicate' END AS reason FROM flagged LEFT JOIN folded USING (recording_id, seq)) WHERE reason IS NOT NULL GROUP BY ALL),
+       q AS (SELECT *, CAST(sum(n) OVER (PARTITION BY recording_id) AS BIGINT) AS n_removed FROM r JOIN (SELECT recording_id, count(*) AS n_raw FROM segments GROUP BY ALL) USING (recording_id)) SELECT * FROM q""")
 def removal_counts(spark, d):
-    return clean.removal_counts(clean.detect_problem_zones(D.segments(spark, d))[2])
+    s = D.segments(spark, d)
+    return clean.removal_counts(clean.detect_problem_zones(s)[2], s)
 
 
 @query(f"""q AS (SELECT recording_id, ord_seq, {MS.format('"start"')} AS start_ms, {MS.format('"end"')} AS end_ms, reason FROM gaps) SELECT * FROM q""")
-def segment_gaps(spark, d, segments=_as_sql):
-    return clean.segment_gaps(_clean(spark, d, segments)).select("recording_id", "ord_seq", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "reason")
+def segment_gaps(spark, d):
+    return clean.segment_gaps(_clean(spark, d)).select("recording_id", "ord_seq", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "reason")
 
 
 @query(f"""q AS (SELECT recording_id, {MS.format('"end"')} AS end_ms, reason FROM edges) SELECT * FROM q""")
@@ -134,32 +132,34 @@ def edge_gaps(spark, d):
 
 
 @query(f"""q AS (SELECT recording_id, zone_id, {MS.format('"start"')} AS start_ms, {MS.format('"end"')} AS end_ms, reason FROM zones) SELECT * FROM q""")
-def problem_zones(spark, d, segments=_as_sql):
-    return _zones(spark, d, segments).select("recording_id", "zone_id", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "reason")
+def problem_zones(spark, d):
+    return _zones(spark, d).select("recording_id", "zone_id", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "reason")
 
 
 @query(f"""w AS (SELECT recording_id, zone_id, greatest(0.0, "start" - 4.0) AS a, least(duration, "end" + 4.0) AS b FROM zones JOIN recordings USING (recording_id)),
-q AS (SELECT recording_id, zone_id, {MS.format("a")} AS start_ms, {MS.format("b")} AS end_ms FROM w WHERE b - a >= 0.3) SELECT * FROM q""")
-def pass2_windows(spark, d, segments=_as_sql):
-    w = clean.plan_pass2_windows(_zones(spark, d, segments), D.recordings(spark, d))
-    return w.select("recording_id", "zone_id", ms("w_start").alias("start_ms"), ms("w_end").alias("end_ms"))
+q AS (SELECT recording_id, zone_id, {MS.format("a")} AS start_ms, {MS.format("b")} AS end_ms, CAST(floor(a * 16000) AS BIGINT) AS first_sample, CAST(floor(b * 16000) AS BIGINT) AS last_sample
+      FROM w WHERE b - a >= 0.3) SELECT * FROM q""")
+def pass2_windows(spark, d):
+    w = clean.plan_pass2_windows(_zones(spark, d), D.recordings(spark, d))
+    return w.select("recording_id", "zone_id", ms("w_start").alias("start_ms"), ms("w_end").alias("end_ms"), "first_sample", "last_sample")
 
 
-@query("""q AS (SELECT recording_id, zone_id, 'UNKNOWN' AS speaker, true AS is_placeholder, round("start", 3) AS "start", round("end", 3) AS "end" FROM zones) SELECT * FROM q""")
-def placeholder_segments(spark, d, segments=_as_sql):
-    return clean.placeholder_segments(_zones(spark, d, segments)).select("recording_id", "zone_id", "speaker", "is_placeholder", "start", "end")
+@query(f"""q AS (SELECT recording_id, zone_id, 'UNKNOWN' AS speaker, true AS is_placeholder, round("start", 3) AS "start", round("end", 3) AS "end",
+       '[неразборчиво — ' || {ONE_PLACE.format('"end" - "start"')} || 'с]' AS text FROM zones) SELECT * FROM q""")
+def placeholder_segments(spark, d):
+    return clean.placeholder_segments(_zones(spark, d)).select("recording_id", "zone_id", "speaker", "is_placeholder", "start", "end", "text")
 
 
-@query("""q AS (SELECT z.recording_id, z.zone_id, count(r.zone_id) AS n, CASE WHEN count(r.zone_id) > 0 THEN 'recovered' ELSE 'unrecognized_silence' END AS status
-       FROM zones z LEFT JOIN recovered r USING (recording_id, zone_id) GROUP BY ALL) SELECT * FROM q""")
-def pass2_log(spark, d, segments=_as_sql):
-    return clean.pass2_log(_zones(spark, d, segments), D.recovered(spark, d)).select("recording_id", "zone_id", "n", "status")
+@query(f"""q AS (SELECT z.recording_id, z.zone_id, {ONE_PLACE.format('any_value(z."start")')} || '-' || {ONE_PLACE.format('any_value(z."end")')} AS zone, count(r.zone_id) AS n, CASE WHEN count(r.zone_id) > 0 THEN 'recovered' ELSE 'unrecognized_silence' END AS status
+       FROM zones z LEFT JOIN recovered r USING (recording_id, zone_id) GROUP BY z.recording_id, z.zone_id) SELECT * FROM q""")
+def pass2_log(spark, d):
+    return clean.pass2_log(_zones(spark, d), D.recovered(spark, d)).select("recording_id", "zone_id", "zone", "n", "status")
 
 
 @query("""l AS (SELECT z.recording_id, z.zone_id, count(r.zone_id) AS n FROM zones z LEFT JOIN recovered r USING (recording_id, zone_id) GROUP BY ALL),
 q AS (SELECT recording_id, count(*) FILTER (n > 0) AS recovered, count(*) FILTER (n = 0) AS not_recovered, CAST(sum(n) AS BIGINT) AS n FROM l GROUP BY ALL) SELECT * FROM q""")
-def pass2_counts(spark, d, segments=_as_sql):
-    return clean.pass2_counts(clean.pass2_log(_zones(spark, d, segments), D.recovered(spark, d)))
+def pass2_counts(spark, d):
+    return clean.pass2_counts(clean.pass2_log(_zones(spark, d), D.recovered(spark, d)))
 
 
 OVER = "least(x.\"end\", t.\"end\") - greatest(x.\"start\", t.\"start\")"
@@ -177,8 +177,8 @@ def assign_segment_speakers(spark, d):
 
 
 @query(WORD_TOP + """, q AS (SELECT w.recording_id, w.seq, w.word_idx, w.word, t.speaker FROM words w LEFT JOIN wordtop t USING (recording_id, seq, word_idx)) SELECT * FROM q""")
-def assign_word_speakers(spark, d, segments=_as_sql):
-    s = speakers.assign_speakers(segments(spark, d), D.turns(spark, d))
+def assign_word_speakers(spark, d):
+    s = speakers.assign_speakers(D.segments(spark, d), D.turns(spark, d))
     return intervals.explode_words(s).select("recording_id", "seq", "word_idx", "word", "speaker")
 
 
@@ -187,8 +187,8 @@ HITS = """hits AS (SELECT w.recording_id, w.seq, w.word_idx, w.word, w."start",
 
 
 @query(HITS + """, q AS (SELECT recording_id, seq, word_idx, hit FROM hits) SELECT * FROM q""")
-def words_hit_by_ranges(spark, d, segments=_as_sql):
-    w = intervals.words_hit_by_ranges(intervals.explode_words(segments(spark, d)), D.recovered(spark, d))
+def words_hit_by_ranges(spark, d):
+    w = intervals.words_hit_by_ranges(intervals.explode_words(D.segments(spark, d)), D.recovered(spark, d))
     return w.select("recording_id", "seq", "word_idx", "hit")
 
 
@@ -207,8 +207,74 @@ merged AS (SELECT c.recording_id, c."start", c."end", c.text, 0 AS source, c.seq
        UNION ALL SELECT recording_id, "start", "end", text, 0, seq, run FROM runs WHERE trim(translate(text, '.,', '')) <> ''
        UNION ALL SELECT recording_id, "start", "end", text, 1, seq, 0 FROM recovered),
 q AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY "start", source, seq, run) - 1 AS seq, "start", "end", text FROM merged) SELECT * FROM q""")
-def merge_pass2(spark, d, segments=_as_sql):
-    return clean.merge_pass2(_clean(spark, d, segments), D.recovered(spark, d)).select("recording_id", "seq", "start", "end", "text")
+def merge_pass2(spark, d):
+    return clean.merge_pass2(_clean(spark, d), D.recovered(spark, d)).select("recording_id", "seq", "start", "end", "text")
+
+
+GOOD = f"""win AS (SELECT recording_id, zone_id, greatest(0.0, "start" - 4.0) AS a, least(duration, "end" + 4.0) AS b FROM zones JOIN recordings USING (recording_id)),
+bad AS (SELECT recording_id, zone_id, min(error) AS error FROM candidates WHERE error IS NOT NULL GROUP BY ALL),
+good AS (SELECT c.recording_id, c.zone_id, round(rel_start + a, 3) AS "start", round(rel_end + a, 3) AS "end", text
+         FROM candidates c JOIN win USING (recording_id, zone_id) ANTI JOIN bad USING (recording_id, zone_id)
+         WHERE b - a >= 0.3 AND NOT (trim(text) = '' OR regexp_matches(trim(text), '(?i){_re2()}') OR (avg_logprob < -1.0 AND no_speech_prob > 0.6)))"""
+
+
+def _second_pass(spark, d):
+    """zones, windows, candidates, recovered segments."""
+    zones, candidates = _zones(spark, d), D.candidates(spark, d)
+    windows = clean.plan_pass2_windows(zones, D.recordings(spark, d))
+    return zones, windows, candidates, clean.recover(candidates, windows)
+
+
+@query(GOOD + f""", q AS (SELECT recording_id, zone_id, {MS.format('"start"')} AS start_ms, {MS.format('"end"')} AS end_ms, text FROM good) SELECT * FROM q""")
+def recover(spark, d):
+    return _second_pass(spark, d)[3].select("recording_id", "zone_id", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "text")
+
+
+TRIED = f"""tried AS (SELECT z.recording_id, z.zone_id, {ONE_PLACE.format('z."start"')} || '-' || {ONE_PLACE.format('z."end"')} AS zone, error,
+       (SELECT count(*) FROM good g WHERE g.recording_id = z.recording_id AND g.zone_id = z.zone_id) AS n
+       FROM zones z SEMI JOIN (SELECT * FROM win WHERE b - a >= 0.3) USING (recording_id, zone_id) LEFT JOIN bad USING (recording_id, zone_id)),
+log2 AS (SELECT recording_id, zone_id, zone, n, CASE WHEN error IS NOT NULL THEN 'error: ' || substr(error, 1, 50) WHEN n > 0 THEN 'recovered' ELSE 'unrecognized_silence' END AS status FROM tried)"""
+
+
+@query(f"{GOOD}, {TRIED}, q AS (SELECT * FROM log2) SELECT * FROM q")
+def pass2_results(spark, d):
+    zones, windows, candidates, good = _second_pass(spark, d)
+    return clean.pass2_log(zones, good, candidates, windows)
+
+
+MERGED2 = HITS.replace("LEFT JOIN recovered", "LEFT JOIN good") + """, told AS (SELECT recording_id, seq, count(*) FILTER (hit) AS h FROM hits JOIN clean USING (recording_id, seq) GROUP BY ALL),
+kept AS (SELECT h.*, word_idx - row_number() OVER (PARTITION BY recording_id, seq ORDER BY word_idx) AS run FROM hits h JOIN told USING (recording_id, seq) WHERE told.h > 0 AND NOT hit),
+runs AS (SELECT recording_id, seq, run, trim(string_agg(trim(word), ' ' ORDER BY word_idx)) AS text, round(min("start"), 3) AS "start", round(max("end"), 3) AS "end" FROM kept GROUP BY ALL),
+merged AS (SELECT c.recording_id, c."start", c."end", c.text, 0 AS source, c.seq, 0 AS run FROM clean c JOIN told USING (recording_id, seq) WHERE h = 0
+       UNION ALL SELECT recording_id, "start", "end", text, 0, seq, run FROM runs WHERE trim(translate(text, '.,', '')) <> ''
+       UNION ALL SELECT recording_id, "start", "end", text, 1, zone_id, 0 FROM good)"""
+
+
+@query(f"""{GOOD}, {MERGED2}, q AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY "start", source, seq, run, "end", text) - 1 AS seq, "start", "end", text FROM merged) SELECT * FROM q""")
+def merge_recovered(spark, d):
+    return clean.merge_pass2(_clean(spark, d), _second_pass(spark, d)[3]).select("recording_id", "seq", "start", "end", "text")
+
+
+@query(f"""{GOOD}, {TRIED}, {MERGED2}, l AS (SELECT recording_id, count(*) FILTER (status = 'recovered') AS recovered, count(*) FILTER (status <> 'recovered') AS not_recovered,
+       CAST(sum(CASE WHEN status LIKE 'error%' THEN 0 ELSE n END) AS BIGINT) AS n FROM log2 GROUP BY ALL),
+m AS (SELECT recording_id, count(*) AS n_segments FROM merged GROUP BY ALL), w AS (SELECT recording_id, count(*) AS n_raw FROM segments GROUP BY ALL),
+q AS (SELECT recording_id, coalesce(recovered, 0) AS recovered, coalesce(not_recovered, 0) AS not_recovered, coalesce(n, 0) AS n, 0::BIGINT AS n_placeholders, coalesce(n_segments, 0) AS n_segments, n_raw
+      FROM w LEFT JOIN m USING (recording_id) LEFT JOIN l USING (recording_id)) SELECT * FROM q""")
+def pass2_summary(spark, d):
+    zones, windows, candidates, good = _second_pass(spark, d)
+    merged = clean.merge_pass2(_clean(spark, d), good)
+    return clean.pass2_counts(clean.pass2_log(zones, good, candidates, windows), merged, D.segments(spark, d, words=False))
+
+
+PLACED = f"""placed AS (SELECT recording_id, zone_id, round("start", 3) AS "start", round("end", 3) AS "end", '[неразборчиво — ' || {ONE_PLACE.format('"end" - "start"')} || 'с]' AS text FROM zones)"""
+
+
+@query(f"""{PLACED}, {MERGED2.replace("good", "placed")}, q AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY "start", source, seq, run, "end", text) - 1 AS seq,
+       "start", "end", text, source = 1 AS is_placeholder FROM merged) SELECT * FROM q""")
+def merge_placeholders(spark, d):
+    """Without a second pass, placeholders stand for the problem zones."""
+    c, zones, _ = clean.detect_problem_zones(D.segments(spark, d))
+    return clean.merge_pass2(c, clean.placeholder_segments(zones)).select("recording_id", "seq", "start", "end", "text", "is_placeholder")
 
 
 STATS = """stats AS (SELECT recording_id, coalesce(speaker, 'UNKNOWN') AS speaker, count(*) AS n_segments, sum(dur_cs) AS cs,
@@ -232,24 +298,71 @@ def speaker_count(spark, d):
     return speakers.speaker_count(D.segments(spark, d, words=False))
 
 
-@query(None)
+IS_ANSWER = "coalesce(regexp_replace(lower(trim({})), '[.,!?]+$', '') IN (" + ", ".join(f"'{w}'" for w in T.RESPONSES) + "), false)"
+#: smooth3: words with their smoothed speakers. Of strays in a row every second one changes, from the first on.
+SMOOTH = f"""{SEG_TOP}, {WORD_TOP}, smooth0 AS (SELECT w.recording_id, w.seq, w.word_idx, w.word, w."start" AS a, w."end" AS b, t.speaker AS raw, coalesce(t.speaker, g.speaker, 'UNKNOWN') AS who0,
+       count(*) OVER (PARTITION BY w.recording_id, w.seq) AS nw FROM words w LEFT JOIN wordtop t USING (recording_id, seq, word_idx) LEFT JOIN segtop g USING (recording_id, seq)),
+smooth1 AS (SELECT *, lag(who0) OVER p AS l, lead(who0) OVER p AS r, coalesce(a - lag(b) OVER p, 1e9) AS gb, coalesce(lead(a) OVER p - b, 1e9) AS ga,
+            {IS_ANSWER.format("word")} OR coalesce(lag(word) OVER p LIKE '%?', false) AS answers FROM smooth0 WINDOW p AS (PARTITION BY recording_id, seq ORDER BY word_idx)),
+stray AS (SELECT *, coalesce(l = r AND who0 <> l AND NOT answers AND gb < 0.25 AND ga < 0.25, false) AS stray FROM smooth1),
+flips AS (SELECT *, CASE WHEN stray AND (word_idx - max(CASE WHEN NOT stray THEN word_idx END) OVER (PARTITION BY recording_id, seq ORDER BY word_idx)) % 2 = 1 THEN l ELSE who0 END AS who1 FROM stray),
+smooth2 AS (SELECT *, CASE WHEN word_idx = 0 AND nw > 1 AND NOT answers AND ga < 0.45 THEN lead(who1) OVER p ELSE who1 END AS who2 FROM flips WINDOW p AS (PARTITION BY recording_id, seq ORDER BY word_idx)),
+smooth3 AS (SELECT *, CASE WHEN word_idx = nw - 1 AND nw > 1 AND NOT answers AND gb < 0.45 THEN lag(who2) OVER p ELSE who2 END AS who FROM smooth2 WINDOW p AS (PARTITION BY recording_id, seq ORDER BY word_idx))"""
+
+
+@query(SMOOTH + """, q AS (SELECT recording_id, seq, word_idx, word, CASE WHEN nw > 1 THEN who ELSE raw END AS speaker FROM smooth3) SELECT * FROM q""")
 def smooth_word_speakers(spark, d):
     s = speakers.smooth_word_speakers(speakers.assign_speakers(D.segments(spark, d), D.turns(spark, d)))
     return intervals.explode_words(s).select("recording_id", "seq", "word_idx", "word", "speaker")
 
 
-@query(None)
+#: split_: rows after cutting at changes of speaker; a part has one run that is neither joined back nor forward, which names it.
+SPLIT = SMOOTH + """, heads AS (SELECT *, CASE WHEN who = lag(who) OVER (PARTITION BY recording_id, seq ORDER BY word_idx) THEN 0 ELSE 1 END AS head FROM smooth3),
+inrun AS (SELECT *, sum(head) OVER (PARTITION BY recording_id, seq ORDER BY word_idx) AS run FROM heads),
+sruns AS (SELECT recording_id, seq, run, any_value(who) AS who, count(*) = 1 AND NOT bool_or(answers) AS lone, arg_min(gb, word_idx) < 0.45 AS near_before, arg_max(ga, word_idx) < 0.45 AS near_after FROM inrun GROUP BY ALL),
+fwd AS (SELECT *, lone AND NOT near_before AND near_after AS ahead FROM sruns),
+joined AS (SELECT *, coalesce(lag(ahead) OVER (PARTITION BY recording_id, seq ORDER BY run), false) AS taken FROM fwd),
+backs AS (SELECT *, lone AND near_before AND NOT taken AS back FROM joined),
+placed_runs AS (SELECT *, sum(CASE WHEN back OR taken THEN 0 ELSE 1 END) OVER (PARTITION BY recording_id, seq ORDER BY run) - 1 AS part FROM backs),
+pieces AS (SELECT w.recording_id, w.seq, part, max(CASE WHEN NOT back AND NOT ahead THEN x.who END) AS speaker, trim(string_agg(trim(word), ' ' ORDER BY word_idx)) AS text, round(min(a), 3) AS "start", round(max(b), 3) AS "end"
+           FROM inrun w JOIN placed_runs x USING (recording_id, seq, run) GROUP BY w.recording_id, w.seq, part),
+kinds AS (SELECT recording_id, seq, any_value(n_who) AS n_who, count(*) AS n_parts, max(speaker) AS only_one FROM pieces JOIN (SELECT recording_id, seq, count(DISTINCT who) AS n_who FROM smooth3 GROUP BY ALL) USING (recording_id, seq) GROUP BY ALL),
+split_ AS (SELECT s.recording_id, s.seq, 0 AS part, s."start", s."end", s.text, CASE WHEN n_who > 1 THEN only_one ELSE g.speaker END AS speaker
+           FROM segments s JOIN kinds USING (recording_id, seq) LEFT JOIN segtop g USING (recording_id, seq) WHERE n_who = 1 OR n_parts = 1
+           UNION ALL SELECT recording_id, seq, part, "start", "end", text, speaker FROM pieces JOIN kinds USING (recording_id, seq) WHERE n_who > 1 AND n_parts > 1 AND text <> ''),
+splitted AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY seq, part) - 1 AS seq, "start", "end", text, speaker FROM split_)"""
+
+
+@query(SPLIT + """, q AS (SELECT * FROM splitted) SELECT * FROM q""")
 def split_by_speaker(spark, d):
     s = speakers.split_by_speaker(speakers.assign_speakers(D.segments(spark, d), D.turns(spark, d)))
     return s.select("recording_id", "seq", "start", "end", "text", "speaker")
 
 
-@query(None)
+def _settled(rows: str) -> str:
+    """settled5: the speakers of `rows` after five passes, each by seq."""
+    sql = f"""short0 AS (SELECT *, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS t, row_number() OVER (PARTITION BY recording_id ORDER BY seq) AS r FROM {rows}),
+short1 AS (SELECT recording_id, seq, r, speaker, ("end" - "start" >= 0.7 AND len(t) > 2) OR (len(t) <= 2 AND len(t) > 0 AND {IS_ANSWER.format("t[1]")}) AS fixed, len(t) < 2 AS lone,
+           "start" - lag("end") OVER p AS gb, lead("start") OVER p - "end" AS ga FROM short0 WINDOW p AS (PARTITION BY recording_id ORDER BY r)),
+moves AS (SELECT recording_id, seq, r, NOT fixed AND coalesce(least(gb, ga) <= 0.45 AND gb IS NOT NULL AND ga IS NOT NULL, false) AS between_,
+          CASE WHEN fixed OR NOT lone THEN 0 WHEN gb < 0.35 THEN -1 WHEN ga < 0.35 THEN 1 ELSE 0 END AS side FROM short1),
+settled0 AS (SELECT recording_id, r, speaker AS who FROM short1)"""
+    for k in range(1, 6):
+        sql += f""",
+ahead{k} AS (SELECT m.*, who, lead(who) OVER (PARTITION BY m.recording_id ORDER BY m.r) AS next_who FROM moves m JOIN settled{k - 1} USING (recording_id, r)),
+settled{k} AS (SELECT recording_id, r, CASE WHEN side = 1 THEN next_who ELSE who END AS who FROM ahead{k} WHERE r = 1
+               UNION ALL SELECT n.recording_id, n.r, CASE WHEN between_ AND p.who = next_who THEN p.who WHEN side = -1 THEN p.who WHEN side = 1 THEN next_who ELSE n.who END
+               FROM settled{k} p JOIN ahead{k} n ON n.recording_id = p.recording_id AND n.r = p.r + 1)"""
+    return sql
+
+
+@query(_settled("segments") + """, q AS (SELECT recording_id, seq, who AS speaker FROM short1 JOIN settled5 USING (recording_id, r)) SELECT * FROM q""")
 def merge_short_segments(spark, d):
     return speakers.merge_short_segments(D.segments(spark, d, words=False)).select("recording_id", "seq", "speaker")
 
 
-@query(None)
+@query(f"""{SPLIT}, {_settled("splitted")}, q AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY "start", seq) - 1 AS seq, "start", "end", text, who AS speaker
+       FROM short0 JOIN settled5 USING (recording_id, r)) SELECT * FROM q""")
 def speaker_pipeline(spark, d):
     return speakers.speaker_pipeline(D.segments(spark, d), D.turns(spark, d)).select("recording_id", "seq", "start", "end", "text", "speaker")
 
@@ -318,12 +431,10 @@ islands2 AS (SELECT *, sum(CASE WHEN "start" <= reach + 1.0 THEN 0 ELSE 1 END) O
 
 @query(HEARD + f""", q AS (SELECT recording_id, CAST(zone_id AS BIGINT) AS zone_id, {MS.format('min("start")')} AS start_ms, {MS.format('max("end")')} AS end_ms,
        string_agg(reason, '+' ORDER BY "start", k, seq) AS reason FROM islands2 GROUP BY recording_id, zone_id) SELECT * FROM q""")
-def heard_zones(spark, d, segments=_as_sql):
+def heard_zones(spark, d):
     """problem_zones with the recordings' audio: long gaps and edges count where there is speech."""
-    s, recordings = segments(spark, d), D.recordings(spark, d)
-    ranges = clean.gap_ranges(clean.detect_problem_zones(s)[0], recordings)
-    speech = audio.speech_in_range(ranges, D.audio_chunks(spark, d), sr=16)
-    zones = clean.detect_problem_zones(s, recordings=recordings, speech=speech)[1]
+    s, recordings = D.segments(spark, d), D.recordings(spark, d)
+    zones = clean.detect_problem_zones(s, recordings=recordings, audio=D.audio_chunks(spark, d), sr=16)[1]
     return zones.select("recording_id", "zone_id", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "reason")
 
 
@@ -332,12 +443,11 @@ def signal_stats(spark, d):
     return audio.signal_stats(D.audio_chunks(spark, d), 16).withColumn("rms", F.round("rms", 9))
 
 
-@query("""q AS (SELECT recording_id, chunk_idx, round(max(abs(y)), 9) AS peak, count(*) AS n FROM (SELECT *, CASE WHEN p < 1e-6 THEN x ELSE x / (p + 1e-9) END AS y FROM
-       (SELECT *, max(abs(x)) OVER (PARTITION BY recording_id) AS p FROM audio)) GROUP BY ALL) SELECT * FROM q""")
+@query("""q AS (SELECT recording_id, chunk_idx, pos - 64 * chunk_idx AS i, round(CASE WHEN p < 1e-6 THEN x ELSE x / (p + 1e-9) END, 9) AS x FROM
+       (SELECT *, max(abs(x)) OVER (PARTITION BY recording_id) AS p FROM audio)) SELECT * FROM q""")
 def peak_normalize(spark, d):
     a = audio.peak_normalize(D.audio_chunks(spark, d))
-    peak = F.array_max(F.transform("samples", lambda x: F.abs(x)))
-    return a.select("recording_id", "chunk_idx", F.round(peak, 9).alias("peak"), F.size("samples").cast("long").alias("n"))
+    return a.select("recording_id", "chunk_idx", F.posexplode("samples").alias("i", "x")).select("recording_id", "chunk_idx", F.col("i").cast("long").alias("i"), F.round("x", 9).alias("x"))
 
 
 @query("""q AS (SELECT recording_id, count(t.recording_id) AS n_intervals, round(coalesce(sum(t."end" - t."start"), 0) / any_value(duration) * 100, 4) AS pct, count(t.recording_id) = 0 AS fallback
@@ -413,10 +523,11 @@ def rtf_report(spark, d):
 
 
 @query("""q AS (SELECT recording_id, seq, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS n_words, substr(text, 1, 50) AS clipped,
-       printf('%02d:%02d:%02d', start_cs // 360000, start_cs % 360000 // 6000, start_cs % 6000 // 100) AS hms FROM segments) SELECT * FROM q""")
+       printf('%02d:%02d:%02d', start_cs // 360000, start_cs % 360000 // 6000, start_cs % 6000 // 100) AS hms, printf('%02d:%02d:%02d.%03d', start_cs // 360000, start_cs % 360000 // 6000, start_cs % 6000 // 100,
+       CAST(floor("start" * 1000 % 1000) AS BIGINT)) AS hms_ms FROM segments) SELECT * FROM q""")
 def text_formats(spark, d):
     s = D.segments(spark, d, words=False)
-    return s.select("recording_id", "seq", T.word_count(F.col("text")).alias("n_words"), T.error_clip(F.col("text"), 50).alias("clipped"), T.fmt_hms(F.col("start")).alias("hms"))
+    return s.select("recording_id", "seq", T.word_count(F.col("text")).alias("n_words"), T.error_clip(F.col("text"), 50).alias("clipped"), T.fmt_time_short(F.col("start")).alias("hms"), T.fmt_time(F.col("start")).alias("hms_ms"))
 
 
 @query("""q AS (SELECT path, regexp_replace(name, '^(.+)\\.[^.]*$', '\\1') AS stem, lower(regexp_extract(name, '^.+\\.([^.]*)$', 1)) AS ext, regexp_replace(path, '/?[^/]*$', '') AS folder FROM files) SELECT * FROM q""")
@@ -432,13 +543,3 @@ def near_duplicate_texts(spark, d):
     s = D.segments(spark, d, words=False)
     other = F.concat("text", F.when(F.col("seq") % 2 == 0, " ok").otherwise(" and much more of it"))
     return s.select("recording_id", "seq", T.near_duplicate(F.col("text"), other).alias("same"))
-
-
-#: Queries that read words: NAME_whole is the same over every word of every line, and its SQL the same without the cut.
-WHOLE = (
-    "segment_flags", "response_words", "segment_gaps", "problem_zones", "heard_zones", "pass2_windows", "placeholder_segments", "pass2_log", "pass2_counts",
-    "assign_word_speakers", "words_hit_by_ranges", "merge_pass2",
-)
-for _name in WHOLE:
-    QUERIES[f"{_name}_whole"] = lambda spark, d, f=QUERIES[_name]: f(spark, d, D.segments)
-    ORACLES[f"{_name}_whole"] = ORACLES[_name].replace(" WHERE i < 60", "")

@@ -26,22 +26,29 @@ def audio_partials(samples: Column, first: Column, last: Column, amp_min: float
 
 
 def speech_in_range(
-    ranges: DataFrame, audio: DataFrame, sr: int = 16000, chunk: int = 64, rms_min: float = 0.003, amp_min: float = 0.01, active_min: float = 0.05
+    ranges: DataFrame, audio: DataFrame, sr: int = 16000, grid: int | None = None, rms_min: float = 0.003, amp_min: float = 0.01, active_min: float = 0.05
 ) -> DataFrame:
-    """ranges with has_speech. Only partial sums are shuffled: ranges meet the chunks they touch (chunk samples each)."""
-    keys = ["recording_id", "start", "end"]
-    r = ranges.select(*keys).distinct()
+    """ranges with has_speech. Only partial sums are shuffled.
+
+    Chunks may have any size and need not be numbered: they say themselves which samples they hold (sample_offset and size). Ranges
+    and chunks meet in the cells of a grid of `grid` samples (a minute by default); a pair counts in its first common cell.
+    """
+    keys, grid = ["recording_id", "start", "end"], grid or 60 * sr
     lo, hi = F.greatest(F.lit(0), F.floor(F.col("start") * sr)), F.floor(F.col("end") * sr)
-    r = r.withColumn("lo", lo).withColumn("hi", hi).filter("hi > lo")
-    r = r.withColumn("chunk_idx", F.explode(F.sequence(F.floor(F.col("lo") / chunk), F.floor((F.col("hi") - 1) / chunk))))
-    near = r.join(audio, ["recording_id", "chunk_idx"])
-    a = F.greatest(F.lit(0), F.col("lo") - F.col("sample_offset"))
-    b = F.least(F.size("samples"), F.col("hi") - F.col("sample_offset"))
+    cells = lambda first, last: F.explode(F.sequence(F.floor(first / grid), F.floor((last - 1) / grid)))
+    r = ranges.select(*keys).distinct().withColumn("lo", lo).withColumn("hi", hi).filter("hi > lo")
+    r = r.withColumn("cell", cells(F.col("lo"), F.col("hi")))
+    at, n = F.col("sample_offset"), F.size("samples")
+    chunks = audio.filter(n > 0).select("recording_id", "sample_offset", "samples", cells(at, at + n).alias("cell"))
+    near = r.join(chunks, ["recording_id", "cell"]).filter((at < F.col("hi")) & (at + n > F.col("lo")))
+    near = near.filter(F.col("cell") == F.greatest(F.floor(F.col("lo") / grid), F.floor(at / grid)))
+    a, b = F.greatest(F.lit(0), F.col("lo") - at), F.least(n, F.col("hi") - at)
     sums = near.select(*keys, audio_partials(F.col("samples"), a, b, amp_min).alias("p")).groupBy(*keys).agg(
         F.sum("p.sq").alias("sq"), F.sum("p.active").alias("active"), F.sum("p.n").alias("n")
     )
     loud = (F.col("n") >= sr // 4) & (F.sqrt(F.col("sq") / F.col("n")) >= rms_min) & (F.col("active") / F.col("n") > active_min)
-    return ranges.join(sums, keys, "left").withColumn("has_speech", F.coalesce(loud, F.lit(False))).drop("sq", "active", "n")
+    told = sums.select(*keys, loud.alias("has_speech"))
+    return ranges.join(told, keys, "left").withColumn("has_speech", F.coalesce("has_speech", F.lit(False)))
 
 
 def signal_stats(audio: DataFrame, sr: int = 16000) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql.window import Window as W
 
 from utterlake.functions import text as T
 from utterlake.functions.fold import ordered_fold
-from utterlake.operators.intervals import explode_words, merge_zones, overlap_fraction, renumber, words_hit_by_ranges
+from utterlake.operators.audio import speech_in_range
+from utterlake.operators.intervals import merge_zones, near_ranges, renumber
 
 
 def flag(segments: DataFrame) -> DataFrame:
@@ -70,93 +71,134 @@ def suppress_repeats(segments: DataFrame, short_len: int = 15, short_win: float
     return segments.join(a.select(*keys, "is_repeat").unionByName(b.select(*keys, "is_repeat")), keys, "left")
 
 
+def _edge_scores(words: Column) -> tuple[Column, Column]:
+    """Scores of the first and the last word; 1 where there is none."""
+    n = F.coalesce(F.size(words), F.lit(0))
+    return tuple(F.when(n > 0, F.coalesce(F.get(words, at)["score"], F.lit(1.0))).otherwise(1.0) for at in (F.lit(0), n - 1))
+
+
+ZONE = "struct<k:int,seq:bigint,start:double,end:double,reason:string,ask:boolean>"
+
+
+def all_zones(rows: DataFrame, recordings: DataFrame | None = None) -> DataFrame:
+    """recording_id, ord (k, seq), start, end, reason, ask: all zones before merging, from one window over each recording.
+
+    rows: recording_id, seq, start, end, first_score, last_score, kept (clean), zone_reason. k: 0 for a row's own zone, 1 for a
+    gap to the next clean row, 2 and 3 for the recording's edges (3 with recordings only). ask: counts only where there is speech.
+    """
+    back = W.partitionBy("recording_id").orderBy(F.desc("seq")).rowsBetween(W.unboundedPreceding, -1)
+    ahead = W.partitionBy("recording_id").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
+    clean = F.when(F.col("kept"), F.struct("start", "first_score"))
+    r = rows.withColumn("next", F.last(clean, True).over(back)).withColumn("kept_before", F.max(F.coalesce("kept", F.lit(False))).over(ahead))
+    zone = lambda k, start, end, reason, ask: F.struct(
+        F.lit(k).alias("k"), F.when(F.lit(k < 2), F.col("seq")).otherwise(0).cast("long").alias("seq"), start.alias("start"), end.alias("end"), reason.alias("reason"), F.lit(ask).alias("ask")
+    )
+    start, end, then, zero = F.col("start"), F.col("end"), F.col("next.start"), F.lit(0.0)
+    gap, kept = then - end, F.col("kept")
+    unsure = (gap > 0.5) & (gap < 3.0) & ((F.col("last_score") < 0.5) | (F.col("next.first_score") < 0.5))
+    found = [
+        F.when(F.col("zone_reason").isNotNull(), zone(0, start, end, F.col("zone_reason"), False)),
+        F.when(kept & unsure, zone(1, end - 1.0, then + 1.0, F.lit("chunk_boundary"), False)),
+        F.when(kept & (gap > 3.0) & (gap < 60.0), zone(1, end, then, F.lit("large_gap_with_speech"), True)),
+        F.when(kept & ~F.coalesce("kept_before", F.lit(False)) & (start > 3.0) & (start < 120.0), zone(2, zero, start, F.lit("missing_start"), True)),
+    ]
+    if recordings is not None:
+        r = r.join(recordings.select("recording_id", "duration"), "recording_id", "left")
+        rest = F.col("duration") - end
+        found.append(F.when(kept & F.col("next").isNull() & (rest > 3.0) & (rest < 120.0), zone(3, end, F.col("duration"), F.lit("missing_end"), True)))
+    zones = r.select("recording_id", F.explode(F.filter(F.array(*[f.cast(ZONE) for f in found]), lambda z: z.isNotNull())).alias("z"))
+    return zones.select("recording_id", F.struct("z.k", "z.seq").alias("ord"), "z.start", "z.end", "z.reason", "z.ask")
+
+
+def with_speech(zones: DataFrame, speech: DataFrame | None = None, audio: DataFrame | None = None, **sizes) -> DataFrame:
+    """all_zones() without those that ask for speech where there is none: by a table of ranges (recording_id, start, end,
+    has_speech) or by sample chunks (sizes: what speech_in_range() takes). Without both, speech is assumed."""
+    if speech is None and audio is None:
+        return zones
+    asked = zones.filter("ask")
+    if speech is None:
+        heard = speech_in_range(asked, audio, **sizes).filter("has_speech").select(*zones.columns)
+    else:
+        heard = asked.join(speech.filter("has_speech").select("recording_id", "start", "end").distinct(), ["recording_id", "start", "end"], "left_semi")
+    return zones.filter("not ask").unionByName(heard.select(*zones.columns))
+
+
+def _clean_rows(clean: DataFrame) -> DataFrame:
+    first, last = _edge_scores(F.col("words"))
+    return clean.select("recording_id", "seq", "start", "end", first.alias("first_score"), last.alias("last_score"), F.lit(True).alias("kept"), F.lit(None).cast("string").alias("zone_reason"))
+
+
 def segment_gaps(clean: DataFrame, speech: DataFrame | None = None) -> DataFrame:
     """Zones (recording_id, ord_seq, start, end, reason) in the gaps between clean segments.
 
     speech: recording_id, start, end, has_speech of ranges; a long gap counts if its range has speech, or without a table.
     """
-    w = W.partitionBy("recording_id").orderBy("seq")
-    one = F.lit(1.0)
-    last = F.when(F.size("words") > 0, F.coalesce(F.element_at("words", -1)["score"], one)).otherwise(one)
-    first = F.when(F.size("words") > 0, F.coalesce(F.element_at("words", 1)["score"], one)).otherwise(one)
-    g = clean.select("recording_id", "seq", F.col("end").alias("a"), F.lead("start").over(w).alias("b"), last.alias("last"), F.lead(first).over(w).alias("next"))
-    gap = F.col("b") - F.col("a")
-    unsure = (gap > 0.5) & (gap < 3.0) & ((F.col("last") < 0.5) | (F.col("next") < 0.5))
-    long = (gap > 3.0) & (gap < 60.0)
-    reason = F.when(unsure, "chunk_boundary").when(long, "large_gap_with_speech")
-    g = g.withColumn("reason", reason).filter("reason is not null")
-    if speech is not None:
-        s = speech.select("recording_id", F.col("start").alias("a"), F.col("end").alias("b"), "has_speech")
-        g = g.join(s, ["recording_id", "a", "b"], "left").filter((F.col("reason") == "chunk_boundary") | F.coalesce("has_speech", F.lit(False)))
-    pad = F.when(F.col("reason") == "chunk_boundary", 1.0).otherwise(0.0)
-    return g.select("recording_id", F.col("seq").alias("ord_seq"), (F.col("a") - pad).alias("start"), (F.col("b") + pad).alias("end"), "reason")
+    z = with_speech(all_zones(_clean_rows(clean)).filter("ord.k = 1"), speech)
+    return z.select("recording_id", F.col("ord.seq").alias("ord_seq"), "start", "end", "reason")
 
 
 def gap_ranges(clean: DataFrame, recordings: DataFrame) -> DataFrame:
     """recording_id, start, end of the gaps for which segment_gaps() and edge_gaps() want to know whether they have speech."""
-    long = segment_gaps(clean).filter("reason = 'large_gap_with_speech'")
-    cols = ["recording_id", "start", "end"]
-    return long.select(*cols).unionByName(_edges(clean, recordings).select(*cols)).distinct()
-
-
-def _edges(clean: DataFrame, recordings: DataFrame | None) -> DataFrame:
-    """Zones at a recording's start, and (with recordings) at its end."""
-    e = clean.groupBy("recording_id").agg(F.min_by("start", "seq").alias("first"), F.max_by("end", "seq").alias("last"))
-    zero = F.lit(0.0)
-    out = e.filter("first > 3.0 and first < 120.0").select("recording_id", zero.alias("start"), F.col("first").alias("end"), F.lit("missing_start").alias("reason"))
-    if recordings is not None:
-        r = e.join(recordings.select("recording_id", "duration"), "recording_id")
-        late = r.filter("duration - last > 3.0 and duration - last < 120.0")
-        out = out.unionByName(late.select("recording_id", F.col("last").alias("start"), F.col("duration").alias("end"), F.lit("missing_end").alias("reason")))
-    return out
+    return all_zones(_clean_rows(clean), recordings).filter("ask").select("recording_id", "start", "end").distinct()
 
 
 def edge_gaps(clean: DataFrame, recordings: DataFrame | None = None, speech: DataFrame | None = None) -> DataFrame:
     """Zones at a recording's start, and (with recordings and speech) at its end."""
-    out = _edges(clean, recordings if speech is not None else None)
-    if speech is not None:
-        out = out.join(speech.filter("has_speech").select("recording_id", "start", "end").distinct(), ["recording_id", "start", "end"], "left_semi")
-    return out
-
+    z = all_zones(_clean_rows(clean), recordings if speech is not None else None).filter("ord.k > 1")
+    return with_speech(z, speech).select("recording_id", "start", "end", "reason")
 
-def all_zones(flagged: DataFrame, gaps: DataFrame, edges: DataFrame) -> DataFrame:
-    """Zones in the order that merging expects: those of segments by seq, of gaps, of edges."""
-    loop = flagged.filter("zone_reason is not null").select("recording_id", F.struct(F.lit(0).alias("k"), F.col("seq")).alias("ord"), "start", "end", F.col("zone_reason").alias("reason"))
-    gap = gaps.select("recording_id", F.struct(F.lit(1).alias("k"), F.col("ord_seq").alias("seq")).alias("ord"), "start", "end", "reason")
-    place = F.when(F.col("reason") == "missing_start", F.lit(2)).otherwise(F.lit(3))
-    edge = edges.select("recording_id", F.struct(place.alias("k"), F.lit(0).cast("long").alias("seq")).alias("ord"), "start", "end", "reason")
-    return loop.unionByName(gap).unionByName(edge)
 
+def verdicts(segments: DataFrame, low_conf: float = 0.45) -> DataFrame:
+    """What the tests say of each segment, in their order: hallucination, too short, repeat, low confidence. Without its words.
 
-def detect_problem_zones(
-    segments: DataFrame, low_conf: float = 0.45, recordings=None, speech=None, cache: bool = True
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(clean, zones, removed), by the order of tests: hallucination, too short, repeat, low confidence.
-
-    All three come from one table of verdicts, and zones reads it three times: it is cached (in memory, else on disk), so that
-    the folds run once. Without cache it is computed anew.
+    recording_id, seq, start, end, removed (why, null: kept), text (of removed ones), detail, zone_reason, first_score, last_score.
     """
     f = flag(segments)
+    first, last = _edge_scores(F.col("words"))
+    f = f.select(
+        "recording_id", "seq", "start", "end", "text", "hallucination", "short", first.alias("first_score"), last.alias("last_score"),
+        T.low_confidence_flag(F.col("avg_logprob"), F.col("words"), low_conf).alias("low"),
+    )
     rest = suppress_repeats(f.filter("hallucination is null and not short"))
     gone = f.filter("hallucination is not null or short").withColumn("is_repeat", F.lit(None).cast("boolean"))
-    every = rest.unionByName(gone)
     why = F.when(F.col("hallucination").isNotNull(), "hallucination").when(F.col("short"), "too_short").when(F.col("is_repeat"), "duplicate")
-    low = T.low_confidence_flag(F.col("avg_logprob"), F.col("words"), low_conf)
-    every = every.withColumn("removed", why)
-    zone = F.when(F.col("removed") == "hallucination", "hallucination").when(F.col("removed").isNull(), low)
-    every = every.withColumn("zone_reason", zone)
-    if cache:
-        every = every.persist()
-    clean = every.filter("removed is null").select(*segments.columns)
-    removed = every.filter("removed is not null").select(
-        "recording_id", "seq", F.col("removed").alias("reason"), "text", F.format_string("%.1fs", "start").alias("time"), F.col("hallucination").alias("detail")
+    v = rest.unionByName(gone).withColumn("removed", why)
+    zone = F.when(F.col("removed") == "hallucination", "hallucination").when(F.col("removed").isNull(), F.col("low"))
+    return v.select(
+        "recording_id", "seq", "start", "end", "removed", F.when(F.col("removed").isNotNull(), F.col("text")).alias("text"),
+        F.col("hallucination").alias("detail"), zone.alias("zone_reason"), "first_score", "last_score",
+    )
+
+
+def problem_zones(told: DataFrame, recordings: DataFrame | None = None, speech: DataFrame | None = None, audio: DataFrame | None = None, **sizes) -> DataFrame:
+    """Merged zones from verdicts(): its own, those of gaps and of edges (at the end: with recordings and speech or audio)."""
+    rows = told.withColumn("kept", F.col("removed").isNull())
+    asked = recordings if speech is not None or audio is not None else None
+    return merge_zones(with_speech(all_zones(rows, asked), speech, audio, **sizes))
+
+
+def detect_problem_zones(
+    segments: DataFrame, low_conf: float = 0.45, recordings=None, speech=None, audio=None, told: DataFrame | None = None, **sizes
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(clean, zones, removed). All three come from verdicts(segments): who needs more than one stores it and gives it as `told`.
+
+    With audio (and recordings), the gaps that need speech are looked up in the sample chunks.
+    """
+    told = verdicts(segments, low_conf) if told is None else told
+    clean = segments.join(told.filter("removed is null").select("recording_id", "seq"), ["recording_id", "seq"], "left_semi").select(*segments.columns)
+    removed = told.filter("removed is not null").select(
+        "recording_id", "seq", F.col("removed").alias("reason"), "text", F.format_string("%.1fs", "start").alias("time"), "detail"
     )
-    zones = merge_zones(all_zones(every, segment_gaps(clean, speech), edge_gaps(clean, recordings, speech)))
-    return clean, zones, removed
+    return clean, problem_zones(told, recordings, speech, audio, **sizes), removed
 
 
-def removal_counts(removed: DataFrame) -> DataFrame:
-    return removed.groupBy("recording_id", "reason").agg(F.count("*").alias("n"))
+def removal_counts(removed: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """Per recording and reason the number of removed rows; with the raw segments also n_removed and n_raw of the recording."""
+    n = removed.groupBy("recording_id", "reason").agg(F.count("*").alias("n"))
+    if raw is None:
+        return n
+    n = n.withColumn("n_removed", F.sum("n").over(W.partitionBy("recording_id")))
+    return n.join(raw.groupBy("recording_id").agg(F.count("*").alias("n_raw")), "recording_id", "left")
 
 
 def plan_pass2_windows(zones: DataFrame, recordings: DataFrame, pad: float = 4.0, min_len: float = 0.3, sr: int = 16000) -> DataFrame:
@@ -231,35 +273,43 @@ def pass2_counts(log: DataFrame, merged: DataFrame | None = None, raw: DataFrame
     return out.fillna(0, [c for c in out.columns if c != "recording_id"])
 
 
-def split_runs(words: DataFrame) -> DataFrame:
-    """recording_id, seq, run, start, end, text, n_words: runs of consecutive words that aren't hit."""
-    w = W.partitionBy("recording_id", "seq").orderBy("word_idx")
-    kept = words.filter("not hit").withColumn("run", F.col("word_idx") - F.row_number().over(w))
-    said = F.transform(F.array_sort(F.collect_list(F.struct("word_idx", F.struct("word", "start", "end", "score", "speaker").alias("w")))), lambda x: x["w"])
-    runs = kept.groupBy("recording_id", "seq", "run").agg(F.round(F.min("start"), 3).alias("start"), F.round(F.max("end"), 3).alias("end"), said.alias("words"))
-    text = T.strip(F.array_join(F.transform("words", lambda x: T.strip(x["word"])), " "))
-    return runs.withColumn("text", text).filter(~T.punct_only(F.col("text")))
+def split_runs(words: Column, hit: Column) -> Column:
+    """Runs of consecutive words that aren't hit, as structs (run, start, end, text, words); runs of punctuation are left out.
+
+    hit: the indices of the words to leave out, in order. What lies between two of them is a run.
+    """
+    edges = F.concat(F.array(F.lit(-1)), hit, F.array(F.size(words)))
+    between = lambda at, i: F.slice(words, at + 2, F.get(edges, i + 1) - at - 1)
+    pieces = F.transform(F.slice(edges, 1, F.size(edges) - 1), lambda at, i: F.struct(i.alias("run"), between(at, i).alias("words")))
+    told = lambda p: F.struct(
+        p["run"].alias("run"), F.round(F.array_min(p["words"]["start"]), 3).alias("start"), F.round(F.array_max(p["words"]["end"]), 3).alias("end"),
+        T.strip(F.array_join(F.transform(p["words"], lambda w: T.strip(w["word"])), " ")).alias("text"), p["words"].alias("words"),
+    )
+    runs = F.transform(F.filter(pieces, lambda p: F.size(p["words"]) > 0), told)
+    return F.filter(runs, lambda r: ~T.punct_only(r["text"]))
 
 
 def merge_pass2(clean: DataFrame, recovered: DataFrame, margin: float = 0.4, cover: float = 0.15) -> DataFrame:
     """Clean segments without what the second pass has replaced, and its segments, by start; seq is new.
 
-    A recording without recovered segments keeps all of its own.
+    A recording without recovered segments keeps all of its own. Recovered rows of one start are put in order of their zone, end
+    and text. The ranges come to the segments, so that words are cut where they lie.
     """
-    keys = ["recording_id", "seq"]
-    timed = (F.size("words") > 0) & F.forall("words", lambda x: x["start"].isNotNull() & x["end"].isNotNull())
-    c = clean.withColumn("timed", F.coalesce(timed, F.lit(False)))
-    plain = overlap_fraction(c.filter("not timed"), recovered).filter(F.col("covered") < cover).drop("covered")
-    words = words_hit_by_ranges(explode_words(c.filter("timed")), recovered, margin)
-    told = words.groupBy(*keys).agg(F.count_if("hit").alias("hits"))
-    state = c.filter("timed").join(told, keys)
-    whole = state.filter("hits = 0").drop("hits")
-    cut = split_runs(words.join(told.filter("hits > 0").select(*keys), keys, "left_semi"))
-    rest = state.drop("hits", "start", "end", "text", "words").join(cut, keys)
-    columns = [x for x in clean.columns if x != "seq"]
-    part = lambda df, run: df.select(*columns, F.lit(0).alias("source"), F.col("seq").alias("old"), run.alias("run"))
-    zero = F.lit(0).cast("long")
-    out = part(plain, zero).unionByName(part(whole, zero)).unionByName(part(rest, F.col("run")))
-    more = recovered.withColumn("source", F.lit(1)).withColumn("old", F.monotonically_increasing_id()).withColumn("run", zero)
-    more = more.select(*[x for x in recovered.columns if x in columns], "source", "old", "run")
-    return renumber(out.unionByName(more, allowMissingColumns=True), "start", "source", "old", "run").drop("source", "old", "run")
+    s = near_ranges(clean, recovered, ["start", "end"], margin + 0.001)  # a little wider than needed: the tests below are exact
+    words, near = F.col("words"), F.coalesce("near", F.array().cast("array<struct<start:double,end:double>>"))
+    s = s.withColumn("near", near)
+    timed = F.coalesce((F.size(words) > 0) & F.forall(words, lambda w: w["start"].isNotNull() & w["end"].isNotNull()), F.lit(False))
+    reached = lambda w: F.exists("near", lambda r: (w["start"] < r["end"] + margin) & (w["end"] > r["start"] - margin))
+    s = s.withColumn("timed", timed).withColumn("hit", F.when(timed & (F.size("near") > 0), F.filter(F.transform(words, lambda w, i: F.when(reached(w), i)), lambda i: i.isNotNull())))
+    shared = lambda r: F.round((F.least("end", r["end"]) - F.greatest("start", r["start"])) * 1000).cast("long")
+    ms = F.aggregate("near", F.lit(0).cast("long"), lambda a, r: a + F.greatest(F.lit(0).cast("long"), shared(r)))
+    covered = ms / 1000 / F.greatest(F.lit(0.01), F.col("end") - F.col("start"))
+    hits = F.coalesce(F.size("hit"), F.lit(0))
+    runs = F.when(F.col("timed") & (hits > 0), split_runs(words, F.col("hit")))
+    s = s.filter(F.col("timed") | (covered < cover)).withColumn("cut", F.col("timed") & (hits > 0)).withColumn("runs", runs)
+    s = s.select(*clean.columns, "cut", F.explode_outer("runs").alias("r")).filter("not cut or r is not null")
+    new = {c: F.when(F.col("cut"), F.col(f"r.{c}")).otherwise(F.col(c)).alias(c) for c in ("start", "end", "text", "words")}
+    columns = [c for c in clean.columns if c != "seq"]
+    own = s.select(*[new.get(c, F.col(c)) for c in columns], F.lit(0).alias("source"), F.col("seq").alias("old"), F.coalesce("r.run", F.lit(0)).alias("run"))
+    more = recovered.select(*[c for c in recovered.columns if c in columns], F.lit(1).alias("source"), *([F.col("zone_id").alias("old")] if "zone_id" in recovered.columns else []))
+    return renumber(own.unionByName(more, allowMissingColumns=True), "start", "source", "old", "run", "end", "text").drop("source", "old", "run")

@@ -44,15 +44,44 @@ def explode_words(segments: DataFrame) -> DataFrame:
     )
 
 
+def with_speaker(word: Column, speaker: Column) -> Column:
+    """The word with another speaker."""
+    return F.struct(*[word[c].alias(c) for c in ("word", "start", "end", "score")], speaker.alias("speaker"))
+
+
+def near_ranges(segments: DataFrame, ranges: DataFrame, fields: list[str], margin: float = 0.0, bin_sec: float = 10.0) -> DataFrame:
+    """segments with `near`: structs of `fields` of all ranges that overlap the row or one of its words (widened by margin).
+
+    Only keys and times are dealt to bins; a row's ranges come back to it as one array, so that its words need no rows of their own.
+    """
+    keys = ["recording_id", "seq"]
+    start = F.least("start", F.array_min("words.start"))
+    end = F.greatest("end", F.array_max("words.end"))
+    spans = segments.select(*keys, start.alias("start"), end.alias("end")).filter("start is not null and end is not null")
+    pairs = overlap_join(spans, ranges.select("recording_id", *fields), bin_sec, margin)
+    near = pairs.groupBy(*keys).agg(F.collect_list(F.struct(*[F.col(f"o_{c}").alias(c) for c in fields])).alias("near"))
+    return segments.join(near, keys, "left")
+
+
+def most_overlap(near: Column, start: Column, end: Column) -> Column:
+    """The speaker with the largest summed overlap of start to end in an array of turns (ties: the smaller name); null without one."""
+    shared = lambda t: F.least(t["end"], end) - F.greatest(t["start"], start)
+    hits = F.filter(F.transform(near, lambda t: F.struct(shared(t).alias("s"), t["speaker"].alias("who"))), lambda x: x["s"] > 0)
+    add = lambda who: lambda a, x: a + F.when(x["who"].eqNullSafe(who), F.round(x["s"] * 1000).cast("long")).otherwise(F.lit(0))
+    # the usual cases need no sums: no turn or one
+    best = lambda h: F.array_min(F.transform(F.array_distinct(F.transform(h, lambda x: x["who"])), lambda w: F.struct((-F.aggregate(h, F.lit(0).cast("long"), add(w))).alias("ms"), w.alias("who"))))["who"]
+    return F.get(F.transform(F.array(hits), lambda h: F.when(F.size(h) < 2, F.get(h, F.lit(0))["who"]).otherwise(best(h))), F.lit(0))
+
+
 def assign_speakers(segments: DataFrame, turns: DataFrame, bin_sec: float = 10.0) -> DataFrame:
     """segments with the speaker of each row and each word; null where no turn overlaps."""
-    rows = top_speaker(segments, turns, ["recording_id", "seq"], bin_sec)
-    words = explode_words(segments).drop("speaker")
-    told = words.join(top_speaker(words, turns, ["recording_id", "seq", "word_idx"], bin_sec), ["recording_id", "seq", "word_idx"], "left")
-    fields = F.struct("word_idx", F.struct("word", "start", "end", "score", "speaker").alias("w"))
-    nested = told.groupBy("recording_id", "seq").agg(F.transform(F.array_sort(F.collect_list(fields)), lambda x: x["w"]).alias("words"))
-    base = segments.drop("speaker", "words").join(rows, ["recording_id", "seq"], "left").join(nested, ["recording_id", "seq"], "left")
-    return base.select(*segments.columns)
+    s = near_ranges(segments, turns, ["start", "end", "speaker"], bin_sec=bin_sec)
+    near = F.col("near")
+    new = {
+        "speaker": most_overlap(near, F.col("start"), F.col("end")),
+        "words": F.transform("words", lambda w: with_speaker(w, most_overlap(near, w["start"], w["end"]))),
+    }
+    return s.select(*[new.get(c, F.col(c)).alias(c) for c in segments.columns])
 
 
 def words_hit_by_ranges(words: DataFrame, ranges: DataFrame, margin: float = 0.4, bin_sec: float = 10.0) -> DataFrame:

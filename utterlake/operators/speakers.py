@@ -2,151 +2,149 @@
 
 from __future__ import annotations
 
-import re
+import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from utterlake.functions import text as T
 from utterlake.functions.fold import chain_map
-from utterlake.operators.intervals import assign_speakers, renumber
-from utterlake.sources.derived import WORD
-
-RESPONSES = frozenset(T.RESPONSES)
-
-
-def answers(word: str | None, before: str | None = None) -> bool:
-    """The helper's form of is_response_word()."""
-    clean = re.sub(r"[.,!?]+$", "", (word or "").strip().lower())
-    return clean in RESPONSES or (before is not None and before.strip().endswith("?"))
-
-
-def smooth(words: list[dict], default: str, near: float = 0.25, edge: float = 0.45) -> list[dict]:
-    """Speakers of single stray words are set to their neighbours', left to right, in place."""
-    for w in words:
-        w["speaker"] = w["speaker"] or default
-    gap = lambda i: words[i + 1]["start"] - words[i]["end"]
-    for i in range(1, len(words) - 1):
-        a, b, c = words[i - 1 : i + 2]
-        if a["speaker"] == c["speaker"] != b["speaker"] and not answers(b["word"], a["word"]) and gap(i - 1) < near and gap(i) < near:
-            b["speaker"] = a["speaker"]
-    if words[0]["speaker"] != words[1]["speaker"] and not answers(words[0]["word"]) and gap(0) < edge:
-        words[0]["speaker"] = words[1]["speaker"]
-    if words[-1]["speaker"] != words[-2]["speaker"] and not answers(words[-1]["word"], words[-2]["word"]) and gap(len(words) - 2) < edge:
-        words[-1]["speaker"] = words[-2]["speaker"]
-    return words
-
-
-def cut(words: list[dict], default: str, max_gap: float = 0.45) -> list[tuple[str, list[dict]]] | None:
-    """Runs of one speaker, single stray words taken into a neighbour; None if nothing is to be cut."""
-    timed = all(w["start"] is not None and w["end"] is not None for w in words)
-    if len({w["speaker"] for w in words if w["speaker"]}) < 2 or len(words) < 2 or not timed:
-        return None
-    runs: list[tuple[str, list[dict]]] = []
-    for w in words:
-        who = w["speaker"] or (runs[-1][0] if runs else default)
-        if runs and runs[-1][0] == who:
-            runs[-1][1].append(w)
-        else:
-            runs.append((who, [w]))
-    i = 0
-    while i < len(runs):
-        only = runs[i][1]
-        if len(only) == 1:
-            before = runs[i - 1][1][-1] if i else None
-            if not answers(only[0]["word"], before and before["word"]):
-                if before and only[0]["start"] - before["end"] < max_gap:
-                    runs[i - 1][1].append(only[0])
-                    del runs[i]
-                    continue
-                if i + 1 < len(runs) and runs[i + 1][1][0]["start"] - only[0]["end"] < max_gap:
-                    runs[i + 1][1].insert(0, only[0])
-                    del runs[i]
-                    continue
-        i += 1
-    return runs
+from utterlake.operators.intervals import assign_speakers, renumber, with_speaker
+
+ARRAYS = ("start", "end", "who", "answers")
+
+
+def _take(words: Column, fallback: Column) -> Column:
+    """What the helper needs of a row's words: times, speakers (missing ones are the row's), and which words are answers."""
+    before = lambda i: F.when(i > 0, F.get(words, i - 1)["word"])
+    return F.struct(
+        words["start"].alias("start"), words["end"].alias("end"),
+        F.transform(words, lambda w: F.coalesce(F.nullif(w["speaker"], F.lit("")), fallback)).alias("who"),
+        F.transform(words, lambda w, i: T.is_response_word(w["word"], before(i))).alias("answers"),
+    )
+
+
+def smoothed(gap: np.ndarray, who: np.ndarray, answers: np.ndarray, near: float = 0.25, edge: float = 0.45) -> np.ndarray:
+    """The words' speakers once stray words follow their neighbours. gap[i] lies between the words i and i + 1.
+
+    A word is stray if both neighbours have one other speaker. After a stray word that has changed, the next one has its own
+    speaker on its left: so of stray words in a row every second one changes, from the first on.
+    """
+    out = who.copy()
+    left, own, right = who[:-2], who[1:-1], who[2:]
+    stray = (left == right) & (own != left) & ~answers[1:-1] & (gap[:-1] < near) & (gap[1:] < near)
+    place = np.arange(len(stray))
+    changes = stray & ((place - np.maximum.accumulate(np.where(stray, -1, place))) % 2 == 1)
+    out[1:-1][changes] = left[changes]
+    for at, beside, between in ((0, 1, 0), (-1, -2, -1)):
+        if not answers[at] and gap[between] < edge:
+            out[at] = out[beside]
+    return out
+
+
+def runs_of(gap: np.ndarray, who: np.ndarray, answers: np.ndarray, max_gap: float = 0.45) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, speaker) of each part: runs of one speaker, where a lone word that is no answer joins the run before it
+    within max_gap, else the one after it.
+
+    A lone word goes forward only over a gap that the next run can't go back over, so that no run's choice depends on another's,
+    but for one: a run that a lone word has joined from the left stays where it is.
+    """
+    first = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
+    lone = (np.append(first[1:], len(who)) - first == 1) & ~answers[first]
+    close = gap[first[1:] - 1] < max_gap
+    back, ahead = np.append(False, close), np.append(close, False)
+    forward = lone & ~back & ahead
+    joined = np.append(False, forward[:-1])
+    back &= lone & ~joined
+    return first[~(back | joined)], who[first[~(back | forward)]]
 
 
-PART = f"struct<part:bigint,speaker:string,text:string,start:double,end:double,words:array<{WORD}>>"
+FIX = "struct<who:array<string>,first:array<int>,speaker:array<string>>"
 
 
-def word_speaker_fix(segments: DataFrame, max_gap: float = 0.45, split: bool = True) -> DataFrame:
-    """segments with the array `parts`; null parts: the row stays as it is (with smoothed words in part -1)."""
+def word_speaker_fix(max_gap: float = 0.45):
+    """A vectorised helper: _take()'s arrays of a row to its smoothed speakers, and the first word and speaker of each part.
 
-    def fixed(words, speaker: str | None) -> list[dict] | None:
-        own = [dict(w) for w in words] if words is not None else []
-        default = speaker or "UNKNOWN"
-        timed = bool(own) and all(w["start"] is not None and w["end"] is not None for w in own)
-        if len(own) >= 2 and timed:
-            own = smooth(own, default)
-        runs = cut(own, default, max_gap) if split else None
-        if runs is None:
-            return [{"part": -1, "speaker": speaker, "text": None, "start": None, "end": None, "words": own}]
-        if len(runs) == 1:
-            return [{"part": -1, "speaker": runs[0][0], "text": None, "start": None, "end": None, "words": own}]
-        out = []
-        for k, (who, said) in enumerate(runs):
-            text = " ".join((w["word"] or "").strip() for w in said).strip()
-            if text:
-                start, end = min(w["start"] for w in said), max(w["end"] for w in said)
-                out.append({"part": k, "speaker": who, "text": text, "start": start, "end": end, "words": said})
-        return out
+    Only rows of two or more timed words may be given to it; null stays null.
+    """
 
-    @F.pandas_udf(f"array<{PART}>")
-    def parts(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for words, speakers in batches:
-            yield pd.Series([fixed(w, s) for w, s in zip(words, speakers, strict=True)], dtype=object)
+    @F.pandas_udf(FIX)
+    def fix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for start, end, who, answers in zip(*(batch[c] for c in ARRAYS), strict=True):
+                if start is None:
+                    out.append((None, None, None))
+                    continue
+                gap, answers = np.asarray(start)[1:] - np.asarray(end)[:-1], np.asarray(answers, bool)
+                who = smoothed(gap, np.asarray(who, object), answers)
+                first, speaker = runs_of(gap, who, answers, max_gap)
+                out.append((who, first, speaker if (who != who[0]).any() else [None]))  # one speaker only: the row keeps its own
+            yield pd.DataFrame(out, columns=["who", "first", "speaker"])
 
-    return segments.withColumn("parts", parts("words", "speaker"))
+    return fix.asNondeterministic()  # it isn't, but so Spark neither repeats it nor moves it into another expression
+
+
+def _fixed(segments: DataFrame, max_gap: float = 0.45) -> DataFrame:
+    """segments with `fix` (null unless two or more timed words name several speakers), and missing word speakers filled in.
+    """
+    words, fallback = F.col("words"), F.coalesce(F.nullif("speaker", F.lit("")), F.lit("UNKNOWN"))
+    timed = F.forall(words, lambda w: w["start"].isNotNull() & w["end"].isNotNull())
+    fit = (F.size(words) > 1) & timed & ~F.coalesce("is_placeholder", F.lit(False))
+    s = segments.withColumn("fit", F.coalesce(fit, F.lit(False))).withColumn("take", F.when(F.col("fit"), _take(words, fallback)))
+    several = F.size(F.array_distinct("take.who")) > 1
+    s = s.withColumn("fix", word_speaker_fix(max_gap)(F.when(several, F.col("take"))))
+    who = F.coalesce("fix.who", "take.who")
+    return s.withColumn("words", F.when(F.col("fit"), F.zip_with(words, who, with_speaker)).otherwise(words)).drop("fit", "take")
 
 
 def smooth_word_speakers(segments: DataFrame) -> DataFrame:
     """segments with the words' speakers smoothed; the rows' own speakers stay."""
-    out = word_speaker_fix(segments, split=False)
-    return out.withColumn("words", F.element_at("parts", 1)["words"]).drop("parts").select(*segments.columns)
+    return _fixed(segments).select(*segments.columns)
 
 
 def split_by_speaker(segments: DataFrame, max_gap: float = 0.45) -> DataFrame:
     """One row per run of a speaker; seq is new. Rows whose words name fewer than two speakers don't reach the helper."""
-    filled = F.transform("words", lambda w: F.coalesce(w["speaker"], "speaker", F.lit("UNKNOWN")))
-    several = (F.size(F.array_distinct(filled)) > 1) & ~F.coalesce("is_placeholder", F.lit(False))
-    marked = segments.withColumn("several", F.coalesce(several, F.lit(False)))
-    same = marked.filter("not several").drop("several").withColumn("part", F.lit(0).cast("long"))
-    cut_rows = word_speaker_fix(marked.filter("several").drop("several"), max_gap).withColumn("p", F.explode("parts"))
+    s = _fixed(segments, max_gap)
+    n = F.size("fix.first")
+    till = lambda i: F.when(i + 1 < n, F.get("fix.first", i + 1)).otherwise(F.size("words"))
+    piece = lambda at, i: F.struct(F.get("fix.speaker", i).alias("speaker"), F.slice("words", at + 1, till(i) - at).alias("words"))
+    s = s.withColumn("pieces", F.when(n > 1, F.transform("fix.first", piece)))
+    s = s.select(*segments.columns, F.when(n == 1, F.get("fix.speaker", F.lit(0))).alias("only"), F.posexplode_outer("pieces").alias("part", "p"))
+    cut = F.col("p").isNotNull()
+    s = s.withColumn("said", F.when(cut, T.strip(F.array_join(F.transform("p.words", lambda w: T.strip(w["word"])), " "))))
     new = {
-        "speaker": F.col("p.speaker"), "words": F.col("p.words"), "text": F.coalesce("p.text", "text"),
-        "start": F.when(F.col("p.part") < 0, F.col("start")).otherwise(F.round("p.start", 3)),
-        "end": F.when(F.col("p.part") < 0, F.col("end")).otherwise(F.round("p.end", 3)),
+        "speaker": F.when(cut, F.col("p.speaker")).otherwise(F.coalesce("only", "speaker")), "text": F.when(cut, F.col("said")).otherwise(F.col("text")),
+        "words": F.when(cut, F.col("p.words")).otherwise(F.col("words")),
+        "start": F.when(cut, F.round(F.array_min("p.words.start"), 3)).otherwise(F.col("start")),
+        "end": F.when(cut, F.round(F.array_max("p.words.end"), 3)).otherwise(F.col("end")),
     }
-    pieces = cut_rows.select(*[new.get(c, F.col(c)).alias(c) for c in segments.columns], F.col("p.part").alias("part"))
-    return renumber(same.unionByName(pieces), "seq", "part").select(*segments.columns)
+    rows = s.filter("said is null or said <> ''").select(*[new.get(c, F.col(c)).alias(c) for c in segments.columns], "part")
+    return renumber(rows, "seq", "part").select(*segments.columns)
 
 
 def _settle(max_gap: float, max_passes: int):
-    """Solve one chain: rows (start, end, n_words, fixed, speaker) with its fixed ends included."""
+    """Solve one chain: rows (start, end, n_words, fixed, speaker) with its fixed ends included.
+
+    What a row may do depends on times and lengths alone: take the speaker that both neighbours share, or, as a lone word, that
+    of one side (-1 or 1; 0: its own). Only the speakers change from pass to pass; a pass that changes none is the last.
+    """
 
     def solve(rows: list[tuple]) -> list[str | None]:
-        who = [r[4] for r in rows]
+        start, end, n_words, fixed, who = map(list, zip(*rows, strict=True))
+        gap = [math.inf, *(b - a for a, b in zip(end, start[1:])), math.inf]  # before each row, and after the last
+        lone = [(-1 if gap[i] < 0.35 else int(gap[i + 1] < 0.35)) if n_words[i] < 2 else 0 for i in range(len(who))]
+        moves = [(i, 0 < i < len(who) - 1 and min(gap[i : i + 2]) <= max_gap, lone[i]) for i in range(len(who)) if not fixed[i]]
         for _ in range(max_passes):
-            changed = False
-            for i, (start, end, n, fixed, _own) in enumerate(rows):
-                if fixed:
-                    continue
-                before = start - rows[i - 1][1] if i else None
-                after = rows[i + 1][0] - end if i + 1 < len(rows) else None
-                if before is not None and after is not None and who[i - 1] and who[i - 1] == who[i + 1]:
-                    if (before <= max_gap or after <= max_gap) and who[i] != who[i - 1]:
-                        who[i], changed = who[i - 1], True
-                        continue
-                if n <= 1:
-                    if before is not None and before < 0.35:
-                        who[i], changed = who[i - 1], True
-                    elif after is not None and after < 0.35:
-                        who[i], changed = who[i + 1], True
-            if not changed:
+            was = list(who)
+            for i, between, side in moves:
+                shared = who[i - 1] if between and who[i - 1] == who[i + 1] else None
+                who[i] = shared or who[i + side]
+            if who == was:
                 break
         return who
 

@@ -37,15 +37,13 @@ def segment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.withColumn("start_cs", F.col("end_cs") - F.col("dur_cs"))
 
 
-def segments(spark: SparkSession, sf_dir: str, words: bool = True, most: int | None = None) -> DataFrame:
-    """recording_id, seq, start, end, text, avg_logprob, no_speech_prob, speaker, is_placeholder, words.
-
-    words holds every word of the text, or the first `most` (60 gives the words of SQL).
-    """
+def segments(spark: SparkSession, sf_dir: str, words: bool = True) -> DataFrame:
+    """recording_id, seq, start, end, text, avg_logprob, no_speech_prob, speaker, is_placeholder, words."""
     r = segment_rows(spark, sf_dir)
     i, s = F.col("recording_id"), F.col("seq")
-    pieces = F.split("text", " ", -1)
-    n = F.size(pieces)
+    if words:
+        r = r.withColumn("pieces", F.split("text", " ", -1)).withColumn("n", F.size("pieces"))  # columns: once a row, not once a word
+    n = F.col("n")
 
     def word(x, k):
         at = F.col("start_cs") + F.floor(F.col("dur_cs") * k / n).cast("long")
@@ -58,7 +56,7 @@ def segments(spark: SparkSession, sf_dir: str, words: bool = True, most: int | N
         cs(-((31 * i + 17 * s) % 140)).alias("avg_logprob"), cs((11 * i + 29 * s) % 100).alias("no_speech_prob"),
         F.when((5 * i + 3 * s) % 13 != 0, F.concat(F.lit("SPEAKER_0"), ((i + F.floor(s / 2)) % 3).cast("string"))).alias("speaker"),
         F.lit(False).alias("is_placeholder"),
-        *([F.transform(pieces if most is None else F.slice(pieces, 1, most), word).alias("words")] if words else []),
+        *([F.transform("pieces", word).alias("words")] if words else []),
     )
 
 
@@ -80,6 +78,18 @@ def recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second-pass candidates: times count from their zone's window; every 19th has an error instead."""
+    r = segment_rows(spark, sf_dir).filter("seq % 5 = 2")
+    i, s = F.col("recording_id"), F.col("seq")
+    at, failed = 30 + i % 7 * 10, (i + s) % 19 == 0
+    return r.select(
+        "recording_id", F.floor(s / 5).alias("zone_id"), cs(at).alias("rel_start"), cs(at + F.col("dur_cs")).alias("rel_end"),
+        F.when(~failed, F.concat("text", F.lit(" (2)"))).alias("text"), cs(-((13 * i + 7 * s) % 130)).alias("avg_logprob"),
+        cs((3 * i + s) % 100).alias("no_speech_prob"), F.when(failed, F.concat(F.lit("the model ran out of memory while it read the chunk "), s.cast("string"))).alias("error"),
+    )
+
+
 def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = segment_rows(spark, sf_dir).groupBy("recording_id").agg(F.max("end_cs").alias("m"), F.count("*").alias("n_raw"))
     path = F.concat(F.lit("/Transcribe/rec"), F.col("recording_id").cast("string"), F.lit(".mp4"))
@@ -136,13 +146,18 @@ words AS (SELECT recording_id, seq, i AS word_idx, word, CAST(t_at AS DOUBLE) /
           CASE WHEN (recording_id + seq + i) % 17 <> 0 THEN CAST((3 * recording_id + 5 * seq + 7 * i) % 100 AS DOUBLE) / 100 END AS score
           FROM (SELECT *, start_cs + (dur_cs * i) // nw AS t_at FROM
                 (SELECT recording_id, seq, dur_cs, start_cs, len(p) AS nw, unnest(p) AS word, generate_subscripts(p, 1) - 1 AS i
-                 FROM (SELECT *, string_split(text, ' ') AS p FROM segments)) WHERE i < 60)),
+                 FROM (SELECT *, string_split(text, ' ') AS p FROM segments)))),
 turns AS (SELECT recording_id, CAST(t_at AS DOUBLE) / 100 AS "start", CAST(t_at + 800 AS DOUBLE) / 100 AS "end", speaker FROM
           (SELECT recording_id, 700 * k + 50 * (recording_id % 3) AS t_at, 'SPEAKER_0' || CAST((k * k + recording_id) % 3 AS VARCHAR) AS speaker FROM
            (SELECT recording_id, unnest(range(0, max(end_cs) // 700 + 1)) AS k FROM segments GROUP BY recording_id))),
 recovered AS (SELECT recording_id, seq, CAST(start_cs + 30 AS DOUBLE) / 100 AS "start", CAST(end_cs + 40 AS DOUBLE) / 100 AS "end", text || ' (2)' AS text,
               CAST(-((13 * recording_id + 7 * seq) % 130) AS DOUBLE) / 100 AS avg_logprob, seq // 5 AS zone_id
               FROM segments WHERE seq % 5 = 2),
+candidates AS (SELECT recording_id, seq // 5 AS zone_id, CAST(30 + recording_id % 7 * 10 AS DOUBLE) / 100 AS rel_start, CAST(30 + recording_id % 7 * 10 + dur_cs AS DOUBLE) / 100 AS rel_end,
+               CASE WHEN (recording_id + seq) % 19 <> 0 THEN text || ' (2)' END AS text, CAST(-((13 * recording_id + 7 * seq) % 130) AS DOUBLE) / 100 AS avg_logprob,
+               CAST((3 * recording_id + seq) % 100 AS DOUBLE) / 100 AS no_speech_prob,
+               CASE WHEN (recording_id + seq) % 19 = 0 THEN 'the model ran out of memory while it read the chunk ' || seq END AS error
+               FROM segments WHERE seq % 5 = 2),
 recordings AS (SELECT recording_id, '/Transcribe/rec' || recording_id || '.mp4' AS path, CAST(max(end_cs) + 1000 AS DOUBLE) / 100 AS duration,
                count(*) AS n_raw, CAST(max(end_cs) * 7 AS DOUBLE) / 100 AS elapsed FROM segments GROUP BY recording_id),
 audio AS (SELECT recording_id, chunk_idx, 64 * chunk_idx + i - 1 AS pos, CAST(embedding[i] AS DOUBLE) * CASE WHEN chunk_idx % 3 = 0 THEN 0.01::DOUBLE ELSE 1.0::DOUBLE END AS x
