@@ -274,6 +274,78 @@ def test_linked_references_of_an_article_stay():
     assert "some" not in html_text.main_text(f"<article>{text}</article><nav><ul>{item * 3}</ul></nav>", tree)
 
 
+LINE = "word " * 20
+
+
+@pytest.mark.parametrize(
+    ("page", "n"),
+    [
+        (f"<html><head><title>t</title><body><article><p>{LINE}</article>", 20),
+        (f"<datalist><option>A<option>B</datalist><p>{LINE}", 20),
+        (f"<article><p data-x=it's>{LINE}</p><p>{LINE}</p><p title=that's>{LINE}</p></article>", 60),
+        (f"<article><p title='a > b' data-y=\"<p>\">{LINE}</p></article>", 20),
+        (f'<div class="post-with-sidebar"><p>{LINE}</p></div>', 20),
+        (f'<div class="tags-page content"><p>{LINE}</p></div>', 20),
+        (f'<article class="discussion-of-results"><p>{LINE}</p></article>', 20),
+        (f"<form id=aspnetForm><article><p>{LINE}</p></article></form>", 20),
+        (f"<section class=alert><article><p>{LINE}</p></article></section>", 20),
+        (f'<div class="sidebar-content"><p>{LINE}</p></div>', 0),
+        (f"<article><p class=ad>x<div>{LINE}</div></article>", 20),
+        (f"<ul><li class=ad>{LINE}<li>{LINE}</ul>", 20),
+    ],
+)
+def test_pages_as_they_are_written(page, n):
+    assert len(html_text.main_text(page, html_text.grow_tree(*html_text.labelled_blocks())).split()) == n
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a b='", '<a href="', "<b></i>", "<div></p>", "<p><svg>", "<!-- ", "<p><option>a", "<div><script>a</div>", "<ul><li>", "x<y ", "&amp"])
+def test_reading_takes_time_in_proportion(part):
+    import time
+
+    began = time.process_time()
+    html_text.blocks(part * (1_000_000 // len(part)))
+    assert time.process_time() - began < 5
+
+
+def test_tree_on_pages_drawn_anew():
+    assert html_text.held_out_accuracy() > 0.95
+
+
+def test_given_pages_like_another_parser(spark):
+    """The article's text by the standard library's parser; the given pages have all of their text in one article."""
+    import os
+    from html.parser import HTMLParser
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no test tables")
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside, self.lines = False, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.inside = self.inside or tag == "article"
+            if tag in html_text.BLOCK:
+                self.lines.append("")
+
+        def handle_endtag(self, tag):
+            if tag in html_text.BLOCK:
+                self.lines.append("")
+            self.inside = self.inside and tag != "article"
+
+        def handle_data(self, data):
+            if self.inside:
+                self.lines[-1] += data
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    for r in html_text.extract_text(pages).join(pages.select("page_id", "html"), "page_id").collect():
+        parser = Article()
+        parser.feed(r.html)
+        parser.close()
+        assert r.text == "\n".join(t for t in (" ".join(x.split()) for x in parser.lines) if t) and r.n_chars == len(r.text)
+
+
 def brute_rules(text):
     import re
 

@@ -1,21 +1,28 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
-A page is read once into blocks (text between block-level tags). A block is described by its own word count and
-link density, those of the blocks before and after it, and where it stands (kinds of sections around it, its tag).
-The tree is grown with numpy on a small labelled table (labelled_pages(): each kind of surrounding with blocks of
-many sizes); the tree is then applied to every block of every page.
-
-Blocks keep the page's order; character references are decoded, white space becomes one space, blocks are joined by
-a line break. Scripts, styles, comments and the head are no text.
-
-Defined cases: null or empty html gives an empty text; a page without markup is one block; unclosed or stray tags
-are closed by what encloses them; every input row gives one output row; extra columns are ignored.
+A page is read once into blocks (text between block-level tags). A block is described by its own word count and link density,
+those of the blocks before and after it, the kind of the nearest container that names itself (by tag, or by words in class, id
+or role), whether it lies in an article, and its tag. The tree is grown with numpy on a small labelled table: some pages of
+several make-ups (labelled_pages()), with block sizes drawn at random; held_out_accuracy() reads pages drawn anew. Containers
+that name themselves settle their blocks; elsewhere the sizes and links of a block and its neighbours do.
+
+Reading follows html's own rules as far as texts depend on them: attribute values may hold > and other quotes, some end tags may be
+left out, scripts and the like end at their end tag only. What is never closed ends with what encloses it. Each character is read a
+bounded number of times, whatever the page holds.
+
+Blocks keep the page's order; character references are decoded, white space becomes one space, blocks are joined by a line break.
+Scripts, styles, comments and the head are no text.
+
+Defined cases: null or empty html gives an empty text; a page without markup is one block; unclosed or stray tags are closed by what
+encloses them; very long pages are read whole; every input row gives one output row, repeated rows and null ids included; an empty
+table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +32,17 @@ from pyspark.sql import functions as F
 
 from utterlake.llm.common import small_batches, table
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: One attribute: a name, and perhaps a value in double quotes, in single ones, or (with any quotes inside) in none.
+_ATTRIBUTE = r"""[\s/]*+[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+))?+"""
+TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"  # a comment
+    r"|<(?:[!?]|/(?![a-zA-Z]))[^>]*+(?:>|\Z)"  # a declaration, or what counts as a comment
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)((?:{_ATTRIBUTE})*+)[\s/]*+(?:>|\Z)",
+    re.S,
+)
+NAMES_OF = re.compile(r"""(?<![^\s"'/])(?:class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']*+))""", re.I)
 #: Tags whose content is never text. A head holds these and empty tags only; what else stands in it, unclosed, is the page's.
-DROPPED = frozenset("script style noscript template title svg math iframe object select textarea button option canvas audio video".split())
+DROPPED = frozenset("script style noscript template title svg math iframe object select datalist textarea button canvas audio video".split())
 #: Of these, tags whose content isn't read as tags, and tags that hold others of their kind.
 RAW = frozenset("script style title iframe textarea".split())
 NESTED = frozenset("template svg math object canvas audio video".split())
@@ -38,117 +52,161 @@ BLOCK = frozenset(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-#: Kinds of surroundings that a block's features name, by tag or by words in class, id or role.
+#: Open elements that a start tag closes, up to the nearest element of the third kind.
+CLOSES = {
+    **dict.fromkeys(("li",), ({"li", "p"}, {"ul", "ol", "menu", "dir"})), **dict.fromkeys(("dt", "dd"), ({"dt", "dd", "p"}, {"dl"})),
+    **dict.fromkeys(("td", "th"), ({"td", "th", "p"}, {"tr", "table"})), "tr": ({"tr", "td", "th", "p"}, {"table"}),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), ({"tbody", "thead", "tfoot", "tr", "td", "th", "p"}, {"table"})),
+}
+PLAIN = ({"p"}, {"td", "th", "table", "li", "blockquote", "article", "section", "div", "form", "fieldset", "dd", "figure", "details"})
+#: Kinds of containers, by tag or by whole words in class, id or role.
 KINDS = {
-    "main": (frozenset("article main".split()), re.compile(r"\b(article|main|post|entry|story|content|body)", re.I)),
-    "menu": (frozenset("nav menu".split()), re.compile(r"\b(nav|navbar|menu|breadcrumbs?|pagination|pager|tabs|toc)", re.I)),
-    "edge": (frozenset("header footer".split()), re.compile(r"\b(header|footer|masthead|banner|copyright|colophon)", re.I)),
-    "side": (frozenset("aside".split()), re.compile(r"\b(aside|side-?bar|related|recommended|widget|share|social|promo|complementary|tags)", re.I)),
-    "advert": (frozenset(), re.compile(r"\b(ads?|advert\w*|sponsor\w*|cookie\w*|consent|notice|popup|modal|newsletter|subscribe|alert|gdpr)\b", re.I)),
-    "form": (frozenset("form fieldset label".split()), re.compile(r"\b(form|login|signup|search)\b", re.I)),
-    "comments": (frozenset(), re.compile(r"\b(comments?|replies|reply|respond|disqus|discussion)", re.I)),
+    "main": ("article main", "article main post entry story content body text prose maincontent articlebody"),
+    "menu": ("nav menu", "nav navbar navigation menu breadcrumb breadcrumbs pagination pager tabs toc"),
+    "edge": ("header footer", "header footer masthead banner copyright colophon contentinfo"),
+    "side": ("aside", "aside sidebar side related recommended widget widgets share sharing social promo complementary tags sidenav"),
+    "advert": ("", "ad ads advert advertisement advertising adsense sponsor sponsored cookie cookies consent notice popup modal newsletter subscribe alert gdpr"),
+    "form": ("form fieldset", "form login signup search"),
+    "comments": ("", "comment comments reply replies respond disqus"),
 }
-NAMES = ["words", "links", "words_before", "links_before", "words_after", "links_after", *KINDS, "heading", "paragraph", "item"]
+KIND_OF_TAG = {t: k for k, (tags, _) in enumerate(KINDS.values()) for t in tags.split()}
+KIND_OF_WORD = {w: k for k, (_, words) in enumerate(KINDS.values()) for w in words.split()}
+MAIN, OTHER = 0, len(KINDS)
+#: After these words a name says what else there is (post-with-sidebar), not what this is; a name that ends with "page" is a whole page's.
+BESIDES = re.compile(r"(^|[-_])(with|has|no|without|of|and|is|not)([-_]|$).*", re.I)
+NAMES = ["words", "links", "words_before", "links_before", "words_after", "links_after", *KINDS, "in_article", "heading", "paragraph", "item"]
 
 
 class Block:
-    __slots__ = ("text", "words", "linked", "kinds", "tag")
+    __slots__ = ("text", "words", "linked", "kind", "inside", "tag")
 
-    def __init__(self, text: str, linked: int, kinds: tuple[bool, ...], tag: str):
-        self.text, self.words, self.linked, self.kinds, self.tag = text, len(text.split()), linked, kinds, tag
+    def __init__(self, text: str, linked: int, kind: int, inside: bool, tag: str):
+        self.text, self.words, self.linked, self.kind, self.inside, self.tag = text, len(text.split()), linked, kind, inside, tag
 
 
-def _kinds(tag: str, attributes: str, before: tuple[bool, ...]) -> tuple[bool, ...]:
-    if tag in ("body", "html", "head"):
-        return before
-    named = " ".join(next(filter(None, m), "") for m in ATTRIBUTE.findall(attributes)) if attributes else ""
-    own = tuple(tag in tags or bool(named and words.search(named)) for tags, words in KINDS.values())
-    return tuple(a or b for a, b in zip(before, own, strict=True))
+def container_kind(tag: str, attributes: str) -> int:
+    """The kind of container that a tag names itself, or OTHER. The tag outranks its names, and junk names outrank main ones."""
+    if tag in KIND_OF_TAG:
+        return KIND_OF_TAG[tag]
+    if not attributes or tag in ("body", "html", "head"):
+        return OTHER
+    found = set()
+    for groups in NAMES_OF.findall(attributes):
+        for name in "".join(groups).split():
+            words = re.findall(r"[A-Z]?[a-z]+|[A-Z]+", BESIDES.sub("", name)) if not name.lower().endswith("page") else []
+            found.update(KIND_OF_WORD[w] for w in map(str.lower, words) if w in KIND_OF_WORD)
+    junk = found - {MAIN}
+    return min(junk) if junk else MAIN if found else OTHER
 
 
-def _after(html: str, tag: str, at: int, around: set[str], endless: set[str]) -> int:
+def _after(html: str, tag: str, at: int, around: Counter, endless: set[str]) -> int:
     """Where a dropped tag's content ends that begins at `at`: after its end tag, else before that of a tag around it.
 
     endless collects the raw tags that no end tag follows any more.
     """
     if tag in RAW and tag not in endless:
-        if end := re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at):
+        if end := re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at):
             return end.end()
         endless.add(tag)
-    opened: dict[str, int] = {}
+    opened: Counter = Counter()
     while m := TOKEN.search(html, at):
         at = m.end()
         if m[2] is None:
             continue
         name = m[2].lower()
         if m[1]:
-            if opened.get(name):
+            if opened[name]:
                 opened[name] -= 1
             elif name == tag:
                 return at
-            elif name in around:
+            elif around[name]:
                 return m.start()
-        elif name not in VOID and not m[3].rstrip().endswith("/"):
+        elif name not in VOID and not m[0].endswith("/>"):
             if name in RAW and name not in endless:
-                if end := re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at):
+                if end := re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(html, at):
                     at = end.end()
                 else:
                     endless.add(name)
             elif name != tag or tag in NESTED:
-                opened[name] = opened.get(name, 0) + 1
+                opened[name] += 1
     return len(html)
 
 
+class _Page:
+    """The open elements of a page that is read, and its blocks so far."""
+
+    def __init__(self):
+        self.blocks: list[Block] = []
+        self.stack: list[tuple[str, int, bool]] = [("", OTHER, False)]  # tag, kind of the nearest container, in an article
+        self.open: Counter = Counter()  # of the stack's tags
+        self.parts: list[str] = []
+        self.linked: list[str] = []
+        self.link = 0  # the stack's height where a link was opened
+
+    def data(self, text: str) -> None:
+        text = references.unescape(text) if "&" in text else text
+        self.parts.append(text)
+        if self.link:
+            self.linked.append(text)
+
+    def close_block(self) -> None:
+        words = "".join(self.parts).split()
+        if words:
+            tag, kind, inside = self.stack[-1]
+            self.blocks.append(Block(" ".join(words), min(len(words), len(" ".join(self.linked).split())), kind, inside, tag))
+        self.parts.clear()
+        self.linked.clear()
+
+    def pop(self) -> None:
+        self.open[self.stack.pop()[0]] -= 1
+        if self.link > len(self.stack):
+            self.link = 0
+
+    def start(self, tag: str, attributes: str, empty: bool) -> None:
+        if tag == "a":
+            self.link = len(self.stack)
+        if tag not in BLOCK:
+            return
+        self.close_block()
+        closed, until = CLOSES.get(tag, PLAIN)
+        while any(self.open[t] for t in closed) and self.stack[-1][0] not in until:
+            self.pop()
+        if tag not in VOID and not empty:
+            own, (_, kind, inside) = container_kind(tag, attributes), self.stack[-1]
+            self.stack.append((tag, kind if own == OTHER else own, inside or own == MAIN))
+            self.open[tag] += 1
+
+    def end(self, tag: str) -> None:
+        if tag == "a":
+            self.link = 0
+        if tag in BLOCK:
+            self.close_block()
+            if self.open[tag]:
+                while self.stack[-1][0] != tag:
+                    self.pop()
+                self.pop()
+
+
 def blocks(html: str | None) -> list[Block]:
     """The page's non-empty text blocks, in order."""
-    html = html or ""
-    out: list[Block] = []
-    stack: list[tuple[str, tuple[bool, ...]]] = [("", (False,) * len(KINDS))]
-    parts: list[str] = []
-    linked: list[str] = []
+    html, page, at = html or "", _Page(), 0
     endless: set[str] = set()
-    in_link, at = 0, 0
-
-    def close() -> None:
-        text = " ".join(references.unescape("".join(parts)).split())
-        if text:
-            tag = next((t for t, _ in reversed(stack) if t in BLOCK), "")
-            words = len(references.unescape(" ".join(linked)).split())
-            out.append(Block(text, min(words, len(text.split())), stack[-1][1], tag))
-        parts.clear()
-        linked.clear()
-
     while m := TOKEN.search(html, at):
-        data = html[at : m.start()]
-        if data:
-            parts.append(data)
-            if in_link:
-                linked.append(data)
+        if m.start() > at:
+            page.data(html[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
-        tag = m[2].lower()
+        tag, empty = m[2].lower(), m[0].endswith("/>")
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if tag in BLOCK:
-                close()
-            if depth:
-                in_link = max(0, in_link - sum(t == "a" for t, _ in stack[depth:]))
-                del stack[depth:]
-        elif tag in DROPPED:
-            if not m[3].rstrip().endswith("/"):
-                at = _after(html, tag, at, {t for t, _ in stack}, endless)
-        else:
-            if tag in BLOCK:
-                close()
-                if stack[-1][0] == tag and tag in ("p", "li", "dt", "dd", "td", "th", "tr"):  # an end tag was left out
-                    stack.pop()
-            if tag not in VOID and not m[3].rstrip().endswith("/"):
-                stack.append((tag, _kinds(tag, m[3], stack[-1][1])))
-                in_link += tag == "a"
-    parts.append(html[at:])
-    close()
-    return out
+            page.end(tag)
+        elif tag not in DROPPED:
+            page.start(tag, m[3], empty)
+        elif not empty:
+            at = _after(html, tag, at, page.open, endless)
+    page.data(html[at:])
+    page.close_block()
+    return page.blocks
 
 
 def block_features(found: list[Block]) -> np.ndarray:
@@ -157,69 +215,90 @@ def block_features(found: list[Block]) -> np.ndarray:
     own = np.array([(min(b.words, 100), b.linked / max(b.words, 1)) for b in found], float).reshape(n, 2)
     none = np.zeros((1, 2))
     near = [own, np.vstack([none, own[:-1]])[:n], np.vstack([own[1:], none])[:n]]
-    place = [(*b.kinds, b.tag[:1] == "h" and b.tag[1:].isdigit(), b.tag in ("p", "br", "blockquote", "pre"), b.tag in ("li", "td", "dd", "dt")) for b in found]
-    return np.hstack([*near, np.array(place, float).reshape(n, len(NAMES) - 6)])
-
+    kind = np.array([b.kind for b in found], int).reshape(n, 1) == np.arange(OTHER)
+    place = [(b.inside, b.tag[:1] == "h" and b.tag[1:].isdigit(), b.tag in ("p", "blockquote", "pre"), b.tag in ("li", "td", "dd", "dt")) for b in found]
+    return np.hstack([*near, kind.astype(float), np.array(place, float).reshape(n, 4)])
 
-def _words(n: int, main: bool, linked: int = 0) -> str:
-    """n words of which the first `linked` are a link; a main block's text begins with a +."""
-    words = ["word"] * n
-    return ("+" if main else "") + (f"<a>{' '.join(words[:linked])}</a> " if linked else "") + " ".join(words[linked:])
 
+def labelled_pages(n: int = 600, seed: int = 1) -> list[str]:
+    """The labelled table, as pages: a block's text tells its label (main text begins with +).
 
-def labelled_pages() -> list[str]:
-    """The labelled table, as pages: a block's text tells its label (main text begins with +)."""
-    pages = []
-    around = (
-        "<nav>{}</nav>", "<footer>{}</footer>", "<aside>{}</aside>", '<div class="ad">{}</div>', "<form>{}</form>", '<div class="sidebar">{}</div>',
-        '<div id="comments">{}</div>', '<div class="cookie-notice">{}</div>', '<div class="menu">{}</div>', '<section class="related">{}</section>',
+    A page's make-up (which parts it has, and whether they name themselves) and the sizes of its blocks are drawn at random.
+    """
+    r = np.random.default_rng(seed)
+    pick = lambda *of: of[int(r.integers(len(of)))]
+    words = lambda low, high: " ".join(["word"] * int(np.exp(r.uniform(np.log(low), np.log(high + 1)))))
+    link = lambda low, high: f"<a href=x>{words(low, high)}</a>"
+    several = lambda make, low, high: "".join(make() for _ in range(int(r.integers(low, high + 1))))
+    main_p = lambda: f"<p>+{words(1, 200)}{pick('', '', f' {link(1, 8)} {words(1, 40)}')}</p>"
+    long_p = lambda: f"<p>+{words(25, 200)}</p>"
+    refs = lambda: "<ul>" + several(lambda: f"<li>{link(1, 12).replace('word', '+word', 1)}</li>", 1, 6) + "</ul>"
+    items = lambda: "<ul>" + several(lambda: f"<li>+{words(1, 40)}</li>", 1, 6) + "</ul>"
+    menu = lambda: "<ul>" + several(lambda: f"<li>{link(1, 4)}</li>", 3, 9) + "</ul>"
+    teasers = lambda: several(lambda: f"<div>{link(2, 12)}</div>", 3, 6)
+    prose = lambda: several(lambda: f"<p>{words(1, 120)}</p>", 1, 4)
+    small = lambda: f"<div>{words(1, 14)}{pick('', ' ' + link(1, 4))}</div>"
+    boxes = (
+        "<nav>{}</nav>", "<aside>{}</aside>", "<div class=ad>{}</div>", "<form>{}</form>", '<div class="sidebar-box">{}</div>', '<div id="comments">{}</div>',
+        '<div class="cookie-notice">{}</div>', '<section class="related-posts">{}</section>', "<div class=main-menu>{}</div>", '<div class="site-footer">{}</div>',
     )
-    for n in (1, 2, 5, 9, 20, 60, 100):
-        for other in (1, 7, 40):
-            text, more = f"<p>{_words(n, True)}</p>", f"<p>{_words(other, True)}</p>"
-            pages.append(f"<header><p>{_words(n, False)}</p></header><article><h1>{_words(other, True)}</h1>{text}{more}{text}</article>")
-            pages.append(f"<main><h1>{_words(n, True)}</h1>{text}<ul><li>{_words(other, True)}</li><li>{_words(n, True)}</li></ul></main>")
-            pages.append(f'<div class="content"><h2>{_words(n, True)}</h2>{text}{more}</div>')
-            pages.append(f"<article><header><h1>{_words(n, True)}</h1></header>{text}<blockquote>{_words(other, True)}</blockquote></article>")
-            for part in around:
-                junk = part.format(f"<p>{_words(n, False)}</p>") + part.format(_words(other, False))
-                pages.append(f"{junk}<article>{more}{junk}{text}</article>{junk}")
-        if n > 4:
-            pages.append(f"<article><p>{_words(n, True, n // 4)}</p><p>{_words(n, True)}</p></article>")
-        pages.append(f"<article><p>{_words(30, True)}</p><ul>" + f"<li>{_words(n, True, n)}</li>" * 3 + "</ul></article>")
-        pages.append("<ul>" + f"<li>{_words(n, False, n)}</li>" * 4 + f"</ul><p>{_words(40, True)}</p><p>{_words(30, True)}</p>")
-        pages.append(f"<p>{_words(40, True)}</p><p>{_words(n, True)}</p><p>{_words(30, True)}</p>")
-        pages.append(f"<p>{_words(n, True)}</p>" * 3)
-        pages.append(f"<p>{_words(n, True)}</p>")
-        pages.append(_words(n, True))
+    junk = lambda: pick(*boxes).format(pick(prose, prose, menu, teasers, small)())
+    lone = lambda: pick(*boxes).format(f"<p>{words(1, 120)}</p>")
+    pages = []
+    for k in range(n):
+        kind = k % 10
+        if kind < 3:  # parts that name themselves, with junk before, in and after an article
+            head = pick("", f"<header><h1>+{words(1, 14)}</h1></header>", f"<h1>+{words(1, 14)}</h1>")
+            inner = several(lambda: pick(main_p, main_p, main_p, items, refs, lambda: f"<h2>+{words(1, 8)}</h2>", lambda: f"<blockquote>+{words(1, 60)}</blockquote>", junk)(), 2, 9)
+            box = pick("<article>{}</article>", "<main>{}</main>", '<div class="post content">{}</div>', '<div id="article-body">{}</div>')
+            end = f"<footer>{pick(prose, menu)()}</footer>"
+            pages.append(several(junk, 0, 3) + pick("", f"<header>{pick(menu, prose, small)()}</header>") + box.format(head + inner) + several(junk, 0, 3) + pick("", end))
+        elif kind < 6:  # parts without names: lists of links and small lines around longer texts
+            body = long_p() + several(lambda: pick(long_p, long_p, main_p, items)(), 1, 7) + long_p()
+            top = pick("", menu() + several(small, 0, 2), several(small, 0, 1) + menu(), small() + teasers())
+            tail = pick(menu, teasers)() + several(small, 0, 3) + pick("", menu(), several(small, 1, 2))
+            pages.append(top + pick("", f"<h1>+{words(2, 14)}</h1>") + f"<div>{body}</div>" + tail)
+        elif kind < 8:  # hardly any markup
+            pages.append(pick(f"+{words(1, 200)}", f"<p>+{words(1, 200)}</p>", several(main_p, 2, 5), f"<div>+{words(1, 200)}</div>"))
+        else:  # no main text
+            pages.append(pick(junk, lone, lone)() + pick("", junk()))
     return pages
 
 
-def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
+def labelled_blocks(n: int = 600, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
     x, y = [], []
-    for page in labelled_pages():
+    for page in labelled_pages(n, seed):
         found = blocks(page)
         x.append(block_features(found))
         y += [b.text.startswith("+") for b in found]
     return np.vstack(x), np.array(y)
 
 
-def grow_tree(x: np.ndarray, y: np.ndarray, depth: int = 12) -> tuple:
-    """Split by the least Gini impurity: (feature, threshold, left, right), or a leaf (True or False,)."""
-    if depth == 0 or y.all() or not y.any():
-        return (bool(y.mean() >= 0.5),)
-    best = None
-    for j in range(x.shape[1]):
-        for t in (np.unique(x[:, j])[:-1] + np.unique(x[:, j])[1:]) / 2:
-            left = x[:, j] <= t
-            p, q = y[left].mean(), y[~left].mean()
-            impurity = left.sum() * p * (1 - p) + (~left).sum() * q * (1 - q)
-            if best is None or impurity < best[0] - 1e-12:
-                best = (impurity, j, t)
-    if best is None:
-        return (bool(y.mean() >= 0.5),)
-    left = x[:, best[1]] <= best[2]
-    return (best[1], best[2], grow_tree(x[left], y[left], depth - 1), grow_tree(x[~left], y[~left], depth - 1))
+def grow_tree(x: np.ndarray, y: np.ndarray, depth: int = 14, least: int = 4) -> tuple:
+    """Split by the least Gini impurity into parts of `least` rows or more: (feature, threshold, left, right), or a leaf (True or False,)."""
+    n, total = len(y), y.sum()
+    best = (n * (total / n) * (1 - total / n) - 1e-9, None)
+    if depth and 0 < total < n:
+        for j in range(x.shape[1]):
+            order = np.argsort(x[:, j], kind="stable")
+            v, good = x[order, j], np.cumsum(y[order])[:-1]
+            size = np.arange(1, n)
+            cost = good * (1 - good / size) + (total - good) * (1 - (total - good) / (n - size))
+            cost = np.where((v[1:] > v[:-1]) & (size >= least) & (n - size >= least), cost, np.inf)
+            k = int(np.argmin(cost)) if n > 1 else 0
+            if n > 1 and cost[k] < best[0]:
+                best = (cost[k] - 1e-9, (j, (v[k] + v[k + 1]) / 2))
+    if best[1] is None:
+        return (bool(2 * total >= n),)
+    j, cut = best[1]
+    left = x[:, j] <= cut
+    return (j, cut, grow_tree(x[left], y[left], depth - 1, least), grow_tree(x[~left], y[~left], depth - 1, least))
+
+
+def held_out_accuracy(tree: tuple | None = None, n: int = 300, seed: int = 99) -> float:
+    """Share of blocks that the tree labels rightly on pages drawn with another seed."""
+    x, y = labelled_blocks(n, seed)
+    return float((classify(tree or grow_tree(*labelled_blocks()), x) == y).mean())
 
 
 def classify(tree: tuple, x: np.ndarray) -> np.ndarray:
