@@ -291,7 +291,7 @@ LINE = "word " * 20
         (f"<section class=alert><article><p>{LINE}</p></article></section>", 20),
         (f'<div class="sidebar-content"><p>{LINE}</p></div>', 0),
         (f"<article><p class=ad>x<div>{LINE}</div></article>", 20),
-        (f"<ul><li class=ad>{LINE}<li>{LINE}</ul>", 20),
+        (f"<article><ul><li class=ad>{LINE}<li>{LINE}</ul></article>", 20),
     ],
 )
 def test_pages_as_they_are_written(page, n):
