@@ -237,13 +237,14 @@ def labelled_pages(n: int = 600, seed: int = 1) -> list[str]:
     menu = lambda: "<ul>" + several(lambda: f"<li>{link(1, 4)}</li>", 3, 9) + "</ul>"
     teasers = lambda: several(lambda: f"<div>{link(2, 12)}</div>", 3, 6)
     prose = lambda: several(lambda: f"<p>{words(1, 120)}</p>", 1, 4)
+    lines = lambda: "<ul>" + several(lambda: f"<li>{words(1, 60)}</li>", 1, 4) + "</ul>"
     small = lambda: f"<div>{words(1, 14)}{pick('', ' ' + link(1, 4))}</div>"
     boxes = (
         "<nav>{}</nav>", "<aside>{}</aside>", "<div class=ad>{}</div>", "<form>{}</form>", '<div class="sidebar-box">{}</div>', '<div id="comments">{}</div>',
         '<div class="cookie-notice">{}</div>', '<section class="related-posts">{}</section>', "<div class=main-menu>{}</div>", '<div class="site-footer">{}</div>',
     )
-    junk = lambda: pick(*boxes).format(pick(prose, prose, menu, teasers, small)())
-    lone = lambda: pick(*boxes).format(f"<p>{words(1, 120)}</p>")
+    junk = lambda: pick(*boxes).format(pick(prose, prose, lines, menu, teasers, small)())
+    lone = lambda: pick(*boxes).format(pick("<p>{}</p>", "<ul><li>{}</li></ul>", "{}").format(words(1, 120)))
     pages = []
     for k in range(n):
         kind = k % 10
