@@ -4,36 +4,59 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: The six white-space characters that separate words in every contract here (bytes.split() splits on the same six).
 SPACES = " \t\n\x0b\x0c\r"
 
 #: Rows in an Arrow batch. Texts can be long, so that the default of 10,000 rows is too much for a worker's memory.
 BATCH_ROWS = 512
+#: Bytes in an Arrow batch. One longer row is a batch of its own.
+BATCH_BYTES = 32 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches of the session's Python operators."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> None:
+    """Bound the Arrow batches of the session's Python operators, by rows and by bytes.
+
+    Spark reads both settings when a query starts, so that they can't be put back here; they are only ever lowered.
+    """
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = spark.conf.get(name, None)
+        number = int(now) if now and now.lstrip("-").isdigit() else 0
+        if number <= 0 or number > most:
+            spark.conf.set(name, str(most))
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder's name below the cluster's shared folder (spark.checkpoint.dir).
+    """A new folder's name below the cluster's shared folder (spark.checkpoint.dir), with its file system's name in front.
 
-    Only where that setting is absent (a local session, as in tests) a temporary folder is set.
+    Only a local session (as in tests) may go without the setting; a temporary folder is set there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='utterlake-')}"
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path, system = _file_system(spark, f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return system.makeQualified(path).toString()
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+#: Paths of the tables that finished() deletes when it is done, innermost call last.
+_SCRATCH: list[list[str]] = []
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -41,23 +64,38 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def finished(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """stored(make()); the tables that make() has stored on its way are deleted afterwards."""
+    _SCRATCH.append([])
+    try:
+        df = make()
+    finally:
+        between = _SCRATCH.pop()
+    out = stored(df, name)
+    for path in between:
+        where, system = _file_system(spark, path)
+        system.delete(where, True)
+    return out
+
+
 def crc_bucket(doc_id: Column, n: int) -> Column:
     """crc32(doc_id as text) mod n; a null id counts as remainder 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, train: Column, max_rows: int, max_chars: int
+    docs: DataFrame, labels: DataFrame, label: str, train: Column, max_rows: int, max_chars: int, max_total: int = 16_000_000
 ) -> list[tuple[str, int]]:
     """At most max_rows labelled texts, half of each label, for fitting a model on the driver.
 
-    Rows are taken in order of a hash of doc_id. train: which rows of labels may be learned from.
-    Both bounds are parameters: max_rows rows, and only texts of at most max_chars characters
-    train (so the driver gets max_rows * max_chars characters at most); scoring has no such bound.
-    Null ids, labels and texts don't train; of repeated rows one does.
+    Rows are taken in order of a hash of doc_id. train: which rows of labels may be learned from. The bounds are parameters: max_rows
+    rows, only texts of at most max_chars characters, and of these the first max_total characters' worth; scoring has no such
+    bounds. Null ids, labels and texts don't train. Repeated ids are one row (the least text, the greater label) before anything is collected.
     """
     own = (
         labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y"))
@@ -68,12 +106,13 @@ def labelled_sample(
     )
     halves = [own.filter(F.col("y") == y).orderBy("o", "doc_id").limit(max_rows // 2) for y in (0, 1)]
     chosen = halves[0].unionByName(halves[1])  # max_rows small rows: broadcast
-    rows = (
+    texts = (
         docs.select("doc_id", "text")
         .filter(F.col("text").isNotNull() & (F.length("text") <= max_chars))
         .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "text", "y")
-        .collect()
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.first("y").alias("y"), F.first("o").alias("o"))
     )
-    first = {r.doc_id: (r.text, r.y) for r in sorted(rows, key=lambda r: (r.doc_id, r.text), reverse=True)}
-    return [first[k] for k in sorted(first)]
+    so_far = F.sum(F.length("text")).over(Window.orderBy("o", "doc_id"))  # max_rows rows of max_chars at most
+    rows = texts.withColumn("so_far", so_far).filter(F.col("so_far") <= max_total).select("doc_id", "text", "y").collect()
+    return [(r.text, r.y) for r in sorted(rows, key=lambda r: r.doc_id)]

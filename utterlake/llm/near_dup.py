@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from utterlake.llm.common import small_batches, stored, table
+from utterlake.llm.common import finished, small_batches, stored, table
 
 WORDS = 5
 BUCKETS = 128
@@ -183,9 +183,9 @@ def components(links: DataFrame) -> DataFrame:
 class NearDuplicates:
     """One run's tables: nodes (distinct texts), and members (who shares a band key with whom)."""
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, sketched: DataFrame):
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        self.sketched = stored(sketches(self.docs), "sketches")
+        self.sketched = sketched
         self.nodes = stored(
             self.sketched.filter("n_shingles > 0").groupBy("node", "n_shingles", "keys").agg(F.min("doc_id").alias("rep")), "nodes"
         )
@@ -337,29 +337,33 @@ class NearDuplicates:
         return stored(dealt.mapInPandas(compare, "a binary, b binary"), "block-links")
 
     def named(self) -> DataFrame:
-        """node, rep, component of each node, stored."""
+        """node, rep, component, component_id (the component's least id) of each node."""
         found = components(self.links())
-        named = self.nodes.select("node", "rep").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        return stored(named, "named")
+        own = stored(self.nodes.select("node", "rep").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "own-component")
+        least = stored(own.groupBy("component").agg(F.min("rep").alias("component_id")), "least")
+        return own.join(least, "component")
 
-    def representatives(self) -> DataFrame:
-        """doc_id, node of one text of each component that has ids, with its least id, and of each id's text without words."""
-        first = self.named().filter("rep is not null").groupBy("component").agg(F.min(F.struct("rep", "node")).alias("m"))
-        empty = self.sketched.filter("n_shingles = 0 and doc_id is not null").select("doc_id").distinct()
-        return first.select(F.col("m.rep").alias("doc_id"), "m.node").unionByName(empty.withColumn("node", node_column(F.lit(""))))
 
-    def result(self) -> DataFrame:
-        named = self.named()
-        least = stored(named.groupBy("component").agg(F.min("rep").alias("component_id")), "least")
-        by_node = stored(named.join(least, "component").select("node", "component_id"), "by_node")
-        own = self.sketched.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
-        name = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-        return own.select("doc_id", "n_shingles", name.alias("component_id"), F.coalesce(F.col("doc_id") == name, F.lit(False)).alias("kept"))
+def named_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """sketches() and NearDuplicates.named(), stored; all tables on the way to them are deleted."""
+    sketched = stored(sketches(docs), "sketches")
+    return sketched, finished(docs.sparkSession, lambda: NearDuplicates(docs, sketched).named(), "named")
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """doc_id, node of one text of each component that has ids, with its least id, and of each id's text without words."""
+    sketched, named = named_nodes(docs)
+    first = named.filter("rep is not null").groupBy("component").agg(F.min(F.struct("rep", "node")).alias("m"))
+    empty = sketched.filter("n_shingles = 0 and doc_id is not null").select("doc_id").distinct()
+    return first.select(F.col("m.rep").alias("doc_id"), "m.node").unionByName(empty.withColumn("node", node_column(F.lit(""))))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept."""
-    return NearDuplicates(docs).result()
+    sketched, named = named_nodes(docs)
+    own = sketched.select("doc_id", "n_shingles", "node").join(named.select("node", "component_id"), "node", "left")
+    name = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return own.select("doc_id", "n_shingles", name.alias("component_id"), F.coalesce(F.col("doc_id") == name, F.lit(False)).alias("kept"))
 
 
 def op1_near_dup(spark, sf_dir: str) -> DataFrame:
