@@ -13,12 +13,15 @@ Each round is written to the shared folder, so that lost executors repeat one ro
 partition's sizes and ids, never texts.
 
 Defined cases: a null text counts as empty (one piece: id 2); repeated rows and null ids are packed as rows of
-their own; extra columns are ignored; an empty table gives no rows.
+their own; very long texts are encoded whole and cut; pieces of equal length are taken in the order of doc_id, piece and checksum;
+extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import json
 import math
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,9 +39,23 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECE}, sequence_id long, offset long, bins int, bound int, open boolean"
 
 
-def token_pieces(docs: DataFrame, ranks_path: str | None = None, size: int = 1024) -> DataFrame:
-    """The pieces of each text: PIECE's columns, in pieces of at most `size` tokens."""
+def added_tokens(path: str) -> dict[str, int]:
+    """The tokens that a tokenizer's json file adds to its vocabulary: they are cut out of a text before anything else."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if odd := [t["content"] for t in tokens if t["single_word"] or t["lstrip"] or t["rstrip"]]:
+        raise ValueError(f"added tokens that depend on what stands beside them: {odd}")
+    return {t["content"]: t["id"] for t in tokens}
+
+
+def token_pieces(docs: DataFrame, ranks_path: str | None = None, size: int = 1024, added: dict[str, int] | None = None) -> DataFrame:
+    """The pieces of each text: PIECE's columns, in pieces of at most `size` tokens.
+
+    The ids are those of the tokenizer in json form that goes with the ranks: added tokens (those of the public file by default) are
+    one id each, wherever they stand; what lies between them is encoded by the ranks.
+    """
     small_batches(docs.sparkSession)
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json")) if added is None else added
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import tiktoken
@@ -49,10 +66,18 @@ def token_pieces(docs: DataFrame, ranks_path: str | None = None, size: int = 102
         bpe = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
         units = UnitIds(bpe.encode_ordinary)
         end = np.array([END], "<u4").tobytes()
+        own = {token: np.array([i], "<u4").tobytes() for token, i in added.items()}
+        around = re.compile("(" + "|".join(map(re.escape, sorted(own, key=len, reverse=True))) + ")") if own else None
+
+        def encode(text: str) -> bytes:
+            if around is None or not around.search(text):
+                return units.ids(text)
+            return b"".join(own[part] if part in own else units.ids(part) for part in around.split(text))
+
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = memoryview(units.ids(text or "") + end)
+                ids = memoryview(encode(text or "") + end)
                 n = len(ids) // 4
                 start, piece = 0, 0
                 while start < n:
@@ -145,7 +170,8 @@ def pack(pieces: DataFrame, size: int = 1024, part_items: int = 2000, gap: int =
         if not n:
             break
         parts = -(-n // part_items)
-        dealt = left.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(k)), F.lit(parts)))
+        row = F.monotonically_increasing_id()  # equal pieces aren't dealt to one part
+        dealt = left.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", row, F.lit(k)), F.lit(parts)))
         out = stored(dealt.groupBy("part").applyInPandas(_pack(size, gap, k << 56), PACKED), "packed")
         first = F.col("offset") == 0
         bins, opened = out.agg(F.count_if(first), F.count_if(first & F.col("open"))).first()
