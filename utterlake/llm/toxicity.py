@@ -6,8 +6,9 @@ penalty each training sentence is rewritten with its identity terms swapped for
 (a sentence without one gets a neutral mention), and squared changes of the score are penalised, so that
 naming a group does not move the score.
 
-Defined cases: a null text counts as empty and gets the score of an empty sentence; every input row
-gives one output row; extra columns are ignored; without both labels in the sample every score is 0.
+Defined cases: a null text counts as empty and gets the score of an empty sentence; very long texts are scored whole, sentence by
+sentence; of equally bad sentences the first trains; every input row gives one output row, repeated rows and null ids included; an
+empty table gives no rows; extra columns are ignored; without both labels in the sample every score is 0.
 """
 
 from __future__ import annotations
@@ -72,7 +73,7 @@ class Toxicity:
 class _Words(dict):
     """Word to its features that have a weight; bounded, so that a worker's memory stays flat."""
 
-    def __init__(self, weights: dict[str, float], most: int = 200_000):
+    def __init__(self, weights: dict[str, float] | dict[str, int], most: int = 200_000):
         super().__init__()
         self.weights, self.most = weights, most
 
@@ -83,20 +84,28 @@ class _Words(dict):
         return got
 
 
+def _sentences(text: str) -> Iterator[list[str]]:
+    return (WORD.findall(m[0]) for m in SENTENCE.finditer(text.lower()))
+
+
 def fit_texts(
     rows: list[tuple[str, int]], n_features: int = 1500, least_docs: int = 4, ridge: float = 3e-4,
     counterfactual: float = 0.3, toxic_share: float = 0.35, rounds: int = 3, steps: int = 150,
 ) -> Toxicity:
-    """Pick features by their log odds over documents, then fit weights on each document's worst sentence."""
+    """Pick features by their log odds over documents, then fit weights on each document's worst sentence.
+
+    Each round reads the texts again, one at a time, and keeps a worst sentence's features only, so that memory doesn't depend on
+    how many sentences a text has.
+    """
     n = Counter(y for _, y in rows)
     if len(n) < 2:
         return Toxicity({}, -30.0)
-    sentences = [[WORD.findall(s) for s in SENTENCE.findall(t.lower())] for t, _ in rows]
     y = np.array([r[1] for r in rows], float)
     share = np.where(y == 1, toxic_share / n[1], (1 - toxic_share) / n[0])
     seen = {0: Counter(), 1: Counter()}
-    for own, label in zip(sentences, y, strict=True):
-        seen[int(label)].update({f for s in own for w in s for f in features(w)})
+    for text, label in rows:
+        words = {w for s in _sentences(text) for w in s}
+        seen[label].update({f for w in words for f in features(w)})
     strength = {}
     for f, a in seen[1].items():
         b = seen[0][f]
@@ -105,20 +114,33 @@ def fit_texts(
             z = odds / math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
             if odds > 2 and z > 3.5:
                 strength[f] = z
+    seen.clear()
     names = sorted(strength, key=lambda f: (-strength[f], f))[:n_features] + list(IDENTITY)
     at = {f: i for i, f in enumerate(names)}
+    known = _Words(at)
+
+    def places(words: list[str]) -> list[int]:
+        return sorted({at[f] for w in words for f in known[w]})
 
-    def vector(words: list[str]) -> np.ndarray:
-        x = np.zeros(len(names), np.float32)
-        x[[at[f] for w in words for f in features(w) if f in at]] = 1
+    def dense(found: list[list[int]]) -> np.ndarray:
+        x = np.zeros((len(found), len(names)), np.float32)
+        for row, i in zip(x, found, strict=True):
+            row[i] = 1
         return x
 
     w, bias = np.array([1.0 if f in strength else 0.0 for f in names], np.float32), -2.0
-    chosen_of = [[(s, vector(s)) for s in own if any(f in at for q in s for f in features(q))] for own in sentences]
     for _ in range(rounds):
-        worst = [max(own, key=lambda p: float(p[1] @ w)) if own else ([], np.zeros(len(names), np.float32)) for own in chosen_of]
-        x = np.stack([v for _, v in worst])
-        change = np.stack([vector(swap_identity(s, i)) for i, (s, _) in enumerate(worst)]) - x
+        worst, swapped = [], []
+        for i, (text, _) in enumerate(rows):
+            best: tuple[float, list[int], list[str]] | None = None
+            for words in _sentences(text):
+                if (found := places(words)) and (best is None or w[found].sum() > best[0]):
+                    best = (w[found].sum(), found, words)
+            _, found, words = best or (0.0, [], [])
+            worst.append(found)
+            swapped.append(places(swap_identity(words, i)))
+        x = dense(worst)
+        change = dense(swapped) - x
         first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
         for step in range(1, steps + 1):
             p = 1 / (1 + np.exp(-np.clip(x @ w + bias, -30, 30)))
