@@ -6,8 +6,8 @@ forward-backward, averages them weighted by the lines' lengths, and calibrates t
 fitted on the same sample).
 
 Defined cases: a null text counts as empty; a text without a line that has a word gets the score of the
-calibrated prior; every input row gives one output row; extra columns are ignored; with one label only in the
-sample all scores are 0.5.
+calibrated prior; very long texts are scored whole, as one chain; every input row gives one output row, repeated rows and null ids
+included; an empty table gives no rows; extra columns are ignored; with one label only in the sample all scores are 0.5.
 """
 
 from __future__ import annotations
@@ -106,32 +106,47 @@ def _logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
+def chains(made: list[np.ndarray], longest: int = 200, most: int = 100_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts' lines as padded blocks of chains of about one length: (which text, features [chain, line], which lines there are).
+
+    A text of more than `longest` lines is several chains, for training only; all of its lines train. A block holds at most `most`
+    lines with its padding, and chains are padded to less than twice their length.
+    """
+    parts = [(i, at, min(longest, len(x) - at)) for i, x in enumerate(made) for at in range(0, len(x), longest)]
+    parts.sort(key=lambda p: p[2])
+    start = 0
+    while start < len(parts):
+        end, least = start + 1, parts[start][2]
+        while end < len(parts) and parts[end][2] < 2 * least and parts[end][2] * (end + 1 - start) <= most:
+            end += 1
+        group = parts[start:end]
+        x = np.zeros((len(group), group[-1][2], N_FEATURES), np.float32)
+        mask = np.zeros(x.shape[:2], bool)
+        for k, (i, at, n) in enumerate(group):
+            x[k, :n], mask[k, :n] = made[i][at : at + n], True
+        yield np.array([p[0] for p in group]), x, mask
+        start = end
+
+
 def fit_texts(rows: list[tuple[str, int]], ridge: float = 1e-3, steps: int = 80, rate: float = 0.1) -> LineCrf:
-    """Maximise the chains' conditional likelihood (all texts at once, padded), then calibrate."""
+    """Maximise the chains' conditional likelihood, then calibrate."""
     y = np.array([r[1] for r in rows], float)
     if len(set(y)) < 2:
         return LineCrf(np.zeros(N_FEATURES), np.zeros((2, 2)), 0.0, 0.0)
-    made = [line_features(t)[0] for t, _ in rows]
-    used = [i for i, x in enumerate(made) if len(x)]
-    share = np.array([0.5 / (y == y[i]).sum() for i in used])
-    long = max(len(made[i]) for i in used)
-    x = np.zeros((len(used), long, N_FEATURES), np.float32)
-    mask = np.zeros((len(used), long), bool)
-    for k, i in enumerate(used):
-        x[k, : len(made[i])], mask[k, : len(made[i])] = made[i], True
-    lines = mask.sum(1)
-    gold = y[used]
+    made = [line_features(t)[0].astype(np.float32) for t, _ in rows]
+    per = np.array([0.5 / (y == label).sum() / max(len(x), 1) for label, x in zip(y, made, strict=True)])  # a text's weight, for each line
+    blocks = list(chains(made))
     w, move = np.zeros(N_FEATURES), np.zeros((2, 2))
     first, second = np.zeros(N_FEATURES + 4), np.zeros(N_FEATURES + 4)
     for step in range(1, steps + 1):
-        d = np.where(mask, x @ w, 0.0)
-        node, pair = _expect(d, mask, move)
-        per = share / lines
-        off = np.where(mask, node - gold[:, None], 0.0) * per[:, None]
-        g_w = np.einsum("kt,ktf->f", off, x) + ridge * w
-        told = np.zeros((len(used), 2, 2))
-        told[np.arange(len(used)), gold.astype(int), gold.astype(int)] = lines - 1
-        g_move = ((pair - told) * per[:, None, None]).sum(0) + ridge * move
+        g_w, g_move = ridge * w, ridge * move
+        for text, x, mask in blocks:
+            gold, weight = y[text].astype(int), per[text]
+            node, pair = _expect(np.where(mask, x @ w, 0.0), mask, move)
+            g_w = g_w + np.einsum("kt,ktf->f", np.where(mask, node - gold[:, None], 0.0) * weight[:, None], x)
+            told = np.zeros((len(text), 2, 2))
+            told[np.arange(len(text)), gold, gold] = mask.sum(1) - 1
+            g_move = g_move + ((pair - told) * weight[:, None, None]).sum(0)
         full = np.append(g_w, g_move)
         first, second = 0.9 * first + 0.1 * full, 0.99 * second + 0.01 * full**2
         by = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
