@@ -12,8 +12,9 @@ Positions come from what lies between matches: split() by a pattern gives the pi
 points). The patterns are possessive or anchored to the ends of runs, which changes no match, but makes them linear
 and keeps them off Java's stack.
 
-Defined cases: a null text counts as empty (no spans, the digest of nothing); every input row gives one output row,
-null ids and repeated rows included; extra columns are ignored; with no candidates at all no classifier is trained.
+Defined cases: a null text counts as empty (no spans, the digest of nothing); very long texts are searched whole; spans that begin at
+one place are listed in the order of their kinds; every input row gives one output row, null ids and repeated rows included; an empty
+table gives no rows; extra columns are ignored; with no candidates at all no classifier is trained.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]{0,40}[0-9])(?=[0-9_-]{0,40}[A-Za-z])[A-Za-z0-9_-]{20,}+",
+    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+",
     "number": r"(?<![0-9.+-])[0-9](?:[\x20.-]?[0-9]){8,18}+(?![0-9])",
 }
 #: What a text must hold for a kind to be possible (found fast).
@@ -77,8 +78,10 @@ def luhn(digits: Column) -> Column:
 
 
 def valid(kind: str, m: Column) -> Column:
-    """Whether a base kind's match counts."""
+    """Whether a match counts; a secret holds letters and digits, wherever in it they stand."""
     n = F.length(_digits(m))
+    if kind == "secret":
+        return m.rlike("[0-9]") & m.rlike("[A-Za-z]")
     if kind == "ip":
         return m.rlike(BYTES)
     if kind == "card":
@@ -158,9 +161,27 @@ def with_candidates(df: DataFrame, text: str, base: str = "base", wide: str = "w
     for kind in KINDS:
         df = _candidates(df, kind, text, f"{base}_{kind}")
     df = df.withColumn(base, F.array_sort(F.concat(*[F.col(f"{base}_{k}") for k in BASE]), _order))
-    apart = lambda s: ~F.exists(F.col(base), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    both = F.filter(F.concat(F.col(f"{base}_secret"), F.col(f"{base}_number")), apart)
-    return df.withColumn(wide, both).drop(*[f"{base}_{k}" for k in KINDS])
+    df = df.withColumn(wide, F.concat(F.col(f"{base}_secret"), F.col(f"{base}_number")))
+    for kind in BASE:
+        df = _apart(df, wide, f"{base}_{kind}")
+    return df.drop(*[f"{base}_{k}" for k in KINDS])
+
+
+def _apart(df: DataFrame, wide: str, one: str) -> DataFrame:
+    """df with those spans of `wide` that touch none of `one` (spans of one kind: in order, apart from each other).
+
+    Both are sorted together, so that a span of `wide` knows how many of `one` begin before it or with it: only the last of
+    these and the one after it can touch it.
+    """
+    place = lambda side: lambda s: F.struct(s["start"].alias("at"), F.lit(side).alias("side"), s.alias("span"))
+    both = F.array_sort(F.concat(F.transform(one, place(0)), F.transform(wide, place(1))))
+    own = F.filter(F.transform(both, lambda x, i: F.when(x["side"] == 1, F.struct(i.alias("i"), x["span"].alias("span")))), lambda x: x.isNotNull())
+    told = F.transform(own, lambda x, j: F.struct((x["i"] - j).alias("before"), x["span"].alias("span")))
+    touches = lambda x: (
+        F.coalesce(F.get(one, x["before"] - 1)["end"] > x["span"]["start"], F.lit(False)) | F.coalesce(F.get(one, x["before"])["start"] < x["span"]["end"], F.lit(False))
+    )
+    kept = F.transform(F.filter(told, lambda x: ~touches(x)), lambda x: x["span"])
+    return df.withColumn(wide, F.when((F.size(one) > 0) & (F.size(wide) > 0), kept).otherwise(F.col(wide)))
 
 
 def _order(a: Column, b: Column) -> Column:
@@ -246,14 +267,15 @@ def all_spans(weights: dict[str, float]) -> Column:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: doc_id, counts of base spans, base_sha256, spans."""
+    """One row per row of docs: doc_id, counts of base spans, base_sha256, spans, and counts of all and of the wider kinds' spans."""
     read = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     found = stored(with_candidates(read, "text").select("doc_id", "base", "wide"), "spans")
     weights = fit(found)
     number = lambda k: F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(k))).cast("long").alias(f"n_{k}")
-    return found.select(
+    wider = lambda k: F.size(F.filter("all", lambda s: s["kind"] == KINDS.index(k))).cast("long").alias(f"n_{k}")
+    return found.withColumn("all", all_spans(weights)).select(
         "doc_id", *[number(k) for k in BASE], F.sha2(_told(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-        _told(all_spans(weights)).alias("spans"),
+        _told(F.col("all")).alias("spans"), F.size("all").cast("long").alias("n_spans"), *[wider(k) for k in KINDS if k not in BASE],
     )
 
 
