@@ -11,8 +11,8 @@ stored bytes whole, checks nothing but what it finds, and computes digests and f
 A task that is repeated after the loss of an executor writes a new shard under a new name and its rows refer to that
 one; a shard without rows is waste, not an error.
 
-Defined cases: a null text counts as empty (one row of samples, all 255); every input row gives one output row, null
-ids and repeated rows included; extra columns are ignored; an empty table gives an empty manifest and no shard.
+Defined cases: a null text counts as empty (one row of samples, all 255); very long texts are one payload each; every input row
+gives one output row, null ids and repeated rows included (equal texts have equal digests; where two tasks hold them, each stores them); extra columns are ignored; an empty table gives an empty manifest and no shard.
 """
 
 from __future__ import annotations
@@ -32,6 +32,9 @@ from pyspark.sql import functions as F
 
 from utterlake.llm.common import shared_dir, small_batches, table
 
+#: Hadoop's names of file systems, and Arrow's, where they differ.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfs"}
+
 WIDTH = 576
 HEADER = 33  # PNG signature and IHDR chunk
 MANIFEST = "doc_id long, n_bytes long, digest string, shard string, offset long, length long"
@@ -98,6 +101,14 @@ def feature_of(payload: bytes, width: int, height: int) -> str:
     return f"{width}x{height};mean={mean:.4f};std={spread:.4f};entropy={entropy:.4f};hist={ranges}"
 
 
+def arrow_uri(uri: str) -> str:
+    """The address of a folder as Arrow has it; an error where Arrow can't reach its file system."""
+    scheme, rest = uri.split(":", 1)
+    uri = f"{SCHEMES.get(scheme, scheme)}:{rest if rest.startswith('//') else '//' + rest}"
+    fs.FileSystem.from_uri(uri)
+    return uri
+
+
 def write_shards(docs: DataFrame, level: int = 6, remember: int = 200_000) -> DataFrame:
     """Store every text; returns the stored manifest (MANIFEST's columns), whose rows point into the shards.
 
@@ -105,7 +116,8 @@ def write_shards(docs: DataFrame, level: int = 6, remember: int = 200_000) -> Da
     """
     spark = docs.sparkSession
     small_batches(spark)
-    base = shared_dir(spark, "media")
+    path = shared_dir(spark, "media")  # with its file system's name: Arrow opens what Spark means
+    base = arrow_uri(path)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         where, root = fs.FileSystem.from_uri(base)
@@ -133,7 +145,7 @@ def write_shards(docs: DataFrame, level: int = 6, remember: int = 200_000) -> Da
             out.write(b"\0" * 1024)
             out.close()
 
-    path = f"{base}/manifest"
+    path = f"{path}/manifest"
     docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInPandas(write, MANIFEST).write.parquet(path)
     return spark.read.schema(MANIFEST).parquet(path)
 
@@ -194,4 +206,5 @@ def media_columns(docs: DataFrame) -> DataFrame:
 
 
 def op3_media_columns(spark, sf_dir: str) -> DataFrame:
-    return media_columns(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Without shard and offset: equal texts that two tasks have stored lie in two places."""
+    return media_columns(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("shard", "offset")
