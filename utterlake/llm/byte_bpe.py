@@ -5,8 +5,8 @@ score is its negative rank, normalisation is the identity, and no space is added
 the pair with the best score first is then merging the lowest rank first, so that ids equal ranks. Pre-tokens
 (matches of the public pattern) are encoded one by one; decoding maps pieces' characters back to bytes.
 
-Defined cases: a null text counts as empty (no ids, the digests of nothing); every input row gives one output
-row; extra columns are ignored.
+Defined cases: a null text counts as empty (no ids, the digests of nothing); very long texts are encoded whole, one pre-token at a
+time; every input row gives one output row, repeated rows and null ids included; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -5,8 +5,8 @@ constraints on the junk features (more symbols, repeats or capitals can never ra
 flattened into node arrays, which score a batch of documents level by level.
 
 Defined cases: a null text counts as empty; a text without words has base_failed true (n_words < 10)
-and is not kept; every input row gives one output row, repeated rows and null ids included; extra
-columns are ignored. With no labelled rows the verdict is the base rule alone.
+and is not kept; very long texts are counted whole; a score equal to the least one is kept; every input row gives one
+output row, repeated rows and null ids included; an empty table gives no rows; extra columns are ignored. With no labelled rows the verdict is the base rule alone.
 """
 
 from __future__ import annotations
