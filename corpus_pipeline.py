@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from utterlake.llm import near_dup, packing, pii, quality_rules, toxicity
-from utterlake.llm.common import small_batches, stored, table
+from utterlake.llm.common import finished, small_batches, stored, table
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (operator 1): the one with the least doc_id."""
     key = {"doc_id": "__id", "node": "__node"}
-    kept = stored(near_dup.NearDuplicates(docs).representatives().withColumnsRenamed(key), "kept")
+    kept = stored(near_dup.representatives(docs).withColumnsRenamed(key), "kept")
     node = near_dup.node_column(F.col("text"))
     named = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__node": F.coalesce(node, near_dup.node_column(F.lit("")))})
     one = named.join(kept, ["__id", "__node"], "left_semi").dropDuplicates(["__id", "__node"]).drop("__id", "__node")
@@ -75,5 +75,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        docs = finished(spark, lambda: stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs
