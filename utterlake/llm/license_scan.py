@@ -70,7 +70,7 @@ PERCENT = 75
 SLAB = 3 << 14
 MATCH = "doc_id long, license string, n_found long, n_template long, first_word long"
 
-_SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_SEEDS = (mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def ordered_shingles(words: list[bytes], known: WordHashes, width: int) -> np.ndarray:
@@ -102,34 +102,48 @@ def missed(n: int) -> float:
     return (1 - needed(n) / (2 * half_window(n) + n - needed(n))) ** BANDS
 
 
+def banded(hashes: np.ndarray) -> np.ndarray:
+    """The shingles' values under each band [shingle, band]: 32 bits suffice, as what is retrieved is verified."""
+    return (hashes >> np.uint64(32)).astype(np.uint32)[:, None] * _SEEDS
+
+
+def _least(rows: np.ndarray, k: int) -> np.ndarray:
+    """The least of each k rows on end (the last ones may be fewer)."""
+    whole = len(rows) // k * k
+    out = rows[0:whole:k]
+    for j in range(1, k):
+        out = np.minimum(out, rows[j:whole:k])
+    return np.vstack([out, rows[whole:].min(0)]) if whole < len(rows) else out
+
+
 def band_minima(hashes: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
-    """(size, least hash of each half window under each band [half, band]) for each size, ascending; longer ones come from shorter ones."""
-    made: dict[int, np.ndarray] = {}
-    for first in (2, 3):
-        if any(s % 3 == 0 for s in sizes) if first == 3 else any(s & (s - 1) == 0 for s in sizes):
-            made[first] = np.vstack([  # in stretches that stay in the cache
-                np.minimum.reduceat(some[:, None] * _SEEDS, np.arange(0, len(some), first), axis=0)
-                for some in (hashes[at : at + 6144] for at in range(0, len(hashes), 6144))
-            ])
+    """(size, least value of each half window under each band [half, band]) for each size, ascending; longer ones come from shorter ones."""
+    first = sorted({3 if s % 3 == 0 else 2 for s in sizes})
+    parts: dict[int, list[np.ndarray]] = {k: [] for k in first}
+    for at in range(0, len(hashes), 6144):  # stretches that stay in the cache
+        rows = banded(hashes[at : at + 6144])
+        for k in first:
+            parts[k].append(_least(rows, k))
+    made = {k: np.vstack(p) for k, p in parts.items()}
     for size in sorted(sizes):
-        while size not in made:
-            near = max(s for s in made if size % s == 0 and (size // s) & (size // s - 1) == 0)
-            small = made[near]
-            made[2 * near] = np.minimum.reduceat(small, np.arange(0, len(small), 2), axis=0)
+        near = max(s for s in made if size % s == 0 and (size // s) & (size // s - 1) == 0)
+        while near < size:
+            made[2 * near] = _least(made[near], 2)
+            near *= 2
         yield size, made[size]
 
 
 class Lookup:
-    """Hashes of templates; a small table of some of their bits answers for most values that aren't there."""
+    """Values of templates; a small table of some of their bits answers for most values that aren't there."""
 
     def __init__(self, owners: dict[int, list[int]]):
-        self.owners, self.values = owners, np.array(sorted(owners), np.uint64)
+        self.owners, self.values = owners, np.array(sorted(owners), np.uint32)
         self.some = np.zeros(1 << 16, bool)
         self.some[self._bits(self.values)] = True
 
     @staticmethod
     def _bits(values: np.ndarray) -> np.ndarray:
-        return (values >> np.uint64(20)).astype(np.uint16)
+        return values.astype(np.uint16)
 
     def find(self, values: np.ndarray) -> set[int]:
         likely = values[self.some[self._bits(values)]]
@@ -153,7 +167,7 @@ class Index:
                 continue
             width = min(WORDS, len(words))
             values = owners.setdefault(width, {}).setdefault(half_window(len(s)), {})
-            for v in set((s[:, None] * _SEEDS).min(0).tolist()):
+            for v in set(banded(s).min(0).tolist()):
                 values.setdefault(v, []).append(len(self.templates))
             self.templates.append((name, s, width))
         self.lookups = {width: {size: Lookup(v) for size, v in sizes.items()} for width, sizes in owners.items()}
