@@ -208,7 +208,7 @@ merged AS (SELECT c.recording_id, c."start", c."end", c.text, 0 AS source, c.seq
        UNION ALL SELECT recording_id, "start", "end", text, 1, seq, 0 FROM recovered),
 q AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY "start", source, seq, run) - 1 AS seq, "start", "end", text FROM merged) SELECT * FROM q""")
 def merge_pass2(spark, d):
-    return clean.merge_pass2(_clean(spark, d), D.recovered(spark, d)).select("recording_id", "seq", "start", "end", "text")
+    return clean.merge_pass2(_clean(spark, d), D.recovered(spark, d), raw=D.segments(spark, d)).select("recording_id", "seq", "start", "end", "text")
 
 
 GOOD = f"""win AS (SELECT recording_id, zone_id, greatest(0.0, "start" - 4.0) AS a, least(duration, "end" + 4.0) AS b FROM zones JOIN recordings USING (recording_id)),
@@ -252,7 +252,7 @@ merged AS (SELECT c.recording_id, c."start", c."end", c.text, 0 AS source, c.seq
 
 @query(f"""{GOOD}, {MERGED2}, q AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY "start", source, seq, run, "end", text) - 1 AS seq, "start", "end", text FROM merged) SELECT * FROM q""")
 def merge_recovered(spark, d):
-    return clean.merge_pass2(_clean(spark, d), _second_pass(spark, d)[3]).select("recording_id", "seq", "start", "end", "text")
+    return clean.merge_pass2(_clean(spark, d), _second_pass(spark, d)[3], raw=D.segments(spark, d)).select("recording_id", "seq", "start", "end", "text")
 
 
 @query(f"""{GOOD}, {TRIED}, {MERGED2}, l AS (SELECT recording_id, count(*) FILTER (status = 'recovered') AS recovered, count(*) FILTER (status <> 'recovered') AS not_recovered,
@@ -262,7 +262,7 @@ q AS (SELECT recording_id, coalesce(recovered, 0) AS recovered, coalesce(not_rec
       FROM w LEFT JOIN m USING (recording_id) LEFT JOIN l USING (recording_id)) SELECT * FROM q""")
 def pass2_summary(spark, d):
     zones, windows, candidates, good = _second_pass(spark, d)
-    merged = clean.merge_pass2(_clean(spark, d), good)
+    merged = clean.merge_pass2(_clean(spark, d), good, raw=D.segments(spark, d))
     return clean.pass2_counts(clean.pass2_log(zones, good, candidates, windows), merged, D.segments(spark, d, words=False))
 
 
@@ -273,8 +273,9 @@ PLACED = f"""placed AS (SELECT recording_id, zone_id, round("start", 3) AS "star
        "start", "end", text, source = 1 AS is_placeholder FROM merged) SELECT * FROM q""")
 def merge_placeholders(spark, d):
     """Without a second pass, placeholders stand for the problem zones."""
-    c, zones, _ = clean.detect_problem_zones(D.segments(spark, d))
-    return clean.merge_pass2(c, clean.placeholder_segments(zones)).select("recording_id", "seq", "start", "end", "text", "is_placeholder")
+    s = D.segments(spark, d)
+    c, zones, _ = clean.detect_problem_zones(s)
+    return clean.merge_pass2(c, clean.placeholder_segments(zones), raw=s).select("recording_id", "seq", "start", "end", "text", "is_placeholder")
 
 
 STATS = """stats AS (SELECT recording_id, coalesce(speaker, 'UNKNOWN') AS speaker, count(*) AS n_segments, sum(dur_cs) AS cs,

@@ -278,9 +278,9 @@ def split_runs(words: Column, hit: Column) -> Column:
 
     hit: the indices of the words to leave out, in order. What lies between two of them is a run.
     """
-    edges = F.concat(F.array(F.lit(-1)), hit, F.array(F.size(words)))
-    between = lambda at, i: F.slice(words, at + 2, F.get(edges, i + 1) - at - 1)
-    pieces = F.transform(F.slice(edges, 1, F.size(edges) - 1), lambda at, i: F.struct(i.alias("run"), between(at, i).alias("words")))
+    edges, n = F.concat(F.array(F.lit(-1)), hit, F.array(F.size(words))), F.size(hit) + 1
+    piece = lambda a, b: F.struct(a.alias("run"), F.slice(words, a + 2, b - a - 1).alias("words"))
+    pieces = F.zip_with(F.slice(edges, 1, n), F.slice(edges, 2, n), piece)
     told = lambda p: F.struct(
         p["run"].alias("run"), F.round(F.array_min(p["words"]["start"]), 3).alias("start"), F.round(F.array_max(p["words"]["end"]), 3).alias("end"),
         T.strip(F.array_join(F.transform(p["words"], lambda w: T.strip(w["word"])), " ")).alias("text"), p["words"].alias("words"),
@@ -289,13 +289,14 @@ def split_runs(words: Column, hit: Column) -> Column:
     return F.filter(runs, lambda r: ~T.punct_only(r["text"]))
 
 
-def merge_pass2(clean: DataFrame, recovered: DataFrame, margin: float = 0.4, cover: float = 0.15) -> DataFrame:
+def merge_pass2(clean: DataFrame, recovered: DataFrame, margin: float = 0.4, cover: float = 0.15, raw: DataFrame | None = None) -> DataFrame:
     """Clean segments without what the second pass has replaced, and its segments, by start; seq is new.
 
     A recording without recovered segments keeps all of its own. Recovered rows of one start are put in order of their zone, end
-    and text. The ranges come to the segments, so that words are cut where they lie.
+    and text. The ranges come to the segments, so that words are cut where they lie. raw: the segments that clean is a part of; with
+    it, what made clean runs once.
     """
-    s = near_ranges(clean, recovered, ["start", "end"], margin + 0.001)  # a little wider than needed: the tests below are exact
+    s = near_ranges(clean, recovered, ["start", "end"], margin + 0.001, raw=raw)  # a little wider than needed: the tests below are exact
     words, near = F.col("words"), F.coalesce("near", F.array().cast("array<struct<start:double,end:double>>"))
     s = s.withColumn("near", near)
     timed = F.coalesce((F.size(words) > 0) & F.forall(words, lambda w: w["start"].isNotNull() & w["end"].isNotNull()), F.lit(False))

@@ -49,15 +49,18 @@ def with_speaker(word: Column, speaker: Column) -> Column:
     return F.struct(*[word[c].alias(c) for c in ("word", "start", "end", "score")], speaker.alias("speaker"))
 
 
-def near_ranges(segments: DataFrame, ranges: DataFrame, fields: list[str], margin: float = 0.0, bin_sec: float = 10.0) -> DataFrame:
+def near_ranges(
+    segments: DataFrame, ranges: DataFrame, fields: list[str], margin: float = 0.0, bin_sec: float = 10.0, raw: DataFrame | None = None
+) -> DataFrame:
     """segments with `near`: structs of `fields` of all ranges that overlap the row or one of its words (widened by margin).
 
     Only keys and times are dealt to bins; a row's ranges come back to it as one array, so that its words need no rows of their own.
+    raw: a table that holds at least the same rows and is cheaper to read twice; keys and times are taken from it.
     """
     keys = ["recording_id", "seq"]
     start = F.least("start", F.array_min("words.start"))
     end = F.greatest("end", F.array_max("words.end"))
-    spans = segments.select(*keys, start.alias("start"), end.alias("end")).filter("start is not null and end is not null")
+    spans = (segments if raw is None else raw).select(*keys, start.alias("start"), end.alias("end")).filter("start is not null and end is not null")
     pairs = overlap_join(spans, ranges.select("recording_id", *fields), bin_sec, margin)
     near = pairs.groupBy(*keys).agg(F.collect_list(F.struct(*[F.col(f"o_{c}").alias(c) for c in fields])).alias("near"))
     return segments.join(near, keys, "left")
