@@ -3,7 +3,7 @@
 import pytest
 
 from utterlake.functions import text as T
-from utterlake.operators import audio, clean, intervals
+from utterlake.operators import audio, clean, intervals, validate
 from utterlake.sources.derived import WORD
 
 SEGMENT = f"recording_id long, seq long, start double, end double, text string, avg_logprob double, no_speech_prob double, speaker string, is_placeholder boolean, words array<{WORD}>"
@@ -30,6 +30,37 @@ def test_long_repeat(spark):
     assert kept(spark, [(0, 1, t), (60, 61, t), (95, 96, t)]) == [0, 95]
 
 
+def repeats(rows):
+    """Brute force: every row looks at all kept ones that no row in between lay too far behind."""
+    kept, out = [], []
+    reach = lambda i: 6 if len(rows[i][2]) <= 15 else 90
+    for i, (start, _, text) in enumerate(rows):
+        live = [k for k in kept if all(rows[j][0] - rows[k][0] <= reach(k) for j in range(k + 1, i + 1)) and start - rows[k][0] <= reach(i)]
+        hit = any(rows[k][2] == text or (min(len(text), len(rows[k][2])) > 15 and (text in rows[k][2] or rows[k][2] in text)
+                  and min(len(text), len(rows[k][2])) > 0.8 * max(len(text), len(rows[k][2]))) for k in live)
+        if not hit:
+            kept.append(i)
+            out.append(start)
+    return out
+
+
+def test_starts_that_go_back(spark):
+    long = "a rather long sentence"
+    rows = [(0, 1, long), (10, 11, "да"), (100, 101, "нет"), (5, 6, long), (12, 13, "да"), (4, 5, "да"), (6, 7, long + " ok")]
+    assert kept(spark, rows) == repeats(rows) == [0, 10, 100, 5, 12]
+    random = __import__("random").Random(5)
+    for _ in range(3):
+        rows = [(random.randrange(0, 200), 0, random.choice(["да", "нет", long, long + " ok", "another sentence of words"])) for _ in range(60)]
+        assert kept(spark, rows) == repeats(rows)
+
+
+def test_violations(spark):
+    rows = [(1, 0, 0.0, 1.0), (1, 1, 5.0, 4.0), (1, 2, None, 6.0), (1, 3, 2.0, 3.0), (1, 3, 2.5, 3.0), (2, 0, 0.0, 0.0)]
+    got = validate.violations(spark.createDataFrame(rows, "recording_id long, seq long, start double, end double"))
+    assert sorted((r.seq, r.rule) for r in got.collect()) == [(1, "ends_early"), (2, "no_time"), (3, "goes_back"), (3, "repeated_seq")]
+    assert validate.violations(spark.createDataFrame([], "recording_id long, seq long, start double, end double")).isEmpty()
+
+
 @pytest.mark.parametrize(("a", "b", "n"), [(20, 24, 1), (16, 20, 2)])
 def test_near_duplicate(spark, a, b, n):
     assert len(kept(spark, [(0, 1, "x" * a), (2, 3, "x" * a + "y" * (b - a))])) == n

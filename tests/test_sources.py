@@ -2,7 +2,7 @@
 
 import json
 
-from utterlake.jobs import queries
+from utterlake.jobs import clean_up, queries, second_pass, validate
 from utterlake.operators import worklist
 from utterlake.sources import derived, files
 from utterlake.streaming.ingest import incremental_ingest
@@ -118,3 +118,29 @@ def test_every_word_of_a_line(spark, tmp_path):
     for name in ("split_by_speaker", "speaker_pipeline"):
         said = [r.text for r in queries.QUERIES[name](spark, str(tmp_path)).orderBy("seq").collect()]
         assert " ".join(said).split() == text.split()
+
+
+def test_jobs_from_stage_files_to_the_merge(spark, tmp_path):
+    said = [(0.0, 5.0, "a clear sentence to begin with"), (5.2, 6.0, "[музыка]"), (40.0, 45.0, "and another one that ends it")]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps({"segments": [{"start": a, "end": b, "text": t} for a, b, t in said]}))
+    source, cleaned = f"{tmp_path}/in/*.json", f"{tmp_path}/cleaned"
+    validate.run(spark, source, f"{tmp_path}/checked")
+    assert spark.read.parquet(f"{tmp_path}/checked/counts").isEmpty()
+    clean_up.run(spark, source, cleaned)
+    zone = spark.read.parquet(f"{cleaned}/zones").collect()
+    assert [(z.zone_id, z.start, z.end) for z in zone] == [(0, 5.0, 40.0)]
+    rec = zone[0].recording_id
+    second_pass.run(spark, cleaned, f"{tmp_path}/plain")
+    rows = spark.read.parquet(f"{tmp_path}/plain/segments").orderBy("seq").collect()
+    assert [(r.text, bool(r.is_placeholder)) for r in rows] == [(said[0][2], False), ("[неразборчиво — 35.0с]", True), (said[2][2], False)]
+    heard = [(rec, 0, 14.0, 16.0, "heard at last", -0.2, 0.1, None)]
+    spark.createDataFrame(
+        heard, "recording_id string, zone_id long, rel_start double, rel_end double, text string, avg_logprob double, no_speech_prob double, error string"
+    ).write.parquet(f"{tmp_path}/candidates")
+    spark.createDataFrame([(rec, 60.0)], "recording_id string, duration double").write.parquet(f"{tmp_path}/recordings")
+    second_pass.run(spark, cleaned, f"{tmp_path}/out", f"{tmp_path}/candidates", f"{tmp_path}/recordings")
+    rows = spark.read.parquet(f"{tmp_path}/out/segments").orderBy("seq").collect()
+    assert [(r.text, r.start) for r in rows] == [(said[0][2], 0.0), ("heard at last", 15.0), (said[2][2], 40.0)]
+    counts = spark.read.parquet(f"{tmp_path}/out/counts").first()
+    assert (counts.recovered, counts.not_recovered, counts.n_placeholders, counts.n_segments) == (1, 0, 0, 3)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from utterlake.functions import text as T
-from utterlake.operators import audio, clean, intervals, report, speakers, worklist
+from utterlake.operators import audio, clean, intervals, report, speakers, validate, worklist
 from utterlake.sources import derived as D
 
 QUERIES = {}
@@ -121,6 +121,15 @@ def removal_counts(spark, d):
     return clean.removal_counts(clean.detect_problem_zones(s)[2], s)
 
 
+@query("""listed AS (SELECT recording_id, seq, "start", "end" FROM segments UNION ALL SELECT recording_id, 1000000000 + zone_id, "start", "end" FROM recovered),
+told AS (SELECT *, lag("start") OVER (PARTITION BY recording_id ORDER BY seq) AS before FROM listed),
+q AS (SELECT recording_id, seq, 'goes_back' AS rule FROM told WHERE "start" < before UNION ALL SELECT recording_id, seq, 'ends_early' FROM told WHERE "end" < "start") SELECT * FROM q""")
+def segment_violations(spark, d):
+    """A stage's list as it is before its rows are sorted: the second pass's rows stand behind all others."""
+    later = D.recovered(spark, d).select("recording_id", (F.col("zone_id") + 1_000_000_000).alias("seq"), "start", "end")
+    return validate.violations(D.segments(spark, d, words=False).select("recording_id", "seq", "start", "end").unionByName(later))
+
+
 @query(f"""q AS (SELECT recording_id, ord_seq, {MS.format('"start"')} AS start_ms, {MS.format('"end"')} AS end_ms, reason FROM gaps) SELECT * FROM q""")
 def segment_gaps(spark, d):
     return clean.segment_gaps(_clean(spark, d)).select("recording_id", "ord_seq", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "reason")

@@ -32,19 +32,21 @@ def _fold_equal(window: float):
     return step
 
 
-def _fold_similar(window: float, least: int):
-    """State: (text, start) of the segments kept within the window."""
-
-    def step(kept, text, start):
-        kept = [k for k in kept or [] if start - k[1] <= window]
-        for other, _ in kept:
-            if other == text:
-                return kept, True
-            if len(other) > least and len(text) > least:
-                a, b = sorted((other, text), key=len)
-                if a in b and len(a) / len(b) > 0.8:
-                    return kept, True
-        return [*kept, (text, start)], False
+def _alike(a: str, b: str, least: int) -> bool:
+    """One of two long texts holds the other and is not much longer."""
+    short, long = sorted((a, b), key=len)
+    return len(short) > least and short in long and len(short) / len(long) > 0.8
+
+
+def _fold_similar(least: int):
+    """State: (text, start, window) of the kept segments that no later one lay further away from than their own window."""
+
+    def step(kept, text, start, window):
+        kept = [k for k in kept or [] if start - k[1] <= k[2]]
+        near = [k[0] for k in kept if start - k[1] <= window]
+        if text in near or any(_alike(text, other, least) for other in near):
+            return kept, True
+        return [*kept, (text, start, window)], False
 
     return step
 
@@ -53,20 +55,27 @@ def suppress_repeats(segments: DataFrame, short_len: int = 15, short_win: float
     """segments with is_repeat: a kept earlier one within the window says the same, or (long texts) almost the same.
 
     Short texts match equal ones only and fold per text; long texts fold per recording. Chains end where the row before with the
-    same key lies further back than the window, so that a fold's work and state stay small.
+    same key lies further back than the window, so that a fold's work and state stay small. A recording whose starts go back
+    somewhere folds as one chain of all its texts: there any row can end what an earlier one has left behind, and it stays so.
     """
+    by_seq, whole = W.partitionBy("recording_id").orderBy("seq"), W.partitionBy("recording_id")
     stripped = T.strip(F.coalesce("text", F.lit("")))
-    s = segments.select("recording_id", "seq", "start", F.lower(stripped).alias("said"), (F.length(stripped) <= short_len).alias("is_short"))
+    is_short = F.length(stripped) <= short_len
+    s = segments.select(
+        "recording_id", "seq", "start", F.lower(stripped).alias("said"), is_short.alias("is_short"),
+        F.when(is_short, short_win).otherwise(long_win).cast("double").alias("window"), (F.col("start") < F.lag("start").over(by_seq)).alias("back"),
+    )
+    s = s.withColumn("back", F.coalesce(F.max("back").over(whole), F.lit(False)))
 
     def chained(df: DataFrame, key: list[str], window: float) -> DataFrame:
         w = W.partitionBy(*key).orderBy("seq")
-        new = F.when(F.col("start") - F.lag("start").over(w) <= window, 0).otherwise(1)
+        new = F.when(F.col("back") | (F.col("start") - F.lag("start").over(w) <= window), 0).otherwise(1)
         return df.withColumn("new", new).withColumn("chain", F.sum("new").over(w.rowsBetween(W.unboundedPreceding, 0)))
 
-    short = chained(s.filter("is_short"), ["recording_id", "said"], short_win)
-    long = chained(s.filter("not is_short"), ["recording_id"], long_win)
+    short = chained(s.filter("is_short and not back"), ["recording_id", "said"], short_win)
+    long = chained(s.filter("not is_short or back"), ["recording_id"], long_win)
     a = ordered_fold(short, ["recording_id", "said", "chain"], ["seq"], ["start"], _fold_equal(short_win), "is_repeat boolean")
-    b = ordered_fold(long, ["recording_id", "chain"], ["seq"], ["said", "start"], _fold_similar(long_win, short_len), "is_repeat boolean")
+    b = ordered_fold(long, ["recording_id", "chain"], ["seq"], ["said", "start", "window"], _fold_similar(short_len), "is_repeat boolean")
     keys = ["recording_id", "seq"]
     return segments.join(a.select(*keys, "is_repeat").unionByName(b.select(*keys, "is_repeat")), keys, "left")
 
