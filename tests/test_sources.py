@@ -2,7 +2,7 @@
 
 import json
 
-from utterlake.jobs import clean_up, queries, second_pass, validate
+from utterlake.jobs import batch, clean_up, queries, second_pass, validate
 from utterlake.operators import worklist
 from utterlake.sources import derived, files
 from utterlake.streaming.ingest import incremental_ingest
@@ -144,3 +144,30 @@ def test_jobs_from_stage_files_to_the_merge(spark, tmp_path):
     assert [(r.text, r.start) for r in rows] == [(said[0][2], 0.0), ("heard at last", 15.0), (said[2][2], 40.0)]
     counts = spark.read.parquet(f"{tmp_path}/out/counts").first()
     assert (counts.recovered, counts.not_recovered, counts.n_placeholders, counts.n_segments) == (1, 0, 0, 3)
+
+
+def test_batch_does_what_is_left(spark, tmp_path):
+    def arrive(name, version="6"):
+        stage_file(tmp_path / "in" / name, [f"{name} says a sentence", "and then another of them"])
+        path = tmp_path / "in" / name
+        path.write_text(path.read_text().replace('"version": "6"', f'"version": "{version}"'))
+
+    def run(name):
+        if not batch.run(spark, f"{tmp_path}/in/*.json", f"{tmp_path}/turns", f"{tmp_path}/rec", f"{tmp_path}/manifest", f"{tmp_path}/ledger", f"{tmp_path}/out", name):
+            return {}
+        rows = spark.read.parquet(f"{tmp_path}/out/run={name}/transcripts").collect()
+        return {r.recording_id.rsplit("/", 1)[1]: r.text for r in rows}
+
+    arrive("a.json")
+    arrive("old.json", "5")
+    ids = [f"file://{tmp_path}/in/{n}.json" for n in ("a", "b", "old")]
+    spark.createDataFrame([(i, 0.0, 9.0, "SPEAKER_00") for i in ids], "recording_id string, start double, end double, speaker string").write.parquet(f"{tmp_path}/turns")
+    spark.createDataFrame([(i, i, 9.0) for i in ids], "recording_id string, path string, duration double").write.parquet(f"{tmp_path}/rec")
+    first = run("one")
+    assert list(first) == ["a.json"]
+    assert first["a.json"].split("\n")[:2] == ["a.json", "Спикер 1:"] and "a.json says a sentence and then another of them" in first["a.json"]
+    assert run("one") == first  # as after a crash: the same work again
+    arrive("b.json")
+    assert list(run("two")) == ["b.json"]
+    assert run("three") == {}
+    assert sorted(r.key.rsplit("/", 1)[1] for r in files.read_ledger(spark, f"{tmp_path}/ledger").collect()) == ["a.json", "b.json"]

@@ -7,20 +7,23 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from utterlake.operators.clean import detect_problem_zones, verdicts
 from utterlake.sources.files import read_stage_json, write_stage
 
 
-def run(spark: SparkSession, source: str, out: str, version: str = "11") -> None:
-    segments = read_stage_json(spark, source, 2).drop("version")
+def clean(segments: DataFrame, out: str, version: str = "11") -> None:
     verdicts(segments).write.mode("overwrite").parquet(f"{out}/verdicts")  # all three results read it
-    clean, zones, removed = detect_problem_zones(segments, told=spark.read.parquet(f"{out}/verdicts"))
-    write_stage(clean, f"{out}/segments", 3, version)
+    kept, zones, removed = detect_problem_zones(segments, told=segments.sparkSession.read.parquet(f"{out}/verdicts"))
+    write_stage(kept, f"{out}/segments", 3, version)
     zones.write.mode("overwrite").parquet(f"{out}/zones")
     removed.write.mode("overwrite").parquet(f"{out}/removed")
 
 
+def run(spark: SparkSession, source: str, out: str, version: str = "11") -> None:
+    clean(read_stage_json(spark, source, 2).drop("version"), out, version)
+
+
 if __name__ == "__main__":
     run(SparkSession.builder.getOrCreate(), *sys.argv[1:3])
