@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from utterlake.llm.byte_bpe import op10_byte_bpe
+from utterlake.llm import filter_audit, license_scan
 from utterlake.llm.html_text import op8_html_text
-from utterlake.llm import license_scan
 from utterlake.llm.media_store import op3_media_columns
 from utterlake.llm.near_dup import op1_near_dup
 from utterlake.llm.packing import op5_best_fit_packing
@@ -24,6 +24,7 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_quality_rules": op9_quality_rules,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
-ORACLES: dict[str, str] = {"op4_license_scan": license_scan.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op4_license_scan": license_scan.ORACLE_SQL, "op13_filter_audit": filter_audit.ORACLE_SQL}
