@@ -1,17 +1,22 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
 A page is read once into blocks (text between block-level tags). A block is described by its own word count and link density,
-those of the blocks before and after it, the kind of the nearest container that names itself (by tag, or by words in class, id
-or role), whether it lies in an article, and its tag. The tree is grown with numpy on a small labelled table: some pages of
-several make-ups (labelled_pages()), with block sizes drawn at random; held_out_accuracy() reads pages drawn anew. Containers
-that name themselves settle their blocks; elsewhere the sizes and links of a block and its neighbours do.
+those of the blocks before and after it, the kind of the nearest container that names itself (by tag, or by the names in class, id
+or role), whether it lies in an article, its tag, and what its container holds (words, links, share of the page). The tree is grown
+with numpy on a small labelled table: some pages of several make-ups (labelled_pages()), with block sizes drawn at random, and pages
+with the class lists of common publishing systems (written_pages()); held_out_accuracy() reads pages drawn anew.
+
+A name counts as a whole: it must consist of words of one kind and of words that say nothing (site, box, left ...), so that
+`category-social`, `menu-planning` or `has-sidebar` say nothing. A main name outranks a junk name on the same element. A container
+that holds half of the page's words and a main container or the page's first heading, or nearly all words and few links, is a page's frame,
+whatever its names are. What follows a heading like "Reader comments" in its container is taken as comments.
 
 Reading follows html's own rules as far as texts depend on them: attribute values may hold > and other quotes, some end tags may be
 left out, scripts and the like end at their end tag only. What is never closed ends with what encloses it. Each character is read a
 bounded number of times, whatever the page holds.
 
 Blocks keep the page's order; character references are decoded, white space becomes one space, blocks are joined by a line break.
-Scripts, styles, comments and the head are no text.
+Scripts, styles, comments, CDATA sections, the head, and elements that are hidden (attribute hidden, or display:none or visibility:hidden in style) are no text.
 
 Defined cases: null or empty html gives an empty text; a page without markup is one block; unclosed or stray tags are closed by what
 encloses them; very long pages are read whole; every input row gives one output row, repeated rows and null ids included; an empty
@@ -24,6 +29,7 @@ import html as references
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -40,7 +46,7 @@ TOKEN = re.compile(
     rf"|<(/?)([a-zA-Z][^\s/>]*+)((?:{_ATTRIBUTE})*+)[\s/]*+(?:>|\Z)",
     re.S,
 )
-NAMES_OF = re.compile(r"""(?<![^\s"'/])(?:class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']*+))""", re.I)
+ATTRIBUTE = re.compile(r"""[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|((?!["'])[^\s>]*+)))?+""")
 #: Tags whose content is never text. A head holds these and empty tags only; what else stands in it, unclosed, is the page's.
 DROPPED = frozenset("script style noscript template title svg math iframe object select datalist textarea button canvas audio video".split())
 #: Of these, tags whose content isn't read as tags, and tags that hold others of their kind.
@@ -59,48 +65,115 @@ CLOSES = {
     **dict.fromkeys(("tbody", "thead", "tfoot"), ({"tbody", "thead", "tfoot", "tr", "td", "th", "p"}, {"table"})),
 }
 PLAIN = ({"p"}, {"td", "th", "table", "li", "blockquote", "article", "section", "div", "form", "fieldset", "dd", "figure", "details"})
-#: Kinds of containers, by tag or by whole words in class, id or role.
+#: Kinds of containers, by tag or by names in class, id or role.
 KINDS = {
-    "main": ("article main", "article main post entry story content body text prose maincontent articlebody"),
-    "menu": ("nav menu", "nav navbar navigation menu breadcrumb breadcrumbs pagination pager tabs toc"),
-    "edge": ("header footer", "header footer masthead banner copyright colophon contentinfo"),
-    "side": ("aside", "aside sidebar side related recommended widget widgets share sharing social promo complementary tags sidenav"),
-    "advert": ("", "ad ads advert advertisement advertising adsense sponsor sponsored cookie cookies consent notice popup modal newsletter subscribe alert gdpr"),
-    "form": ("form fieldset", "form login signup search"),
-    "comments": ("", "comment comments reply replies respond disqus"),
+    "main": ("article main", "article main post entry story content body text prose blog news recipe hentry"),
+    "menu": ("nav menu", "nav navbar navigation menu submenu breadcrumb breadcrumbs pagination pager tabs toc skiplink skiplinks"),
+    "edge": ("header footer", "header footer masthead banner copyright colophon contentinfo byline postmeta"),
+    "side": ("aside", "aside sidebar side related recommended recommendations widget widgets share sharing social promo complementary tags tagcloud sidenav trending popular"),
+    "advert": ("", "ad ads advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent notice popup modal newsletter subscribe subscription alert gdpr paywall"),
+    "form": ("form fieldset", "form login signup signin search searchform contactform"),
+    "comments": ("", "comment comments commentlist reply replies respond disqus"),
 }
+#: Words of a name that say nothing about what it is.
+PLAIN_WORDS = frozenset(
+    "site page main primary secondary top bottom left right center outer inner upper lower global local mobile desktop sticky fixed the my our all new "
+    "box boxes wrap wrapper container area block section region list lists group holder panel row col column columns bar item items unit zone slot "
+    "link links post posts article articles story stories entry entries content text body head title meta info thread form user users reader readers "
+    "view full width default standard type layout module component card view inline large small medium dark light clearfix cf hidden xs sm md lg xl "
+    "buttons button icons icon count counts this google dfp publisher id js".split()
+)
+#: Words that a name may be joined with (commentlist, sitefooter).
+GLUED = ("list", "area", "box", "wrap", "wrapper", "section", "block", "container", "thread", "form", "item", "bar", "user", "reader", "site", "page", "main", "top", "bottom", "article", "post")
 KIND_OF_TAG = {t: k for k, (tags, _) in enumerate(KINDS.values()) for t in tags.split()}
 KIND_OF_WORD = {w: k for k, (_, words) in enumerate(KINDS.values()) for w in words.split()}
-MAIN, OTHER = 0, len(KINDS)
+for _w in [w for w, k in KIND_OF_WORD.items() if k and len(w) > 5]:
+    KIND_OF_WORD |= {n: KIND_OF_WORD[_w] for g in GLUED for n in (_w + g, g + _w) if n not in KIND_OF_WORD}
+KIND_OF_WORD |= {g + w: 0 for g in ("main", "article", "post", "entry", "page", "story") for w in ("content", "body", "text")}
+MAIN, OTHER, COMMENTS = 0, len(KINDS), list(KINDS).index("comments")
+FRAMES = [list(KINDS).index(k) for k in ("menu", "edge", "side")]  # of these a name may be a whole layout's
 #: After these words a name says what else there is (post-with-sidebar), not what this is; a name that ends with "page" is a whole page's.
-BESIDES = re.compile(r"(^|[-_])(with|has|no|without|of|and|is|not)([-_]|$).*", re.I)
-NAMES = ["words", "links", "words_before", "links_before", "words_after", "links_after", *KINDS, "in_article", "heading", "paragraph", "item"]
+BESIDES = re.compile(r"(^|[-_])(with|has|no|without|of|and|is|not|on|for)([-_]|$)", re.I)
+#: Whole headings that begin a part with readers' comments.
+COMMENTS_FOLLOW = re.compile(
+    r"\W*(?:\d+\s+)?(?:(?:reader|readers'|user|visitor|your|latest|recent|all)\s+)?(?:comments?|replies|responses|kommentare?|commentaires?|comentarios?)(?:\s*\(?\d+\)?)?\W*"
+    r"|\W*leave a (?:reply|comment)\W*|\W*join the (?:discussion|conversation)\W*|\W*(?:\d+ )?(?:comments?|responses?|thoughts?|replies) (?:on|to) .{1,200}", re.I | re.S,
+)
+HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+NAMES = [
+    "words", "links", "words_before", "links_before", "words_after", "links_after", *KINDS, "in_article", "heading", "paragraph", "item",
+    "container_words", "container_links", "container_share",
+]
+
+
+class Container:
+    """An element that names itself, with the words in it and in what it encloses (once the page is read).
+
+    frames: it holds a main container or the page's first heading; fixed: its tag says what it is.
+    """
+
+    __slots__ = ("kind", "above", "words", "linked", "frames", "fixed")
+
+    def __init__(self, kind: int, above: Container | None, fixed: bool):
+        self.kind, self.above, self.words, self.linked, self.frames, self.fixed = kind, above, 0, 0, False, fixed
 
 
 class Block:
-    __slots__ = ("text", "words", "linked", "kind", "inside", "tag")
+    __slots__ = ("text", "words", "linked", "holder", "after", "tag")
 
-    def __init__(self, text: str, linked: int, kind: int, inside: bool, tag: str):
-        self.text, self.words, self.linked, self.kind, self.inside, self.tag = text, len(text.split()), linked, kind, inside, tag
+    def __init__(self, text: str, linked: int, holder: Container, after: bool, tag: str):
+        self.text, self.words, self.linked, self.holder, self.after, self.tag = text, len(text.split()), linked, holder, after, tag
 
 
-def container_kind(tag: str, attributes: str) -> int:
-    """The kind of container that a tag names itself, or OTHER. The tag outranks its names, and junk names outrank main ones."""
-    if tag in KIND_OF_TAG:
-        return KIND_OF_TAG[tag]
-    if not attributes or tag in ("body", "html", "head"):
+@lru_cache(maxsize=20_000)
+def kind_of_name(name: str) -> int:
+    """The kind that one name of a class list, id or role stands for; OTHER if it says nothing.
+
+    All words but those of the kind have to be ones that say nothing; of several junk kinds the last word's counts (related-posts-ad).
+    """
+    if name.lower().endswith("page") or BESIDES.search(name):
         return OTHER
-    found = set()
-    for groups in NAMES_OF.findall(attributes):
-        for name in "".join(groups).split():
-            words = re.findall(r"[A-Z]?[a-z]+|[A-Z]+", BESIDES.sub("", name)) if not name.lower().endswith("page") else []
-            found.update(KIND_OF_WORD[w] for w in map(str.lower, words) if w in KIND_OF_WORD)
-    junk = found - {MAIN}
-    return min(junk) if junk else MAIN if found else OTHER
+    words = [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", name)]
+    kinds = [KIND_OF_WORD.get(w, OTHER) for w in words]
+    junk = [k for k in kinds if k not in (MAIN, OTHER)]
+    if junk and all(k != OTHER or w in PLAIN_WORDS for k, w in zip(kinds, words, strict=True)):
+        return COMMENTS if COMMENTS in junk else junk[-1]
+    if not junk and MAIN in kinds and all(k == MAIN or w in PLAIN_WORDS for k, w in zip(kinds, words, strict=True)):
+        return MAIN
+    return OTHER
+
 
+def container_kind(tag: str, attributes: str) -> tuple[int, bool]:
+    """(the kind of container that a tag names itself, or OTHER; whether its tag says so).
 
-def _after(html: str, tag: str, at: int, around: Counter, endless: set[str]) -> int:
+    The tag outranks its names. Of the names comments come first, then main ones, then other junk.
+    """
+    if tag in KIND_OF_TAG:
+        own = KIND_OF_TAG[tag]
+        if tag != "article" or not attributes:
+            return own, True
+    elif not attributes or tag in ("body", "html", "head"):
+        return OTHER, False
+    else:
+        own = OTHER
+    found = {kind_of_name(name[:100]) for key, *value in ATTRIBUTE.findall(attributes) if key.lower() in ("class", "id", "role") for name in "".join(value).split()} - {OTHER}
+    if COMMENTS in found:  # an article may be a comment
+        return COMMENTS, False
+    if own != OTHER:
+        return own, True
+    return (MAIN if MAIN in found else min(found) if found else OTHER), False
+
+
+def is_hidden(attributes: str) -> bool:
+    """Whether a tag's attributes hide it: hidden, or a style that says so."""
+    if not attributes or not ("hidden" in (low := attributes.lower()) or "none" in low):
+        return False
+    return any((key := name.lower()) == "hidden" or key == "style" and HIDING.search("".join(value)) for name, *value in ATTRIBUTE.findall(attributes))
+
+
+def _after(html: str, tag: str, at: int, around: Counter, endless: set[str], nested: bool = False) -> int:
     """Where a dropped tag's content ends that begins at `at`: after its end tag, else before that of a tag around it.
+    nested: the tag may hold others of its kind.
 
     endless collects the raw tags that no end tag follows any more.
     """
@@ -127,7 +200,7 @@ def _after(html: str, tag: str, at: int, around: Counter, endless: set[str]) ->
                     at = end.end()
                 else:
                     endless.add(name)
-            elif name != tag or tag in NESTED:
+            elif name != tag or nested or tag in NESTED:
                 opened[name] += 1
     return len(html)
 
@@ -137,13 +210,19 @@ class _Page:
 
     def __init__(self):
         self.blocks: list[Block] = []
-        self.stack: list[tuple[str, int, bool]] = [("", OTHER, False)]  # tag, kind of the nearest container, in an article
+        self.page = Container(OTHER, None, False)
+        self.holders = [self.page]  # outer ones first
+        #: tag, nearest container, whether what it holds is hidden, and the level of a heading above comments in it (0: none)
+        self.stack: list[list] = [["", self.page, False, 0]]
         self.open: Counter = Counter()  # of the stack's tags
         self.parts: list[str] = []
         self.linked: list[str] = []
         self.link = 0  # the stack's height where a link was opened
+        self.headed = False
 
     def data(self, text: str) -> None:
+        if self.stack[-1][2]:
+            return
         text = references.unescape(text) if "&" in text else text
         self.parts.append(text)
         if self.link:
@@ -152,11 +231,31 @@ class _Page:
     def close_block(self) -> None:
         words = "".join(self.parts).split()
         if words:
-            tag, kind, inside = self.stack[-1]
-            self.blocks.append(Block(" ".join(words), min(len(words), len(" ".join(self.linked).split())), kind, inside, tag))
+            tag, holder, _, after = self.stack[-1]
+            heading = len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
+            if heading:  # it ends comments that began under a heading of its level, and may begin some
+                above = self.stack[-2]
+                if above[3] and int(tag[1]) <= above[3]:
+                    above[3] = 0
+                after = above[3]
+                if not above[3] and len(words) < 40 and COMMENTS_FOLLOW.fullmatch(" ".join(words)):
+                    above[3] = after = int(tag[1])
+            block = Block(" ".join(words), min(len(words), len(" ".join(self.linked).split())), holder, bool(after), tag)
+            self.blocks.append(block)
+            holder.words += block.words
+            holder.linked += block.linked
+            if tag == "h1" and not self.headed:
+                self.headed = True
+                self.frame(holder)
         self.parts.clear()
         self.linked.clear()
 
+    def frame(self, holder: Container | None) -> None:
+        """holder and what encloses it hold a main container or the first heading."""
+        while holder is not None and not holder.frames:
+            holder.frames = True
+            holder = holder.above
+
     def pop(self) -> None:
         self.open[self.stack.pop()[0]] -= 1
         if self.link > len(self.stack):
@@ -172,8 +271,14 @@ class _Page:
         while any(self.open[t] for t in closed) and self.stack[-1][0] not in until:
             self.pop()
         if tag not in VOID and not empty:
-            own, (_, kind, inside) = container_kind(tag, attributes), self.stack[-1]
-            self.stack.append((tag, kind if own == OTHER else own, inside or own == MAIN))
+            (own, fixed), (_, holder, hidden, after) = container_kind(tag, attributes), self.stack[-1]
+            if own != OTHER:
+                if own == MAIN:
+                    self.frame(holder)
+                holder = Container(own, holder, fixed)
+                self.holders.append(holder)
+            # a section of its own has headings of its own
+            self.stack.append([tag, holder, hidden or is_hidden(attributes), after])
             self.open[tag] += 1
 
     def end(self, tag: str) -> None:
@@ -196,16 +301,27 @@ def blocks(html: str | None) -> list[Block]:
             page.data(html[at : m.start()])
         at = m.end()
         if m[2] is None:
+            if m[0].startswith("<![CDATA[") and "]]>" not in endless:
+                end = html.find("]]>", m.start())
+                if end < 0:
+                    endless.add("]]>")
+                at = max(at, end + 3)
             continue
         tag, empty = m[2].lower(), m[0].endswith("/>")
         if m[1]:
             page.end(tag)
-        elif tag not in DROPPED:
+        elif tag in DROPPED:
+            if not empty:
+                at = _after(html, tag, at, page.open, endless)
+        elif tag not in BLOCK and tag not in VOID and not empty and is_hidden(m[3]):
+            at = _after(html, tag, at, page.open, endless, nested=True)
+        else:
             page.start(tag, m[3], empty)
-        elif not empty:
-            at = _after(html, tag, at, page.open, endless)
     page.data(html[at:])
     page.close_block()
+    for holder in reversed(page.holders[1:]):
+        holder.above.words += holder.words
+        holder.above.linked += holder.linked
     return page.blocks
 
 
@@ -215,9 +331,34 @@ def block_features(found: list[Block]) -> np.ndarray:
     own = np.array([(min(b.words, 100), b.linked / max(b.words, 1)) for b in found], float).reshape(n, 2)
     none = np.zeros((1, 2))
     near = [own, np.vstack([none, own[:-1]])[:n], np.vstack([own[1:], none])[:n]]
-    kind = np.array([b.kind for b in found], int).reshape(n, 1) == np.arange(OTHER)
-    place = [(b.inside, b.tag[:1] == "h" and b.tag[1:].isdigit(), b.tag in ("p", "blockquote", "pre"), b.tag in ("li", "td", "dd", "dt")) for b in found]
-    return np.hstack([*near, kind.astype(float), np.array(place, float).reshape(n, 4)])
+    total = max(sum(b.words for b in found), 1)
+    known: dict[Container, tuple[int, bool]] = {}
+
+    def standing(holder: Container | None) -> tuple[int, bool]:
+        """(kind, in an article); a frame of the page has the kind of what encloses it."""
+        if holder is None:
+            return OTHER, False
+        if holder not in known:
+            kind, inside = standing(holder.above)
+            words, linked = holder.words, holder.linked
+            frame = holder.kind not in (MAIN, COMMENTS) and holder.frames and 2 * words >= total
+            frame = frame or not holder.fixed and holder.kind in FRAMES and words >= 25 and 10 * words >= 9 * total and 10 * linked < 3 * words
+            own = OTHER if frame else holder.kind
+            known[holder] = (own if own != OTHER else kind, inside or own == MAIN)
+        return known[holder]
+
+    for b in found:  # from outside in, so that standing() never goes deep
+        chain, holder = [], b.holder
+        while holder is not None and holder not in known:
+            chain.append(holder)
+            holder = holder.above
+        for holder in reversed(chain):
+            standing(holder)
+    kinds = np.array([COMMENTS if b.after else known[b.holder][0] for b in found], int).reshape(n, 1) == np.arange(OTHER)
+    inside = [known[b.holder][1] for b in found]
+    place = [(i, b.tag[:1] == "h" and b.tag[1:].isdigit(), b.tag in ("p", "blockquote", "pre"), b.tag in ("li", "td", "dd", "dt")) for b, i in zip(found, inside, strict=True)]
+    held = [(min(b.holder.words, 1000), b.holder.linked / max(b.holder.words, 1), b.holder.words / total) for b in found]
+    return np.hstack([*near, kinds.astype(float), np.array(place, float).reshape(n, 4), np.array(held, float).reshape(n, 3)])
 
 
 def labelled_pages(n: int = 600, seed: int = 1) -> list[str]:
@@ -244,7 +385,7 @@ def labelled_pages(n: int = 600, seed: int = 1) -> list[str]:
         '<div class="cookie-notice">{}</div>', '<section class="related-posts">{}</section>', "<div class=main-menu>{}</div>", '<div class="site-footer">{}</div>',
     )
     junk = lambda: pick(*boxes).format(pick(prose, prose, lines, menu, teasers, small)())
-    lone = lambda: pick(*boxes).format(pick("<p>{}</p>", "<ul><li>{}</li></ul>", "{}").format(words(1, 120)))
+    lone = lambda: pick(*boxes[:4], *boxes[5:7]).format(pick("<p>{}</p>", "<ul><li>{}</li></ul>", "{}").format(words(1, 120)))
     pages = []
     for k in range(n):
         kind = k % 10
@@ -262,13 +403,38 @@ def labelled_pages(n: int = 600, seed: int = 1) -> list[str]:
         elif kind < 8:  # hardly any markup
             pages.append(pick(f"+{words(1, 200)}", f"<p>+{words(1, 200)}</p>", several(main_p, 2, 5), f"<div>+{words(1, 200)}</div>"))
         else:  # no main text
-            pages.append(pick(junk, lone, lone)() + pick("", junk()))
+            pages.append(lone() + pick("", lone()))
     return pages
 
 
+def written_pages(n: int = 120, seed: int = 1) -> list[str]:
+    """Labelled pages with the class lists of common publishing systems and site builders; the sizes of blocks are drawn at random."""
+    r = np.random.default_rng(seed)
+    words = lambda low, high: " ".join(["word"] * int(np.exp(r.uniform(np.log(low), np.log(high + 1)))))
+    many = lambda form, low, high, a, b: "".join(form.format(words(a, b)) for _ in range(int(r.integers(low, high + 1))))
+    prose = lambda low=1, high=6: many("<p>+{}</p>", low, high, 5, 150)
+    junk = lambda low=1, high=4: many("<p>{}</p>", low, high, 2, 60)
+    links = lambda: many("<li><a href=x>{}</a></li>", 3, 9, 1, 5)
+    makes = (
+        lambda: f'<body class="post-template-default single single-post"><div id="page" class="site"><header id="masthead" class="site-header"><p>{words(1, 8)}</p><ul id="primary-menu">{links()}</ul></header>'
+        f'<div id="content" class="site-content"><div id="primary" class="content-area"><article id="post-12" class="post-12 post type-post status-publish format-standard hentry category-social tag-form">'
+        f'<header class="entry-header"><h1 class="entry-title">+{words(2, 10)}</h1></header><div class="entry-content">{prose(2, 7)}<h2>+{words(1, 6)}</h2>{prose(1, 3)}</div></article>'
+        f'<div id="comments" class="comments-area"><h2 class="comments-title">{words(2, 6)}</h2><ol class="commentlist">{many("<li class=comment><p>{}</p></li>", 1, 6, 3, 80)}</ol><div id="respond" class="comment-respond"><h3>{words(1, 4)}</h3></div></div></div>'
+        f'<aside id="secondary" class="widget-area"><section class="widget widget_recent_entries"><ul>{links()}</ul></section></aside></div><footer id="colophon"><p>{words(2, 12)}</p></footer></div></body>',
+        lambda: f'<div class="layout sidebar-right"><div class="region region-sidebar"><ul>{links()}</ul></div><div class="node node--type-page"><h1>+{words(2, 9)}</h1><div class="field field--name-body">{prose(2, 8)}</div></div></div>',
+        lambda: f'<form id="aspnetForm"><div class="topbar"><ul>{links()}</ul></div><div class="pageBody"><h1>+{words(2, 9)}</h1>{prose(3, 8)}</div><div class="siteFooter">{junk(1, 2)}</div></form>',
+        lambda: f'<div class="content-sidebar-wrap"><main class="content"><article class="entry">{prose(2, 6)}<div class="share-buttons">{words(1, 4)}</div><section id="header-files"><h2>+{words(1, 4)}</h2>{prose(1, 3)}</section></article></main>'
+        f'<aside class="sidebar sidebar-primary">{junk()}</aside></div><div class="usercomments">{junk(1, 6)}</div>',
+        lambda: f'<main><div class="search-result-article"><h1>+{words(2, 9)}</h1>{prose(1, 4)}</div><h2>Reader comments</h2><div>{junk(1, 6)}</div></main>',
+        lambda: f'<div class="article promo-free"><h1>+{words(2, 9)}</h1>{prose(1, 4)}<div id="menu-planning"><h2>+{words(1, 4)}</h2>{prose(1, 3)}</div><section id="comments-on-the-law">{prose(1, 3)}</section></div><div class="cookie-banner">{junk(1, 2)}</div>',
+        lambda: f'<div class="container"><div class="row"><div class="col-md-8"><h1>+{words(2, 9)}</h1>{prose(3, 8)}</div><div class="col-md-4"><div class="card"><ul>{links()}</ul></div></div></div><p class="text-muted">{words(2, 8)}</p></div>',
+    )
+    return [makes[k % len(makes)]() for k in range(n)]
+
+
 def labelled_blocks(n: int = 600, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
     x, y = [], []
-    for page in labelled_pages(n, seed):
+    for page in labelled_pages(n, seed) + written_pages(n // 4, seed):
         found = blocks(page)
         x.append(block_features(found))
         y += [b.text.startswith("+") for b in found]
