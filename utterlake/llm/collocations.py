@@ -84,7 +84,7 @@ class Gathered:
         return {"lang": lang, "words": words, "n": n.tolist(), "first": first.tolist(), "blocks": block.tobytes(), "masks": mask.tobytes()}
 
 
-def shards(docs: DataFrame, most: int = 2_500_000) -> DataFrame:
+def shards(docs: DataFrame, most: int = 1_500_000) -> DataFrame:
     """SHARD's columns: rows of one language each, of about `most` words of all languages together in a task at a time."""
     small_batches(docs.sparkSession)
 
@@ -258,6 +258,8 @@ def frequent_phrases(docs: DataFrame, least: int = 10, longest: int = 3, bits: i
     out, filters = None, []
     for k in range(1, longest + 1):
         seen = words if k == 1 else phrase_counts(held, k, filters)
+        if k > 1:  # a shard's phrases are counted already: a second map of them all before the shuffle would gain nothing
+            seen = seen.repartition("lang", "phrase")
         often = stored(seen.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).withColumn("words", F.lit(k)), f"phrases-{k}")
         out = often if out is None else out.unionByName(often)
         if k < longest:
