@@ -2,10 +2,12 @@
 
 import json
 
+import pytest
+
 from utterlake.jobs import batch, clean_up, queries, second_pass, validate
 from utterlake.operators import worklist
 from utterlake.sources import derived, files
-from utterlake.streaming.ingest import incremental_ingest
+from utterlake.streaming.ingest import Intake, incremental_ingest, read_quarantine
 
 
 def stage_file(path, texts):
@@ -42,10 +44,10 @@ def test_listing(spark, tmp_path):
     assert (got.path, got.name, got["size"]) == (f"{tmp_path}/d/a.mp4", "a.mp4", 3)
 
 
-def ingest(spark, tmp_path, checkpoint="ckpt"):
+def ingest(spark, tmp_path, checkpoint="ckpt", out=True):
     job = lambda s: s.filter("text <> 'noise'").select("recording_id", "seq", "text")
     incremental_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ledger", f"{tmp_path}/{checkpoint}", job).awaitTermination()
-    return sorted(r.text for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    return out and sorted(r.text for r in spark.read.parquet(f"{tmp_path}/out").collect())
 
 
 def test_ingest_takes_each_file_once(spark, tmp_path):
@@ -171,3 +173,108 @@ def test_batch_does_what_is_left(spark, tmp_path):
     assert list(run("two")) == ["b.json"]
     assert run("three") == {}
     assert sorted(r.key.rsplit("/", 1)[1] for r in files.read_ledger(spark, f"{tmp_path}/ledger").collect()) == ["a.json", "b.json"]
+
+
+def test_repaired_files_are_read_once(spark, tmp_path):
+    there = tmp_path / "in"
+    stage_file(there / "a.json", ["x"])
+    (there / "b.json").write_text('{"segments": [{"start": 0.0, "end"')
+    (there / "c.json").write_text("nothing")
+    (there / "d e.json").write_text('{"n_raw": 3}')
+    assert ingest(spark, tmp_path) == ["x"] and ingest(spark, tmp_path) == ["x"]
+    held = read_quarantine(spark, f"{tmp_path}/ledger-quarantine")
+    assert sorted(r.path.rsplit("/", 1)[1] for r in held.collect()) == ["b.json", "c.json", "d%20e.json"]
+    stage_file(there / "b.json", ["y"])
+    (there / "c.json").write_text("{still not")
+    stage_file(there / "n.json", ["new"])
+    assert ingest(spark, tmp_path) == ["new", "x", "y"] and read_quarantine(spark, f"{tmp_path}/ledger-quarantine").count() == 4
+    stage_file(there / "c.json", ["z"])
+    stage_file(there / "d e.json", ["w"])
+    for _ in range(2):
+        assert ingest(spark, tmp_path) == ["new", "w", "x", "y", "z"]
+    ids = {r.recording_id for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert len(ids) == 5 and len(set(r.key for r in files.read_ledger(spark, f"{tmp_path}/ledger").collect())) == 5
+
+
+def test_lost_retry_is_taken_again_as_a_whole(spark, tmp_path):
+    there = tmp_path / "in"
+    for name in "ab":
+        there.mkdir(exist_ok=True)
+        (there / f"{name}.json").write_text("{")
+    assert not ingest(spark, tmp_path, out=False)
+    for name in "ab":
+        stage_file(there / f"{name}.json", [name])
+    intake = lambda job: Intake(f"{tmp_path}/out", f"{tmp_path}/ledger", f"{tmp_path}/ledger-quarantine", job, 2)
+
+    def lost(rows):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        intake(lost).retry(spark, str(there))
+    stage_file(there / "c.json", ["c"])
+    assert ingest(spark, tmp_path) == ["a", "b", "c"]
+    assert intake(lost).retry(spark, str(there)) == 0
+
+
+def test_json_ledgers(spark, tmp_path):
+    (tmp_path / "good.json").write_text('{"transcribed": ["/v/a.mp4", "b.mp4", "b.mp4", null]}')
+    for name, text in (("broken", '{"transcribed": ["a'), ("other", '{"done": 1}'), ("list", "[1, 2]"), ("empty", "")):
+        (tmp_path / f"{name}.json").write_text(text)
+    keys = lambda name: sorted(r.key for r in files.read_ledger(spark, f"{tmp_path}/{name}.json").collect())
+    assert keys("good") == ["/v/a.mp4", "b.mp4"]
+    assert all(keys(name) == [] for name in ("broken", "other", "list", "empty", "missing"))
+    queue = spark.createDataFrame([("/v/a.mp4", "a.mp4"), ("/w/b.mp4", "b.mp4"), ("/w/c.mp4", "c.mp4")], "path string, name string")
+    assert [r.name for r in worklist.pending_files(queue, files.read_ledger(spark, f"{tmp_path}/good.json"), by="name_or_path").collect()] == ["c.mp4"]
+
+
+def test_audio_chunks_keep_their_ids(spark, tmp_path):
+    for kind, value in (("string", "file:///a.json"), ("bigint", 7)):
+        spark.createDataFrame([(value, 0, 0, [0.5])], f"recording_id {kind}, chunk_idx long, sample_offset long, samples array<float>").write.parquet(f"{tmp_path}/{kind}")
+        assert files.read_audio_chunks(spark, f"{tmp_path}/{kind}").first().recording_id == value
+
+
+def test_transcripts_as_text_files(spark, tmp_path):
+    lines = [("r1", i, f"line {i}") for i in (2, 0, 1)] + [("r/2", 0, "ü")]
+    files.write_transcript(spark.createDataFrame(lines, "recording_id string, line_no long, line string").repartition(3), f"{tmp_path}/t", form="text")
+    got = {p.parent.name: p.read_text() for p in (tmp_path / "t").rglob("*.txt")}
+    assert got == {"name=r1": "line 0\nline 1\nline 2\n", "name=r%2F2": "ü\n"}
+
+
+def test_batch_with_audio_and_candidates(spark, tmp_path):
+    there = tmp_path / "in"
+    stage_file(there / "a.json", ["the first sentence of it", "and then the second one"])
+    (there / "bad.json").write_text("{")
+    (there / "mute.json").write_text('{"segments": [], "n_raw": 0, "version": "6"}')
+    stage_file(there / "short.json", ["too short to keep"])
+    rid = {n: f"file://{there}/{n}.json" for n in ("a", "bad", "mute", "short")}
+    lengths = {"a": 40.0, "mute": 50.0, "short": 9.0}
+    spark.createDataFrame([(rid[n], n, d) for n, d in lengths.items()], "recording_id string, path string, duration double").write.parquet(f"{tmp_path}/rec")
+    spark.createDataFrame([(rid["a"], 0.0, 40.0, "SPEAKER_00")], "recording_id string, start double, end double, speaker string").write.parquet(f"{tmp_path}/turns")
+    chunks = [(rid["a"], k, k * 160, [0.5 if k > 1 else 0.0] * 160) for k in range(4)]  # 16 samples a second: speech from 20 s on
+    spark.createDataFrame(chunks, "recording_id string, chunk_idx long, sample_offset long, samples array<float>").write.parquet(f"{tmp_path}/audio")
+    found = [(rid["a"], 0, 20.0, 25.0, "what the second pass has heard", -0.2, 0.1, None)]
+    schema = "recording_id string, zone_id long, rel_start double, rel_end double, text string, avg_logprob double, no_speech_prob double, error string"
+    spark.createDataFrame(found, schema).write.parquet(f"{tmp_path}/candidates")
+
+    def run(name):
+        return batch.run(spark, f"{there}/*.json", f"{tmp_path}/turns", f"{tmp_path}/rec", f"{tmp_path}/manifest", f"{tmp_path}/ledger", f"{tmp_path}/out", name,
+                         f"{tmp_path}/candidates", f"{tmp_path}/audio", min_duration=30.0, sr=16)
+
+    assert run("one") and not run("two")
+    zone = spark.read.parquet(f"{tmp_path}/out/run=one/cleaned/zones").collect()
+    assert [(z.reason, z.start, z.end) for z in zone] == [("missing_end", 2.0, 40.0)]
+    assert spark.read.parquet(f"{tmp_path}/out/run=one/merged/log").first().status == "recovered"
+    text = spark.read.parquet(f"{tmp_path}/out/run=one/transcripts").first().text
+    assert "what the second pass has heard" in text
+    rows = spark.read.parquet(f"{tmp_path}/manifest").collect()
+    told = sorted((r.recording_id.rsplit("/", 1)[1], r.stage, r.status, r.error) for r in rows if r.status != "done")
+    assert told == [("bad.json", 2, "failed", "unreadable stage file"), ("mute.json", 3, "skipped", "no_speech"), ("short.json", 3, "skipped", "too_short")]
+    assert sorted(r.stage for r in rows if r.status == "done") == [2, 3, 4, 5] and all(r.seconds > 0 for r in rows if r.status == "done" and r.stage > 2)
+
+
+def test_media_filter_goes_by_whole_names(spark):
+    paths = ["/T/a.mp4", "/TOld/b.mp4", "/T/_x/c.mp4", "/T/1/2/3/4/5/6/d.MP4", "/T/work/e.mp4", "/T/workshop/f.mp4", "/T/" + "y" * 120_000 + "/_z/g.mp4", "/T/h.txt"]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    names = lambda **options: sorted(r.path[-5:] for r in worklist.media_filter(df, **options).collect())
+    assert names(root="/T") == names(root="/T/") == ["a.mp4", "e.mp4", "f.mp4"]
+    assert names(root="/T", work_dir="/T/work", max_depth=None, hidden=True) == ["a.mp4", "c.mp4", "d.MP4", "f.mp4", "g.mp4"]

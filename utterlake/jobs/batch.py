@@ -1,67 +1,104 @@
 """Job: what queue, manifest and ledger leave to do, from stage-2 files to transcripts.
 
-    python -m utterlake.jobs.batch 'in/*/s2.json' turns.parquet recordings.parquet manifest.parquet ledger.parquet out name
+    python -m utterlake.jobs.batch 'in/*/s2.json' turns.parquet recordings.parquet manifest.parquet ledger.parquet out name [candidates.parquet [audio.parquet]]
 """
 
 from __future__ import annotations
 
 import sys
+import time
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from utterlake.jobs import clean_up, second_pass, speakers, transcript
-from utterlake.operators.worklist import pending_files, plan_stages
-from utterlake.sources.files import append_ledger, read_ledger, read_stage_json
+from utterlake.operators.worklist import latest_stage_status, pending_files, plan_stages, skip_reason
+from utterlake.sources.files import append_ledger, read_audio_chunks, read_ledger, read_stage_files, read_stage_json, read_table
 
 VERSIONS = {2: "6", 3: "11"}
-MANIFEST = "recording_id string, stage int, status string, version string, ts timestamp, batch string"
+MANIFEST = "recording_id string, stage int, status string, version string, ts timestamp, seconds double, error string, batch string"
 
 
 def read_manifest(spark: SparkSession, path: str, but: str) -> DataFrame:
     """The manifest's rows without those of the run `but`; a missing manifest is empty."""
-    try:
-        return spark.read.schema(MANIFEST).parquet(path).filter(~F.col("batch").eqNullSafe(F.lit(but)))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], MANIFEST)
+    return read_table(spark, path, MANIFEST).filter(~F.col("batch").eqNullSafe(F.lit(but)))
 
 
-def run(spark: SparkSession, source: str, turns: str, recordings: str, manifest: str, ledger: str, out: str, name: str) -> bool:
+def _entries(df: DataFrame, name: str) -> DataFrame:
+    """Rows of the manifest from recording_id, stage, status and perhaps version, seconds, error."""
+    none = {"version": "string", "seconds": "double", "error": "string"}
+    df = df.withColumns({c: F.lit(None).cast(t) for c, t in none.items() if c not in df.columns} | {"ts": F.current_timestamp(), "batch": F.lit(name)})
+    return df.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in MANIFEST.split(", ")])
+
+
+def left_out(found: DataFrame, recordings: DataFrame, min_duration: float) -> DataFrame:
+    """recording_id, stage, status, error of the files that can't be read (failed) and of recordings that aren't worth it (skipped)."""
+    broken = found.filter("not readable").select("recording_id", F.lit(2).alias("stage"), F.lit("failed").alias("status"), F.lit("unreadable stage file").alias("error"))
+    known = found.filter("readable").join(recordings.select("recording_id", "duration"), "recording_id", "left")
+    known = known.withColumn("duration", F.coalesce("duration", "audio_duration", F.lit(float("inf")))).withColumn("n_raw", F.least(F.coalesce("n_raw", "n_segments"), F.col("n_segments")))
+    skips = skip_reason(known, min_duration).filter("skip_reason is not null")
+    return broken.unionByName(skips.select("recording_id", F.lit(3).alias("stage"), F.lit("skipped").alias("status"), F.col("skip_reason").alias("error")))
+
+
+def run(
+    spark: SparkSession, source: str, turns: str, recordings: str, manifest: str, ledger: str, out: str, name: str, candidates: str | None = None, audio: str | None = None,
+    min_duration: float = 0.0, **sizes,
+) -> bool:
     """Stages 3 to 5 and the transcripts of all recordings that aren't finished, below out/run=name.
 
     A recording is left to the recogniser if its stage-2 file has another version; it is finished if the ledger has its file, and
     with nothing to redo by the manifest if that knows it. A run that was lost is started again under its name: what it has entered
     itself doesn't count, so that it does the same work and writes to the same place. False: nothing was left to do.
+
+    candidates: the second pass's table; without one, placeholders stand for the zones. audio: sample chunks, in which gaps and edges
+    are looked up. Files that can't be read are `failed` in the manifest and recordings shorter than min_duration seconds or without a
+    segment `skipped`, with the reason as error: once, until that changes; they are tried again in each run and never enter the
+    ledger. seconds are those of the stage for the whole run.
     """
     own = f"{out}/run={name}"
-    heard = read_stage_json(spark, source, 2).filter(F.col("version") == VERSIONS[2])
-    todo = pending_files(heard.select(F.col("recording_id").alias("path")).distinct(), read_ledger(spark, ledger, but=name))
-    whole = plan_stages(read_manifest(spark, manifest, name), VERSIONS).filter(F.size("stages") == 0)
+    found = read_stage_files(spark, source, 2)
+    found.write.mode("overwrite").parquet(f"{own}/found")
+    found = spark.read.parquet(f"{own}/found")
+    rest = left_out(found, spark.read.parquet(recordings), min_duration)
+    before = read_manifest(spark, manifest, name)
+    last = latest_stage_status(before).filter("status in ('skipped', 'failed')").select("recording_id", "stage", "status", "error")
+    left = pending_files(rest.withColumnRenamed("recording_id", "path"), read_ledger(spark, ledger, but=name)).withColumnRenamed("path", "recording_id")
+    left.write.mode("overwrite").parquet(f"{own}/left_out")
+    left = spark.read.parquet(f"{own}/left_out")
+    _entries(left.join(last, ["recording_id", "stage", "status", "error"], "left_anti"), name).write.mode("append").parquet(manifest)
+
+    todo = found.filter((F.col("version") == VERSIONS[2]) & F.col("readable")).join(left.select("recording_id"), "recording_id", "left_anti")
+    todo = pending_files(todo.select(F.col("recording_id").alias("path")).distinct(), read_ledger(spark, ledger, but=name))
+    whole = plan_stages(before, VERSIONS).filter(F.size("stages") == 0)
     todo = todo.join(whole.select(F.col("recording_id").alias("path")), "path", "left_anti")
     todo.write.mode("overwrite").parquet(f"{own}/todo")  # every later step works on these
     todo = spark.read.parquet(f"{own}/todo")
     if todo.isEmpty():
         return False
-    mine = todo.withColumnRenamed("path", "recording_id")
-    heard.join(mine, "recording_id", "left_semi").write.mode("overwrite").parquet(f"{own}/stage2")
+    mine, took = todo.withColumnRenamed("path", "recording_id"), {2: None}
+    only = lambda df: df.join(mine, "recording_id", "left_semi")
 
-    clean_up.clean(spark.read.parquet(f"{own}/stage2").drop("version"), f"{own}/cleaned", VERSIONS[3])
-    second_pass.run(spark, f"{own}/cleaned", f"{own}/merged", version=VERSIONS[3])
+    began = time.time()
+    only(read_stage_json(spark, source, 2)).write.mode("overwrite").parquet(f"{own}/stage2")
+    only(spark.read.parquet(recordings)).write.mode("overwrite").parquet(f"{own}/recordings")
+    heard = {"recordings": spark.read.parquet(f"{own}/recordings"), "audio": only(read_audio_chunks(spark, audio))} if audio else {}
+    clean_up.clean(spark.read.parquet(f"{own}/stage2").drop("version"), f"{own}/cleaned", VERSIONS[3], **heard, **sizes)
+    second = None
+    if candidates:
+        second = f"{own}/candidates"
+        only(spark.read.parquet(candidates)).write.mode("overwrite").parquet(second)
+    second_pass.run(spark, f"{own}/cleaned", f"{own}/merged", second, f"{own}/recordings", version=VERSIONS[3])
+    took[3], began = time.time() - began, time.time()
     speakers.run(spark, f"{own}/merged/segments/stage=3", turns, f"{own}/labelled")
-    spark.read.parquet(recordings).join(mine, "recording_id", "left_semi").write.mode("overwrite").parquet(f"{own}/recordings")
+    took[4] = took[5] = time.time() - began
     transcript.run(spark, f"{own}/labelled", f"{own}/recordings", own)
 
-    stages = F.explode(F.array(*[F.struct(F.lit(k).alias("stage"), F.lit(VERSIONS.get(k)).cast("string").alias("version")) for k in (2, 3, 4, 5)]))
-    done = mine.select("recording_id", stages.alias("s")).select(
-        "recording_id", "s.stage", F.lit("done").alias("status"), "s.version", F.current_timestamp().alias("ts"), F.lit(name).alias("batch")
-    )
-    done.write.mode("append").parquet(manifest)
+    stages = F.explode(F.array(*[F.struct(F.lit(k).alias("stage"), F.lit(VERSIONS.get(k)).cast("string").alias("version"), F.lit(s).cast("double").alias("seconds")) for k, s in took.items()]))
+    done = mine.select("recording_id", stages.alias("s")).select("recording_id", "s.stage", F.lit("done").alias("status"), "s.version", "s.seconds")
+    _entries(done, name).write.mode("append").parquet(manifest)
     append_ledger(todo, ledger, name)
     return True
 
 
 if __name__ == "__main__":
-    run(SparkSession.builder.getOrCreate(), *sys.argv[1:8])
+    run(SparkSession.builder.getOrCreate(), *sys.argv[1:10])

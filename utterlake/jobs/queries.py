@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from utterlake.functions import text as T
+from utterlake.functions.store import written
 from utterlake.operators import audio, clean, intervals, report, speakers, validate, worklist
 from utterlake.sources import derived as D
 
@@ -79,12 +80,23 @@ def ms(c) -> F.Column:
     return F.round((F.col(c) if isinstance(c, str) else c) * 1000).cast("long")
 
 
+def _segments(spark, d) -> DataFrame:
+    """The segments with their words, written once as a stage's table would be: the joins below read them more than once."""
+    return written(D.segments(spark, d), "segments")
+
+
+def _told(spark, d, segments: DataFrame | None = None) -> DataFrame:
+    """The verdicts, written once: a query's clean segments and zones both come from them."""
+    return written(clean.verdicts(D.segments(spark, d) if segments is None else segments), "verdicts")
+
+
 def _clean(spark, d) -> DataFrame:
-    return clean.detect_problem_zones(D.segments(spark, d))[0]
+    s = _segments(spark, d)
+    return clean.kept_rows(s, _told(spark, d, s))
 
 
 def _zones(spark, d) -> DataFrame:
-    return clean.detect_problem_zones(D.segments(spark, d))[1]
+    return clean.problem_zones(_told(spark, d))
 
 
 @query("""q AS (SELECT recording_id, seq, hallucination, short, low FROM flagged JOIN low USING (recording_id, seq)) SELECT * FROM q""")
@@ -118,7 +130,7 @@ def suppress_repeats(spark, d):
        q AS (SELECT *, CAST(sum(n) OVER (PARTITION BY recording_id) AS BIGINT) AS n_removed FROM r JOIN (SELECT recording_id, count(*) AS n_raw FROM segments GROUP BY ALL) USING (recording_id)) SELECT * FROM q""")
 def removal_counts(spark, d):
     s = D.segments(spark, d)
-    return clean.removal_counts(clean.detect_problem_zones(s)[2], s)
+    return clean.removal_counts(clean.removed_rows(clean.verdicts(s)), s)
 
 
 @query("""listed AS (SELECT recording_id, seq, "start", "end" FROM segments UNION ALL SELECT recording_id, 1000000000 + zone_id, "start", "end" FROM recovered),
@@ -181,13 +193,12 @@ WORD_TOP = TOP.format(name="wordtop", items="words", more=", x.word_idx", keys="
 
 @query(SEG_TOP + """, q AS (SELECT s.recording_id, s.seq, t.speaker FROM segments s LEFT JOIN segtop t USING (recording_id, seq)) SELECT * FROM q""")
 def assign_segment_speakers(spark, d):
-    s = D.segments(spark, d)
-    return speakers.assign_speakers(s, D.turns(spark, d)).select("recording_id", "seq", "speaker")
+    return speakers.assign_speakers(_segments(spark, d), D.turns(spark, d)).select("recording_id", "seq", "speaker")
 
 
 @query(WORD_TOP + """, q AS (SELECT w.recording_id, w.seq, w.word_idx, w.word, t.speaker FROM words w LEFT JOIN wordtop t USING (recording_id, seq, word_idx)) SELECT * FROM q""")
 def assign_word_speakers(spark, d):
-    s = speakers.assign_speakers(D.segments(spark, d), D.turns(spark, d))
+    s = speakers.assign_speakers(_segments(spark, d), D.turns(spark, d))
     return intervals.explode_words(s).select("recording_id", "seq", "word_idx", "word", "speaker")
 
 
@@ -197,7 +208,7 @@ HITS = """hits AS (SELECT w.recording_id, w.seq, w.word_idx, w.word, w."start",
 
 @query(HITS + """, q AS (SELECT recording_id, seq, word_idx, hit FROM hits) SELECT * FROM q""")
 def words_hit_by_ranges(spark, d):
-    w = intervals.words_hit_by_ranges(intervals.explode_words(D.segments(spark, d)), D.recovered(spark, d))
+    w = intervals.words_hit_by_ranges(intervals.explode_words(_segments(spark, d)), D.recovered(spark, d))
     return w.select("recording_id", "seq", "word_idx", "hit")
 
 
@@ -217,7 +228,8 @@ merged AS (SELECT c.recording_id, c."start", c."end", c.text, 0 AS source, c.seq
        UNION ALL SELECT recording_id, "start", "end", text, 1, seq, 0 FROM recovered),
 q AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY "start", source, seq, run) - 1 AS seq, "start", "end", text FROM merged) SELECT * FROM q""")
 def merge_pass2(spark, d):
-    return clean.merge_pass2(_clean(spark, d), D.recovered(spark, d), raw=D.segments(spark, d)).select("recording_id", "seq", "start", "end", "text")
+    s = _segments(spark, d)
+    return clean.merge_pass2(clean.kept_rows(s, _told(spark, d, s)), D.recovered(spark, d), raw=s).select("recording_id", "seq", "start", "end", "text")
 
 
 GOOD = f"""win AS (SELECT recording_id, zone_id, greatest(0.0, "start" - 4.0) AS a, least(duration, "end" + 4.0) AS b FROM zones JOIN recordings USING (recording_id)),
@@ -227,9 +239,10 @@ good AS (SELECT c.recording_id, c.zone_id, round(rel_start + a, 3) AS "start", r
          WHERE b - a >= 0.3 AND NOT (trim(text) = '' OR regexp_matches(trim(text), '(?i){_re2()}') OR (avg_logprob < -1.0 AND no_speech_prob > 0.6)))"""
 
 
-def _second_pass(spark, d):
+def _second_pass(spark, d, told: DataFrame | None = None):
     """zones, windows, candidates, recovered segments."""
-    zones, candidates = _zones(spark, d), D.candidates(spark, d)
+    zones = clean.problem_zones(_told(spark, d) if told is None else told)
+    candidates = D.candidates(spark, d)
     windows = clean.plan_pass2_windows(zones, D.recordings(spark, d))
     return zones, windows, candidates, clean.recover(candidates, windows)
 
@@ -261,7 +274,9 @@ merged AS (SELECT c.recording_id, c."start", c."end", c.text, 0 AS source, c.seq
 
 @query(f"""{GOOD}, {MERGED2}, q AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY "start", source, seq, run, "end", text) - 1 AS seq, "start", "end", text FROM merged) SELECT * FROM q""")
 def merge_recovered(spark, d):
-    return clean.merge_pass2(_clean(spark, d), _second_pass(spark, d)[3], raw=D.segments(spark, d)).select("recording_id", "seq", "start", "end", "text")
+    s = _segments(spark, d)
+    told = _told(spark, d, s)
+    return clean.merge_pass2(clean.kept_rows(s, told), _second_pass(spark, d, told)[3], raw=s).select("recording_id", "seq", "start", "end", "text")
 
 
 @query(f"""{GOOD}, {TRIED}, {MERGED2}, l AS (SELECT recording_id, count(*) FILTER (status = 'recovered') AS recovered, count(*) FILTER (status <> 'recovered') AS not_recovered,
@@ -270,8 +285,10 @@ m AS (SELECT recording_id, count(*) AS n_segments FROM merged GROUP BY ALL), w A
 q AS (SELECT recording_id, coalesce(recovered, 0) AS recovered, coalesce(not_recovered, 0) AS not_recovered, coalesce(n, 0) AS n, 0::BIGINT AS n_placeholders, coalesce(n_segments, 0) AS n_segments, n_raw
       FROM w LEFT JOIN m USING (recording_id) LEFT JOIN l USING (recording_id)) SELECT * FROM q""")
 def pass2_summary(spark, d):
-    zones, windows, candidates, good = _second_pass(spark, d)
-    merged = clean.merge_pass2(_clean(spark, d), good, raw=D.segments(spark, d))
+    s = _segments(spark, d)
+    told = _told(spark, d, s)
+    zones, windows, candidates, good = _second_pass(spark, d, told)
+    merged = clean.merge_pass2(clean.kept_rows(s, told), good, raw=s)
     return clean.pass2_counts(clean.pass2_log(zones, good, candidates, windows), merged, D.segments(spark, d, words=False))
 
 
@@ -282,7 +299,7 @@ PLACED = f"""placed AS (SELECT recording_id, zone_id, round("start", 3) AS "star
        "start", "end", text, source = 1 AS is_placeholder FROM merged) SELECT * FROM q""")
 def merge_placeholders(spark, d):
     """Without a second pass, placeholders stand for the problem zones."""
-    s = D.segments(spark, d)
+    s = _segments(spark, d)
     c, zones, _ = clean.detect_problem_zones(s)
     return clean.merge_pass2(c, clean.placeholder_segments(zones), raw=s).select("recording_id", "seq", "start", "end", "text", "is_placeholder")
 
@@ -322,7 +339,7 @@ smooth3 AS (SELECT *, CASE WHEN word_idx = nw - 1 AND nw > 1 AND NOT answers AND
 
 @query(SMOOTH + """, q AS (SELECT recording_id, seq, word_idx, word, CASE WHEN nw > 1 THEN who ELSE raw END AS speaker FROM smooth3) SELECT * FROM q""")
 def smooth_word_speakers(spark, d):
-    s = speakers.smooth_word_speakers(speakers.assign_speakers(D.segments(spark, d), D.turns(spark, d)))
+    s = speakers.smooth_word_speakers(speakers.assign_speakers(_segments(spark, d), D.turns(spark, d)))
     return intervals.explode_words(s).select("recording_id", "seq", "word_idx", "word", "speaker")
 
 
@@ -345,7 +362,7 @@ splitted AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id O
 
 @query(SPLIT + """, q AS (SELECT * FROM splitted) SELECT * FROM q""")
 def split_by_speaker(spark, d):
-    s = speakers.split_by_speaker(speakers.assign_speakers(D.segments(spark, d), D.turns(spark, d)))
+    s = speakers.split_by_speaker(speakers.assign_speakers(_segments(spark, d), D.turns(spark, d)))
     return s.select("recording_id", "seq", "start", "end", "text", "speaker")
 
 
@@ -374,7 +391,7 @@ def merge_short_segments(spark, d):
 @query(f"""{SPLIT}, {_settled("splitted")}, q AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY "start", seq) - 1 AS seq, "start", "end", text, who AS speaker
        FROM short0 JOIN settled5 USING (recording_id, r)) SELECT * FROM q""")
 def speaker_pipeline(spark, d):
-    return speakers.speaker_pipeline(D.segments(spark, d), D.turns(spark, d)).select("recording_id", "seq", "start", "end", "text", "speaker")
+    return speakers.speaker_pipeline(_segments(spark, d), D.turns(spark, d)).select("recording_id", "seq", "start", "end", "text", "speaker")
 
 
 LABELS = """said AS (SELECT * FROM segments WHERE trim(text) <> ''),

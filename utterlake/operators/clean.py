@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from utterlake.functions import scan
 from utterlake.functions import text as T
 from utterlake.functions.fold import ordered_fold
+from utterlake.functions.store import written
 from utterlake.operators.audio import speech_in_range
-from utterlake.operators.intervals import merge_zones, near_ranges, renumber
+from utterlake.operators.intervals import hit_words, merge_zones, near_ranges, renumber
 
 
 def flag(segments: DataFrame) -> DataFrame:
@@ -32,7 +34,7 @@ def _fold_equal(window: float):
     return step
 
 
-def _alike(a: str, b: str, least: int) -> bool:
+def alike(a: str, b: str, least: int) -> bool:
     """One of two long texts holds the other and is not much longer."""
     short, long = sorted((a, b), key=len)
     return len(short) > least and short in long and len(short) / len(long) > 0.8
@@ -44,7 +46,7 @@ def _fold_similar(least: int):
     def step(kept, text, start, window):
         kept = [k for k in kept or [] if start - k[1] <= k[2]]
         near = [k[0] for k in kept if start - k[1] <= window]
-        if text in near or any(_alike(text, other, least) for other in near):
+        if text in near or any(alike(text, other, least) for other in near):
             return kept, True
         return [*kept, (text, start, window)], False
 
@@ -90,15 +92,24 @@ ZONE = "struct<k:int,seq:bigint,start:double,end:double,reason:string,ask:boolea
 
 
 def all_zones(rows: DataFrame, recordings: DataFrame | None = None) -> DataFrame:
-    """recording_id, ord (k, seq), start, end, reason, ask: all zones before merging, from one window over each recording.
+    """recording_id, ord (k, seq), start, end, reason, ask: all zones before merging.
 
     rows: recording_id, seq, start, end, first_score, last_score, kept (clean), zone_reason. k: 0 for a row's own zone, 1 for a
     gap to the next clean row, 2 and 3 for the recording's edges (3 with recordings only). ask: counts only where there is speech.
+    rows are evaluated twice: each bin of them hands on whether it has a clean row, and its first one to those before it.
     """
-    back = W.partitionBy("recording_id").orderBy(F.desc("seq")).rowsBetween(W.unboundedPreceding, -1)
-    ahead = W.partitionBy("recording_id").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
-    clean = F.when(F.col("kept"), F.struct("start", "first_score"))
-    r = rows.withColumn("next", F.last(clean, True).over(back)).withColumn("kept_before", F.max(F.coalesce("kept", F.lit(False))).over(ahead))
+    kept = F.coalesce("kept", F.lit(False))
+    r = scan.binned(rows, "seq").withColumn("clean", F.when(kept, F.struct("start", "first_score"))).withColumn("any", kept)
+    bins = r.groupBy(scan.KEY, scan.BIN).agg(F.min_by("clean", F.when(kept, F.col("seq"))).alias("clean"), F.max("any").alias("any"))
+    bins = bins.select(scan.KEY, scan.BIN, F.max("any").over(scan.before_bins()).alias("any"), F.last("clean", True).over(scan.after_bins()).alias("clean"))
+    seed = lambda place, any_, clean_: F.struct(F.lit(place).alias(scan.PLACE), any_.alias("any"), clean_.alias("clean"))
+    none = lambda c: F.when(F.lit(False), F.col(c))
+    seeds = F.explode(F.array(seed(scan.START, F.col("any"), none("clean")), seed(scan.END, none("any"), F.col("clean")))).alias("h")
+    seeds = bins.select(scan.KEY, scan.BIN, seeds).select(scan.KEY, scan.BIN, "h.*")
+    back = W.partitionBy(scan.KEY, scan.BIN).orderBy(F.desc(scan.PLACE), F.desc("seq")).rowsBetween(W.unboundedPreceding, -1)
+    ahead = scan.in_bin(["seq"]).rowsBetween(W.unboundedPreceding, -1)
+    r = scan.seeded(r, seeds).withColumn("next", F.last("clean", True).over(back)).withColumn("kept_before", F.max("any").over(ahead))
+    r = scan.rows_only(r, "clean", "any")
     zone = lambda k, start, end, reason, ask: F.struct(
         F.lit(k).alias("k"), F.when(F.lit(k < 2), F.col("seq")).otherwise(0).cast("long").alias("seq"), start.alias("start"), end.alias("end"), reason.alias("reason"), F.lit(ask).alias("ask")
     )
@@ -186,19 +197,28 @@ def problem_zones(told: DataFrame, recordings: DataFrame | None = None, speech:
     return merge_zones(with_speech(all_zones(rows, asked), speech, audio, **sizes))
 
 
+def kept_rows(segments: DataFrame, told: DataFrame) -> DataFrame:
+    """The segments that verdicts() has kept."""
+    return segments.join(told.filter("removed is null").select("recording_id", "seq"), ["recording_id", "seq"], "left_semi").select(*segments.columns)
+
+
+def removed_rows(told: DataFrame) -> DataFrame:
+    """recording_id, seq, reason, text, time, detail of what verdicts() has removed."""
+    return told.filter("removed is not null").select(
+        "recording_id", "seq", F.col("removed").alias("reason"), "text", F.format_string("%.1fs", "start").alias("time"), "detail"
+    )
+
+
 def detect_problem_zones(
     segments: DataFrame, low_conf: float = 0.45, recordings=None, speech=None, audio=None, told: DataFrame | None = None, **sizes
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(clean, zones, removed). All three come from verdicts(segments): who needs more than one stores it and gives it as `told`.
+    """(clean, zones, removed). All three come from verdicts(segments), which is written once unless it is given as `told`.
 
-    With audio (and recordings), the gaps that need speech are looked up in the sample chunks.
+    With audio (and recordings), the gaps that need speech are looked up in the sample chunks. The zones are computed at once (see
+    merge_zones); who doesn't want them takes kept_rows() or removed_rows().
     """
-    told = verdicts(segments, low_conf) if told is None else told
-    clean = segments.join(told.filter("removed is null").select("recording_id", "seq"), ["recording_id", "seq"], "left_semi").select(*segments.columns)
-    removed = told.filter("removed is not null").select(
-        "recording_id", "seq", F.col("removed").alias("reason"), "text", F.format_string("%.1fs", "start").alias("time"), "detail"
-    )
-    return clean, problem_zones(told, recordings, speech, audio, **sizes), removed
+    told = written(verdicts(segments, low_conf), "verdicts") if told is None else told
+    return kept_rows(segments, told), problem_zones(told, recordings, speech, audio, **sizes), removed_rows(told)
 
 
 def removal_counts(removed: DataFrame, raw: DataFrame | None = None) -> DataFrame:
@@ -302,15 +322,18 @@ def merge_pass2(clean: DataFrame, recovered: DataFrame, margin: float = 0.4, cov
     """Clean segments without what the second pass has replaced, and its segments, by start; seq is new.
 
     A recording without recovered segments keeps all of its own. Recovered rows of one start are put in order of their zone, end
-    and text. The ranges come to the segments, so that words are cut where they lie. raw: the segments that clean is a part of; with
-    it, what made clean runs once.
+    and text. The ranges come to the segments, so that words are cut where they lie; the rows are written once before they are numbered.
+    raw: the segments that clean is a part of; with it, what made clean runs once.
     """
     s = near_ranges(clean, recovered, ["start", "end"], margin + 0.001, raw=raw)  # a little wider than needed: the tests below are exact
     words, near = F.col("words"), F.coalesce("near", F.array().cast("array<struct<start:double,end:double>>"))
     s = s.withColumn("near", near)
     timed = F.coalesce((F.size(words) > 0) & F.forall(words, lambda w: w["start"].isNotNull() & w["end"].isNotNull()), F.lit(False))
-    reached = lambda w: F.exists("near", lambda r: (w["start"] < r["end"] + margin) & (w["end"] > r["start"] - margin))
-    s = s.withColumn("timed", timed).withColumn("hit", F.when(timed & (F.size("near") > 0), F.filter(F.transform(words, lambda w, i: F.when(reached(w), i)), lambda i: i.isNotNull())))
+    s = s.withColumn("timed", timed)
+    wide = F.when(F.col("timed") & (F.size("near") > 0), F.col("near"))
+    times = F.struct(F.when(wide.isNotNull(), words["start"]).alias("start"), F.when(wide.isNotNull(), words["end"]).alias("end"))
+    widened = F.struct(F.transform(wide, lambda r: r["start"] - margin).alias("start"), F.transform(wide, lambda r: r["end"] + margin).alias("end"))
+    s = s.withColumn("hit", hit_words(widened, times))
     shared = lambda r: F.round((F.least("end", r["end"]) - F.greatest("start", r["start"])) * 1000).cast("long")
     ms = F.aggregate("near", F.lit(0).cast("long"), lambda a, r: a + F.greatest(F.lit(0).cast("long"), shared(r)))
     covered = ms / 1000 / F.greatest(F.lit(0.01), F.col("end") - F.col("start"))
@@ -322,4 +345,5 @@ def merge_pass2(clean: DataFrame, recovered: DataFrame, margin: float = 0.4, cov
     columns = [c for c in clean.columns if c != "seq"]
     own = s.select(*[new.get(c, F.col(c)) for c in columns], F.lit(0).alias("source"), F.col("seq").alias("old"), F.coalesce("r.run", F.lit(0)).alias("run"))
     more = recovered.select(*[c for c in recovered.columns if c in columns], F.lit(1).alias("source"), *([F.col("zone_id").alias("old")] if "zone_id" in recovered.columns else []))
-    return renumber(own.unionByName(more, allowMissingColumns=True), "start", "source", "old", "run", "end", "text").drop("source", "old", "run")
+    rows = written(own.unionByName(more, allowMissingColumns=True), "merged")  # the numbering below reads it twice
+    return renumber(rows, "start", "source", "old", "run", "end", "text").drop("source", "old", "run")

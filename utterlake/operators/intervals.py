@@ -1,32 +1,87 @@
-"""Intervals: overlap joins by time bins, islands, runs."""
+"""Intervals: overlap joins by dyadic nodes, words against the ranges near their row, islands, runs."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
+from utterlake.functions import scan
+from utterlake.functions.store import written
 
-def bins(start: Column, end: Column, size: float) -> Column:
-    """The bins that an interval touches."""
-    return F.sequence(F.floor(start / size), F.greatest(F.floor(start / size), F.floor(end / size)))
 
+def _floor_shift(value: Column, level: Column) -> Column:
+    return F.call_function("shiftright", value, level)
 
-def overlap_join(left: DataFrame, right: DataFrame, size: float = 10.0, margin: float = 0.0) -> DataFrame:
-    """left's columns, right's as o_*, and `overlap`, for each pair of one recording that overlaps by more than 0
-    (right widened by margin on both sides).
 
-    Both sides are dealt to bins of `size` seconds, so that a long recording spreads over tasks; a pair counts only in the
-    later of its two first bins, so that nothing has to be made distinct.
+def cover(first: Column, last: Column) -> Column:
+    """The dyadic nodes (level, at) that make up the bins first to last: node (k, i) holds the bins i * 2 ** k up to (i + 1) * 2 ** k.
+
+    There are at most two of each level, and no more levels than the interval's length has binary digits.
+    """
+    levels = F.sequence(F.lit(0), F.floor(F.log2(last - first + 1)).cast("int") + 1)
+    node = lambda level, at: F.struct(level.alias("level"), at.alias("at"))
+
+    def nodes(k: Column) -> Column:
+        one = F.lit(1).cast("long")
+        low = -_floor_shift(-first, k)  # the first node of level k that lies inside, as far as lower levels leave some
+        high = _floor_shift(last + one, k)  # the first one that doesn't
+        open_ = low < high
+        left = F.when(open_ & (low.bitwiseAND(one) == 1), low)
+        after = F.when(left.isNotNull(), low + one).otherwise(low)
+        right = F.when(open_ & (high.bitwiseAND(one) == 1) & (after < high), high - one)
+        return F.array(*[F.when(x.isNotNull(), node(k, x)) for x in (left, right)])
+
+    bottom = F.lit(0)
+    few = F.when(first == last, F.array(node(bottom, first))).when(first + 1 == last, F.array(node(bottom, first), node(bottom, last)))
+    return few.otherwise(F.array_compact(F.flatten(F.transform(levels, nodes))))  # most intervals need no levels
+
+
+def _dealt(df: DataFrame, start: Column, end: Column, size: float, other_levels: Column, own_turn: int) -> DataFrame:
+    """df's rows by node, with `turn`: as the interval's cover, and as its start among the covers of the other side."""
+    bin_of = lambda x: F.floor(x / size).cast("long")
+    df = df.withColumns({"top": other_levels, "at": F.explode(F.array(F.struct(bin_of(start).alias("first"), bin_of(end).alias("last"))))})
+    first, last = F.col("at.first"), F.col("at.last")
+    probes = F.transform(F.sequence(F.lit(0), F.col("top")), lambda k: F.struct(k.alias("level"), _floor_shift(first, k).alias("at")))
+    probes = F.when(F.col("top") == 0, F.array(F.struct(F.lit(0).alias("level"), first.alias("at")))).otherwise(probes)
+    sides = F.array(F.struct(F.lit(own_turn).alias("turn"), cover(first, last).alias("nodes")), F.struct(F.lit(1 - own_turn).alias("turn"), probes.alias("nodes")))
+    rows = df.withColumn("side", F.explode(sides)).withColumn("one", F.explode("side.nodes"))
+    return rows.withColumn("node", F.struct("side.turn", "one.level", "one.at")).drop("top", "at", "side", "one")
+
+
+def _highest(df: DataFrame, start: Column, end: Column, size: float) -> Column:
+    """The highest level of the covers of a table's intervals, as a subquery."""
+    n = F.floor(end / size) - F.floor(start / size) + 1
+    return df.agg(F.coalesce(F.max(F.floor(F.log2(n))), F.lit(0)).cast("int").alias("k")).scalar()
+
+
+def meeting_pairs(left: DataFrame, right: DataFrame, size: float = 10.0, margin: float = 0.0) -> DataFrame:
+    """left's columns, right's as o_*, for each pair of one recording whose intervals touch (right's widened by margin on both sides).
+
+    Of two intervals that touch, one holds the other's start. So each interval is dealt to the dyadic nodes over bins of `size` seconds
+    that cover it, and its start to the nodes that lie above it; covers of one side meet starts of the other. An hour is some ten rows, not 360; a
+    long recording spreads over tasks; each pair comes once: equal starts count as right's start in left's interval.
     """
-    own = left.withColumn("bin", F.explode(bins(F.col("start"), F.col("end"), size)))
+    timed = lambda df: df.filter("start is not null and end is not null")
+    left, right = timed(left), timed(right)
+    ends = lambda start, end: (F.least(start, end), F.greatest(start, end))
     other = right.select(*[F.col(c).alias(f"o_{c}") for c in right.columns])
+    (a, b), (c, d) = ends(F.col("start"), F.col("end")), ends(F.col("o_start") - margin, F.col("o_end") + margin)
+    own = _dealt(left, a, b, size, _highest(other, c, d, size), 0)
+    other = _dealt(other, c, d, size, _highest(left, a, b, size), 1).withColumnRenamed("o_recording_id", "recording_id")
+    pair = own.join(other, ["recording_id", "node"])
+    return pair.filter(F.when(F.col("node.turn") == 0, (c >= a) & (c <= b)).otherwise((a > c) & (a <= d))).drop("node")
+
+
+def overlap_join(left: DataFrame, right: DataFrame, size: float = 10.0, margin: float = 0.0) -> DataFrame:
+    """left's columns, right's as o_*, and `overlap`, for each pair of one recording that overlaps by more than 0
+    (right widened by margin on both sides): meeting_pairs() that share more than a point."""
     start, end = F.col("o_start") - margin, F.col("o_end") + margin
-    other = other.withColumn("bin", F.explode(bins(start, end, size))).withColumnRenamed("o_recording_id", "recording_id")
-    pair = own.join(other, ["recording_id", "bin"])
-    first = F.greatest(F.floor(F.col("start") / size), F.floor(start / size))
     overlap = F.least(F.col("end"), end) - F.greatest(F.col("start"), start)
-    return pair.withColumn("overlap", overlap).filter((F.col("bin") == first) & (F.col("overlap") > 0)).drop("bin")
+    return meeting_pairs(left, right, size, margin).withColumn("overlap", overlap).filter(F.col("overlap") > 0)
 
 
 def top_speaker(items: DataFrame, turns: DataFrame, keys: list[str], bin_sec: float = 10.0) -> DataFrame:
@@ -54,35 +109,87 @@ def near_ranges(
 ) -> DataFrame:
     """segments with `near`: structs of `fields` of all ranges that overlap the row or one of its words (widened by margin).
 
-    Only keys and times are dealt to bins; a row's ranges come back to it as one array, so that its words need no rows of their own.
-    raw: a table that holds at least the same rows and is cheaper to read twice; keys and times are taken from it.
+    Only keys and times are dealt to nodes; a row's ranges come back to it as one array, so that its words need no rows of their own.
+    raw: a table that holds at least the same rows and is cheaper to read again; keys and times are taken from it.
     """
     keys = ["recording_id", "seq"]
     start = F.least("start", F.array_min("words.start"))
     end = F.greatest("end", F.array_max("words.end"))
-    spans = (segments if raw is None else raw).select(*keys, start.alias("start"), end.alias("end")).filter("start is not null and end is not null")
+    span = F.explode(F.array(F.struct(start.alias("start"), end.alias("end")))).alias("s")  # so that the extremes are computed once a row
+    spans = (segments if raw is None else raw).select(*keys, span).select(*keys, "s.start", "s.end")
     pairs = overlap_join(spans, ranges.select("recording_id", *fields), bin_sec, margin)
     near = pairs.groupBy(*keys).agg(F.collect_list(F.struct(*[F.col(f"o_{c}").alias(c) for c in fields])).alias("near"))
     return segments.join(near, keys, "left")
 
 
-def most_overlap(near: Column, start: Column, end: Column) -> Column:
-    """The speaker with the largest summed overlap of start to end in an array of turns (ties: the smaller name); null without one."""
-    shared = lambda t: F.least(t["end"], end) - F.greatest(t["start"], start)
-    hits = F.filter(F.transform(near, lambda t: F.struct(shared(t).alias("s"), t["speaker"].alias("who"))), lambda x: x["s"] > 0)
-    add = lambda who: lambda a, x: a + F.when(x["who"].eqNullSafe(who), F.round(x["s"] * 1000).cast("long")).otherwise(F.lit(0))
-    # the usual cases need no sums: no turn or one
-    best = lambda h: F.array_min(F.transform(F.array_distinct(F.transform(h, lambda x: x["who"])), lambda w: F.struct((-F.aggregate(h, F.lit(0).cast("long"), add(w))).alias("ms"), w.alias("who"))))["who"]
-    return F.get(F.transform(F.array(hits), lambda h: F.when(F.size(h) < 2, F.get(h, F.lit(0))["who"]).otherwise(best(h))), F.lit(0))
+MICRO = 1_000_000
+
+
+def whole_micros(seconds) -> np.ndarray:
+    return np.rint(np.asarray(seconds, np.float64) * MICRO).astype(np.int64)
+
+
+def shared_time(a: np.ndarray, b: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Of each of the intervals a to b the summed overlap with all of start to end (whole numbers).
+
+    The time that a ray up to x shares with them is a sum over the starts and ends below x; sorted once, it is looked up for all x.
+    """
+    start, end = np.sort(start), np.sort(end)
+    below = lambda x, edges: (np.searchsorted(edges, x) * x) - np.append(0, np.cumsum(edges))[np.searchsorted(edges, x)]
+    up_to = lambda x: below(x, start) - below(x, end)
+    return np.where(b > a, up_to(b) - up_to(a), 0)
+
+
+def best_speakers(a: np.ndarray, b: np.ndarray, start: np.ndarray, end: np.ndarray, who: np.ndarray) -> np.ndarray:
+    """Of each interval a to b the speaker with the largest summed overlap (ties: the smaller name); None without one."""
+    out, most = np.full(len(a), None, object), np.zeros(len(a), np.int64)
+    for name in sorted(set(who)):
+        own = who == name
+        shared = shared_time(a, b, start[own], end[own])
+        more = shared > most
+        out[more], most[more] = name, shared[more]
+    return out
+
+
+SPEAKERS = "struct<own:string,words:array<string>>"
+
+
+def _speakers_of():
+    """A vectorised helper: turns near a row (start, end, speaker), the row's times and its words' times to their speakers."""
+
+    @F.pandas_udf(SPEAKERS)
+    def find(batches: Iterator[tuple[pd.DataFrame, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
+        for near, times in batches:
+            out = []
+            for t_start, t_end, who, start, end, w_start, w_end in zip(near["start"], near["end"], near["speaker"], times["start"], times["end"], times["w_start"], times["w_end"], strict=True):
+                if t_start is None:
+                    out.append((None, None))
+                    continue
+                a = np.append(np.float64(start), np.asarray([] if w_start is None else w_start, np.float64))
+                b = np.append(np.float64(end), np.asarray([] if w_end is None else w_end, np.float64))
+                timed = ~(np.isnan(a) | np.isnan(b))
+                found = np.full(len(a), None, object)
+                named = np.array([w is not None for w in who], bool)
+                turns = whole_micros(t_start)[named], whole_micros(t_end)[named], np.asarray(who, object)[named]
+                found[timed] = best_speakers(whole_micros(a[timed]), whole_micros(b[timed]), *turns)
+                out.append((found[0], None if w_start is None else found[1:]))
+            yield pd.DataFrame(out, columns=["own", "words"])
+
+    return find.asNondeterministic()  # it isn't, but so Spark neither repeats it nor moves it into another expression
 
 
 def assign_speakers(segments: DataFrame, turns: DataFrame, bin_sec: float = 10.0) -> DataFrame:
-    """segments with the speaker of each row and each word; null where no turn overlaps."""
+    """segments with the speaker of each row and each word; null where no turn overlaps. Sums are whole microseconds."""
     s = near_ranges(segments, turns, ["start", "end", "speaker"], bin_sec=bin_sec)
-    near = F.col("near")
+    pick = lambda at, *fields: F.struct(*[F.col(f"{at}.{c}").alias(c) for c in fields])
+    words, near = F.col("words"), F.when(F.size("near") > 0, F.col("near"))
+    times = F.struct(
+        "start", "end", F.when(near.isNotNull(), words["start"]).alias("w_start"), F.when(near.isNotNull(), words["end"]).alias("w_end")
+    )
+    s = s.withColumn("near", near).withColumn("who", _speakers_of()(pick("near", "start", "end", "speaker"), times))
     new = {
-        "speaker": most_overlap(near, F.col("start"), F.col("end")),
-        "words": F.transform("words", lambda w: with_speaker(w, most_overlap(near, w["start"], w["end"]))),
+        "speaker": F.col("who.own"),
+        "words": F.when(F.col("who.words").isNull(), F.transform(words, lambda w: with_speaker(w, F.lit(None).cast("string")))).otherwise(F.zip_with(words, "who.words", with_speaker)),
     }
     return s.select(*[new.get(c, F.col(c)).alias(c) for c in segments.columns])
 
@@ -90,15 +197,35 @@ def assign_speakers(segments: DataFrame, turns: DataFrame, bin_sec: float = 10.0
 def words_hit_by_ranges(words: DataFrame, ranges: DataFrame, margin: float = 0.4, bin_sec: float = 10.0) -> DataFrame:
     """words with `hit`: some range reaches into the word, when widened by margin. Untimed words are never hit."""
     keys = ["recording_id", "seq", "word_idx"]
-    timed = words.filter("start is not null and end is not null").select(*keys, "start", "end")
-    own = timed.withColumn("bin", F.explode(bins(F.col("start"), F.col("end"), bin_sec)))
-    other = ranges.select("recording_id", (F.col("start") - margin).alias("r_start"), (F.col("end") + margin).alias("r_end"))
-    other = other.withColumn("bin", F.explode(bins(F.col("r_start"), F.col("r_end"), bin_sec)))
-    near = own.join(other, ["recording_id", "bin"]).filter("start < r_end and end > r_start")
+    pairs = meeting_pairs(words.select(*keys, "start", "end"), ranges.select("recording_id", "start", "end"), bin_sec, margin)
+    near = pairs.filter((F.col("start") < F.col("o_end") + margin) & (F.col("end") > F.col("o_start") - margin))
     hit = near.select(*keys).distinct().withColumn("hit", F.lit(True))
     return words.join(hit, keys, "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
 
 
+def hit_by(start: np.ndarray, end: np.ndarray, r_start: np.ndarray, r_end: np.ndarray) -> np.ndarray:
+    """The indices of the words (start, end) into which some range reaches.
+
+    Of the ranges that begin before a word's end, one reaches into it if the one that ends last does.
+    """
+    order = np.argsort(r_start)
+    reach = np.append(-np.inf, np.maximum.accumulate(r_end[order]))
+    return np.flatnonzero(reach[np.searchsorted(r_start[order], end)] > start).astype(np.int32)
+
+
+def hit_words(near: Column, times: Column) -> Column:
+    """hit_by() of a row's words (times: struct of arrays start, end) by its ranges (near: likewise); null without ranges."""
+
+    @F.pandas_udf("array<int>")
+    def hits(batches: Iterator[tuple[pd.DataFrame, pd.DataFrame]]) -> Iterator[pd.Series]:
+        whole = lambda x: np.asarray(x, np.float64)
+        for ranges, words in batches:
+            rows = zip(ranges["start"], ranges["end"], words["start"], words["end"], strict=True)
+            yield pd.Series([None if r is None or a is None else hit_by(whole(a), whole(b), whole(r), whole(q)) for r, q, a, b in rows], dtype=object)
+
+    return hits.asNondeterministic()(near, times)  # it isn't, but so Spark neither repeats it nor moves it into another expression
+
+
 def overlap_fraction(segments: DataFrame, ranges: DataFrame, bin_sec: float = 30.0) -> DataFrame:
     """segments with `covered`: summed overlap with all ranges over max(0.01, duration)."""
     pairs = overlap_join(segments.select("recording_id", "seq", "start", "end"), ranges.select("recording_id", "start", "end"), bin_sec)
@@ -110,12 +237,13 @@ def overlap_fraction(segments: DataFrame, ranges: DataFrame, bin_sec: float = 30
 def merge_zones(zones: DataFrame, tolerance: float = 1.0) -> DataFrame:
     """recording_id, zone_id, start, end, reason: zones at most `tolerance` apart become one; reasons joined in order.
 
-    zones: recording_id, ord (place in the input), start, end, reason.
+    zones: recording_id, ord (place in the input), start, end, reason. They are scanned by time bins and written once in between, so that
+    a recording's zones never meet in one task; a merged zone's reasons do.
     """
-    w = W.partitionBy("recording_id").orderBy("start", "ord")
-    reach = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
-    z = zones.withColumn("new", F.when(F.col("start") <= reach + tolerance, 0).otherwise(1))
-    z = z.withColumn("zone_id", F.sum("new").over(w.rowsBetween(W.unboundedPreceding, 0)) - 1)
+    order = ["start", "ord"]
+    z = scan.greatest_before(zones.select("recording_id", "ord", "start", "end", "reason"), F.col("end"), order, "reach")
+    z = written(z.withColumn("new", F.when(F.col("start") <= F.col("reach") + tolerance, 0).otherwise(1)).drop("reach"), "zones")
+    z = scan.running_sum(z, F.col("new"), order, "n").withColumn("zone_id", F.col("n") - 1)
     told = F.transform(F.array_sort(F.collect_list(F.struct("start", "ord", "reason"))), lambda x: x["reason"])
     return z.groupBy("recording_id", "zone_id").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.array_join(told, "+").alias("reason")
@@ -123,5 +251,5 @@ def merge_zones(zones: DataFrame, tolerance: float = 1.0) -> DataFrame:
 
 
 def renumber(df: DataFrame, *order: str) -> DataFrame:
-    """seq anew, from 0, in the given order within the recording."""
-    return df.withColumn("seq", (F.row_number().over(W.partitionBy("recording_id").orderBy(*order)) - 1).cast("long"))
+    """seq anew, from 0, in the given order within the recording: counted by bins of the first column. df is evaluated twice."""
+    return scan.running_sum(df, F.lit(1), list(order), "__n").withColumn("seq", F.col("__n") - 1).drop("__n")

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from utterlake.functions import scan
 from utterlake.functions import text as T
 from utterlake.functions.fold import ordered_fold
+from utterlake.functions.store import written
 
 PREFIX = "Спикер"
 
@@ -24,20 +26,18 @@ def speaker_labels(segments: DataFrame, prefix: str = PREFIX) -> DataFrame:
 
 
 def speaker_blocks(labelled: DataFrame) -> DataFrame:
-    """labelled with block_id: consecutive segments of one label."""
-    w = W.partitionBy("recording_id").orderBy("seq")
-    new = F.when(F.lag("label").over(w) == F.col("label"), 0).otherwise(1)
-    out = labelled.withColumn("new_block", new)
-    return out.withColumn("block_id", F.sum("new_block").over(w.rowsBetween(W.unboundedPreceding, 0)) - 1).drop("new_block")
+    """labelled with block_id: consecutive segments of one label. labelled is evaluated twice."""
+    return scan.numbered_runs(labelled, ["label"], lambda a, b: a["label"] != b["label"], ["seq"], "block_id")
 
 
 def _pack(max_sec: float, max_chars: int):
-    """State: (start, characters) of the open paragraph; the verdict says whether a new one begins."""
+    """State: (number, start, characters) of the open paragraph of a chain; the verdict is the paragraph's number."""
 
     def step(state, start, end, n):
-        if state is not None and end - state[0] <= max_sec and state[1] + n <= max_chars:
-            return (state[0], state[1] + 1 + n), False
-        return (start, n), True
+        if state is not None and end - state[1] <= max_sec and state[2] + n <= max_chars:
+            return (state[0], state[1], state[2] + 1 + n), state[0]
+        k = 0 if state is None else state[0] + 1
+        return (k, start, n), k
 
     return step
 
@@ -46,21 +46,23 @@ def paragraphs(segments: DataFrame, split_pause: float = 2.5, max_sec: float = 4
     """recording_id, block_id, par_id, label, start, text.
 
     A change of label or a long pause to the row before is a barrier; between barriers a fold packs greedily, over times and
-    lengths only; texts are joined afterwards.
+    lengths only; texts are joined afterwards. Barriers and paragraphs are numbered by bins of a recording; the rows and the
+    paragraphs are written once each, as both the numbering and the fold read them again. Rows without a recording_id are left out.
     """
-    s = speaker_blocks(speaker_labels(segments, prefix)).withColumn("text", T.strip(F.col("text")))
+    s = speaker_labels(segments, prefix).withColumn("text", T.strip(F.col("text")))
     s = s.withColumn("start", F.coalesce("start", F.lit(0.0)))
-    s = s.withColumn("end", F.when(F.coalesce("end", F.lit(0.0)) == 0, F.col("start")).otherwise(F.col("end"))).withColumn("n", F.length("text"))
-    w = W.partitionBy("recording_id").orderBy("seq")
-    same = (F.lag("block_id").over(w) == F.col("block_id")) & (F.col("start") - F.lag("end").over(w) <= split_pause)
-    s = s.withColumn("new", F.when(same, 0).otherwise(1)).withColumn("chain", F.sum("new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    begins = ordered_fold(s, ["recording_id", "chain"], ["seq"], ["start", "end", "n"], _pack(max_sec, max_chars), "begins boolean")
-    s = s.join(begins.select("recording_id", "seq", "begins"), ["recording_id", "seq"])
-    s = s.withColumn("par_id", F.sum(F.col("begins").cast("long")).over(w.rowsBetween(W.unboundedPreceding, 0)) - 1)
+    s = s.withColumn("end", F.when(F.coalesce("end", F.lit(0.0)) == 0, F.col("start")).otherwise(F.col("end")))
+    s = written(s.select("recording_id", "seq", "start", "end", "label", "text", F.length("text").alias("n")), "labelled")
+    parts = lambda a, b: (a["label"] != b["label"]) | ~(b["start"] - a["end"] <= split_pause)
+    s = scan.numbered_runs(s, ["label", "start", "end"], parts, ["seq"], "chain")
+    k = ordered_fold(s, ["recording_id", "chain"], ["seq"], ["start", "end", "n"], _pack(max_sec, max_chars), "k long")
+    s = s.join(k.select("recording_id", "seq", "k"), ["recording_id", "seq"])
     told = F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"])
-    return s.groupBy("recording_id", "block_id", "par_id").agg(
-        F.first("label").alias("label"), F.min_by("start", "seq").alias("start"), F.array_join(told, " ").alias("text")
-    )
+    p = s.groupBy("recording_id", "chain", "k").agg(F.first("label").alias("label"), F.min_by("start", "seq").alias("start"), F.array_join(told, " ").alias("text"))
+    p = written(p, "paragraphs")
+    p = scan.running_sum(p, F.lit(1), ["chain", "k"], "n").withColumn("par_id", F.col("n") - 1)
+    p = scan.numbered_runs(p, ["label"], lambda a, b: a["label"] != b["label"], ["chain", "k"], "block_id")
+    return p.select("recording_id", "block_id", "par_id", "label", "start", "text")
 
 
 def transcript_lines(pars: DataFrame, recordings: DataFrame) -> DataFrame:

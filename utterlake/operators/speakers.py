@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from utterlake.functions import scan
 from utterlake.functions import text as T
 from utterlake.functions.fold import chain_map
+from utterlake.functions.store import written
 from utterlake.operators.intervals import assign_speakers, renumber, with_speaker
 
 ARRAYS = ("start", "end", "who", "answers")
@@ -124,18 +126,21 @@ def split_by_speaker(segments: DataFrame, max_gap: float = 0.45) -> DataFrame:
         "end": F.when(cut, F.round(F.array_max("p.words.end"), 3)).otherwise(F.col("end")),
     }
     rows = s.filter("said is null or said <> ''").select(*[new.get(c, F.col(c)).alias(c) for c in segments.columns], "part")
-    return renumber(rows, "seq", "part").select(*segments.columns)
+    return renumber(written(rows, "split"), "seq", "part").select(*segments.columns)  # written: the helper runs once
 
 
 def _settle(max_gap: float, max_passes: int):
-    """Solve one chain: rows (start, end, n_words, fixed, speaker) with its fixed ends included.
+    """Solve one chain: rows (start, end, n_words, fixed, speaker, and of the fixed row before the chain: its end and speaker).
 
     What a row may do depends on times and lengths alone: take the speaker that both neighbours share, or, as a lone word, that
     of one side (-1 or 1; 0: its own). Only the speakers change from pass to pass; a pass that changes none is the last.
     """
 
     def solve(rows: list[tuple]) -> list[str | None]:
-        start, end, n_words, fixed, who = map(list, zip(*rows, strict=True))
+        start, end, n_words, fixed, who, ends, said = map(list, zip(*rows, strict=True))
+        led = fixed[0] is not None and ends[0] is not None and not math.isnan(ends[0])
+        if led:
+            start, end, n_words, fixed, who = [ends[0], *start], [ends[0], *end], [9, *n_words], [True, *fixed], [said[0], *who]
         gap = [math.inf, *(b - a for a, b in zip(end, start[1:])), math.inf]  # before each row, and after the last
         lone = [(-1 if gap[i] < 0.35 else int(gap[i + 1] < 0.35)) if n_words[i] < 2 else 0 for i in range(len(who))]
         moves = [(i, 0 < i < len(who) - 1 and min(gap[i : i + 2]) <= max_gap, lone[i]) for i in range(len(who)) if not fixed[i]]
@@ -146,7 +151,7 @@ def _settle(max_gap: float, max_passes: int):
                 who[i] = shared or who[i + side]
             if who == was:
                 break
-        return who
+        return who[led:]
 
     return solve
 
@@ -154,25 +159,21 @@ def _settle(max_gap: float, max_passes: int):
 def merge_short_segments(segments: DataFrame, min_dur: float = 0.7, max_words: int = 2, max_gap: float = 0.45, max_passes: int = 5) -> DataFrame:
     """segments with the speakers of micro-segments taken from their neighbours; rows are not joined.
 
-    Segments that can't change are barriers: only the chains between them, with their fixed ends, meet the helper.
+    Segments that can't change are barriers: only the chains between them, with their fixed ends, meet the helper. Chains are numbered by
+    bins of the recording, over narrow rows; a chain's first row brings the fixed row before it along. segments are evaluated three times.
     """
-    w = W.partitionBy("recording_id").orderBy("seq")
     n = T.word_count(F.col("text"))
     first = F.element_at(F.filter(F.split(F.coalesce("text", F.lit("")), r"(?U)\s+"), lambda x: x != ""), 1)
     first = F.when(n > 0, first).otherwise("")
     fixed = ((F.col("end") - F.col("start") >= min_dur) & (n > max_words)) | ((n <= 2) & T.is_response_word(first))
-    s = segments.select("recording_id", "seq", "start", "end", "speaker", n.cast("int").alias("n_words"), fixed.alias("fixed"))
-    # a chain begins at a movable segment that follows a fixed one; a fixed end between two chains belongs to both
-    before, after = F.lag("fixed").over(w), F.lead("fixed").over(w)
-    s = s.withColumn("opens", F.when(~F.col("fixed") & F.coalesce(before, F.lit(True)), 1).otherwise(0))
-    s = s.withColumn("chain", F.sum("opens").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    s = s.withColumn("after_movable", ~F.coalesce(before, F.lit(True))).withColumn("before_movable", ~F.coalesce(after, F.lit(True)))
-    inner = s.filter("not fixed or after_movable")
-    heads = s.filter("fixed and before_movable").withColumn("chain", F.col("chain") + 1)
-    rows = inner.unionByName(heads)
-    told = chain_map(rows, ["recording_id", "chain"], ["seq"], ["start", "end", "n_words", "fixed", "speaker"], _settle(max_gap, max_passes), "new_speaker string")
-    told = told.join(s.filter("not fixed").select("recording_id", "seq"), ["recording_id", "seq"], "left_semi")
-    out = segments.join(told.select("recording_id", "seq", "new_speaker", F.lit(True).alias("moved")), ["recording_id", "seq"], "left")
+    s = segments.select("recording_id", "seq", "start", "end", "speaker", n.cast("int").alias("n_words"), F.coalesce(fixed, F.lit(True)).alias("fixed"))
+    s = scan.numbered_runs(s, ["fixed", "end", "speaker"], lambda a, b: a["fixed"] & ~b["fixed"], ["seq"], "chain", before="before")
+    led = ~F.col("fixed") & F.col("before.fixed")
+    s = s.withColumn("ends", F.when(led, F.col("before.end"))).withColumn("said", F.when(led, F.col("before.speaker")))
+    rows = s.filter(~F.col("fixed") | ~F.coalesce("before.fixed", F.lit(True)))  # movable ones, and the fixed one after them
+    told = chain_map(rows, ["recording_id", "chain"], ["seq"], ["start", "end", "n_words", "fixed", "speaker", "ends", "said"], _settle(max_gap, max_passes), "new_speaker string")
+    moved = written(told.join(s.filter("not fixed").select("recording_id", "seq"), ["recording_id", "seq"], "left_semi").select("recording_id", "seq", "new_speaker"), "settled")
+    out = segments.join(moved.withColumn("moved", F.lit(True)), ["recording_id", "seq"], "left")
     return out.withColumn("speaker", F.when(F.col("moved"), F.col("new_speaker")).otherwise(F.col("speaker"))).select(*segments.columns)
 
 

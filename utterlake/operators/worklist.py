@@ -11,15 +11,25 @@ from utterlake.functions.text import file_parts
 EXTENSIONS = ("mp4", "mov", "avi", "mkv", "webm", "m4v", "zip")
 
 
-def media_filter(files: DataFrame, root: str, max_depth: int = 5, work_dir: str | None = None) -> DataFrame:
-    """Wanted extensions, at most max_depth folders below root, none of which starts with _; with is_zip."""
-    p = file_parts(F.col("path"))
-    below = F.substring(p["folder"], len(root) + 1, 100_000)
-    folders = F.filter(F.split(below, "/"), lambda x: x != "")
-    ok = F.startswith(F.col("path"), F.lit(root)) & p["ext"].isin(*EXTENSIONS) & (F.size(folders) <= max_depth)
-    ok = ok & ~F.exists(folders, lambda x: F.startswith(x, F.lit("_")))
+def _below(path: F.Column, folder: str) -> F.Column:
+    """Whether a path lies below a folder, by whole names: /a/b is no part of /a/bc."""
+    return F.startswith(path, F.lit(folder.rstrip("/") + "/"))
+
+
+def media_filter(files: DataFrame, root: str, max_depth: int | None = 5, work_dir: str | None = None, hidden: bool = False) -> DataFrame:
+    """Wanted extensions, at most max_depth folders below root, none of which starts with _ (unless hidden); with is_zip.
+
+    A scan of local folders leaves out what lies below work_dir, and has no other rule: max_depth=None, hidden=True.
+    """
+    p, path = file_parts(F.col("path")), F.col("path")
+    folders = F.filter(F.split(F.substr(p["folder"], F.lit(len(root.rstrip("/")) + 1)), "/"), lambda x: x != "")
+    ok = _below(path, root) & p["ext"].isin(*EXTENSIONS)
+    if max_depth is not None:
+        ok = ok & (F.size(folders) <= max_depth)
+    if not hidden:
+        ok = ok & ~F.exists(folders, lambda x: F.startswith(x, F.lit("_")))
     if work_dir:
-        ok = ok & ~F.startswith(F.col("path"), F.lit(work_dir))
+        ok = ok & ~_below(path, work_dir)
     return files.filter(ok).withColumn("is_zip", p["ext"] == "zip")
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from utterlake.sources.derived import WORD
@@ -23,6 +23,12 @@ def stage_schema(stage: int) -> str:
     return f"{ARRAYS[stage]} array<struct<{typed}>>, n_raw bigint, audio_duration double, version string, _corrupt string"
 
 
+def parsed_stage(text: Column, stage: int) -> tuple[Column, Column]:
+    """(the segments of a stage file's whole text, whether it can be read). Empty and corrupt files, and such without the array, can't."""
+    told = F.from_json(text, stage_schema(stage), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return told[ARRAYS[stage]], F.coalesce(told["_corrupt"].isNull() & told[ARRAYS[stage]].isNotNull(), F.lit(False))
+
+
 def read_stage_json(spark: SparkSession, path: str, stage: int) -> DataFrame:
     """recording_id (the file's path), seq, the segment's fields, version. Corrupt files count as missing.
 
@@ -37,6 +43,15 @@ def read_stage_json(spark: SparkSession, path: str, stage: int) -> DataFrame:
     return rows.select("recording_id", F.col("seq").cast("long").alias("seq"), "s.*", "version").fillna(DEFAULTS)
 
 
+def read_stage_files(spark: SparkSession, path: str, stage: int) -> DataFrame:
+    """One row per file: recording_id (the file's path), version, n_raw, audio_duration, n_segments, and readable (false: corrupt or empty)."""
+    raw = spark.read.option("wholetext", True).text(path).withColumn("recording_id", F.input_file_name())
+    told = F.from_json("value", stage_schema(stage), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    files = raw.select("recording_id", told.alias("t"), parsed_stage(F.col("value"), stage)[1].alias("readable"))
+    n = F.when(F.col("readable"), F.size(f"t.{ARRAYS[stage]}")).cast("long")
+    return files.select("recording_id", "t.version", "t.n_raw", "t.audio_duration", n.alias("n_segments"), "readable")
+
+
 def write_stage(df: DataFrame, path: str, stage: int, version: str) -> None:
     """Write one stage's rows; other stages in path stay."""
     out = df.withColumn("stage", F.lit(stage)).withColumn("version", F.lit(version))
@@ -50,14 +65,37 @@ def list_media_files(spark: SparkSession, root: str) -> DataFrame:
     return found.select(path.alias("path"), F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"))
 
 
-def read_ledger(spark: SparkSession, path: str, but: str | None = None) -> DataFrame:
-    """The distinct keys of finished files, without those that only the batch `but` has entered; a missing ledger is empty."""
+def _found(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table that jobs append to; a missing one is empty, columns that older parts lack are null."""
     try:
-        entries = spark.read.schema("key string, batch string").parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
+        return spark.createDataFrame([], schema)
+
+
+def read_json_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The keys of a file like {"transcribed": ["path or name", ...]}; a missing, empty or broken one has none."""
+    if not _found(spark, path):
         return spark.createDataFrame([], "key string")
+    told = F.from_json("value", "transcribed array<string>")["transcribed"]
+    return spark.read.option("wholetext", True).text(path).select(F.explode(told).alias("key")).filter("key is not null").distinct()
+
+
+def read_ledger(spark: SparkSession, path: str, but: str | None = None) -> DataFrame:
+    """The distinct keys of finished files, without those that only the batch `but` has entered; a missing ledger is empty.
+
+    path: a table of append_ledger(), or (by its ending) a JSON file as in read_json_ledger().
+    """
+    if path.endswith(".json"):
+        return read_json_ledger(spark, path)
+    entries = read_table(spark, path, "key string, batch string")
     if but is not None:
         entries = entries.filter(~F.col("batch").eqNullSafe(F.lit(but)))
     return entries.select("key").distinct()
@@ -71,16 +109,25 @@ def append_ledger(done: DataFrame, path: str, batch: str | None = None) -> None:
     keys.withColumn("batch", F.lit(batch).cast("string")).write.mode("append").parquet(path)
 
 
-def write_transcript(lines: DataFrame, path: str, buckets: int = 256) -> None:
-    """One text per recording: (recording_id, text), in buckets of recordings."""
+def write_transcript(lines: DataFrame, path: str, buckets: int = 256, form: str = "parquet") -> None:
+    """One text per recording, in buckets of recordings: a table (recording_id, text), or with form="text" a folder for each
+    recording (name=...) with its lines as a text file."""
+    bucket = F.pmod(F.xxhash64("recording_id"), F.lit(buckets)).alias("bucket")
+    if form == "text":
+        rows = lines.select("line", "line_no", bucket, F.col("recording_id").cast("string").alias("name"))
+        dealt = rows.repartition("bucket", "name").sortWithinPartitions("bucket", "name", "line_no")
+        dealt.select("line", "bucket", "name").write.mode("overwrite").partitionBy("bucket", "name").text(path)
+        return
     told = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
     texts = lines.groupBy("recording_id").agg(F.array_join(told, "\n").alias("text"))
-    bucket = F.pmod(F.xxhash64("recording_id"), F.lit(buckets))
     texts.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def read_audio_chunks(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("recording_id bigint, chunk_idx bigint, sample_offset bigint, samples array<float>").parquet(path)
+    """recording_id (a string or a number, as the files have it), chunk_idx, sample_offset, samples."""
+    found = spark.read.parquet(path).schema
+    kind = found["recording_id"].dataType.simpleString() if "recording_id" in found.names else "bigint"
+    return spark.read.schema(f"recording_id {kind}, chunk_idx bigint, sample_offset bigint, samples array<float>").parquet(path)
 
 
 def audio_durations(audio: DataFrame, sr: int = 16000) -> DataFrame:
