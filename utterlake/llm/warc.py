@@ -2,12 +2,15 @@
 
 Writing, in four steps:
 
-1. Payloads are digested (SHA-1) in a narrow pass. Of the records with one digest and at least `revisit_from` bytes, that with the
-   smallest page_id is a response, the others are revisits of it (headers only). Records are made with headers and digests anew, each
-   a gzip member of its own, and stored once, with their compressed sizes.
-2. Keys and sizes alone are range-sorted by (page_id, url, digest). Running sums of sizes give each record its place in the whole
-   archive; files roll over at multiples of a size. So a record's file depends on the data, not on partitions.
-3. The stored records are dealt by file; a task writes a file from its sorted rows to a temporary name, and reports a manifest row.
+1. Each page becomes a response record with headers and digests (SHA-1) made anew, a gzip member of its own. At first only its
+   key, digest and compressed size are kept (a narrow table); making it once more in step 3 costs less than storing it in between.
+2. Keys, digests and sizes alone go on. Of the records with one digest and at least `revisit_from` bytes, that with the smallest page_id
+   stays a response, the others become revisits of it (headers only). What is left is range-sorted by (page_id, url, digest). Running
+   sums of sizes give each record its place in the whole archive; files roll over at multiples of a size. So a record's file depends
+   on the data, not on partitions.
+3. Records are dealt by file, in one shuffle: the files' first keys (a row each, however many records) tell where a record goes, and
+   the revisit that takes its place, if any, goes there as well. A task writes a file from its sorted rows to a temporary name, and
+   reports a manifest row.
 4. The manifest is stored; then each temporary file is renamed to its final name (once more after a lost task is no harm), and the
    manifest is written beside the files. An archive without its manifest doesn't count. Files that lost attempts have
    left behind have other temporary names and go with the temporary folder.
@@ -20,7 +23,7 @@ payload they refer to in their headers. A file's bytes are checked against the m
 
 Defined cases: null html is an empty payload; a null page_id is greater than all others (of rows without any, the first by url is the
 response and refers_to is null); of rows that repeat a page_id and a payload the first by url is the response, and of rows that are the same in
-all three every one is; a null url and characters that no header may hold are left out and percent-encoded; very long pages are one record
+all three every one is (they stand in one file); a null url and characters that no header may hold are left out and percent-encoded; very long pages are one record
 each; an empty table gives an empty manifest; extra columns are ignored; each input row gives one record.
 """
 
@@ -30,6 +33,7 @@ import base64
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -67,9 +71,10 @@ def _headed(first: str, fields: list[tuple[str, object]], body: bytes) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + body
 
 
-def make_record(page_id: int | None, url: str | None, payload: bytes, digest: str, revisit: bool, refers_to: int | None, date: str) -> bytes:
-    """One WARC/1.1 record as a gzip member. A revisit has the HTTP headers of its payload and no payload."""
-    http = _headed("HTTP/1.1 200 OK", [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", len(payload))], b"" if revisit else payload)
+def make_record(page_id: int | None, url: str | None, payload: bytes | None, size: int, digest: str, refers_to: int | None, date: str) -> bytes:
+    """One WARC/1.1 record as a gzip member. A revisit (payload None) has the HTTP headers of its payload only."""
+    revisit = payload is None
+    http = _headed("HTTP/1.1 200 OK", [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", size)], payload or b"")
     fields = [
         ("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_urn(page_id, url, digest)), ("WARC-Date", date),
         ("WARC-Target-URI", quote(url, safe=URL_SAFE) if url else None), ("X-Page-ID", page_id),
@@ -130,10 +135,31 @@ def members(chunks: Iterator[bytes]) -> Iterator[tuple[int, bytes]]:
             chunk = rest
 
 
-def _digested(pages: DataFrame) -> DataFrame:
-    """page_id, url, html (no nulls), digest (SHA-1, hexadecimal)."""
-    html = F.coalesce("html", F.lit(""))
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("digest"))
+def _ids(df: DataFrame, *names: str) -> DataFrame:
+    """df with whole-number columns that may be null as decimals: pandas has no such whole numbers."""
+    return df.withColumns({c: F.col(c).cast("decimal(20, 0)") for c in names})
+
+
+def _whole(x) -> int | None:
+    return None if pd.isna(x) else int(x)
+
+
+def responses(pages: DataFrame, date: str, members: bool) -> DataFrame:
+    """page_id, url, digest (of the payload), n_bytes, size, member (the gzip bytes, null unless asked for) of each page's response record."""
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for page_id, url, html in zip(batch["page_id"], batch["url"], batch["html"], strict=True):
+                payload = html.encode("utf-8", "surrogatepass")
+                digest = base32_sha1(payload)
+                member = make_record(_whole(page_id), url, payload, len(payload), digest, None, date)
+                out.append((page_id, url, digest, len(payload), len(member), member if members else None))
+            yield pd.DataFrame(out, columns=["page_id", "url", "digest", "n_bytes", "size", "member"])
+
+    own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
+    made = _ids(own, "page_id").mapInPandas(make, "page_id decimal(20, 0), url string, digest string, n_bytes long, size long, member binary")
+    return made.withColumn("page_id", F.col("page_id").cast("long"))
 
 
 def _order() -> Column:
@@ -141,35 +167,41 @@ def _order() -> Column:
     return F.struct(F.col("page_id").isNull().alias("none"), "page_id", F.coalesce("url", F.lit("")).alias("url"))
 
 
-def packed_records(pages: DataFrame, revisit_from: int = 0, date: str = "2000-01-01T00:00:00Z") -> DataFrame:
-    """KEY's columns, size and member (the gzip bytes) of each page's record."""
-    own = _digested(pages)
-    first = own.filter(F.octet_length("html") >= revisit_from).groupBy("digest").agg(F.min(_order()).alias("first"))
-    rows = own.join(first, "digest", "left").select(
-        *KEY, "html", (F.col("first").isNotNull() & (_order() != F.col("first"))).alias("revisit"), F.col("first.page_id").alias("refers_to")
-    )
+def with_revisits(records: DataFrame, revisit_from: int, date: str) -> DataFrame:
+    """KEY's columns, size and `revisit`: the member of a record that refers to another, null for responses. Payloads aren't read."""
+    own = records.select(*KEY, "n_bytes", "size")
+    first = own.filter(F.col("n_bytes") >= revisit_from).groupBy("digest").agg(F.min(_order()).alias("first"))
+    rows = own.join(first, "digest", "left").withColumn("later", F.col("first").isNotNull() & (_order() != F.col("first")))
+    rows = rows.select(*KEY, "n_bytes", "size", F.col("later"), F.col("first.page_id").alias("refers_to"))
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for page_id, url, html, revisit, refers_to in zip(batch["page_id"], batch["url"], batch["html"], batch["revisit"], batch["refers_to"], strict=True):
-                payload, page_id = html.encode("utf-8", "surrogatepass"), None if pd.isna(page_id) else int(page_id)
-                digest = base32_sha1(payload)
-                out.append(make_record(page_id, url, payload, digest, bool(revisit), None if pd.isna(refers_to) else int(refers_to), date))
-            yield batch[list(KEY)].assign(size=[len(m) for m in out], member=out)
+            out, sizes = [], []
+            for page_id, url, digest, n, size, later, first in zip(*(batch[c] for c in (*KEY, "n_bytes", "size", "later", "refers_to")), strict=True):
+                out.append(make_record(_whole(page_id), url, None, n, digest, _whole(first), date) if later else None)
+                sizes.append(len(out[-1]) if later else size)
+            yield batch[list(KEY)].assign(size=sizes, revisit=pd.Series(out, dtype=object, index=batch.index))
 
-    ids = [F.col(c) if c not in ("page_id", "refers_to") else F.col(c).cast("decimal(20, 0)").alias(c) for c in rows.columns]  # pandas has no whole numbers with nulls
-    return rows.select(*ids).mapInPandas(make, "page_id decimal(20, 0), url string, digest string, size long, member binary").withColumn("page_id", F.col("page_id").cast("long"))
+    made = _ids(rows, "page_id", "refers_to").mapInPandas(make, "page_id decimal(20, 0), url string, digest string, size long, revisit binary")
+    return made.withColumn("page_id", F.col("page_id").cast("long"))
 
 
 def roll_size(total: int, least: int = LEAST, most: int = MOST, files: int = FILES) -> int:
     return max(least, min(most, -(-total // files)))
 
 
+def _in_order() -> list[Column]:
+    return [F.col("page_id").asc_nulls_last(), F.col("url").asc_nulls_first(), F.col("digest")]
+
+
+def _place(page_id, url, digest) -> tuple:
+    """The same order in Python."""
+    return (page_id is None, page_id or 0, url is not None, url or "", digest)
+
+
 def placed(records: DataFrame, least: int = LEAST, most: int = MOST, files: int = FILES) -> DataFrame:
-    """row, file, at (the record's place in the whole archive, in compressed bytes) of stored records, which have the column `row`."""
-    order = [F.col("page_id").asc_nulls_last(), F.col("url").asc_nulls_first(), F.col("digest"), F.col("row")]
-    ranged = records.select(*KEY, "row", "size").repartitionByRange(*order).sortWithinPartitions(*order)
+    """with_revisits() with file and at: the record's place in the whole archive, in compressed bytes."""
+    ranged = records.repartitionByRange(*_in_order()).sortWithinPartitions(*_in_order())
     ranged = stored(ranged.withColumn("part", F.spark_partition_id()), "warc-order")
     sums = ranged.groupBy("part").agg(F.sum("size").alias("n")).collect()  # one row a partition
     starts, so_far = [], 0
@@ -177,9 +209,23 @@ def placed(records: DataFrame, least: int = LEAST, most: int = MOST, files: int
         starts.append((r["part"], so_far))
         so_far += r["n"]
     before = F.broadcast(records.sparkSession.createDataFrame(starts, "part int, before long"))  # as many rows
-    own = F.sum("size").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    own = F.sum("size").over(Window.partitionBy("part").orderBy(*_in_order()).rowsBetween(Window.unboundedPreceding, -1))
     at = ranged.withColumn("own", own).join(before, "part").withColumn("at", F.coalesce("own", F.lit(0)) + F.col("before"))
-    return at.select("row", F.floor(F.col("at") / roll_size(so_far, least, most, files)).cast("long").alias("file"), "at")
+    file = F.floor(F.col("at") / roll_size(so_far, least, most, files)).cast("long")
+    return at.select(*KEY, "revisit", file.alias("file"), "at")
+
+
+def file_of(firsts: list[tuple[tuple, int]]):
+    """A vectorised helper: a record's key to its file, by the files' first keys."""
+    keys, files = [k for k, _ in firsts], [f for _, f in firsts]
+
+    @F.pandas_udf("long")
+    def find(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            found = [files[bisect_right(keys, _place(_whole(p), u, d)) - 1] for p, u, d in zip(*columns, strict=True)]
+            yield pd.Series(found, dtype="int64")
+
+    return find
 
 
 def write_archive(pages: DataFrame, path: str | None = None, revisit_from: int = 0, date: str = "2000-01-01T00:00:00Z", least: int = LEAST, most: int = MOST, files: int = FILES) -> DataFrame:
@@ -188,20 +234,31 @@ def write_archive(pages: DataFrame, path: str | None = None, revisit_from: int =
     small_batches(spark)
     path = path or shared_dir(spark, "warc")
     base = arrow_uri(path)
-    records = stored(packed_records(pages, revisit_from, date).withColumn("row", F.monotonically_increasing_id()), "warc-records")
-    at = placed(records, least, most, files)
-    dealt = records.select("page_id", "row", "member").join(at, "row").repartition("file").sortWithinPartitions("file", "at")
+    sizes = stored(responses(pages, date, members=False).drop("member"), "warc-sizes")
+    places = stored(placed(with_revisits(sizes, revisit_from, date), least, most, files), "warc-places")
+    rows = places.groupBy("file").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), *KEY)).alias("k")).collect()  # one row a file
+    firsts = sorted((_place(r.k.page_id, r.k.url, r.k.digest), r.file) for r in rows)
+    find = file_of(firsts)
+    whole = responses(pages, date, members=True).select(*KEY, "member", F.lit(1).alias("kind"))
+    both = places.filter("revisit is not null").select(*KEY, F.col("revisit").alias("member"), F.lit(0).alias("kind")).unionByName(whole)
+    dealt = both.withColumn("file", find(F.col("page_id").cast("decimal(20, 0)"), "url", "digest"))
+    dealt = dealt.repartition(max(1, len(firsts)), "file").sortWithinPartitions("file", *_in_order(), "kind")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         where, root = fs.FileSystem.from_uri(base)
-        open_file, out, told = None, None, {}
+        open_file, out, told, revisit = None, None, {}, (None, None)
 
         def done() -> pd.DataFrame:
             out.close()
             return pd.DataFrame([told | {"sha256": told["sha256"].hexdigest()}]).astype({"first_page_id": "Int64", "last_page_id": "Int64"})
 
         for batch in batches:
-            for file, page_id, member in zip(batch["file"], batch["page_id"], batch["member"], strict=True):
+            for file, page_id, url, digest, member, kind in zip(*(batch[c] for c in ("file", *KEY, "member", "kind")), strict=True):
+                key = (_whole(page_id), url, digest)
+                if kind == 0:  # a revisit stands before the records of its key
+                    revisit = key, member
+                    continue
+                member = revisit[1] if revisit[0] == key else member
                 if file != open_file:
                     if out is not None:
                         yield done()
@@ -213,16 +270,15 @@ def write_archive(pages: DataFrame, path: str | None = None, revisit_from: int =
                     out.write(head)
                     told = {
                         "file": file, "name": name, "temporary": temporary, "n_records": 0, "n_bytes": len(head), "sha256": hashlib.sha256(head),
-                        "first_page_id": None if pd.isna(page_id) else int(page_id),
+                        "first_page_id": _whole(page_id),
                     }
                 out.write(member)
                 told["sha256"].update(member)
-                told |= {"n_records": told["n_records"] + 1, "n_bytes": told["n_bytes"] + len(member), "last_page_id": None if pd.isna(page_id) else int(page_id)}
+                told |= {"n_records": told["n_records"] + 1, "n_bytes": told["n_bytes"] + len(member), "last_page_id": _whole(page_id)}
         if out is not None:
             yield done()
 
-    columns = [F.col("page_id").cast("decimal(20, 0)").alias("page_id"), "file", "member"]
-    return commit(stored(dealt.select(*columns).mapInPandas(write, MANIFEST), "warc-written"), path)
+    return commit(stored(_ids(dealt, "page_id").mapInPandas(write, MANIFEST), "warc-written"), path)
 
 
 def commit(written: DataFrame, path: str) -> DataFrame:
