@@ -4,7 +4,8 @@ STAGES lists (name, function); a function takes (spark, docs, sf_dir) and return
 read again as the next one's docs. All but the last return the columns of documents (others that docs has are kept).
 
 Defined cases: a null text counts as empty, and the quality rules reject it; of rows that repeat a kept doc_id and its
-words one stays, different texts of one doc_id are different documents; rows without a doc_id stay where no kept document has their words; an empty table stays empty.
+words one stays, different texts of one doc_id are different documents; rows without a doc_id stay where no kept document has their words; an empty table stays empty;
+very long texts are read whole by every stage; other columns that docs has are carried along by all stages but the last.
 """
 
 from __future__ import annotations
