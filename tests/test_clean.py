@@ -161,8 +161,8 @@ def test_chunks_of_any_size(spark):
         at = [sum(sizes[:i]) for i in range(len(sizes))]
         rows = [(1, i, a, x[a : a + n]) for i, (a, n) in enumerate(zip(at, sizes, strict=True))]
         chunks = spark.createDataFrame(rows, "recording_id long, chunk_idx long, sample_offset long, samples array<double>")
-        for grid in (None, 7000):
-            got = audio.speech_in_range(ranges, chunks, sr=1000, grid=grid).collect()
+        for block in (None, 7000):
+            got = audio.speech_in_range(ranges, chunks, sr=1000, block=block).collect()
             assert sorted((r.recording_id, r.start, r.has_speech) for r in got) == [(1, 0.0, False), (1, 9.5, True), (1, 30.0, False), (2, 0.0, False)]
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window as W
 from utterlake.functions import scan
 from utterlake.functions import text as T
 from utterlake.functions.fold import ordered_fold
+from utterlake.functions.recent import RecentTexts
 from utterlake.functions.store import written
 from utterlake.operators.audio import speech_in_range
 from utterlake.operators.intervals import hit_words, merge_zones, near_ranges, renumber
@@ -41,14 +42,15 @@ def alike(a: str, b: str, least: int) -> bool:
 
 
 def _fold_similar(least: int):
-    """State: (text, start, window) of the kept segments that no later one lay further away from than their own window."""
+    """State: the kept segments that no later one lay further away from than their own window."""
 
     def step(kept, text, start, window):
-        kept = [k for k in kept or [] if start - k[1] <= k[2]]
-        near = [k[0] for k in kept if start - k[1] <= window]
-        if text in near or any(alike(text, other, least) for other in near):
+        kept = RecentTexts(least) if kept is None else kept
+        kept.expire(start)
+        if kept.near(text, start, window):
             return kept, True
-        return [*kept, (text, start, window)], False
+        kept.keep(text, start, window)
+        return kept, False
 
     return step
 
