@@ -175,6 +175,52 @@ def test_batch_does_what_is_left(spark, tmp_path):
     assert sorted(r.key.rsplit("/", 1)[1] for r in files.read_ledger(spark, f"{tmp_path}/ledger").collect()) == ["a.json", "b.json"]
 
 
+def test_new_versions_start_from_stored_stages(spark, tmp_path, monkeypatch):
+    """A new version of stage 3 is made of kept stage-2 rows, a lost stage 4 of kept stage-3 rows, a new stage 2 of its file."""
+    for n in ("a.json", "b.json"):
+        stage_file(tmp_path / "in" / n, [f"{n} says a sentence", "and then another of them"])
+    ids = [f"file://{tmp_path}/in/{n}.json" for n in "ab"]
+    spark.createDataFrame([(i, 0.0, 9.0, "SPEAKER_00") for i in ids], "recording_id string, start double, end double, speaker string").write.parquet(f"{tmp_path}/turns")
+    spark.createDataFrame([(i, i, 9.0) for i in ids], "recording_id string, path string, duration double").write.parquet(f"{tmp_path}/rec")
+
+    def run(name, manifest="manifest", ledger="ledger", **versions):
+        where = [f"{tmp_path}/{x}" for x in ("in/*.json", "turns", "rec", manifest, ledger, "out")]
+        if not batch.run(spark, *where, name, versions={2: "6", 3: "11"} | {int(k[1:]): v for k, v in versions.items()}):
+            return None
+        entered = spark.read.parquet(f"{tmp_path}/{manifest}").filter(f"batch = '{name}'").collect()
+        texts = {r.text for r in spark.read.parquet(f"{tmp_path}/out/run={name}/transcripts").collect()}
+        return sorted((r.recording_id[-6], r.stage, r.version) for r in entered), texts
+
+    entered, texts = run("one")
+    assert entered == [(r, k, v) for r in "ab" for k, v in ((2, "6"), (3, "11"), (4, None), (5, None))] and len(texts) == 2
+    assert run("two") is None
+    read = batch.read_stage_json
+    monkeypatch.setattr(batch, "read_stage_json", None)  # the files' rows are not needed
+    want = [(r, k, v) for r in "ab" for k, v in ((3, "12"), (4, None), (5, None))]
+    assert run("three", s3="12") == (want, texts)
+    entered, again = run("three", s3="12")  # as after a crash: the same once more
+    assert (sorted(set(entered), key=entered.index), again) == (want, texts)
+    assert run("four", s3="12") is None
+    spark.read.parquet(f"{tmp_path}/manifest").filter("stage < 4").write.parquet(f"{tmp_path}/part")
+    assert run("five", "part", s3="12") == ([(r, k, None) for r in "ab" for k in (4, 5)], texts)
+    monkeypatch.setattr(batch, "read_stage_json", read)
+    path = tmp_path / "in" / "b.json"
+    path.write_text(path.read_text().replace('"version": "6"', '"version": "7"').replace("another", "one more"))
+    entered, now = run("six", s2="7", s3="12")  # a.json waits for the recogniser
+    assert entered == [("b", 2, "7"), ("b", 3, "12"), ("b", 4, None), ("b", 5, None)] and "one more of them" in now.pop()
+    assert run("seven", s2="7", s3="12") is None
+    keys = [r.key for r in spark.read.parquet(f"{tmp_path}/ledger").collect()]
+    assert sorted(keys) == ids
+
+
+def test_recordings_without_a_clean_segment(spark, tmp_path):
+    stage_file(tmp_path / "in" / "a.json", ["...", "♪"])
+    source = f"{tmp_path}/in/*.json"
+    clean_up.run(spark, source, f"{tmp_path}/cleaned")
+    second_pass.run(spark, f"{tmp_path}/cleaned", f"{tmp_path}/merged")
+    assert spark.read.parquet(f"{tmp_path}/cleaned/segments").isEmpty()
+
+
 def test_repaired_files_are_read_once(spark, tmp_path):
     there = tmp_path / "in"
     stage_file(there / "a.json", ["x"])

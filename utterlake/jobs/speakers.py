@@ -7,13 +7,17 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from utterlake.operators.speakers import speaker_pipeline
 
 
+def label(segments: DataFrame, turns: DataFrame, out: str) -> None:
+    speaker_pipeline(segments, turns).write.mode("overwrite").parquet(out)
+
+
 def run(spark: SparkSession, segments: str, turns: str, out: str) -> None:
-    speaker_pipeline(spark.read.parquet(segments), spark.read.parquet(turns)).write.mode("overwrite").parquet(out)
+    label(spark.read.parquet(segments), spark.read.parquet(turns), out)
 
 
 if __name__ == "__main__":

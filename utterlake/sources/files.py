@@ -54,8 +54,7 @@ def read_stage_files(spark: SparkSession, path: str, stage: int) -> DataFrame:
 
 def write_stage(df: DataFrame, path: str, stage: int, version: str) -> None:
     """Write one stage's rows; other stages in path stay."""
-    out = df.withColumn("stage", F.lit(stage)).withColumn("version", F.lit(version))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stage").parquet(path)
+    df.drop("stage").withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{path}/stage={stage}")  # there even without rows
 
 
 def list_media_files(spark: SparkSession, root: str) -> DataFrame:
@@ -65,7 +64,7 @@ def list_media_files(spark: SparkSession, root: str) -> DataFrame:
     return found.select(path.alias("path"), F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"))
 
 
-def _found(spark: SparkSession, path: str) -> bool:
+def found_path(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
@@ -82,7 +81,7 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_json_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The keys of a file like {"transcribed": ["path or name", ...]}; a missing, empty or broken one has none."""
-    if not _found(spark, path):
+    if not found_path(spark, path):
         return spark.createDataFrame([], "key string")
     told = F.from_json("value", "transcribed array<string>")["transcribed"]
     return spark.read.option("wholetext", True).text(path).select(F.explode(told).alias("key")).filter("key is not null").distinct()
