@@ -1,6 +1,8 @@
 """Stage files, the ledger, the queue and the stream."""
 
+import collections
 import json
+import random
 
 import pytest
 
@@ -103,6 +105,30 @@ def test_unique_names(spark):
     assert [r.unique_name for r in got] == ["a.mp4", "a_2.mp4", "a_3.mp4", "a_1.mp4", "b"]
 
 
+def test_unique_names_like_brute_force(spark):
+    """Hot names, used numbers with gaps, leading zeros and numbers beyond any count."""
+    rng = random.Random(4)
+    names = ["a.mp4"] * 9000 + ["b.c.mp4"] * 40 + ["plain"] * 30 + ["once.mov"] + ["a_7.mp4"] * 3 + [None]
+    names += [f"a_{i}.mp4" for i in rng.sample(range(1, 12000), 5000)] + ["a_007.mp4", "a_0.mp4", "a_99999999999999999999.mp4", "a_123456789012345678.mp4", "plain_2", "plain_1.x"]
+    rows = [(n, f"/{i:05d}/{n}", i) for i, n in enumerate(names)]
+    rng.shuffle(rows)
+    got = worklist.unique_names(spark.createDataFrame(rows, "name string, path string, more long")).collect()
+    real, seen, want = set(names), collections.Counter(), {}
+    number = collections.Counter()
+    for n, path, _ in sorted(rows, key=lambda r: r[1]):
+        want[path] = n
+        if n is not None and seen[n]:
+            stem, dot, ext = n.rpartition(".")
+            base, dotted = (stem, dot + ext) if dot else (n, "")
+            number[n] += 1
+            while f"{base}_{number[n]}{dotted}" in real:
+                number[n] += 1
+            want[path] = f"{base}_{number[n]}{dotted}"
+        seen[n] += 1
+    assert len(got) == len(rows) and {r.path: r.unique_name for r in got} == want
+    assert worklist.unique_names(spark.createDataFrame([], "name string, path string")).isEmpty()
+
+
 def test_stage_plan(spark):
     rows = [(1, s, v) for s, v in ((2, "5"), (3, "11"), (4, None), (5, None))] + [(2, s, v) for s, v in ((2, "6"), (3, "10"), (4, None), (5, None))]
     rows += [(3, s, v) for s, v in ((3, "11"), (4, None), (5, None))]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from utterlake.functions.store import written
 from utterlake.functions.text import file_parts
 
 EXTENSIONS = ("mp4", "mov", "avi", "mkv", "webm", "m4v", "zip")
@@ -55,21 +56,54 @@ def queue_preview(files: DataFrame, n: int = 20) -> DataFrame:
     return files.orderBy("name", "path").limit(n).select("name", "path").join(F.broadcast(total))  # one row
 
 
+def _rank(df: DataFrame, keys: list[str], at: str, order: list[str], size: int = 4096) -> DataFrame:
+    """df with rank (from 1) among the rows of the same keys by `order`, whose first column is the number `at`: rows are counted in bins
+    of `size` numbers, and only the bins, a row each, meet in a window over the keys. df is evaluated twice."""
+    binned = df.withColumn("__bin", F.floor(F.col(at) / size))
+    ahead = W.partitionBy(*keys).orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
+    bins = binned.groupBy(*keys, "__bin").agg(F.count("*").alias("n")).select(*keys, "__bin", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("__before"))
+    own = F.row_number().over(W.partitionBy(*keys, "__bin").orderBy(*order))
+    return binned.withColumn("rank", own).join(bins, [*keys, "__bin"]).withColumn("rank", F.col("rank") + F.col("__before")).drop("__bin", "__before")
+
+
 def unique_names(files: DataFrame) -> DataFrame:
-    """files with unique_name: same names become base_1.ext, base_2.ext, ...; numbers that real names use are skipped."""
+    """files with unique_name: same names become base_1.ext, base_2.ext, ...; numbers that real names use are skipped.
+
+    Files are dealt to ranges of (name, path), so that a name of any number of files lies on all tasks; the k-th of a name counts those
+    of the ranges before its own. Its number is k plus the used ones below it: of the used numbers u1 < u2 < ..., ui has ui - i
+    free ones before it, so that these are the i with ui - i < k. Both are counted in bins. Files without a name stay so.
+    """
     p = file_parts(F.col("name"))
     dotted = F.when(p["ext"] != "", F.regexp_extract("name", r"(\.[^.]*)$", 1)).otherwise("")
-    w = W.partitionBy("name").orderBy("path")
-    f = files.withColumn("k", F.row_number().over(w) - 1).withColumn("base", p["stem"]).withColumn("dotted", dotted)
-    real = files.select(F.col("name").alias("real")).distinct()
-    numbered = real.select(F.regexp_extract("real", r"^(.+)_[0-9]+(\.[^.]*)?$", 1).alias("base"), F.regexp_extract("real", r"_[0-9]+(\.[^.]*)?$", 1).alias("dotted"))
-    used = numbered.filter("base <> ''").groupBy("base", "dotted").agg(F.count("*").alias("m"))
-    several = f.groupBy("name", "base", "dotted").agg((F.count("*") - 1).alias("n")).filter("n > 0")
-    # of the numbers up to n repeats + m used ones at least n are free
-    tries = several.join(used, ["base", "dotted"], "left").withColumn("j", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n") + F.coalesce("m", F.lit(0)))))
-    tries = tries.withColumn("real", F.concat("base", F.lit("_"), F.col("j").cast("string"), "dotted")).join(real, "real", "left_anti")
-    free = tries.withColumn("k", F.row_number().over(W.partitionBy("name").orderBy("j"))).select("name", "k", F.col("real").alias("new"))
-    return f.join(free, ["name", "k"], "left").withColumn("unique_name", F.coalesce("new", "name")).select(*files.columns, "unique_name")
+    dealt = written(files.repartitionByRange("name", "path").withColumn("__part", F.spark_partition_id()), "names")
+    sizes = dealt.groupBy("name", "__part").agg(F.count("*").alias("n"))
+    ahead = W.partitionBy("name").orderBy("__part")
+    before = F.coalesce(F.sum("n").over(ahead.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("name", "__part", before.alias("before"), F.sum("n").over(W.partitionBy("name")).alias("all"))
+    k = F.row_number().over(W.partitionBy("name", "__part").orderBy("path")) + F.col("before") - 1
+    # a join on both keys, so that no task gets all files of a name
+    f = dealt.join(sizes, ["name", "__part"]).withColumn("k", k).withColumn("base", F.coalesce(p["stem"], F.lit(""))).withColumn("dotted", F.coalesce(dotted, F.lit("")))
+
+    number = r"^(.+)_([1-9][0-9]{0,17})(\.[^.]*)?$"
+    used = dealt.select("name").distinct().select(*[F.regexp_extract("name", number, i).alias(c) for i, c in ((1, "base"), (2, "u"), (3, "dotted"))]).filter("u <> ''")
+    several = sizes.filter("all > 1").select("name").distinct().select(p["stem"].alias("base"), dotted.alias("dotted")).distinct()
+    used = used.withColumn("u", F.col("u").cast("long")).join(several, ["base", "dotted"], "left_semi")
+    used = written(_rank(used, ["base", "dotted"], "u", ["u"]).select("base", "dotted", (F.col("u") - F.col("rank")).alias("k")), "used")
+    nameless = dealt.filter("name is null").withColumn("unique_name", F.col("name"))
+    return _numbered(f, used).unionByName(nameless, allowMissingColumns=True).select(*files.columns, "unique_name")
+
+
+def _numbered(f: DataFrame, used: DataFrame, size: int = 4096) -> DataFrame:
+    """f (base, dotted, k; k = 0: the name stays) with unique_name; used: base, dotted, k = the free numbers below a used one."""
+    rows = f.withColumn("bound", F.lit(0)).unionByName(used.withColumn("bound", F.lit(1)), allowMissingColumns=True).withColumn("__bin", F.floor(F.col("k") / size))
+    keys = ["base", "dotted"]
+    ahead = W.partitionBy(*keys).orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
+    bins = rows.groupBy(*keys, "__bin").agg(F.sum("bound").alias("n")).select(*keys, "__bin", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("below"))
+    # a file comes before an equal bound: only bounds below its k count
+    own = F.sum("bound").over(W.partitionBy(*keys, "__bin").orderBy("k", "bound").rowsBetween(W.unboundedPreceding, W.currentRow))
+    rows = rows.withColumn("own", own).filter("bound = 0").join(bins, [*keys, "__bin"])
+    number = (F.col("k") + F.col("own") + F.col("below")).cast("string")
+    return rows.withColumn("unique_name", F.when(F.col("k") == 0, F.col("name")).otherwise(F.concat("base", F.lit("_"), number, "dotted")))
 
 
 def latest_stage_status(manifest: DataFrame) -> DataFrame:
