@@ -394,6 +394,29 @@ def speaker_pipeline(spark, d):
     return speakers.speaker_pipeline(_segments(spark, d), D.turns(spark, d)).select("recording_id", "seq", "start", "end", "text", "speaker")
 
 
+def _with_placeholders(spark, d) -> DataFrame:
+    """The segments, and a placeholder for each problem zone, numbered after them."""
+    s = _segments(spark, d)
+    marks = clean.placeholder_segments(clean.problem_zones(_told(spark, d, s)))
+    return s.unionByName(marks.withColumn("seq", F.lit(1000000000) + F.col("zone_id")).drop("zone_id"), allowMissingColumns=True)
+
+
+@query(f"""{PLACED}, q AS (SELECT recording_id, seq, text, false AS is_placeholder FROM segments UNION ALL SELECT recording_id, 1000000000 + zone_id, text, true FROM placed) SELECT * FROM q""")
+def split_placeholders(spark, d):
+    real, placeholders = speakers.split_placeholders(_with_placeholders(spark, d))
+    mark = lambda df, told: df.select("recording_id", "seq", "text", F.lit(told).alias("is_placeholder"))
+    return mark(real, False).unionByName(mark(placeholders, True))
+
+
+@query(f"""{SPLIT}, {PLACED}, {_settled("splitted")}, both_ AS (SELECT recording_id, "start", "end", text, who AS speaker, 0 AS source, seq AS old FROM short0 JOIN settled5 USING (recording_id, r)
+       UNION ALL SELECT recording_id, "start", "end", text, 'UNKNOWN', 1, zone_id FROM placed),
+q AS (SELECT recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY "start", source, old) - 1 AS seq, "start", "end", text, speaker, source = 1 AS is_placeholder FROM both_) SELECT * FROM q""")
+def reunite_placeholders(spark, d):
+    """The speaker path over segments with placeholders among them: these keep their text and stay UNKNOWN."""
+    done = speakers.speaker_pipeline(_with_placeholders(spark, d), D.turns(spark, d))
+    return done.select("recording_id", "seq", "start", "end", "text", "speaker", "is_placeholder")
+
+
 LABELS = """said AS (SELECT * FROM segments WHERE trim(text) <> ''),
 firsts AS (SELECT recording_id, speaker, row_number() OVER (PARTITION BY recording_id ORDER BY min(seq)) AS n FROM said WHERE speaker IS NOT NULL GROUP BY recording_id, speaker),
 labels_ AS (SELECT s.*, coalesce('Спикер ' || n, 'Спикер ?') AS label FROM said s LEFT JOIN firsts USING (recording_id, speaker)),

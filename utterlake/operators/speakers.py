@@ -182,12 +182,16 @@ def split_placeholders(segments: DataFrame) -> tuple[DataFrame, DataFrame]:
     return segments.filter(~mark), segments.filter(mark)
 
 
+def reunite_placeholders(done: DataFrame, placeholders: DataFrame) -> DataFrame:
+    """Both in the order of their starts, renumbered; at one start a placeholder comes after the rows."""
+    both = done.withColumn("source", F.lit(0)).unionByName(placeholders.withColumn("source", F.lit(1)))
+    return renumber(both.withColumn("old", F.col("seq")), "start", "source", "old").select(*done.columns)
+
+
 def speaker_pipeline(segments: DataFrame, turns: DataFrame) -> DataFrame:
     """Assign, smooth and split, settle short segments, and put the placeholders back in their place."""
     real, placeholders = split_placeholders(segments)
-    done = merge_short_segments(split_by_speaker(assign_speakers(real, turns)))
-    both = done.withColumn("source", F.lit(0)).unionByName(placeholders.withColumn("source", F.lit(1)))
-    return renumber(both.withColumn("old", F.col("seq")), "start", "source", "old").select(*segments.columns)
+    return reunite_placeholders(merge_short_segments(split_by_speaker(assign_speakers(real, turns))), placeholders)
 
 
 def speaker_stats(segments: DataFrame) -> DataFrame:
