@@ -61,6 +61,7 @@ def suppress_repeats(segments: DataFrame, short_len: int = 15, short_win: float
     Short texts match equal ones only and fold per text; long texts fold per recording. Chains end where the row before with the
     same key lies further back than the window, so that a fold's work and state stay small. A recording whose starts go back
     somewhere folds as one chain of all its texts: there any row can end what an earlier one has left behind, and it stays so.
+    Rows without a recording_id have no verdict (null), and verdicts() keeps them.
     """
     by_seq, whole = W.partitionBy("recording_id").orderBy("seq"), W.partitionBy("recording_id")
     stripped = T.strip(F.coalesce("text", F.lit("")))
