@@ -350,3 +350,13 @@ def test_media_filter_goes_by_whole_names(spark):
     names = lambda **options: sorted(r.path[-5:] for r in worklist.media_filter(df, **options).collect())
     assert names(root="/T") == names(root="/T/") == ["a.mp4", "e.mp4", "f.mp4"]
     assert names(root="/T", work_dir="/T/work", max_depth=None, hidden=True) == ["a.mp4", "c.mp4", "d.MP4", "f.mp4", "g.mp4"]
+
+
+def test_segments_split_a_text_once_a_row(spark, tmp_path):
+    """Not once for each of its words, and the word before comes from the row."""
+    spark.createDataFrame([(8, "так ли это? да нет"), (2, None), (3, "")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(derived.segments(spark, str(tmp_path))).count(",  , -1)") == 1
+    answers = queries.QUERIES["response_words"](spark, str(tmp_path))
+    assert plan(answers).count(",  , -1)") == 1 and plan(answers).count("Window") == 1  # the segments' own
+    assert [tuple(r) for r in answers.filter("recording_id = 8").sort("word_idx").collect()] == [(8, 0, 0, True), (8, 0, 1, False), (8, 0, 2, False), (8, 0, 3, True), (8, 0, 4, True)]

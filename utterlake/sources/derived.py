@@ -21,7 +21,7 @@ def cs(c) -> F.Column:
 def segment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments in centiseconds."""
     lines = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("recording_id"), F.split("text", "\n", -1).alias("l"))
-    r = lines.select("recording_id", F.element_at("l", 1).alias("first"), F.posexplode("l").alias("seq", "line"))
+    r = lines.select("recording_id", F.element_at("l", 1).alias("first"), F.posexplode_outer("l").alias("seq", "line")).filter("seq is not null")
     r = r.withColumn("seq", F.col("seq").cast("long"))
     i, s = F.col("recording_id"), F.col("seq")
     m, p = (i + 3 * s) % 23, (7 * i + 13 * s) % 11
@@ -41,15 +41,16 @@ def segments(spark: SparkSession, sf_dir: str, words: bool = True) -> DataFrame:
     """recording_id, seq, start, end, text, avg_logprob, no_speech_prob, speaker, is_placeholder, words."""
     r = segment_rows(spark, sf_dir)
     i, s = F.col("recording_id"), F.col("seq")
-    if words:
-        r = r.withColumn("pieces", F.split("text", " ", -1)).withColumn("n", F.size("pieces"))  # columns: once a row, not once a word
-    n = F.col("n")
+    if words:  # exploded arrays of one: a plain column would be put into the word's expression, and the text split again for each word
+        r = r.withColumn("pieces", F.explode(F.array(F.split("text", " ", -1))))
+        n = F.size("pieces")
+        fixed = F.struct(n.cast("long").alias("n"), F.greatest(F.lit(1), F.floor(3 * F.col("dur_cs") / (4 * n)).cast("long")).alias("width"), (i + s).alias("left_out"), (3 * i + 5 * s).alias("score"))
+        r = r.withColumn("fixed", F.explode(F.array(fixed)))
 
     def word(x, k):
-        at = F.col("start_cs") + F.floor(F.col("dur_cs") * k / n).cast("long")
-        end = at + F.greatest(F.lit(1), F.floor(3 * F.col("dur_cs") / (4 * n)).cast("long"))
-        score = F.when((i + s + k) % 17 != 0, cs((3 * i + 5 * s + 7 * k) % 100))
-        return F.struct(x.alias("word"), cs(at).alias("start"), cs(end).alias("end"), score.alias("score"), F.lit(None).cast("string").alias("speaker"))
+        at = F.col("start_cs") + F.floor(F.col("dur_cs") * k / F.col("fixed.n")).cast("long")
+        score = F.when((F.col("fixed.left_out") + k) % 17 != 0, cs((F.col("fixed.score") + 7 * k) % 100))
+        return F.struct(x.alias("word"), cs(at).alias("start"), cs(at + F.col("fixed.width")).alias("end"), score.alias("score"), F.lit(None).cast("string").alias("speaker"))
 
     return r.select(
         "recording_id", "seq", cs("start_cs").alias("start"), cs("end_cs").alias("end"), "text",
