@@ -175,3 +175,9 @@ def test_guarded_alternation_finds_what_the_patterns_find(spark):
     plain = "(?iuUd)" + "|".join(f"(?:{p})" for p in odd)
     df = spark.createDataFrame([(t,) for t in ("bc abc", "zz", "1e", "BD", "q", "aq", "")], "t string")
     assert all(r.a == r.b for r in df.select(df.t.rlike(plain).alias("a"), df.t.rlike(T.any_of(odd)).alias("b")).collect())
+
+
+def test_pass2_log_has_no_negative_zero(spark):
+    zones = spark.createDataFrame([(1, 0, -0.04, 3.25), (1, 1, -0.06, 0.04)], "recording_id long, zone_id long, start double, end double")
+    log = clean.pass2_log(zones, zones.limit(0))
+    assert [r.zone for r in log.sort("zone_id").collect()] == ["0.0-3.3", "-0.1-0.0"]

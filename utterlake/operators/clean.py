@@ -286,7 +286,8 @@ def pass2_log(zones: DataFrame, good: DataFrame, candidates: DataFrame | None =
     if candidates is not None:
         z = z.join(_failed(candidates), keys, "left").withColumn("n", F.when(F.col("error").isNull(), F.col("n")).otherwise(0))
         status = F.when(F.col("error").isNotNull(), F.concat(F.lit("error: "), F.substring("error", 1, 50))).otherwise(status)
-    return z.select("recording_id", "zone_id", F.format_string("%.1f-%.1f", "start", "end").alias("zone"), status.alias("status"), "n")
+    place = lambda c: F.round(c, 1)  # noqa: E731  by itself, the format makes -0.0 of -0.04
+    return z.select("recording_id", "zone_id", F.format_string("%.1f-%.1f", place("start"), place("end")).alias("zone"), status.alias("status"), "n")
 
 
 def pass2_counts(log: DataFrame, merged: DataFrame | None = None, raw: DataFrame | None = None) -> DataFrame:
