@@ -181,3 +181,11 @@ def test_pass2_log_has_no_negative_zero(spark):
     zones = spark.createDataFrame([(1, 0, -0.04, 3.25), (1, 1, -0.06, 0.04)], "recording_id long, zone_id long, start double, end double")
     log = clean.pass2_log(zones, zones.limit(0))
     assert [r.zone for r in log.sort("zone_id").collect()] == ["0.0-3.3", "-0.1-0.0"]
+
+
+def test_pass2_results_have_no_negative_zero(spark):
+    """The log of a second pass with candidates and windows."""
+    zones = spark.createDataFrame([(1, 0, -0.04, 3.25)], "recording_id long, zone_id long, start double, end double")
+    tried = spark.createDataFrame([(1, 0, "out of memory")], "recording_id long, zone_id long, error string")
+    log = clean.pass2_log(zones, zones.limit(0), tried, zones)
+    assert [(r.zone, r.status) for r in log.collect()] == [("0.0-3.3", "error: out of memory")]
