@@ -147,7 +147,8 @@ def with_speech(zones: DataFrame, speech: DataFrame | None = None, audio: DataFr
 
 
 def _clean_rows(clean: DataFrame) -> DataFrame:
-    first, last = _edge_scores(F.col("words"))
+    """clean: with words, or with the scores that verdicts() has taken from them."""
+    first, last = (F.col("first_score"), F.col("last_score")) if "first_score" in clean.columns else _edge_scores(F.col("words"))
     return clean.select("recording_id", "seq", "start", "end", first.alias("first_score"), last.alias("last_score"), F.lit(True).alias("kept"), F.lit(None).cast("string").alias("zone_reason"))
 
 
@@ -175,6 +176,7 @@ def verdicts(segments: DataFrame, low_conf: float = 0.45) -> DataFrame:
     """What the tests say of each segment, in their order: hallucination, too short, repeat, low confidence. Without its words.
 
     recording_id, seq, start, end, removed (why, null: kept), text (of removed ones), detail, zone_reason, first_score, last_score.
+    The row tests are written once: the searches for repeats read them three more times, and must not search the texts again.
     """
     f = flag(segments)
     first, last = _edge_scores(F.col("words"))
@@ -182,6 +184,7 @@ def verdicts(segments: DataFrame, low_conf: float = 0.45) -> DataFrame:
         "recording_id", "seq", "start", "end", "text", "hallucination", "short", first.alias("first_score"), last.alias("last_score"),
         T.low_confidence_flag(F.col("avg_logprob"), F.col("words"), low_conf).alias("low"),
     )
+    f = written(f, "flagged")
     rest = suppress_repeats(f.filter("hallucination is null and not short"))
     gone = f.filter("hallucination is not null or short").withColumn("is_repeat", F.lit(None).cast("boolean"))
     why = F.when(F.col("hallucination").isNotNull(), "hallucination").when(F.col("short"), "too_short").when(F.col("is_repeat"), "duplicate")
