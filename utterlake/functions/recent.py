@@ -29,23 +29,27 @@ class RecentTexts:
 
     def __init__(self, least: int, ratio: float = 0.8) -> None:
         self.least, self.ratio = least, ratio
-        self.alive: dict[int, tuple[str, float]] = {}
+        self.alive: dict[int, tuple[str, float, tuple]] = {}  # with its entries
+        self.last: tuple[str | None, set[int]] = (None, set())
         self.next = 0
         self.equal, self.begins, self.holds = defaultdict(set), defaultdict(set), defaultdict(set)
         self.ends: dict[float, list[tuple[float, int]]] = {}  # by window: the earliest start first
 
     def _inner(self, text: str) -> set[int]:
         """Hashes of the anchors that a shorter text inside `text` can have."""
-        n = len(text)
+        if self.last[0] is text:  # a text is looked up, and then kept
+            return self.last[1]
+        n, found = len(text), set()
         shortest = max(int(n * self.ratio), self.least) + 1
-        if shortest > n:
-            return set()
-        sizes = {_anchor_size(shortest), _anchor_size(n)}  # less than twice as long: no third size lies between
-        return {hash(text[at : at + k]) for k in sizes for at in range(n - max(shortest, k) + 1)}
+        if shortest <= n:
+            sizes = {_anchor_size(shortest), _anchor_size(n)}  # less than twice as long: no third size lies between
+            found = {hash(text[at : at + k]) for k in sizes for at in range(n - max(shortest, k) + 1)}
+        self.last = (text, found)
+        return found
 
     def _drop(self, i: int) -> None:
-        text = self.alive.pop(i)[0]
-        for index, anchors in ((self.equal, (text,)), *self._entries(text)):
+        text, _, entries = self.alive.pop(i)
+        for index, anchors in ((self.equal, (text,)), *entries):
             for a in anchors:
                 index[a].discard(i)
                 if not index[a]:
@@ -81,9 +85,10 @@ class RecentTexts:
         if start != start:  # NaN: no later start is near it
             return
         i, self.next = self.next, self.next + 1
-        self.alive[i] = (text, start)
+        entries = self._entries(text)
+        self.alive[i] = (text, start, entries)
         self.equal[text].add(i)
-        for index, anchors in self._entries(text):
+        for index, anchors in entries:
             for a in anchors:
                 index[a].add(i)
         heapq.heappush(self.ends.setdefault(window, []), (start, i))

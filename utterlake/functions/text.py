@@ -97,8 +97,9 @@ def too_short(start: Column, end: Column, text: Column, no_speech_prob: Column,
 
 def mean_score(words: Column) -> Column:
     """Mean of the words' present scores; null without any."""
-    scores = F.filter(F.transform(words, lambda w: w["score"]), lambda s: s.isNotNull())
-    return F.when(F.size(scores) > 0, F.aggregate(scores, F.lit(0.0), lambda a, s: a + s) / F.size(scores))
+    none = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
+    add = lambda a, s: F.struct((a["sum"] + F.coalesce(s, F.lit(0.0))).alias("sum"), (a["n"] + F.when(s.isNull(), 0).otherwise(1)).alias("n"))
+    return F.aggregate(words["score"], none, add, lambda a: F.when(a["n"] > 0, a["sum"] / a["n"]))  # in one pass
 
 
 def low_confidence_flag(avg_logprob: Column, words: Column, threshold: float = 0.45) -> Column:
