@@ -78,10 +78,29 @@ def any_of(patterns) -> str:
     return "(?iuUd)" + "|".join(parts)
 
 
+#: Cyrillic letters, and all characters that are one of the basic ones in another case.
+CYRILLIC = "[\u0400-\u052f\u1c80-\u1c8f\ua640-\ua69f]"
+
+
+def needs_cyrillic(pattern: str) -> bool:
+    """Whether each match has a Cyrillic letter, as far as the pattern shows it plainly: one outside of groups, classes and options."""
+    plain = re.sub(r"\\.", "", pattern)
+    while re.search(r"\([^()]*\)", plain):
+        plain = re.sub(r"\([^()]*\)[?*]?", "", plain)
+    plain = re.sub(r".[?*{]", "", re.sub(r"\[[^\]]*\]", "", plain))
+    return "|" not in plain and re.search("[\u0400-\u04ff]", plain) is not None
+
+
 def is_hallucination(text: Column, patterns=HALLUCINATIONS) -> Column:
-    """Blank, or one of the patterns is found (Unicode, case-insensitive)."""
+    """Blank, or one of the patterns is found (Unicode, case-insensitive). Texts without Cyrillic letters aren't searched for what needs some."""
     t = strip(F.coalesce(text, F.lit("")))
-    return (t == "") | t.rlike(any_of(patterns))
+    cyrillic, others = [p for p in patterns if needs_cyrillic(p)], [p for p in patterns if not needs_cyrillic(p)]
+    found = t == ""
+    if others:
+        found = found | t.rlike(any_of(others))
+    if cyrillic:
+        found = found | ((F.octet_length(t) > F.length(t)) & t.rlike(CYRILLIC) & t.rlike(any_of(cyrillic)))
+    return found
 
 
 def hallucination_reason(text: Column, avg_logprob: Column, no_speech_prob: Column) -> Column:

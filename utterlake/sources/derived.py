@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from utterlake.functions import arrays
+
 WORD = "struct<word:string,start:double,end:double,score:double,speaker:string>"
 
 
@@ -37,28 +44,43 @@ def segment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.withColumn("start_cs", F.col("end_cs") - F.col("dur_cs"))
 
 
+def _words_of():
+    """A vectorised helper: a segment's keys, times and text to its words, made column-wise for a batch of rows."""
+
+    @F.arrow_udf(f"array<{WORD}>")
+    def make(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        whole = lambda x: x.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        cents = lambda x: np.rint(x.fill_null(0.0).to_numpy(zero_copy_only=False) * 100).astype(np.int64)
+        for recording, seq, start, end, text in batches:
+            n, word = arrays.flat(pc.split_pattern(text, " "))
+            i, s, k = np.repeat(whole(recording), n), np.repeat(whole(seq), n), arrays.places(n)
+            begin, dur, many = np.repeat(cents(start), n), np.repeat(cents(end) - cents(start), n), np.repeat(n, n)
+            at = begin + dur * k // many
+            score = np.fmod(3 * i + 5 * s + 7 * k, 100) / 100
+            score = pa.array(score, mask=np.fmod(i + s + k, 17) == 0)
+            till = (at + np.maximum(1, 3 * dur // (4 * many))) / 100
+            words = pa.StructArray.from_arrays([word, pa.array(at / 100), pa.array(till), score, pa.nulls(len(at), pa.string())], ["word", "start", "end", "score", "speaker"])
+            yield arrays.relist(n, words, text.is_null())
+
+    return make.asNondeterministic()  # it isn't, but so Spark neither repeats it nor moves it into another expression
+
+
+def with_words(rows: DataFrame) -> DataFrame:
+    """segments() without words, with them: what joins or sorts segments can do so while they are texts only."""
+    return rows.withColumn("words", _words_of()("recording_id", "seq", "start", "end", "text"))
+
+
 def segments(spark: SparkSession, sf_dir: str, words: bool = True) -> DataFrame:
     """recording_id, seq, start, end, text, avg_logprob, no_speech_prob, speaker, is_placeholder, words."""
     r = segment_rows(spark, sf_dir)
     i, s = F.col("recording_id"), F.col("seq")
-    if words:  # exploded arrays of one: a plain column would be put into the word's expression, and the text split again for each word
-        r = r.withColumn("pieces", F.explode(F.array(F.split("text", " ", -1))))
-        n = F.size("pieces")
-        fixed = F.struct(n.cast("long").alias("n"), F.greatest(F.lit(1), F.floor(3 * F.col("dur_cs") / (4 * n)).cast("long")).alias("width"), (i + s).alias("left_out"), (3 * i + 5 * s).alias("score"))
-        r = r.withColumn("fixed", F.explode(F.array(fixed)))
-
-    def word(x, k):
-        at = F.col("start_cs") + F.floor(F.col("dur_cs") * k / F.col("fixed.n")).cast("long")
-        score = F.when((F.col("fixed.left_out") + k) % 17 != 0, cs((F.col("fixed.score") + 7 * k) % 100))
-        return F.struct(x.alias("word"), cs(at).alias("start"), cs(at + F.col("fixed.width")).alias("end"), score.alias("score"), F.lit(None).cast("string").alias("speaker"))
-
-    return r.select(
+    r = r.select(
         "recording_id", "seq", cs("start_cs").alias("start"), cs("end_cs").alias("end"), "text",
         cs(-((31 * i + 17 * s) % 140)).alias("avg_logprob"), cs((11 * i + 29 * s) % 100).alias("no_speech_prob"),
         F.when((5 * i + 3 * s) % 13 != 0, F.concat(F.lit("SPEAKER_0"), ((i + F.floor(s / 2)) % 3).cast("string"))).alias("speaker"),
         F.lit(False).alias("is_placeholder"),
-        *([F.transform("pieces", word).alias("words")] if words else []),
     )
+    return with_words(r) if words else r
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
