@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from utterlake.functions import scan
+from utterlake.functions import arrays, scan
 from utterlake.functions import text as T
 from utterlake.functions.fold import ordered_fold
 from utterlake.functions.recent import RecentTexts
 from utterlake.functions.store import written
 from utterlake.operators.audio import speech_in_range
-from utterlake.operators.intervals import hit_words, merge_zones, near_ranges, renumber
+from utterlake.operators.intervals import WORDS, hits, merge_zones, near_ranges, renumber
 
 
 def flag(segments: DataFrame) -> DataFrame:
@@ -309,48 +314,54 @@ def pass2_counts(log: DataFrame, merged: DataFrame | None = None, raw: DataFrame
     return out.fillna(0, [c for c in out.columns if c != "recording_id"])
 
 
-def split_runs(words: Column, hit: Column) -> Column:
-    """Runs of consecutive words that aren't hit, as structs (run, start, end, text, words); runs of punctuation are left out.
-
-    hit: the indices of the words to leave out, in order. What lies between two of them is a run.
-    """
-    edges, n = F.concat(F.array(F.lit(-1)), hit, F.array(F.size(words))), F.size(hit) + 1
-    piece = lambda a, b: F.struct(a.alias("run"), F.slice(words, a + 2, b - a - 1).alias("words"))
-    pieces = F.zip_with(F.slice(edges, 1, n), F.slice(edges, 2, n), piece)
-    told = lambda p: F.struct(
-        p["run"].alias("run"), F.round(F.array_min(p["words"]["start"]), 3).alias("start"), F.round(F.array_max(p["words"]["end"]), 3).alias("end"),
-        T.strip(F.array_join(F.transform(p["words"], lambda w: T.strip(w["word"])), " ")).alias("text"), p["words"].alias("words"),
-    )
-    runs = F.transform(F.filter(pieces, lambda p: F.size(p["words"]) > 0), told)
-    return F.filter(runs, lambda r: ~T.punct_only(r["text"]))
-
-
-def merge_pass2(clean: DataFrame, recovered: DataFrame, margin: float = 0.4, cover: float = 0.15, raw: DataFrame | None = None) -> DataFrame:
+def cut_words(near: Column, words: Column, margin: float, whole: bool = True) -> Column:
+    """A struct of a row: timed (it has words, all of them timed), cut (it is timed, and its ranges reach into some words, when widened by
+    margin), runs: what is left of the words of a row that is cut, as structs (run, start, end, text, words if whole)."""
+    run = f"struct<run:int,start:double,end:double,text:string{f',words:{WORDS}' if whole else ''}>"
+
+    @F.arrow_udf(f"struct<timed:boolean,cut:boolean,runs:array<{run}>>")
+    def find(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for ranges, said in batches:
+            (m, r), (n, w) = arrays.flat(ranges), arrays.flat(said)
+            rows, place = np.arange(len(ranges)), arrays.places(n)
+            row, start, end = np.repeat(rows, n), arrays.doubles(w, "start"), arrays.doubles(w, "end")
+            untimed = pc.or_(pc.struct_field(w, "start").is_null(), pc.struct_field(w, "end").is_null()).to_numpy(zero_copy_only=False)
+            timed = (n > 0) & (np.bincount(row[untimed], minlength=len(rows)) == 0)
+            hit = hits(start, end, row, arrays.doubles(r, "start") - margin, arrays.doubles(r, "end") + margin, np.repeat(rows, m))
+            cut = timed & (np.bincount(row[hit], minlength=len(rows)) > 0)
+            left = ~hit & cut[row]
+            begins = left & ((place == 0) | np.append(False, hit[:-1])[: len(hit)])
+            used = np.flatnonzero(left)
+            runs = arrays.pieces(
+                arrays.with_speakers(w, pc.struct_field(w, "speaker").cast(pa.string())).take(pa.array(used)), np.searchsorted(used, np.flatnonzero(begins)), whole,
+                run=pa.array(place[begins].astype(np.int32)),
+            )
+            told = arrays.relist(np.bincount(row[begins], minlength=len(rows)), runs, pa.array(~cut))
+            yield pa.StructArray.from_arrays([pa.array(timed), pa.array(cut), told], ["timed", "cut", "runs"])
+
+    return find.asNondeterministic()(near, words)  # it isn't, but so Spark neither repeats it nor moves it into another expression
+
+
+def merge_pass2(clean: DataFrame, recovered: DataFrame, margin: float = 0.4, cover: float = 0.15, raw: DataFrame | None = None, words: bool = True) -> DataFrame:
     """Clean segments without what the second pass has replaced, and its segments, by start; seq is new.
 
     A recording without recovered segments keeps all of its own. Recovered rows of one start are put in order of their zone, end
-    and text. The ranges come to the segments, so that words are cut where they lie; the rows are written once before they are numbered.
-    raw: the segments that clean is a part of; with it, what made clean runs once.
+    and text. The ranges come to the segments (see near_ranges), so that words are cut where they lie; the rows are written once before
+    they are numbered. raw: the segments that clean is a part of; with it, what made clean runs once. words: whether the rows keep their words.
     """
-    s = near_ranges(clean, recovered, ["start", "end"], margin + 0.001, raw=raw)  # a little wider than needed: the tests below are exact
-    words, near = F.col("words"), F.coalesce("near", F.array().cast("array<struct<start:double,end:double>>"))
-    s = s.withColumn("near", near)
-    timed = F.coalesce((F.size(words) > 0) & F.forall(words, lambda w: w["start"].isNotNull() & w["end"].isNotNull()), F.lit(False))
-    s = s.withColumn("timed", timed)
-    wide = F.when(F.col("timed") & (F.size("near") > 0), F.col("near"))
-    times = F.struct(F.when(wide.isNotNull(), words["start"]).alias("start"), F.when(wide.isNotNull(), words["end"]).alias("end"))
-    widened = F.struct(F.transform(wide, lambda r: r["start"] - margin).alias("start"), F.transform(wide, lambda r: r["end"] + margin).alias("end"))
-    s = s.withColumn("hit", hit_words(widened, times))
+    kept = [c for c in clean.columns if c != "near" and (words or c != "words")]
+    s = near_ranges(clean, recovered, ["start", "end"], margin, raw=raw)
+    near = F.coalesce("near", F.array().cast("array<struct<start:double,end:double>>"))
+    s = s.withColumn("near", near).withColumn("left", cut_words(F.col("near"), F.col("words"), margin, words))
     shared = lambda r: F.round((F.least("end", r["end"]) - F.greatest("start", r["start"])) * 1000).cast("long")
     ms = F.aggregate("near", F.lit(0).cast("long"), lambda a, r: a + F.greatest(F.lit(0).cast("long"), shared(r)))
     covered = ms / 1000 / F.greatest(F.lit(0.01), F.col("end") - F.col("start"))
-    hits = F.coalesce(F.size("hit"), F.lit(0))
-    runs = F.when(F.col("timed") & (hits > 0), split_runs(words, F.col("hit")))
-    s = s.filter(F.col("timed") | (covered < cover)).withColumn("cut", F.col("timed") & (hits > 0)).withColumn("runs", runs)
-    s = s.select(*clean.columns, "cut", F.explode_outer("runs").alias("r")).filter("not cut or r is not null")
-    new = {c: F.when(F.col("cut"), F.col(f"r.{c}")).otherwise(F.col(c)).alias(c) for c in ("start", "end", "text", "words")}
-    columns = [c for c in clean.columns if c != "seq"]
-    own = s.select(*[new.get(c, F.col(c)) for c in columns], F.lit(0).alias("source"), F.col("seq").alias("old"), F.coalesce("r.run", F.lit(0)).alias("run"))
+    s = s.filter(F.col("left.timed") | (covered < cover))
+    s = s.select(*kept, F.col("left.cut").alias("cut"), F.explode_outer("left.runs").alias("r")).filter(~F.col("cut") | (F.col("r").isNotNull() & ~T.punct_only(F.col("r.text"))))
+    new = {"start": F.round("r.start", 3), "end": F.round("r.end", 3)} | {c: F.col(f"r.{c}") for c in ("text", *(["words"] if words else []))}
+    columns = [c for c in kept if c != "seq"]
+    own = [F.when(F.col("cut"), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in columns]
+    own = s.select(*own, F.lit(0).alias("source"), F.col("seq").alias("old"), F.coalesce("r.run", F.lit(0)).alias("run"))
     more = recovered.select(*[c for c in recovered.columns if c in columns], F.lit(1).alias("source"), *([F.col("zone_id").alias("old")] if "zone_id" in recovered.columns else []))
     rows = written(own.unionByName(more, allowMissingColumns=True), "merged")  # the numbering below reads it twice
     return renumber(rows, "start", "source", "old", "run", "end", "text").drop("source", "old", "run")

@@ -6,127 +6,139 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from utterlake.functions import scan
+from utterlake.functions import arrays, scan
 from utterlake.functions import text as T
 from utterlake.functions.fold import chain_map
 from utterlake.functions.store import written
-from utterlake.operators.intervals import assign_speakers, renumber, with_speaker
+from utterlake.operators.intervals import WORDS, assign_speakers, renumber
 
-ARRAYS = ("start", "end", "who", "answers")
+def response_words(word: pa.Array, first: np.ndarray) -> np.ndarray:
+    """T.is_response_word() of words in a row, where first marks the first ones of a segment."""
+    said = pc.utf8_trim(word, T.WHITE).fill_null("")
+    own = pc.is_in(pc.utf8_rtrim(pc.utf8_lower(said), ".,!?"), pa.array(T.RESPONSES)).to_numpy(zero_copy_only=False)
+    asked = pc.ends_with(said, "?").to_numpy(zero_copy_only=False)
+    return own | (np.append(False, asked[:-1]) & ~first)
 
 
-def _take(words: Column, fallback: Column) -> Column:
-    """What the helper needs of a row's words: times, speakers (missing ones are the row's), and which words are answers."""
-    before = lambda i: F.when(i > 0, F.get(words, i - 1)["word"])
-    return F.struct(
-        words["start"].alias("start"), words["end"].alias("end"),
-        F.transform(words, lambda w: F.coalesce(F.nullif(w["speaker"], F.lit("")), fallback)).alias("who"),
-        F.transform(words, lambda w, i: T.is_response_word(w["word"], before(i))).alias("answers"),
-    )
-
-
-def smoothed(gap: np.ndarray, who: np.ndarray, answers: np.ndarray, near: float = 0.25, edge: float = 0.45) -> np.ndarray:
-    """The words' speakers once stray words follow their neighbours. gap[i] lies between the words i and i + 1.
+def smoothed(gap: np.ndarray, who: np.ndarray, answers: np.ndarray, first: np.ndarray, last: np.ndarray, near: float = 0.25, edge: float = 0.45) -> np.ndarray:
+    """The words' speakers once stray words follow their neighbours, for many rows of two or more words at once. gap[i] lies between the
+    words i and i + 1; first and last mark the ends of rows.
 
     A word is stray if both neighbours have one other speaker. After a stray word that has changed, the next one has its own
     speaker on its left: so of stray words in a row every second one changes, from the first on.
     """
     out = who.copy()
     left, own, right = who[:-2], who[1:-1], who[2:]
-    stray = (left == right) & (own != left) & ~answers[1:-1] & (gap[:-1] < near) & (gap[1:] < near)
-    place = np.arange(len(stray))
+    stray = np.zeros(len(who), bool)
+    stray[1:-1] = (left == right) & (own != left) & (gap[:-1] < near) & (gap[1:] < near)
+    stray &= ~(answers | first | last)
+    place = np.arange(len(who))
     changes = stray & ((place - np.maximum.accumulate(np.where(stray, -1, place))) % 2 == 1)
-    out[1:-1][changes] = left[changes]
-    for at, beside, between in ((0, 1, 0), (-1, -2, -1)):
-        if not answers[at] and gap[between] < edge:
-            out[at] = out[beside]
+    out[changes] = who[np.flatnonzero(changes) - 1]
+    at = np.flatnonzero(first & ~answers)
+    at = at[gap[at] < edge]
+    out[at] = out[at + 1]
+    at = np.flatnonzero(last & ~answers)
+    at = at[gap[at - 1] < edge]
+    out[at] = out[at - 1]
     return out
 
 
-def runs_of(gap: np.ndarray, who: np.ndarray, answers: np.ndarray, max_gap: float = 0.45) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, speaker) of each part: runs of one speaker, where a lone word that is no answer joins the run before it
-    within max_gap, else the one after it.
+def runs_of(gap: np.ndarray, who: np.ndarray, answers: np.ndarray, first: np.ndarray, max_gap: float = 0.45) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, speaker) of each part: runs of one speaker in a row, where a lone word that is no answer joins the run before it
+    within max_gap, else the one after it. For many rows at once; first marks their first words.
 
     A lone word goes forward only over a gap that the next run can't go back over, so that no run's choice depends on another's,
     but for one: a run that a lone word has joined from the left stays where it is.
     """
-    first = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
-    lone = (np.append(first[1:], len(who)) - first == 1) & ~answers[first]
-    close = gap[first[1:] - 1] < max_gap
-    back, ahead = np.append(False, close), np.append(close, False)
-    forward = lone & ~back & ahead
+    at = np.flatnonzero(first | np.append(True, who[1:] != who[:-1]))
+    lone = (np.append(at[1:], len(who)) - at == 1) & ~answers[at]
+    back = np.append(False, gap[at[1:] - 1] < max_gap) & ~first[at]
+    forward = lone & ~back & np.append(back[1:], False)
     joined = np.append(False, forward[:-1])
     back &= lone & ~joined
-    return first[~(back | joined)], who[first[~(back | forward)]]
+    return at[~(back | joined)], who[at[~(back | forward)]]
 
 
-FIX = "struct<who:array<string>,first:array<int>,speaker:array<string>>"
+PIECE = "struct<speaker:string,start:double,end:double,text:string{}>"
 
 
-def word_speaker_fix(max_gap: float = 0.45):
-    """A vectorised helper: _take()'s arrays of a row to its smoothed speakers, and the first word and speaker of each part.
+def word_speaker_fix(max_gap: float = 0.45, cut: bool = True, whole: bool = True):
+    """A vectorised helper: a row's words, speaker and is_placeholder to its words with missing speakers filled in and smoothed (if
+    whole), the speaker that is left if there's only one run of several, and its parts (if cut; null unless there are two or more).
 
-    Only rows of two or more timed words may be given to it; null stays null.
+    Rows with fewer than two timed words, and placeholders, stay as they are; rows of one speaker have nothing to smooth.
     """
-
-    @F.pandas_udf(FIX)
-    def fix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for start, end, who, answers in zip(*(batch[c] for c in ARRAYS), strict=True):
-                if start is None:
-                    out.append((None, None, None))
-                    continue
-                gap, answers = np.asarray(start)[1:] - np.asarray(end)[:-1], np.asarray(answers, bool)
-                who = smoothed(gap, np.asarray(who, object), answers)
-                first, speaker = runs_of(gap, who, answers, max_gap)
-                out.append((who, first, speaker if (who != who[0]).any() else [None]))  # one speaker only: the row keeps its own
-            yield pd.DataFrame(out, columns=["who", "first", "speaker"])
+    words = f"words:{WORDS}"
+    fields = [*([words] if whole else []), *(["only:string", f"pieces:array<{PIECE.format(f',{words}' if whole else '')}>"] if cut else [])]
+
+    @F.arrow_udf(f"struct<{','.join(fields)}>")
+    def fix(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for rows, speaker, mark in batches:
+            n, word = arrays.flat(rows)
+            row, place = np.repeat(np.arange(len(n)), n), arrays.places(n)
+            raw = pc.struct_field(word, "speaker").cast(pa.string())
+            start, end = pc.struct_field(word, "start"), pc.struct_field(word, "end")
+            untimed = pc.or_(start.is_null(), end.is_null()).to_numpy(zero_copy_only=False)
+            fit = (n > 1) & (np.bincount(row[untimed], minlength=len(n)) == 0) & ~mark.fill_null(False).to_numpy(zero_copy_only=False)
+            named = lambda x: pc.if_else(pc.equal(x, ""), None, x)
+            own = named(speaker.cast(pa.string())).fill_null("UNKNOWN")
+            names = pc.coalesce(named(raw), own.take(pa.array(row))).dictionary_encode()
+            who = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            differs = (place > 0) & np.append(False, who[1:] != who[:-1])
+            several = fit & (np.bincount(row[differs], minlength=len(n)) > 0)
+            at = np.flatnonzero(several[row])  # the words that may change, in a row
+            first = place[at] == 0
+            gap = (arrays.doubles(word, "start")[at][1:] - arrays.doubles(word, "end")[at][:-1]) if len(at) else np.zeros(0)
+            answers = response_words(pc.struct_field(word, "word").take(pa.array(at)), first)
+            who[at] = smoothed(gap, who[at], answers, first, np.append(first[1:], True)) if len(at) else who[at]
+            told = pc.if_else(pa.array(fit[row]), names.dictionary.take(pa.array(who)), raw)
+            word = arrays.with_speakers(word, told)
+            out = [arrays.relist(n, word, rows.is_null())] if whole else []
+            if cut:
+                begins, of = runs_of(gap, who[at], answers, first, max_gap) if len(at) else (at, at)
+                begins = at[begins]
+                parts = np.bincount(row[begins], minlength=len(n))
+                many = parts[row[begins]] > 1  # the parts of rows that are cut
+                lone, left = begins[~many], of[~many]
+                still = np.bincount(row[at][np.append(False, who[at][1:] != who[at][:-1]) & ~first] if len(at) else at, minlength=len(n)) > 0
+                only = np.full(len(n), -1, np.int64)
+                only[row[lone]] = left
+                only[~still] = -1  # one speaker only: the row keeps its own
+                out.append(names.dictionary.take(pa.array(only, mask=only < 0)))
+                used = np.flatnonzero((parts > 1)[row])
+                pieces = arrays.pieces(word.take(pa.array(used)), np.searchsorted(used, begins[many]), whole, speaker=names.dictionary.take(pa.array(of[many])))
+                out.append(arrays.relist(np.where(parts > 1, parts, 0), pieces, pa.array(parts < 2)))
+            yield pa.StructArray.from_arrays(out, [f.split(":")[0] for f in fields])
 
     return fix.asNondeterministic()  # it isn't, but so Spark neither repeats it nor moves it into another expression
 
 
-def _fixed(segments: DataFrame, max_gap: float = 0.45) -> DataFrame:
-    """segments with `fix` (null unless two or more timed words name several speakers), and missing word speakers filled in.
-    """
-    words, fallback = F.col("words"), F.coalesce(F.nullif("speaker", F.lit("")), F.lit("UNKNOWN"))
-    timed = F.forall(words, lambda w: w["start"].isNotNull() & w["end"].isNotNull())
-    fit = (F.size(words) > 1) & timed & ~F.coalesce("is_placeholder", F.lit(False))
-    s = segments.withColumn("fit", F.coalesce(fit, F.lit(False))).withColumn("take", F.when(F.col("fit"), _take(words, fallback)))
-    several = F.size(F.array_distinct("take.who")) > 1
-    s = s.withColumn("fix", word_speaker_fix(max_gap)(F.when(several, F.col("take"))))
-    who = F.coalesce("fix.who", "take.who")
-    return s.withColumn("words", F.when(F.col("fit"), F.zip_with(words, who, with_speaker)).otherwise(words)).drop("fit", "take")
-
-
 def smooth_word_speakers(segments: DataFrame) -> DataFrame:
     """segments with the words' speakers smoothed; the rows' own speakers stay."""
-    return _fixed(segments).select(*segments.columns)
+    s = segments.withColumn("fix", word_speaker_fix(cut=False)("words", "speaker", "is_placeholder"))
+    return s.select(*[F.col("fix.words").alias(c) if c == "words" else F.col(c) for c in segments.columns])
 
 
-def split_by_speaker(segments: DataFrame, max_gap: float = 0.45) -> DataFrame:
-    """One row per run of a speaker; seq is new. Rows whose words name fewer than two speakers don't reach the helper."""
-    s = _fixed(segments, max_gap)
-    n = F.size("fix.first")
-    till = lambda i: F.when(i + 1 < n, F.get("fix.first", i + 1)).otherwise(F.size("words"))
-    piece = lambda at, i: F.struct(F.get("fix.speaker", i).alias("speaker"), F.slice("words", at + 1, till(i) - at).alias("words"))
-    s = s.withColumn("pieces", F.when(n > 1, F.transform("fix.first", piece)))
-    s = s.select(*segments.columns, F.when(n == 1, F.get("fix.speaker", F.lit(0))).alias("only"), F.posexplode_outer("pieces").alias("part", "p"))
+def split_by_speaker(segments: DataFrame, max_gap: float = 0.45, words: bool = True) -> DataFrame:
+    """One row per run of a speaker; seq is new. words: whether the rows keep their words."""
+    columns = [c for c in segments.columns if words or c != "words"]
+    s = segments.withColumn("fix", word_speaker_fix(max_gap, whole=words)("words", "speaker", "is_placeholder"))
+    kept = [F.col("fix.words").alias(c) if c == "words" else F.col(c) for c in columns]
+    s = s.select(*kept, F.col("fix.only").alias("only"), F.posexplode_outer("fix.pieces").alias("part", "p"))
     cut = F.col("p").isNotNull()
-    s = s.withColumn("said", F.when(cut, T.strip(F.array_join(F.transform("p.words", lambda w: T.strip(w["word"])), " "))))
-    new = {
-        "speaker": F.when(cut, F.col("p.speaker")).otherwise(F.coalesce("only", "speaker")), "text": F.when(cut, F.col("said")).otherwise(F.col("text")),
-        "words": F.when(cut, F.col("p.words")).otherwise(F.col("words")),
-        "start": F.when(cut, F.round(F.array_min("p.words.start"), 3)).otherwise(F.col("start")),
-        "end": F.when(cut, F.round(F.array_max("p.words.end"), 3)).otherwise(F.col("end")),
+    new = {c: F.when(cut, F.col(f"p.{c}")).otherwise(F.col(c)) for c in ("text", *(["words"] if words else []))} | {
+        "speaker": F.when(cut, F.col("p.speaker")).otherwise(F.coalesce("only", "speaker")),
+        "start": F.when(cut, F.round("p.start", 3)).otherwise(F.col("start")), "end": F.when(cut, F.round("p.end", 3)).otherwise(F.col("end")),
     }
-    rows = s.filter("said is null or said <> ''").select(*[new.get(c, F.col(c)).alias(c) for c in segments.columns], "part")
-    return renumber(written(rows, "split"), "seq", "part").select(*segments.columns)  # written: the helper runs once
+    rows = s.filter("p is null or p.text <> ''").select(*[new.get(c, F.col(c)).alias(c) for c in columns], "part")
+    return renumber(written(rows, "split"), "seq", "part").select(*columns)  # written: the helper runs once
 
 
 def _settle(max_gap: float, max_passes: int):
@@ -188,10 +200,12 @@ def reunite_placeholders(done: DataFrame, placeholders: DataFrame) -> DataFrame:
     return renumber(both.withColumn("old", F.col("seq")), "start", "source", "old").select(*done.columns)
 
 
-def speaker_pipeline(segments: DataFrame, turns: DataFrame) -> DataFrame:
-    """Assign, smooth and split, settle short segments, and put the placeholders back in their place."""
+def speaker_pipeline(segments: DataFrame, turns: DataFrame, words: bool = True) -> DataFrame:
+    """Assign, smooth and split, settle short segments, and put the placeholders back in their place. words: whether the rows keep their words."""
     real, placeholders = split_placeholders(segments)
-    return reunite_placeholders(merge_short_segments(split_by_speaker(assign_speakers(real, turns))), placeholders)
+    parts = written(split_by_speaker(assign_speakers(real, turns), words=words), "numbered")  # read three times below
+    done = merge_short_segments(parts)
+    return reunite_placeholders(done, placeholders.select(*done.columns))
 
 
 def speaker_stats(segments: DataFrame) -> DataFrame:
