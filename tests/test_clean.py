@@ -189,3 +189,12 @@ def test_pass2_results_have_no_negative_zero(spark):
     tried = spark.createDataFrame([(1, 0, "out of memory")], "recording_id long, zone_id long, error string")
     log = clean.pass2_log(zones, zones.limit(0), tried, zones)
     assert [(r.zone, r.status) for r in log.collect()] == [("0.0-3.3", "error: out of memory")]
+
+
+def test_verdicts_without_texts(spark):
+    """What only zones and kept rows are taken from has no texts, and else the same rows."""
+    s = segments(spark, [(0, 3, "one long enough to be kept"), (3, 6, "..."), (6, 9, "One long enough to be kept"), (20, 22, "two")])
+    told, bare = clean.verdicts(s), clean.verdicts(s, texts=False)
+    assert bare.columns == [c for c in told.columns if c != "text"]
+    assert sorted(bare.collect()) == sorted(told.drop("text").collect())
+    assert {r.removed for r in bare.collect()} == {None, "hallucination", "duplicate"}

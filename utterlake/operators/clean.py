@@ -177,10 +177,11 @@ def edge_gaps(clean: DataFrame, recordings: DataFrame | None = None, speech: Dat
     return with_speech(z, speech).select("recording_id", "start", "end", "reason")
 
 
-def verdicts(segments: DataFrame, low_conf: float = 0.45) -> DataFrame:
+def verdicts(segments: DataFrame, low_conf: float = 0.45, texts: bool = True) -> DataFrame:
     """What the tests say of each segment, in their order: hallucination, too short, repeat, low confidence. Without its words.
 
-    recording_id, seq, start, end, removed (why, null: kept), text (of removed ones), detail, zone_reason, first_score, last_score.
+    recording_id, seq, start, end, removed (why, null: kept), text (of removed ones; not without texts), detail, zone_reason, first_score,
+    last_score. Zones and kept rows need no texts: without them, they aren't joined with what the search for repeats has found.
     The row tests are written once: the searches for repeats read them three more times, and must not search the texts again.
     """
     f = flag(segments)
@@ -196,7 +197,7 @@ def verdicts(segments: DataFrame, low_conf: float = 0.45) -> DataFrame:
     v = rest.unionByName(gone).withColumn("removed", why)
     zone = F.when(F.col("removed") == "hallucination", "hallucination").when(F.col("removed").isNull(), F.col("low"))
     return v.select(
-        "recording_id", "seq", "start", "end", "removed", F.when(F.col("removed").isNotNull(), F.col("text")).alias("text"),
+        "recording_id", "seq", "start", "end", "removed", *([F.when(F.col("removed").isNotNull(), F.col("text")).alias("text")] if texts else []),
         F.col("hallucination").alias("detail"), zone.alias("zone_reason"), "first_score", "last_score",
     )
 
