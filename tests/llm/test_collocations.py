@@ -4,9 +4,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from utterlake.llm import collocations as C
+from utterlake.llm import common
 
 
 def plain(rows, least, longest, share, top):
@@ -68,6 +70,21 @@ def test_shards_of_any_size_count_alike(spark):
     assert count(1) == count(100) == count(10**6) and count(1)
 
 
+def test_a_task_holds_a_few_shards(spark, monkeypatch):
+    """However many it writes or reads: a row group, which both hold whole, ends with the shard that fills it."""
+    whole, stored, seen = C.shards, C.stored, []
+    monkeypatch.setattr(C, "shards", lambda docs: whole(docs, 2_000))
+    monkeypatch.setattr(C, "stored", lambda *a, **options: seen.append(stored(*a, **options)) or seen[-1])
+    monkeypatch.setattr(common, "GROUP_BYTES", 50_000, raising=False)
+    rng = np.random.default_rng(7)
+    rows = [("en", " ".join(f"w{n}" for n in rng.integers(0, 1_000, 1_000))) for _ in range(40)]
+    C.frequent_phrases(spark.createDataFrame(rows, "lang string, text string").coalesce(1))
+    (path,) = seen[0].inputFiles()
+    meta = pq.ParquetFile(path.removeprefix("file://")).metadata
+    sizes = [meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)]
+    assert meta.num_rows == 20 and sum(sizes) > 300_000 and max(sizes) < 100_000
+
+
 def test_phrases_cross_blocks_but_not_pieces(spark):
     text = "p q " * 40 + ". p. q p\nq"
     rows = [("en", text)]

@@ -251,7 +251,7 @@ def phrase_counts(held: DataFrame, length: int, filters: list[np.ndarray], rows:
 
 def frequent_phrases(docs: DataFrame, least: int = 10, longest: int = 3, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """(all phrases of 1 to `longest` words that occur `least` times or more: lang, phrase, words, n), and (lang, total: all words)."""
-    held = stored(shards(docs), "shards")
+    held = stored(shards(docs), "shards", long_rows=True)
     pairs = F.explode(F.arrays_zip(F.col("words").alias("phrase"), F.col("n").alias("n"))).alias("w")
     words = held.select("lang", pairs).select("lang", "w.phrase", F.col("w.n").cast("long").alias("n"))
     total = words.groupBy("lang").agg(F.sum("n").alias("total"))

@@ -59,11 +59,20 @@ def _file_system(spark: SparkSession, path: str):
 _SCRATCH: list[list[str]] = []
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage is cut and nothing is computed twice."""
+#: Bytes in a row group of a table of long rows.
+GROUP_BYTES = 8 * 1024 * 1024
+
+
+def stored(df: DataFrame, name: str, long_rows: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it back: lineage is cut and nothing is computed twice.
+
+    long_rows: rows can have megabytes. Parquet looks at a row group's size after 100 rows only, and a row group is held whole by its
+    writer and its reader; with this, its size is looked at after each row, so that a task holds a few rows, however many it has.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    group = {"parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
+    df.write.options(**(group if long_rows else {})).parquet(path)
     if _SCRATCH:
         _SCRATCH[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
